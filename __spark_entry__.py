@@ -451,12 +451,13 @@ NEWEST = "ORDER BY timestamp DESC, CAST(transaction_id AS BIGINT) DESC"
 )
 def latest_suspicious(spark, sf_dir):
     wanted = (KEY, "timestamp", "customer_id", "amount", "location", FLAG)
-    return ranking.latest_suspicious(transactions(spark, sf_dir, wanted))
+    newest = transactions(spark, sf_dir, wanted, narrow=ranking.recent_suspicious)
+    return ranking.latest_suspicious(newest)
 
 
 @query("recent_transactions", f"WITH {TRANSACTIONS} SELECT {STORED} FROM transactions {NEWEST} LIMIT 10")
 def recent_transactions(spark, sf_dir):
-    return ranking.recent_transactions(transactions(spark, sf_dir))
+    return ranking.recent_transactions(transactions(spark, sf_dir, narrow=ranking.recent_transactions))
 
 
 @query(
@@ -473,7 +474,7 @@ def suspicious_listing(spark, sf_dir):
     f"WITH {TRANSACTIONS} SELECT {STORED} FROM transactions WHERE is_suspicious ORDER BY CAST(transaction_id AS BIGINT) LIMIT 5",
 )
 def suspicious_preview(spark, sf_dir):
-    return ranking.suspicious_preview(transactions(spark, sf_dir))
+    return ranking.suspicious_preview(transactions(spark, sf_dir, narrow=ranking.suspicious_preview))
 
 
 # --- sampling ----------------------------------------------------------------
@@ -484,7 +485,7 @@ SAMPLE = f"""{TRANSACTIONS}, monthly_sample AS (SELECT {STORED} FROM transaction
 
 @query("monthly_sample", f"WITH {SAMPLE} SELECT * FROM monthly_sample")
 def monthly_sample(spark, sf_dir):
-    return sample_months(transactions(spark, sf_dir))
+    return transactions(spark, sf_dir, narrow=sample_months)
 
 
 @query(

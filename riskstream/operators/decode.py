@@ -15,12 +15,13 @@ def decode(df: DataFrame, schema: StructType = WIRE_SCHEMA, value: str = "value"
     Fields the schema does not name are dropped; a field of the wrong type, or
     every field of a text that is no JSON object, becomes null. The message text
     stays as ``raw`` and all other columns pass through.
+
+    The fields come out of a generator, one row each: the planner would copy a
+    plain ``from_json`` into every later filter and parse the text again there.
     """
     others = [c for c in df.columns if c != value]
     text = df.select(*others, F.col(value).cast("string").alias("raw"))
-    return text.select("*", F.from_json("raw", schema).alias("fields")).select(
-        *others, "raw", "fields.*"
-    )
+    return text.select(*others, "raw", F.inline(F.array(F.from_json("raw", schema))))
 
 
 def with_flag(df: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:

@@ -11,6 +11,7 @@ from riskstream.operators.breakdown import counts_by
 from riskstream.operators.measures import ROWS, measured, total
 from riskstream.operators.quantiles import quantiles
 from riskstream.schema import FLAG
+from riskstream.session import stored
 
 WHISKER = 1.5
 
@@ -54,15 +55,22 @@ def top_location_histogram(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def box_stats(
-    df: DataFrame, keys: Sequence[str] = ("location", FLAG), *, accuracy: int | None = None
+    df: DataFrame,
+    keys: Sequence[str] = ("location", FLAG),
+    *,
+    accuracy: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Five-number summary of the amount and the outlier fences, per group.
 
     Quartiles interpolate linearly between neighbouring values. They are exact
-    unless ``accuracy`` asks for approximate ones.
+    unless ``accuracy`` asks for approximate ones. ``largest``, the number of rows
+    of the largest group, saves counting them where it is known.
     """
     rows = df.withColumn(FLAG, flag_or_false()) if FLAG in keys else df
-    summary = quantiles(rows, keys, "amount", (0.25, 0.5, 0.75), accuracy=accuracy)
+    summary = quantiles(
+        rows, keys, "amount", (0.25, 0.5, 0.75), accuracy=accuracy, largest=largest
+    )
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[2]
     reach = WHISKER * (q3 - q1)
     return summary.select(
@@ -79,8 +87,16 @@ def box_stats(
 
 
 def top_location_box(df: DataFrame, n: int = 10, *, accuracy: int | None = None) -> DataFrame:
-    """Distribution of the amount by location and flag, busiest locations only."""
-    return box_stats(top_location_rows(df, n), accuracy=accuracy)
+    """Distribution of the amount by location and flag, busiest locations only.
+
+    One pass counts the groups, which tells the busiest locations as well as the
+    size of the largest group; the second takes the quartiles.
+    """
+    groups = stored(top_location_histogram(df, n), "top-locations")
+    largest = groups.agg(F.max("transactions")).first()[0] or 0
+    busiest = F.broadcast(groups.select("location").distinct())
+    rows = df.join(busiest, "location", "left_semi")
+    return box_stats(rows, accuracy=accuracy, largest=largest)
 
 
 def amount_outliers(

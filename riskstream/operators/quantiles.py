@@ -36,19 +36,21 @@ def quantiles(
     probabilities: Sequence[float],
     *,
     accuracy: int | None = None,
+    largest: int | None = None,
     group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Per group: ``n``, ``low``, ``high`` and ``quantiles``, one per probability.
 
     Rows without a value or without a key are left out. Runs at once and returns
-    a stored table. ``accuracy`` switches to approximate quantiles.
+    a stored table. ``accuracy`` switches to approximate quantiles. ``largest`` is
+    the size of the largest group, counted here if not given.
     """
     keys = list(keys)
     rows = df.select(*keys, usable_amount(value).alias("v")).dropna()
     wanted = F.array(*(F.lit(float(p)) for p in probabilities))
     if accuracy is not None:
         found = F.percentile_approx("v", wanted, accuracy)
-    elif _largest_group(rows, keys) <= group_limit:
+    elif (_largest_group(rows, keys) if largest is None else largest) <= group_limit:
         found = F.percentile("v", wanted)
     else:
         return _by_rank(rows, keys, probabilities)

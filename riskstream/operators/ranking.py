@@ -30,29 +30,29 @@ def suspicious_leaderboard(df: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def _newest_first(df: DataFrame) -> DataFrame:
+    return df.orderBy(F.desc("timestamp"), *id_order(descending=True))
+
+
+def recent_suspicious(df: DataFrame, n: int = 10) -> DataFrame:
+    """The newest suspicious transactions, all columns."""
+    return _newest_first(only_suspicious(df)).limit(n)
+
+
 def latest_suspicious(df: DataFrame, n: int = 10) -> DataFrame:
-    """The newest suspicious transactions."""
-    return (
-        only_suspicious(df)
-        .orderBy(F.desc("timestamp"), *id_order(descending=True))
-        .limit(n)
-        .select("timestamp", "customer_id", "amount", "location")
-    )
+    """The newest suspicious transactions, as listed on the dashboard."""
+    return recent_suspicious(df, n).select("timestamp", "customer_id", "amount", "location")
 
 
 def recent_transactions(df: DataFrame, n: int = 10) -> DataFrame:
     """The newest transactions, all columns."""
-    newest = df.orderBy(F.desc("timestamp"), *id_order(descending=True)).limit(n)
-    return newest.withColumn(FLAG, F.col(FLAG).cast("boolean"))
+    return _newest_first(df).limit(n).withColumn(FLAG, F.col(FLAG).cast("boolean"))
 
 
 def suspicious_listing(df: DataFrame) -> DataFrame:
     """Every suspicious transaction, newest first."""
-    return (
-        only_suspicious(df)
-        .select("transaction_id", "customer_id", "merchant", "amount", "timestamp")
-        .orderBy(F.desc("timestamp"), *id_order(descending=True))
-    )
+    wanted = ("transaction_id", "customer_id", "merchant", "amount", "timestamp")
+    return _newest_first(only_suspicious(df).select(*wanted))
 
 
 def suspicious_preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -16,7 +16,8 @@ def build_session(options: JobOptions | None = None, **conf: str) -> SparkSessio
     """A session with the settings the library is written for.
 
     Shuffle partition counts and executor sizes belong to the cluster and are
-    not set here; AQE coalesces partitions and splits skewed joins.
+    not set here; AQE coalesces partitions and splits skewed joins. The log writes
+    two outcomes side by side instead of sorting each batch by outcome.
     """
     options = options or JobOptions()
     builder = (
@@ -24,6 +25,7 @@ def build_session(options: JobOptions | None = None, **conf: str) -> SparkSessio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "4")
         .config("spark.ui.enabled", "false")
     )
     if options.master:
@@ -39,7 +41,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only a
     local session, whose executors share this machine, may do without one.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +12,6 @@ from riskstream.sources.messages import position
 
 ORDER_THRESHOLD = 300_000.0
 EVENT_THRESHOLD = 45.0
-FROM_CUSTOMER = {"customer_name", "merchant", "location"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,45 +19,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def transactions(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] = STORED_COLUMNS
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Iterable[str] = STORED_COLUMNS,
+    *,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Orders as transactions, with the asked-for columns only.
 
-    Customers and nations are unique by key, so a left join neither adds nor
-    loses orders, and is left out when none of its columns is wanted. No side
-    is hinted: the planner broadcasts by size, and AQE splits a customer with
-    very many orders.
+    Every order has exactly one customer and nation, so looking them up neither
+    adds nor loses rows: it is left out when none of their columns is wanted, and
+    ``narrow``, an operator that picks rows by the columns of the order itself, may
+    run before it. No side is hinted: the planner broadcasts by size, and AQE
+    splits a customer with very many orders.
     """
     columns = list(columns)
-    rows = table(spark, sf_dir, "orders")
-    if FROM_CUSTOMER & set(columns):
-        customers = table(spark, sf_dir, "customer")
-        if "location" in columns:
-            nations = table(spark, sf_dir, "nation")
-            customers = customers.join(
-                nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-            )
-        rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-    amount = F.col("o_totalprice").alias("amount")
-    definitions = {
+    own = {
         KEY: F.col("o_orderkey").cast("string"),
         "timestamp": F.col("o_orderdate"),
         # Computed rather than renamed: a grouping by customer then shuffles its
         # partial results instead of relying on the partitioning of the join,
         # which would keep AQE from splitting a hot customer.
         "customer_id": F.col("o_custkey").bitwiseOR(F.lit(0).cast("long")),
-        "customer_name": F.col("c_name"),
-        "amount": amount,
+        "amount": F.col("o_totalprice"),
         "currency": F.lit("USD"),
-        "merchant": F.col("c_mktsegment"),
-        "location": F.col("n_name"),
         "status": F.when(F.col("o_orderstatus") == "F", "SUCCESS")
         .when(F.col("o_orderstatus") == "O", "PENDING")
         .when(F.col("o_orderstatus") == "P", "FAILED"),
         "card_type": F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority")),
         FLAG: over_threshold(ORDER_THRESHOLD, "o_totalprice"),
     }
-    return rows.select(*(definitions[c].alias(c) for c in columns))
+    looked_up = {"customer_name": "c_name", "merchant": "c_mktsegment", "location": "n_name"}
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select("o_custkey", *(value.alias(name) for name, value in own.items()))
+    if narrow is not None:
+        rows = narrow(rows)
+    if looked_up.keys() & set(columns):
+        customers = table(spark, sf_dir, "customer")
+        if "location" in columns:
+            nations = table(spark, sf_dir, "nation")
+            customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return rows.select(*(F.col(looked_up.get(c, c)).alias(c) for c in columns))
 
 
 def _event_columns() -> dict[str, Column]:

@@ -57,13 +57,23 @@ def file_messages(
         reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     else:
         reader = spark.read
-    # Row ids rise within a task, and a block of a file is read by one task.
-    return reader.text(folder).select(
+    messages = reader.text(folder).select(
         "value",
         position(
             F.col("_metadata.file_modification_time"),
             F.col("_metadata.file_path"),
             F.col("_metadata.file_block_start"),
-            F.monotonically_increasing_id(),
+            F.lit(None),
         ),
     )
+    return messages if streaming else with_offsets(messages)
+
+
+def with_offsets(batch: DataFrame) -> DataFrame:
+    """Fill in missing offsets with the number of the row in its task.
+
+    A block of a file is read by one task from start to end, so this is the order
+    of its lines. Streams may not number rows; the writers do so for each batch.
+    """
+    offset = F.coalesce(F.col("position.offset"), F.monotonically_increasing_id())
+    return batch.withColumn("position", F.col("position").withField("offset", offset))

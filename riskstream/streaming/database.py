@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Row
 
 from riskstream.schema import FLAG, KEY, STORED_COLUMNS
+from riskstream.sources.messages import with_offsets
 from riskstream.streaming.log import BatchWriter, resolved
 
 CONFLICT = {
@@ -54,7 +55,7 @@ def database_writer(
             connection.close()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = resolved(batch, rule, ("position",)).select(*STORED_COLUMNS)
+        rows = resolved(with_offsets(batch), rule, ("position",)).select(*STORED_COLUMNS)
         rows.coalesce(connections).foreachPartition(send)
 
     return write

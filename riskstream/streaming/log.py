@@ -18,6 +18,7 @@ from riskstream.operators.decode import decode, with_flag
 from riskstream.operators.upsert import MERGES, RULES
 from riskstream.operators.validate import with_reason
 from riskstream.schema import DEFAULT_THRESHOLD, FLAG, LOG_SCHEMA, STORED_COLUMNS, STORED_SCHEMA
+from riskstream.sources.messages import with_offsets
 
 logger = logging.getLogger(__name__)
 
@@ -48,7 +49,8 @@ def log_writer(path: str) -> BatchWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"batch {batch_id}")
         (
-            batch.observe(
+            with_offsets(batch)
+            .observe(
                 seen,
                 F.count(F.lit(1)).alias("total"),
                 F.count_if(FLAG).alias("suspicious"),

@@ -1,0 +1,120 @@
+"""The dashboard as a whole, and properties that tie its frames together."""
+
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import stored_rows
+from riskstream.operators import breakdown, locations, trends
+from riskstream.operators.measures import summary
+from riskstream.operators.sample import monthly_sample
+from riskstream.plans.dashboard import Snapshot, dashboard
+from riskstream.sources.fixtures import transactions
+from riskstream.sources.tables import jdbc_settings, parquet_table
+from riskstream.options import JobOptions
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return transactions(spark, SF_DIR).cache()
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        breakdown.kpis, breakdown.suspicious_split, breakdown.status_counts, breakdown.avg_amount_by_status,
+        breakdown.location_counts, breakdown.card_type_distribution, breakdown.location_hotspots,
+        trends.volume, trends.average_amount, trends.suspicious_by_month,
+        lambda df: trends.volume(df, "day"), locations.top_locations, locations.top_location_histogram,
+    ],
+)
+def test_summary_gives_the_same_as_the_rows(rows, operator):
+    def result(df):
+        out = operator(df)
+        doubles = [name for name, kind in out.dtypes if kind == "double"]
+        return out.withColumns({c: F.round(c, 6) for c in doubles}).collect()
+
+    assert result(summary(rows)) == result(rows)
+
+
+def test_frames_agree(rows):
+    frames = dashboard(rows)
+    kpis = frames["kpis"].first()
+    assert kpis.suspicious + kpis.normal == kpis.total == rows.count()
+    assert {r.category: r.transactions for r in frames["suspicious_split"].collect()} == {
+        "suspicious": kpis.suspicious, "normal": kpis.normal,
+    }
+
+    def added(name, column="transactions"):
+        return frames[name].agg(F.sum(column)).first()[0]
+
+    for name in ("status_counts", "monthly_volume", "daily_volume", "location_hotspots"):
+        assert added(name) == kpis.total
+    assert added("suspicious_by_month") == kpis.suspicious
+    assert added("top_location_histogram") == added("top_location_box")
+    assert frames["recent_transactions"].count() == frames["latest_suspicious"].count() == 10
+    frames["summary"].unpersist()
+
+
+def test_choices_apply_to_every_frame(rows):
+    frames = dashboard(rows, status=["FAILED"], card_type=[None])
+    kept = rows.where("status = 'FAILED' AND card_type IS NULL").count()
+    assert frames["kpis"].first().total == kept > 0
+    assert [r.status for r in frames["status_counts"].collect()] == ["FAILED"]
+    assert frames["facets"].where("facet = 'status'").count() == 3, "all choices stay on offer"
+    frames["summary"].unpersist()
+
+
+def test_dashboard_of_nothing(spark):
+    frames = dashboard(stored_rows(spark, []))
+    assert frames.pop("kpis").first().total == 0
+    assert frames.pop("suspicious_split").count() == 2
+    assert all(frame.isEmpty() for frame in frames.values())
+
+
+def test_snapshot_is_reused_until_refreshed(spark, tmp_path):
+    path = str(tmp_path / "table")
+    stored_rows(spark, [{"transaction_id": "a"}]).write.parquet(path)
+    loads = []
+
+    def load():
+        loads.append(1)
+        return parquet_table(spark, path)
+
+    with Snapshot(load) as snapshot:
+        assert snapshot.frame.count() == 1 and snapshot.refreshed_at is None
+        # Another job adds to the table.
+        stored_rows(spark, [{"transaction_id": "b"}]).write.parquet(str(tmp_path / "more"))
+        for file in (tmp_path / "more").glob("*.parquet"):
+            shutil.copy(file, path)
+        assert snapshot.frame.count() == 1 and len(loads) == 1
+        assert snapshot.refresh().count() == 2 and snapshot.refreshed_at is not None
+
+
+def test_sampled_snapshot(rows):
+    with Snapshot(lambda: rows, per_month=5) as snapshot:
+        sizes = snapshot.frame.groupBy(F.date_trunc("month", "timestamp")).count()
+        assert sizes.where("count > 5").isEmpty()
+        whole = rows.groupBy(F.date_trunc("month", "timestamp")).count()
+        expected = whole.agg(F.sum(F.least("count", F.lit(5)))).first()[0]
+        assert snapshot.frame.count() == expected
+        assert snapshot.frame.exceptAll(rows).isEmpty()
+        assert snapshot.frame.exceptAll(monthly_sample(rows, 5)).isEmpty()
+
+
+def test_options():
+    options = JobOptions.from_env({"KAFKA_TOPIC": "t", "FRAUD_THRESHOLD": "12.5", "DB_PORT": "1", "DB_NAME": "d"})
+    assert (options.topic, options.threshold, options.jdbc_url) == ("t", 12.5, "jdbc:postgresql://localhost:1/d")
+    assert JobOptions.from_env({}) == JobOptions()
+    assert JobOptions().threshold == 3000.0 and JobOptions().db_password is None
+    with pytest.raises(ValueError, match="DB_NAME"):
+        JobOptions().jdbc_url
+
+
+def test_jdbc_settings():
+    options = JobOptions(db_name="d", db_user="u")
+    settings = jdbc_settings(options, column="timestamp", lower="2025-01-01", upper="2026-01-01", partitions=8)
+    assert settings["numPartitions"] == "8" and settings["user"] == "u" and "password" not in settings

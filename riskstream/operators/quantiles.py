@@ -19,14 +19,18 @@ value inside. The result is the same as that of ``percentile``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskstream.functions import usable_amount
 from riskstream.session import stored
 
-GROUP_LIMIT = 1_000_000
+# Up to 128 groups of this size may be in the memory of one task.
+GROUP_LIMIT = 100_000
 SKETCH_ACCURACY = 10_000
+SALTS = 16
 
 
 def quantiles(
@@ -87,23 +91,27 @@ def _by_rank(
     return found
 
 
-def _counted(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+def _counted(rows: DataFrame, groups: DataFrame, keys: list[str], brackets: int) -> DataFrame:
     """Rows as counts whose order by (slot, v) is the order of the values.
 
     ``slot`` is the number of edges below the value. Values outside all brackets
     lose their value; within a slot they come before any that lies inside.
+
+    Rows meet their brackets by key and salt: should there be too many groups to
+    broadcast, a hot one is spread, and since the counts are not grouped by salt
+    they are combined before a shuffle of their own.
     """
-    pairs = F.sequence(F.lit(0), F.size("edges") - 2, F.lit(2))
-    inside = F.exists(
-        pairs,
-        lambda i: (F.col("v") >= F.get("edges", i)) & (F.col("v") <= F.get("edges", i + 1)),
-    )
+    v, edges = F.col("v"), [F.col("edges")[i] for i in range(brackets * 2)]
+    below = [(edge < v).cast("int") for edge in edges]
+    inside = [v.between(*edges[i : i + 2]) for i in range(0, len(edges), 2)]
+    salts = F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
     return (
-        rows.join(groups.select(*keys, "edges"), keys)
+        salted.join(groups.select(*keys, "edges", salts), [*keys, "salt"])
         .select(
             *keys,
-            F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("slot"),
-            F.when(inside, F.col("v")).alias("v"),
+            reduce(add, below).alias("slot"),
+            F.when(reduce(or_, inside), v).alias("v"),
         )
         .groupBy(*keys, "slot", "v")
         .agg(F.count(F.lit(1)).alias("copies"))
@@ -117,7 +125,7 @@ def _select(
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Stored, since the number of a range partition must be the same for all readers.
     blocks = stored(
-        _counted(rows, groups, keys)
+        _counted(rows, groups, keys, len(probabilities))
         .repartitionByRange(parts, *keys, "slot", "v")
         .withColumn("block", F.spark_partition_id()),
         "quantile-counts",

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row
 
-from riskstream.schema import FLAG, KEY, STORED_COLUMNS
+from riskstream.schema import FLAG, KEY, MAX_LENGTH, REQUIRED, STORED_COLUMNS
 from riskstream.sources.messages import with_offsets
 from riskstream.streaming.log import BatchWriter, resolved
 
@@ -18,6 +18,19 @@ CONFLICT = {
 }
 
 
+def table_statement(table: str) -> str:
+    """The definition of the table, with the constraints the validation mirrors."""
+    types = {"timestamp": "TIMESTAMP", "customer_id": "INT", "amount": "FLOAT", FLAG: "BOOLEAN"}
+    columns = [
+        f"{c} {types.get(c) or f'VARCHAR({MAX_LENGTH[c]})'}"
+        + (" UNIQUE" if c == KEY else "")
+        + (" NOT NULL" if c in REQUIRED else "")
+        + (" DEFAULT FALSE" if c == FLAG else "")
+        for c in STORED_COLUMNS
+    ]
+    return f"CREATE TABLE IF NOT EXISTS {table} (id SERIAL PRIMARY KEY, {', '.join(columns)})"
+
+
 def upsert_statement(table: str, rule: str) -> str:
     columns = ", ".join(STORED_COLUMNS)
     places = ", ".join(["%s"] * len(STORED_COLUMNS))

@@ -88,7 +88,7 @@ def test_only_bounded_rows_reach_the_last_step(spark):
     edges = [0.2498, 0.2502, 0.4998, 0.5002, 0.7498, 0.7502]
     sketch = q.F.percentile_approx("v", q.F.array(*map(q.F.lit, edges)), 10_000)
     groups = rows.groupBy("g").agg(*q._extremes(), sketch.alias("edges"))
-    counted = q._counted(rows, groups, ["g"])
+    counted = q._counted(rows, groups, ["g"], 3)
     assert counted.agg({"copies": "sum"}).first()[0] == 100_000
     assert counted.count() < 400
 

@@ -15,7 +15,7 @@ from riskstream.schema import STORED_COLUMNS
 from riskstream.sources.fixtures import event_messages
 from riskstream.sources.messages import file_messages, kafka_settings
 from riskstream.streaming import log
-from riskstream.streaming.database import database_writer, upsert_statement
+from riskstream.streaming.database import database_writer, table_statement, upsert_statement
 from riskstream.streaming.jobs import run_backfill, run_stream, start_route, start_store
 from riskstream.streaming.route import flagged_messages
 
@@ -229,6 +229,13 @@ def test_database_writer(spark, tmp_path, rule):
     assert rows["a"]["is_suspicious"] is (rule == "flag_upsert")
 
 
+def test_table_statement():
+    text = table_statement("t")
+    assert "transaction_id VARCHAR(50) UNIQUE NOT NULL, timestamp TIMESTAMP NOT NULL" in text
+    assert "card_type VARCHAR(20), is_suspicious BOOLEAN DEFAULT FALSE" in text
+    assert text.count("NOT NULL") == 9
+
+
 def test_upsert_statement():
     assert upsert_statement("t", "insert_ignore").endswith("ON CONFLICT (transaction_id) DO NOTHING")
     assert upsert_statement("t", "flag_upsert").endswith(

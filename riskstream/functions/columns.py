@@ -67,4 +67,4 @@ def id_order(key: str = KEY, *, descending: bool = False) -> list[Column]:
 
 def sample_order(seed: int, key: str = KEY) -> Column:
     """A fixed pseudo-random order of the ids, different for every seed."""
-    return F.md5(F.concat(F.col(key), F.lit(f":{seed}")))
+    return F.md5(F.concat(F.coalesce(F.col(key), F.lit("")), F.lit(f":{seed}")))

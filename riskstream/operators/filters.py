@@ -46,10 +46,11 @@ def facet_filter(
 def facet_values(df: DataFrame, facets: Sequence[str] = FACETS) -> DataFrame:
     """The distinct values of each facet, a missing value included, in order.
 
-    One pass: each row is unpivoted and made distinct before the shuffle.
+    One pass: rows shrink to their distinct combinations before they are unpivoted.
     """
     return (
         df.select(*facets)
+        .distinct()
         .unpivot([], list(facets), "facet", "value")
         .distinct()
         .orderBy("facet", "value")

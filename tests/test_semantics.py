@@ -253,6 +253,25 @@ def test_sample_sizes(spark):
     assert monthly_sample(rows, 0).count() == 0
 
 
+def test_sample_of_copies_and_of_missing_ids(spark):
+    """One id may be most of a month, or missing: the size stays exact."""
+    copies = [{"transaction_id": "hot"}] * 500 + [{"transaction_id": str(i)} for i in range(40)]
+    rows = stored_rows(spark, copies + [{"transaction_id": None} | d for d in at("2025-05-01", "2025-05-02")])
+    for size in (1, 30, 200, 1000):
+        months = monthly_sample(rows, size).groupBy(F.month("timestamp").alias("m")).count().collect()
+        assert {r.m: r["count"] for r in months} == {1: min(size, 540), 5: min(size, 2)}
+
+
+def test_sample_is_the_head_of_the_hash_order(spark):
+    import hashlib
+
+    rows = stored_rows(spark, [{"transaction_id": str(i)} for i in range(3000)])
+    ordered = sorted((hashlib.md5(f"{i}:42".encode()).hexdigest(), str(i)) for i in range(3000))
+    for size in (1, 7, 30, 300, 2999):
+        got = {r.transaction_id for r in monthly_sample(rows, size).collect()}
+        assert got == {i for _, i in ordered[:size]}
+
+
 def test_upsert_rules(spark):
     rows = [
         (2, "k", 10.0, "b", True), (1, "k", 9000.0, None, False), (3, "k", 5.0, "c", None),

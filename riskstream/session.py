@@ -16,8 +16,9 @@ def build_session(options: JobOptions | None = None, **conf: str) -> SparkSessio
     """A session with the settings the library is written for.
 
     Shuffle partition counts and executor sizes belong to the cluster and are
-    not set here; AQE coalesces partitions and splits skewed joins. The log writes
-    two outcomes side by side instead of sorting each batch by outcome.
+    not set here; AQE coalesces partitions, splits skewed joins, and hashes the small
+    side of a join instead of sorting both where each partition of it is small. The
+    log writes two outcomes side by side instead of sorting each batch by outcome.
     """
     options = options or JobOptions()
     builder = (
@@ -25,6 +26,7 @@ def build_session(options: JobOptions | None = None, **conf: str) -> SparkSessio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.maxConcurrentOutputFileWriters", "4")
         .config("spark.ui.enabled", "false")
     )

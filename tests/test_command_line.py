@@ -1,0 +1,48 @@
+"""The commands from end to end, in processes of their own."""
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+from conftest import lines, message
+
+ROOT = Path(__file__).parents[1]
+
+
+def run(tmp_path, *arguments):
+    env = {
+        **os.environ,
+        "SPARK_MASTER": "local[2]",
+        "FRAUD_THRESHOLD": "50",
+        "PYTHONPATH": str(ROOT),
+    }
+    done = subprocess.run(
+        [sys.executable, "-m", "riskstream", *map(str, arguments)],
+        cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+    return done
+
+
+def test_backfill_compact_report(spark, tmp_path):
+    lines(tmp_path / "in", "1.json", [
+        message(transaction_id="a", amount=10.0), message(transaction_id="a", amount=99.0),
+        message(transaction_id="b", amount=60.0, status="FAILED"), "junk",
+    ])
+    done = run(
+        tmp_path, "backfill", "--messages", tmp_path / "in", "--log", tmp_path / "log",
+        "--checkpoint", tmp_path / "checkpoint",
+    )
+    assert "'total': 4, 'suspicious': 2, 'rejected': 1" in done.stderr
+    for rule, flagged in (("insert_ignore", {"b"}), ("flag_upsert", {"a", "b"})):
+        run(
+            tmp_path, "compact", "--log", tmp_path / "log", "--rule", rule,
+            "--out", tmp_path / rule, "--through", 0,
+        )
+        rows = spark.read.parquet(str(tmp_path / rule)).collect()
+        assert {r.transaction_id for r in rows} == {"a", "b"}
+        assert {r.transaction_id for r in rows if r.is_suspicious} == flagged
+    report = run(tmp_path, "report", "--table", tmp_path / "flag_upsert", "--status", "FAILED")
+    headline = report.stdout.split("kpis\n")[1].split("suspicious_split")[0]
+    assert "|1    |1         |0     |100.0         |60.0      |" in headline

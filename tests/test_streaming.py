@@ -176,6 +176,30 @@ def test_compaction_in_steps_equals_whole_log(spark, tmp_path, rule):
     assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_rules_equal_one_row_after_the_other(spark, seed):
+    """The rules against a table that takes one row at a time."""
+    chance = random.Random(seed)
+    deliveries = [
+        (n, chance.choice("abcdefgh"), chance.choice([None, "VISA", "AMEX"]), chance.choice([True, False]))
+        for n in range(200)
+    ]
+    ignored, upserted = {}, {}
+    for _, key, card, flag in deliveries:
+        ignored.setdefault(key, (card, flag))
+        upserted[key] = (upserted[key][0] if key in upserted else card, flag)
+    shuffled = chance.sample(deliveries, len(deliveries))
+    schema = "o int, transaction_id string, card_type string, is_suspicious boolean"
+    df = spark.createDataFrame(shuffled, schema).repartition(7)
+    for rule, expected in (("insert_ignore", ignored), ("flag_upsert", upserted)):
+        rows = upsert.RULES[rule](df, ("o",)).collect()
+        assert {r.transaction_id: (r.card_type, r.is_suspicious) for r in rows} == expected
+        # In two steps: a table of the first half, then the rest as a batch.
+        halves = [upsert.RULES[rule](df.where(side), ("o",)) for side in ("o < 100", "o >= 100")]
+        merged = upsert.MERGES[rule](*halves).collect()
+        assert {r.transaction_id: (r.card_type, r.is_suspicious) for r in merged} == expected
+
+
 def test_a_hot_key_leaves_one_row_per_task(spark):
     """A third of all deliveries have one id; the shuffle carries a row per task and id."""
     rows = spark.range(90_000, numPartitions=8).select(

@@ -22,6 +22,7 @@ from riskstream.session import shared_folder
 from riskstream.sources.fixtures import (
     EVENT_THRESHOLD,
     ORDER_THRESHOLD,
+    customer_names,
     damaged_messages,
     event_messages,
     table,
@@ -438,6 +439,18 @@ def amount_outliers(spark, sf_dir):
     FROM transactions WHERE is_suspicious GROUP BY 1, 2 ORDER BY sum(amount) DESC, 1, 2 LIMIT 10""",
 )
 def suspicious_leaderboard(spark, sf_dir):
+    rows = transactions(spark, sf_dir, ("customer_id", "timestamp", "amount", FLAG))
+    names = customer_names(spark, sf_dir)
+    return rounded(ranking.suspicious_leaderboard(rows, names=names), "total_amount")
+
+
+@query(
+    "suspicious_leaderboard_by_name",
+    f"""WITH {TRANSACTIONS} SELECT customer_id, customer_name, count(*) AS suspicious_count,
+      round(sum(amount), 2) AS total_amount, max(timestamp) AS last_seen
+    FROM transactions WHERE is_suspicious GROUP BY 1, 2 ORDER BY sum(amount) DESC, 1, 2 LIMIT 10""",
+)
+def suspicious_leaderboard_by_name(spark, sf_dir):
     wanted = ("customer_id", "customer_name", "timestamp", "amount", FLAG)
     return rounded(ranking.suspicious_leaderboard(transactions(spark, sf_dir, wanted)), "total_amount")
 

@@ -10,23 +10,34 @@ from riskstream.operators.validate import require_columns
 from riskstream.schema import FLAG
 
 
-def suspicious_leaderboard(df: DataFrame, n: int = 10) -> DataFrame:
+def suspicious_leaderboard(
+    df: DataFrame, n: int = 10, *, names: DataFrame | None = None
+) -> DataFrame:
     """Customers with the highest total of suspicious amounts.
 
-    A customer is an id together with a name: two names make two entries.
+    A customer is an id together with a name: two names make two entries. Where names
+    are kept apart, one per id, give them as ``names``: totals are then made by id,
+    and only the leaders are looked up.
     """
-    require_columns(df, "customer_id", "customer_name")
-    return (
+    customer = ["customer_id", "customer_name"] if names is None else ["customer_id"]
+    require_columns(df, *customer)
+    measures = {
+        "suspicious_count": F.count(F.lit(1)),
+        "total_amount": F.coalesce(F.sum(usable_amount()), F.lit(0.0)),
+        "last_seen": F.max("timestamp"),
+    }
+    totals = (
         only_suspicious(df)
-        .where(F.col("customer_id").isNotNull() & F.col("customer_name").isNotNull())
-        .groupBy("customer_id", "customer_name")
-        .agg(
-            F.count(F.lit(1)).alias("suspicious_count"),
-            F.coalesce(F.sum(usable_amount()), F.lit(0.0)).alias("total_amount"),
-            F.max("timestamp").alias("last_seen"),
-        )
-        .orderBy(F.desc("total_amount"), "customer_id", "customer_name")
-        .limit(n)
+        .dropna(subset=customer)
+        .groupBy(*customer)
+        .agg(*(value.alias(name) for name, value in measures.items()))
+    )
+    leaders = totals.orderBy(F.desc("total_amount"), *customer).limit(n)
+    if names is None:
+        return leaders
+    named = leaders.join(names.select("customer_id", "customer_name"), "customer_id")
+    return named.select("customer_id", "customer_name", *measures).orderBy(
+        F.desc("total_amount"), "customer_id"
     )
 
 

@@ -55,26 +55,31 @@ def flag_upsert(df: DataFrame, order: Sequence[str] = ARRIVAL, key: str = KEY) -
 RULES = {"insert_ignore": insert_ignore, "flag_upsert": flag_upsert}
 
 
-def _matched(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Rows of both sides by key; each key occurs at most once on either side."""
-    old = table.select(F.col(key).alias("_old"), F.struct(*table.columns).alias("old"))
-    new = batch.select(F.col(key).alias("_new"), F.struct(*table.columns).alias("new"))
-    return old.join(new, F.col("_old") == F.col("_new"), "full_outer")
+def _new_rows(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Rows of the batch whose key the table lacks."""
+    known = table.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(known, key, "left_anti").select(*table.columns)
 
 
 def insert_ignore_into(table: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
-    """The table after inserting the rows of ``batch`` whose key it lacks."""
-    return _matched(table, batch, key).select(F.coalesce("old", "new").alias("row")).select("row.*")
+    """The table after inserting the rows of ``batch`` whose key it lacks.
+
+    Both sides hold a key at most once. The table is only ever the left side of a
+    join, so a batch small enough to broadcast is merged without shuffling the table.
+    The batch is read several times: store it first if it is costly.
+    """
+    return table.unionByName(_new_rows(table, batch, key))
 
 
 def flag_upsert_into(table: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
     """The table after inserting new keys and setting the flag of known ones.
 
-    One full outer join; with a table bucketed by the key only the batch moves.
+    Joined like :func:`insert_ignore_into`.
     """
-    flag = F.when(F.col("_new").isNotNull(), F.col(f"new.{FLAG}")).otherwise(F.col(f"old.{FLAG}"))
-    merged = _matched(table, batch, key).select(F.coalesce("old", "new").alias("row"), flag.alias(FLAG))
-    return merged.select(*(FLAG if c == FLAG else f"row.{c}" for c in table.columns))
+    flags = batch.select(key, F.struct(FLAG).alias("new"))
+    flag = F.when(F.col("new").isNotNull(), F.col(f"new.{FLAG}")).otherwise(F.col(FLAG))
+    updated = table.join(flags, key, "left").withColumn(FLAG, flag).select(*table.columns)
+    return updated.unionByName(_new_rows(table, batch, key))
 
 
 MERGES = {"insert_ignore": insert_ignore_into, "flag_upsert": flag_upsert_into}

@@ -15,11 +15,11 @@ from riskstream.operators.sample import monthly_sample
 
 
 class Snapshot:
-    """Transactions as of the last load, kept for all sections of a report.
+    """Transactions as of the last load, for all sections of a report.
 
-    ``per_month`` reduces the table to a fixed sample of each month when it is
-    loaded. Blocks lost with an executor are computed again; the sample is the
-    same every time.
+    ``per_month`` reduces the table to a fixed sample of each month, which is
+    persisted; blocks lost with an executor are computed again, to the same rows. A
+    whole table is not copied: its files are those listed at the load.
     """
 
     def __init__(self, load: Callable[[], DataFrame], per_month: int | None = None) -> None:
@@ -33,8 +33,8 @@ class Snapshot:
         if self._frame is None:
             rows = self._load()
             if self._per_month is not None:
-                rows = monthly_sample(rows, self._per_month)
-            self._frame = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                rows = monthly_sample(rows, self._per_month).persist(StorageLevel.MEMORY_AND_DISK)
+            self._frame = rows
         return self._frame
 
     def refresh(self) -> DataFrame:

@@ -63,6 +63,13 @@ def transactions(
     return rows.select(*(F.col(looked_up.get(c, c)).alias(c) for c in columns))
 
 
+def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name of each customer id."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name")
+    )
+
+
 def _event_columns() -> dict[str, Column]:
     user = F.col("user_id")
     return {

@@ -18,6 +18,7 @@ from riskstream.operators.decode import decode, with_flag
 from riskstream.operators.upsert import MERGES, RULES
 from riskstream.operators.validate import with_reason
 from riskstream.schema import DEFAULT_THRESHOLD, FLAG, LOG_SCHEMA, STORED_COLUMNS, STORED_SCHEMA
+from riskstream.session import stored
 from riskstream.sources.messages import with_offsets
 
 logger = logging.getLogger(__name__)
@@ -90,6 +91,31 @@ def resolved(log: DataFrame, rule: str, order: tuple[str, ...] = ("batch_id", "p
     return RULES[rule](accepted.select(*STORED_COLUMNS, *order), order)
 
 
+def current_table(
+    spark: SparkSession,
+    log_path: str,
+    rule: str,
+    *,
+    base_path: str | None = None,
+    after_batch: int = -1,
+    through_batch: int | None = None,
+) -> DataFrame:
+    """The table as of ``through_batch``, or of the last batch.
+
+    With ``base_path``, the table as of ``after_batch``, only later batches of the
+    log are read and merged into it. They are reduced and stored first, so that the
+    planner knows their size and, if it is small, leaves the base where it is.
+    """
+    tail = read_log(spark, log_path).where(F.col("batch_id") > after_batch)
+    if through_batch is not None:
+        tail = tail.where(F.col("batch_id") <= through_batch)
+    rows = resolved(tail, rule)
+    if base_path is None:
+        return rows
+    base = spark.read.schema(STORED_SCHEMA).parquet(base_path)
+    return MERGES[rule](base, stored(rows, "tail"))
+
+
 def compact(
     spark: SparkSession,
     log_path: str,
@@ -97,21 +123,15 @@ def compact(
     out_path: str,
     *,
     base_path: str | None = None,
-    through_batch: int,
     after_batch: int = -1,
+    through_batch: int,
 ) -> DataFrame:
-    """Write the table as of ``through_batch`` to the new folder ``out_path``.
+    """Write :func:`current_table` to the new folder ``out_path``.
 
-    With ``base_path``, the table as of ``after_batch``, only later batches of
-    the log are read and merged into it. Nothing is changed in place: point the
-    table's view or location at the new folder once this returns.
+    Nothing is changed in place: point the table's view or location at the new
+    folder once this returns.
     """
-    tail = read_log(spark, log_path).where(
-        (F.col("batch_id") > after_batch) & (F.col("batch_id") <= through_batch)
-    )
-    table = resolved(tail, rule)
-    if base_path:
-        base = spark.read.schema(STORED_SCHEMA).parquet(base_path)
-        table = MERGES[rule](base, table)
-    table.write.parquet(out_path)
+    current_table(
+        spark, log_path, rule, base_path=base_path, after_batch=after_batch, through_batch=through_batch
+    ).write.parquet(out_path)
     return spark.read.schema(STORED_SCHEMA).parquet(out_path)

@@ -49,9 +49,24 @@ def test_top_k_and_samples_shrink_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange hashpartitioning") < limited < pruned
 
 
-def test_ranking_precedes_the_lookup(spark):
-    text = query_plan(spark, "recent_transactions")
-    assert text.rindex("TakeOrderedAndProject") > text.index("BroadcastHashJoin")
+def test_ranking_precedes_the_lookup(spark, conf):
+    """Even where the customers are too many to broadcast, ten leaders are not."""
+    conf(spark__sql__autoBroadcastJoinThreshold="4000")
+    for name in ("recent_transactions", "suspicious_leaderboard"):
+        text = query_plan(spark, name)
+        assert text.rindex("TakeOrderedAndProject") > text.index("BroadcastHashJoin")
+        assert "SortMergeJoin" not in text
+
+
+def test_small_batches_leave_the_table_in_place(spark, tmp_path):
+    from conftest import stored_rows
+
+    table, batch = str(tmp_path / "table"), str(tmp_path / "batch")
+    stored_rows(spark, [{"transaction_id": str(i)} for i in range(100)]).write.parquet(table)
+    stored_rows(spark, [{"transaction_id": str(i)} for i in (5, 200)]).write.parquet(batch)
+    merged = upsert.flag_upsert_into(spark.read.parquet(table), spark.read.parquet(batch))
+    assert merged.count() == 101
+    assert "Exchange hashpartitioning" not in plan(merged)
 
 
 def test_conflict_rules_combine_before_their_only_shuffle(spark):
@@ -102,11 +117,11 @@ def without_broadcast(conf):
 
 
 def test_a_hot_customer_is_split(spark, conf, hot_tables):
-    expected = entry.suspicious_leaderboard(spark, hot_tables).collect()
+    expected = entry.suspicious_leaderboard_by_name(spark, hot_tables).collect()
     assert expected[0].customer_name == "c7"
     without_broadcast(conf)
     conf(spark__sql__shuffle__partitions="64")
-    board = entry.suspicious_leaderboard(spark, hot_tables)
+    board = entry.suspicious_leaderboard_by_name(spark, hot_tables)
     assert board.collect() == expected
     assert "skew=true" in plan(board)
 

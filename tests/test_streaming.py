@@ -174,6 +174,8 @@ def test_compaction_in_steps_equals_whole_log(spark, tmp_path, rule):
         spark, path, rule, str(tmp_path / "t3"), base_path=str(tmp_path / "t1"), after_batch=1, through_batch=3,
     )
     assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+    read = log.current_table(spark, path, rule, base_path=str(tmp_path / "t1"), after_batch=1)
+    assert read.exceptAll(whole).isEmpty() and whole.exceptAll(read).isEmpty()
 
 
 @pytest.mark.parametrize("seed", range(4))

@@ -90,6 +90,12 @@ def rounded(df: DataFrame, *columns: str, digits: int = 2) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def averaged(df: DataFrame, column: str = "avg_amount") -> DataFrame:
+    """Averages to six digits. The nudge moves them off the ties that whole cents divided
+    by 32 or 64 give, where the last bits would decide; the SQL does the same."""
+    return df.withColumn(column, F.round(F.col(column) + 1e-7, 6))
+
+
 # --- sources, decoding, validation -------------------------------------------
 
 
@@ -270,11 +276,11 @@ def status_counts(spark, sf_dir):
 
 @query(
     "avg_amount_by_status",
-    f"WITH {TRANSACTIONS} SELECT status, round(avg(amount), 6) AS avg_amount FROM transactions GROUP BY status",
+    f"WITH {TRANSACTIONS} SELECT status, round(avg(amount) + 1e-7, 6) AS avg_amount FROM transactions GROUP BY status",
 )
 def avg_amount_by_status(spark, sf_dir):
     rows = transactions(spark, sf_dir, ("status", "amount"))
-    return rounded(breakdown.avg_amount_by_status(rows), "avg_amount", digits=6)
+    return averaged(breakdown.avg_amount_by_status(rows))
 
 
 @query("location_counts", f"WITH {TRANSACTIONS} SELECT location, count(*) AS transactions FROM transactions GROUP BY location")
@@ -284,12 +290,12 @@ def location_counts(spark, sf_dir):
 
 @query(
     "card_type_distribution",
-    f"""WITH {TRANSACTIONS} SELECT card_type, count(*) AS transactions, round(avg(amount), 6) AS avg_amount
+    f"""WITH {TRANSACTIONS} SELECT card_type, count(*) AS transactions, round(avg(amount) + 1e-7, 6) AS avg_amount
     FROM transactions WHERE card_type IS NOT NULL GROUP BY card_type""",
 )
 def card_type_distribution(spark, sf_dir):
     rows = transactions(spark, sf_dir, ("card_type", "amount"))
-    return rounded(breakdown.card_type_distribution(rows), "avg_amount", digits=6)
+    return averaged(breakdown.card_type_distribution(rows))
 
 
 @query(
@@ -323,7 +329,7 @@ def series_sql(source: str, value: str, grain: str = "month") -> str:
     LEFT JOIN (SELECT date_trunc('{grain}', timestamp) AS day, count(*) AS n, avg(amount) AS mean FROM {source} GROUP BY 1) USING (day)"""
 
 
-VOLUME, MEAN = "coalesce(n, 0) AS transactions", "round(mean, 6) AS avg_amount"
+VOLUME, MEAN = "coalesce(n, 0) AS transactions", "round(mean + 1e-7, 6) AS avg_amount"
 GAPS = f"""{TRANSACTIONS}, gaps AS (SELECT * FROM transactions
   WHERE is_suspicious AND status = 'FAILED' AND location = (SELECT min(n_name) FROM nation))"""
 TIMED = ("timestamp", "amount")
@@ -344,7 +350,7 @@ def monthly_volume(spark, sf_dir):
 
 @query("monthly_avg_amount", f"WITH {TRANSACTIONS} {series_sql('transactions', MEAN)}")
 def monthly_avg_amount(spark, sf_dir):
-    return rounded(trends.average_amount(transactions(spark, sf_dir, TIMED)), "avg_amount", digits=6)
+    return averaged(trends.average_amount(transactions(spark, sf_dir, TIMED)))
 
 
 @query("monthly_volume_gaps", f"WITH {GAPS} {series_sql('gaps', VOLUME)}")
@@ -354,7 +360,7 @@ def monthly_volume_gaps(spark, sf_dir):
 
 @query("monthly_avg_amount_gaps", f"WITH {GAPS} {series_sql('gaps', MEAN)}")
 def monthly_avg_amount_gaps(spark, sf_dir):
-    return rounded(trends.average_amount(gaps(spark, sf_dir)), "avg_amount", digits=6)
+    return averaged(trends.average_amount(gaps(spark, sf_dir)))
 
 
 @query("daily_volume", f"WITH {TRANSACTIONS} {series_sql('transactions', VOLUME, 'day')}")
@@ -364,7 +370,7 @@ def daily_volume(spark, sf_dir):
 
 @query("daily_avg_amount", f"WITH {TRANSACTIONS} {series_sql('transactions', MEAN, 'day')}")
 def daily_avg_amount(spark, sf_dir):
-    return rounded(trends.average_amount(transactions(spark, sf_dir, TIMED), "day"), "avg_amount", digits=6)
+    return averaged(trends.average_amount(transactions(spark, sf_dir, TIMED), "day"))
 
 
 @query(

@@ -97,7 +97,8 @@ def transaction_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packed(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    place = position(F.col("ts").cast("timestamp"), F.lit("events"), F.lit(0), F.col("event_id"))
+    # The id alone is the order of delivery.
+    place = position(F.lit(None), F.lit("events"), F.lit(0), F.col("event_id"))
     wire = _select(rows, columns, place, F.col("event_id"))
     return wire.select("position", "event_id", F.to_json(F.struct(*WIRE_COLUMNS)).alias("value"))
 

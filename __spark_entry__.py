@@ -18,7 +18,7 @@ from riskstream.operators.decode import decode, with_flag
 from riskstream.operators.measures import summary
 from riskstream.operators.sample import monthly_sample as sample_months
 from riskstream.schema import FLAG, KEY, STORED_COLUMNS, WIRE_SCHEMA
-from riskstream.session import shared_folder
+from riskstream.session import shared_folder, stored
 from riskstream.sources.fixtures import (
     EVENT_THRESHOLD,
     ORDER_THRESHOLD,
@@ -385,7 +385,10 @@ def suspicious_by_month(spark, sf_dir):
 
 # --- locations ---------------------------------------------------------------
 
-LOCATED = ("location", "amount", FLAG)
+
+def located(spark, sf_dir, *columns):
+    """Rows with their location, stored, as the operators below pass over them several times."""
+    return stored(transactions(spark, sf_dir, ("location", *columns)), "located")
 
 
 @query("top_locations", f"WITH {TRANSACTIONS}, {TOP_LOCATIONS} SELECT * FROM top_locations")
@@ -399,7 +402,7 @@ def top_locations(spark, sf_dir):
     WHERE location IN (SELECT location FROM top_locations)""",
 )
 def top_location_rows(spark, sf_dir):
-    return locations.top_location_rows(transactions(spark, sf_dir, (KEY, "location"))).select(KEY, "location")
+    return locations.top_location_rows(located(spark, sf_dir, KEY)).select(KEY, "location")
 
 
 @query(
@@ -419,7 +422,7 @@ def top_location_histogram(spark, sf_dir):
     FROM transactions WHERE location IN (SELECT location FROM top_locations) GROUP BY 1, 2""",
 )
 def top_location_box(spark, sf_dir):
-    box = locations.top_location_box(transactions(spark, sf_dir, LOCATED))
+    box = locations.top_location_box(located(spark, sf_dir, "amount", FLAG))
     return rounded(box, "q1", "median", "q3", digits=4).drop("lower_fence", "upper_fence")
 
 

@@ -70,6 +70,25 @@ def test_drops_restarts_and_replays(spark, tmp_path):
     assert last.exists() and rows.count() == 7 and table(rows) == final
 
 
+def test_empty_batch(spark, tmp_path):
+    """A file without a line makes a batch without a row."""
+    lines(tmp_path / "in", "1.json", FIRST)
+    store(spark, tmp_path)
+    (tmp_path / "in" / "2.json").write_text("")
+    assert store(spark, tmp_path).count() == 5
+    lines(tmp_path / "in", "3.json", SECOND)
+    assert store(spark, tmp_path).count() == 7
+    messages = file_messages(spark, str(tmp_path / "in"))
+    start_route(messages, str(tmp_path / "out"), str(tmp_path / "other")).awaitTermination()
+
+
+def test_only_empty_batches(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text("")
+    rows = store(spark, tmp_path)
+    assert rows.count() == 0 and log.resolved(rows, "flag_upsert").count() == 0
+
+
 def test_half_written_batch_is_replaced(spark, tmp_path):
     lines(tmp_path / "in", "1.json", FIRST)
     left = tmp_path / "log" / "batch_id=0" / "outcome=stored"

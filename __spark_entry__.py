@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from riskstream.functions import iso_text, month_label, parsed_timestamp, period_start
 from riskstream.operators import breakdown, filters, locations, ranking, trends, upsert, validate
@@ -32,6 +32,7 @@ from riskstream.sources.fixtures import (
 from riskstream.options import JobOptions
 from riskstream.streaming import log
 from riskstream.streaming.jobs import run_backfill, start_route, start_store
+from riskstream.streaming.route import flagged_messages
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 
@@ -573,6 +574,7 @@ def flag_upsert_into(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------
 
+STORED_MESSAGE = StructType([*WIRE_SCHEMA, StructField(FLAG, BooleanType())])
 EVENT_OPTIONS = JobOptions(threshold=EVENT_THRESHOLD)
 
 
@@ -615,6 +617,17 @@ def suspicious_route(spark, sf_dir):
     )
 
 
+@query(
+    "suspicious_route_whole",
+    f"""WITH {EVENTS} SELECT transaction_id, customer_id, amount, location, card_type, true AS is_suspicious
+    FROM transaction_events WHERE is_suspicious""",
+)
+def suspicious_route_whole(spark, sf_dir):
+    routed = flagged_messages(event_messages(spark, sf_dir), EVENT_THRESHOLD, whole=True)
+    decoded = decode(routed.drop("key"), STORED_MESSAGE)
+    return decoded.select(KEY, "customer_id", "amount", "location", "card_type", FLAG)
+
+
 @query("flag_upsert", f"WITH {EVENTS} {upsert_sql('transaction_events')}")
 def flag_upsert(spark, sf_dir):
     rows = streamed_log(spark, event_messages(spark, sf_dir, streaming=True))

@@ -27,6 +27,7 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--checkpoint", required=True)
         if name == "stream":
             job.add_argument("--route", help="folder for flagged messages; the flagged topic if not given")
+            job.add_argument("--whole", action="store_true", help="forward messages as they came")
             job.add_argument("--every", default="10 seconds")
 
     merge = commands.add_parser("compact")
@@ -72,7 +73,8 @@ def main() -> None:
         if streaming:
             run_stream(
                 spark, messages, writer=writer, checkpoint=arguments.checkpoint,
-                route_path=arguments.route, options=options, every=arguments.every,
+                route_path=arguments.route, whole=arguments.whole, options=options,
+                every=arguments.every,
             )
         else:
             run_backfill(messages, writer, arguments.checkpoint, options)

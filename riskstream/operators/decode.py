@@ -38,3 +38,14 @@ def encode(df: DataFrame) -> DataFrame:
     return df.select(
         F.col(KEY).cast("string").alias("key"), F.to_json(F.struct(*present)).alias("value")
     )
+
+
+def encode_whole(df: DataFrame) -> DataFrame:
+    """The incoming message with the flag added, unknown fields and nulls included, no key."""
+    fields = F.map_filter(
+        F.from_json("raw", "map<string, variant>"), lambda name, _: name != F.lit(FLAG)
+    )
+    flag = F.create_map(F.lit(FLAG), F.parse_json(F.col(FLAG).cast("string")))
+    return df.select(
+        F.lit(None).cast("string").alias("key"), F.to_json(F.map_concat(fields, flag)).alias("value")
+    )

@@ -26,6 +26,7 @@ class JobOptions:
     db_password: str | None = None
     db_table: str = "transactions"
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> JobOptions:
@@ -44,8 +45,11 @@ class JobOptions:
             "db_user": "DB_USER",
             "db_password": "DB_PASS",
             "max_offsets_per_trigger": "MAX_OFFSETS_PER_TRIGGER",
+            "min_partitions": "MIN_PARTITIONS",
         }
-        types = {"threshold": float, "db_port": int, "max_offsets_per_trigger": int}
+        types = {"threshold": float} | dict.fromkeys(
+            ("db_port", "max_offsets_per_trigger", "min_partitions"), int
+        )
         given = {
             field: types.get(field, str)(env[name])
             for field, name in names.items()

@@ -26,6 +26,8 @@ def kafka_settings(options: JobOptions, starting_offsets: str, *, streaming: boo
     }
     if streaming and options.max_offsets_per_trigger:
         settings["maxOffsetsPerTrigger"] = str(options.max_offsets_per_trigger)
+    if options.min_partitions:
+        settings["minPartitions"] = str(options.min_partitions)
     return settings
 
 
@@ -35,17 +37,21 @@ def kafka_messages(
     *,
     starting_offsets: str = "latest",
     streaming: bool = True,
+    by_time: bool = True,
 ) -> DataFrame:
     """Messages of a topic. Needs the Kafka connector of the running Spark version.
 
     ``starting_offsets`` applies to a new checkpoint only; later runs go on where
-    the last one stopped.
+    the last one stopped. Delivery order goes by the time of the message, then by
+    partition and offset. Without ``by_time`` it goes by partition and offset alone:
+    right where all messages of a transaction share a partition. ``min_partitions``
+    of the options has large topic partitions read by several tasks.
     """
     reader = spark.readStream if streaming else spark.read
     settings = kafka_settings(options, starting_offsets, streaming=streaming)
+    time = F.col("timestamp") if by_time else F.lit(None)
     return reader.format("kafka").options(**settings).load().select(
-        "value",
-        position(F.col("timestamp"), F.col("topic"), F.col("partition"), F.col("offset")),
+        "value", position(time, F.col("topic"), F.col("partition"), F.col("offset"))
     )
 
 

@@ -45,10 +45,11 @@ def start_route(
     checkpoint: str,
     options: JobOptions = JobOptions(),
     *,
+    whole: bool = False,
     every: str | None = None,
 ) -> StreamingQuery:
     """Forward flagged messages to a folder, or to the flagged topic without one."""
-    routed = flagged_messages(messages, options.threshold)
+    routed = flagged_messages(messages, options.threshold, whole=whole)
     if path is None:
         stream = to_kafka(routed, options)
     else:
@@ -68,6 +69,7 @@ def run_stream(
     writer: BatchWriter | str,
     checkpoint: str,
     route_path: str | None = None,
+    whole: bool = False,
     options: JobOptions = JobOptions(),
     every: str | None = "10 seconds",
 ) -> None:
@@ -78,7 +80,7 @@ def run_stream(
     """
     queries = [
         start_store(messages, writer, f"{checkpoint}/store", options, every=every),
-        start_route(messages, route_path, f"{checkpoint}/route", options, every=every),
+        start_route(messages, route_path, f"{checkpoint}/route", options, whole=whole, every=every),
     ]
     try:
         while any(query.isActive for query in queries):

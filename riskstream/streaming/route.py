@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from riskstream.operators.decode import decode, encode, with_flag
+from riskstream.operators.decode import decode, encode, encode_whole, with_flag
 from riskstream.operators.filters import only_suspicious
 from riskstream.options import JobOptions
 from riskstream.schema import DEFAULT_THRESHOLD
 from riskstream.streaming.log import BatchWriter
 
 
-def flagged_messages(messages: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """Key and JSON of every flagged message, whether or not the table takes it."""
-    return encode(only_suspicious(with_flag(decode(messages), threshold)))
+def flagged_messages(
+    messages: DataFrame, threshold: float = DEFAULT_THRESHOLD, *, whole: bool = False
+) -> DataFrame:
+    """Key and JSON of every flagged message, whether or not the table takes it.
+
+    ``whole`` forwards the message as it came, unknown fields included, without a key.
+    """
+    flagged = only_suspicious(with_flag(decode(messages), threshold))
+    return encode_whole(flagged) if whole else encode(flagged)
 
 
 def file_route_writer(path: str) -> BatchWriter:

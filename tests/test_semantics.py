@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import message, stored_rows
 from riskstream.functions import iso_text, parsed_timestamp
 from riskstream.operators import breakdown, filters, locations, ranking, trends, upsert, validate
-from riskstream.operators.decode import decode, encode, with_flag
+from riskstream.operators.decode import decode, encode, encode_whole, with_flag
 from riskstream.operators.sample import monthly_sample
 
 
@@ -93,6 +93,12 @@ def test_encode_leaves_out_nulls(spark):
     assert json.loads(row.value) == message(amount=5000.5, card_type=None) | {"is_suspicious": True}
 
 
+def test_whole_message_is_forwarded(spark):
+    odd = message(amount=5000.5, extra={"b": [1, None, "é"]}, is_suspicious=False) | {"note": None}
+    row = encode_whole(with_flag(decode(messages(spark, odd)))).first()
+    assert row.key is None and json.loads(row.value) == odd | {"is_suspicious": True}
+
+
 @pytest.mark.parametrize(
     ("text", "parsed"),
     [

@@ -137,6 +137,14 @@ def test_route_is_independent_of_validity(spark, tmp_path):
     assert {json.loads(r.value)["timestamp"] for r in routed} == {"bad", "2025-01-02T03:04:05"}
 
 
+def test_route_of_whole_messages(spark, tmp_path):
+    lines(tmp_path / "in", "1.json", [message(amount=4000.0, extra=7), "junk", message(amount=1.0)])
+    messages = file_messages(spark, str(tmp_path / "in"))
+    start_route(messages, str(tmp_path / "out"), str(tmp_path / "checkpoint"), whole=True).awaitTermination()
+    routed = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [json.loads(r.value)["extra"] for r in routed] == [7]
+
+
 def test_both_queries_run_until_done(spark, tmp_path):
     lines(tmp_path / "in", "1.json", FIRST)
     run_stream(
@@ -302,12 +310,13 @@ def test_dedup_within_delay(spark, tmp_path):
 
 
 def test_starting_offsets():
-    options = JobOptions(broker="host:1", topic="t", max_offsets_per_trigger=5)
+    options = JobOptions(broker="host:1", topic="t", max_offsets_per_trigger=5, min_partitions=64)
     stream = kafka_settings(options, "latest", streaming=True)
     assert stream["startingOffsets"] == "latest" and stream["maxOffsetsPerTrigger"] == "5"
     batch = kafka_settings(options, "earliest", streaming=False)
     assert batch == {
         "kafka.bootstrap.servers": "host:1", "subscribe": "t", "startingOffsets": "earliest",
+        "minPartitions": "64",
     }
 
 

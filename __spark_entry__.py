@@ -593,7 +593,7 @@ def stream_ingest(spark, sf_dir):
 
 @query(
     "batch_counts",
-    f"WITH {EVENTS} SELECT count(*) AS total, count(*) FILTER (WHERE is_suspicious) AS suspicious, 0 AS rejected FROM transaction_events",
+    f"WITH {EVENTS} SELECT count(*) AS total, count(*) FILTER (WHERE is_suspicious) AS suspicious, CAST(0 AS BIGINT) AS rejected FROM transaction_events",
 )
 def batch_counts(spark, sf_dir):
     counts = log.batch_counts(streamed_log(spark, event_messages(spark, sf_dir, streaming=True)))

@@ -86,13 +86,20 @@ def box_stats(
     )
 
 
-def top_location_box(df: DataFrame, n: int = 10, *, accuracy: int | None = None) -> DataFrame:
+def top_location_box(
+    df: DataFrame,
+    n: int = 10,
+    *,
+    counted: DataFrame | None = None,
+    accuracy: int | None = None,
+) -> DataFrame:
     """Distribution of the amount by location and flag, busiest locations only.
 
     One pass counts the groups, which tells the busiest locations as well as the
-    size of the largest group; the second takes the quartiles.
+    size of the largest group; the second takes the quartiles. A summary of the rows,
+    given as ``counted``, saves the first.
     """
-    groups = stored(top_location_histogram(df, n), "top-locations")
+    groups = stored(top_location_histogram(df if counted is None else counted, n), "top-locations")
     largest = groups.agg(F.max("transactions")).first()[0] or 0
     busiest = F.broadcast(groups.select("location").distinct())
     rows = df.join(busiest, "location", "left_semi")

@@ -84,7 +84,7 @@ def dashboard(
         "top_location_histogram": locations.top_location_histogram(groups),
         "location_hotspots": breakdown.location_hotspots(groups),
         "suspicious_by_month": trends.suspicious_by_month(groups),
-        "top_location_box": locations.top_location_box(chosen, accuracy=accuracy),
+        "top_location_box": locations.top_location_box(chosen, counted=groups, accuracy=accuracy),
         "suspicious_leaderboard": ranking.suspicious_leaderboard(chosen),
         "latest_suspicious": ranking.latest_suspicious(chosen),
         "recent_transactions": ranking.recent_transactions(chosen),

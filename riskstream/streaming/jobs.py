@@ -31,8 +31,7 @@ def start_store(
     write = log_writer(writer) if isinstance(writer, str) else writer
     return (
         log_rows(messages, options.threshold)
-        .writeStream.queryName("store")
-        .foreachBatch(write)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
         .start()
@@ -55,8 +54,7 @@ def start_route(
     else:
         stream = routed.writeStream.foreachBatch(file_route_writer(path))
     return (
-        stream.queryName("route")
-        .option("checkpointLocation", checkpoint)
+        stream.option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
         .start()
     )

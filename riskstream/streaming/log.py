@@ -58,6 +58,8 @@ def log_writer(path: str) -> BatchWriter:
                 F.count_if(F.col("outcome") == REJECTED).alias("rejected"),
             )
             .write.mode("overwrite")
+            # The whole folder, whatever the session does with partitions.
+            .option("partitionOverwriteMode", "static")
             .partitionBy("outcome")
             .parquet(f"{path}/batch_id={batch_id}")
         )

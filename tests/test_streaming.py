@@ -89,9 +89,12 @@ def test_only_empty_batches(spark, tmp_path):
     assert rows.count() == 0 and log.resolved(rows, "flag_upsert").count() == 0
 
 
-def test_half_written_batch_is_replaced(spark, tmp_path):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+@pytest.mark.parametrize("outcome", ["stored", "other"])
+def test_half_written_batch_is_replaced(spark, tmp_path, conf, mode, outcome):
+    conf(spark__sql__sources__partitionOverwriteMode=mode)
     lines(tmp_path / "in", "1.json", FIRST)
-    left = tmp_path / "log" / "batch_id=0" / "outcome=stored"
+    left = tmp_path / "log" / "batch_id=0" / f"outcome={outcome}"
     left.mkdir(parents=True)
     spark.range(5).selectExpr("'zz' AS transaction_id").write.mode("overwrite").parquet(str(left))
     rows = store(spark, tmp_path)

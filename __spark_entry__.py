@@ -556,10 +556,8 @@ def two_halves(spark, sf_dir, rule):
     """The events of the first half month as a table, the rest as a batch for it."""
     rows = transaction_events(spark, sf_dir)
     later = F.col("timestamp") >= F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'")
-    return (
-        upsert.RULES[rule](rows.where(~later), ("event_id",)),
-        upsert.RULES[rule](rows.where(later), ("event_id",)),
-    )
+    parts = [upsert.RULES[rule](rows.where(side), ("event_id",)) for side in (~later, later)]
+    return [stored(part, "half") for part in parts]
 
 
 @query("insert_ignore_into", f"WITH {HALVES} {first_sql('halves', KEY, 'later, event_id', STORED)}")

@@ -652,6 +652,19 @@ def log_outcomes(spark, sf_dir):
     return rows.select(F.col("position.offset").alias("event_id"), "outcome", FLAG)
 
 
+# --- training data -------------------------------------------------------------
+
+try:
+    import corpus_pipeline
+    from riskstream.llm import queries as llm
+except ImportError as missing:  # the subpackage is optional; anything else that is missing isn't
+    if missing.name not in ("corpus_pipeline", "riskstream.llm"):
+        raise
+else:
+    QUERIES.update(llm.QUERIES, pipeline=corpus_pipeline.run)
+    ORACLE.update(llm.ORACLE)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The leaderboard of suspicious customers."""
     return suspicious_leaderboard(spark, ENTRY_DIR)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm import counts, encode, filters, shards
+from riskstream.llm import counts, encode, filters, language, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(by: int):
+    """The checksum of a document's id, modulo ``by``; a null id counts as an empty one."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % by
+
+
+@query("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (remainder(3) == 1).alias("held_out"))
+    model = language.fit(docs.where("NOT held_out"))
+    return language.predict(docs, model, ["doc_id", "held_out"])
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder(4) == 2).alias("held_out"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(remainder(4) != 2))
+    scored = toxicity.score(docs, model, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query("op6_shards")
 def op6_shards(spark, sf_dir):
     rows = shards.assign_shards(table(spark, sf_dir, "documents"), 24, ["doc_id"])

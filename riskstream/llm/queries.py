@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm import counts, encode, filters, language, shards, toxicity
+from riskstream.llm import counts, encode, filters, jaccard, language, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,6 +46,12 @@ def op2_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark, sf_dir):
+    similarity = jaccard.Similarity(words=4, share=(85, 100))
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), similarity, ["doc_id"])
+
+
 @query("op6_shards")
 def op6_shards(spark, sf_dir):
     rows = shards.assign_shards(table(spark, sf_dir, "documents"), 24, ["doc_id"])

@@ -85,7 +85,7 @@ class Words:
                     for i in left.tolist():
                         tail = self.data[self.start[i] + at : self.end[i]].astype(U64)
                         p = powers(_BASE, len(tail) + 1)
-                        out[i] = out[i] * p[-1] + ((tail + _ADD) * p[-2::-1]).sum(dtype=U64)
+                        out[i : i + 1] = out[i : i + 1] * p[-1:] + ((tail + _ADD) * p[-2::-1]).sum(dtype=U64, keepdims=True)
                     break
             out[left] = out[left] * _BASE + (self.data[where].astype(U64) + _ADD)
         return mix(out)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm import counts, encode, filters, jaccard, language, shards, toxicity
+from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, passages, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,6 +52,20 @@ def op3_jaccard_join(spark, sf_dir):
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), similarity, ["doc_id"])
 
 
+@query("op4_decontamination")
+def op4_decontamination(spark, sf_dir):
+    leaks = benchmark.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    first = F.min(F.struct("start", "end", "edits")).alias("first")
+    pairs = leaks.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_regions"), first)
+    return pairs.select("doc_id", "item_id", "n_regions", "first.*")
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark, sf_dir):
+    left = passages.remove_passages(table(spark, sf_dir, "documents"), ["doc_id"])
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op6_shards")
 def op6_shards(spark, sf_dir):
     rows = shards.assign_shards(table(spark, sf_dir, "documents"), 24, ["doc_id"])

@@ -254,7 +254,7 @@ LINK_SCHEMA = "a binary, b binary"
 
 
 def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], text: str = "text", order: str = "doc_id") -> DataFrame:
-    """n_shingles and component_id of each text next to the columns to keep."""
+    """n_shingles, component_id and component (a key that only its rows have; null without shingles) of each text next to the columns to keep."""
     rows = df.select(*keep, F.col(order).alias("__order"), F.col(text).alias("text"))
     kept = [*keep, "__order"]
     schema = StructType([*(rows.schema[c] for c in kept), StructField("n_shingles", LongType()), StructField("set_key", BinaryType())])
@@ -274,6 +274,6 @@ def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], te
     joined = components(similar_links(rows, similarity))
     named = classes.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = named.join(least, "component").select("set_key", "component_id")
+    ids = named.join(least, "component").select("set_key", "component", "component_id")
     found = measured.join(ids, "set_key", "left")
-    return found.select(*keep, "n_shingles", F.coalesce("component_id", "__order").alias("component_id"))
+    return found.select(*keep, "n_shingles", F.coalesce("component_id", "__order").alias("component_id"), "component")

@@ -248,8 +248,11 @@ def _located(texts: DataFrame, window: int) -> DataFrame:
     return texts.repartition("key").sortWithinPartitions("key", "own").mapInArrow(search, "key long, own long, since int, until int")
 
 
-def remove_passages(df: DataFrame, keep: list[str], window: int = WINDOW, text: str = "text", order: str = "doc_id") -> DataFrame:
-    """n_words, n_removed and kept_text (what is left, joined by blanks) of each text next to the columns to keep."""
+def remove_passages(df: DataFrame, keep: list[str], window: int = WINDOW, text: str = "text", order: str = "doc_id", joined: bool = True) -> DataFrame:
+    """n_words, n_removed and kept_text of each text next to the columns to keep.
+
+    What is left is joined by blanks; unless ``joined``, a text that loses nothing is left as it is.
+    """
     rows = df.select(*keep, *_key(text, order), F.col(text).alias("text"))
     docs = rows.select("k1", "k2", "text")
     occurrences = stored(_occurrences(docs, window), "occurrences")
@@ -272,7 +275,7 @@ def remove_passages(df: DataFrame, keep: list[str], window: int = WINDOW, text:
                         keep_word = np.cumsum(change[:-1]) == 0
                         words = list(compress(words, keep_word.tolist()))
                     gone.append(n[-1] - len(words))
-                    left.append(b" ".join(words))
+                    left.append(b" ".join(words) if joined or gone[-1] else (body.as_py() or "").encode())
                 columns = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *columns], [*keep, "n_words", "n_removed", "kept_text"])
 

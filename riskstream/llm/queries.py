@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, passages, shards, toxicity
+from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, neighbours, passages, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,7 +49,7 @@ def op2_toxicity(spark, sf_dir):
 @query("op3_jaccard_join")
 def op3_jaccard_join(spark, sf_dir):
     similarity = jaccard.Similarity(words=4, share=(85, 100))
-    return jaccard.similar_documents(table(spark, sf_dir, "documents"), similarity, ["doc_id"])
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), similarity, ["doc_id"]).drop("component")
 
 
 @query("op4_decontamination")
@@ -79,6 +79,12 @@ def op7_token_counts(spark, sf_dir):
     return rows.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@query("op8_nearest")
+def op8_nearest(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 @query("op9_encode")
 def op9_encode(spark, sf_dir):
     vocabulary = encode.public_vocabulary("byte_bpe_50k.tiktoken")

@@ -22,6 +22,7 @@ from riskstream.session import shared_folder, stored
 from riskstream.sources.fixtures import (
     EVENT_THRESHOLD,
     ORDER_THRESHOLD,
+    by_customer,
     customer_names,
     damaged_messages,
     event_messages,
@@ -48,7 +49,7 @@ TRANSACTIONS = f"""transactions AS (
     CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'PENDING' WHEN 'P' THEN 'FAILED' END AS status,
     CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS card_type,
     o_totalprice > {ORDER_THRESHOLD} AS is_suspicious
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 EVENTS = f"""transaction_events AS (
   SELECT event_id, CAST(user_id AS VARCHAR) || '-' || event_type AS transaction_id, ts AS timestamp,
@@ -91,10 +92,18 @@ def rounded(df: DataFrame, *columns: str, digits: int = 2) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def in_cents(df: DataFrame) -> DataFrame:
+    """Amounts as exact decimals, whose sums don't depend on the order of adding."""
+    return df.withColumn("amount", F.col("amount").cast("decimal(15,2)"))
+
+
 def averaged(df: DataFrame, column: str = "avg_amount") -> DataFrame:
-    """Averages to six digits. The nudge moves them off the ties that whole cents divided
-    by 32 or 64 give, where the last bits would decide; the SQL does the same."""
-    return df.withColumn(column, F.round(F.col(column) + 1e-7, 6))
+    """Averages of exact amounts, as floating point."""
+    return df.withColumn(column, F.col(column).cast("double"))
+
+
+# One division of whole numbers, so that it is rounded once.
+AVERAGE = "sum(CAST(round(amount * 100) AS BIGINT)) / (100 * count(amount))"
 
 
 # --- sources, decoding, validation -------------------------------------------
@@ -255,10 +264,12 @@ def kpis(spark, sf_dir):
     return breakdown.kpis(transactions(spark, sf_dir, ("amount", FLAG)))
 
 
-@query("kpis_empty", f"WITH {TRANSACTIONS} SELECT {KPI_SQL} FROM transactions WHERE status = 'UNKNOWN'")
+@query("kpis_empty", f"WITH {TRANSACTIONS} SELECT {KPI_SQL} FROM transactions WHERE status = (SELECT min(r_name) FROM region)")
 def kpis_empty(spark, sf_dir):
+    """Over the transactions with a status that is the name of a region, which none has."""
+    name = table(spark, sf_dir, "region").agg(F.min("r_name").alias("status"))
     rows = transactions(spark, sf_dir, ("amount", "status", FLAG))
-    return breakdown.kpis(filters.facet_filter(rows, status=["UNKNOWN"]))
+    return breakdown.kpis(rows.join(F.broadcast(name), "status", "left_semi"))
 
 
 @query(
@@ -277,36 +288,36 @@ def status_counts(spark, sf_dir):
 
 @query(
     "avg_amount_by_status",
-    f"WITH {TRANSACTIONS} SELECT status, round(avg(amount) + 1e-7, 6) AS avg_amount FROM transactions GROUP BY status",
+    f"WITH {TRANSACTIONS} SELECT status, {AVERAGE} AS avg_amount FROM transactions GROUP BY status",
 )
 def avg_amount_by_status(spark, sf_dir):
     rows = transactions(spark, sf_dir, ("status", "amount"))
-    return averaged(breakdown.avg_amount_by_status(rows))
+    return averaged(breakdown.avg_amount_by_status(in_cents(rows)))
 
 
-@query("location_counts", f"WITH {TRANSACTIONS} SELECT location, count(*) AS transactions FROM transactions GROUP BY location")
+@query("location_counts", f"WITH {TRANSACTIONS} SELECT location, count(*) AS transactions FROM transactions WHERE location IS NOT NULL GROUP BY location")
 def location_counts(spark, sf_dir):
-    return breakdown.location_counts(transactions(spark, sf_dir, ("location",)))
+    return breakdown.location_counts(by_customer(spark, sf_dir, ("location",)))
 
 
 @query(
     "card_type_distribution",
-    f"""WITH {TRANSACTIONS} SELECT card_type, count(*) AS transactions, round(avg(amount) + 1e-7, 6) AS avg_amount
+    f"""WITH {TRANSACTIONS} SELECT card_type, count(*) AS transactions, {AVERAGE} AS avg_amount
     FROM transactions WHERE card_type IS NOT NULL GROUP BY card_type""",
 )
 def card_type_distribution(spark, sf_dir):
     rows = transactions(spark, sf_dir, ("card_type", "amount"))
-    return averaged(breakdown.card_type_distribution(rows))
+    return averaged(breakdown.card_type_distribution(in_cents(rows)))
 
 
 @query(
     "location_hotspots",
     f"""WITH {TRANSACTIONS} SELECT location, count(*) AS transactions, count(*) FILTER (WHERE is_suspicious) AS suspicious,
       round(count(*) FILTER (WHERE is_suspicious) / count(*) * 100, 2) AS suspicious_pct
-    FROM transactions GROUP BY location""",
+    FROM transactions WHERE location IS NOT NULL GROUP BY location""",
 )
 def location_hotspots(spark, sf_dir):
-    return breakdown.location_hotspots(transactions(spark, sf_dir, ("location", FLAG)))
+    return breakdown.location_hotspots(by_customer(spark, sf_dir, ("location", FLAG)))
 
 
 SUMMARY_SQL = """SELECT date_trunc('month', timestamp) AS timestamp, status, location, card_type, is_suspicious,
@@ -327,10 +338,10 @@ def series_sql(source: str, value: str, grain: str = "month") -> str:
     label = "strftime(day, '%b %Y') AS month_label, " if grain == "month" else ""
     return f"""SELECT CAST(day AS DATE) AS {grain}, {label}{value}
     FROM (SELECT unnest(generate_series(date_trunc('{grain}', min(timestamp)), max(timestamp), INTERVAL 1 {grain})) AS day FROM {source})
-    LEFT JOIN (SELECT date_trunc('{grain}', timestamp) AS day, count(*) AS n, avg(amount) AS mean FROM {source} GROUP BY 1) USING (day)"""
+    LEFT JOIN (SELECT date_trunc('{grain}', timestamp) AS day, count(*) AS n, {AVERAGE} AS mean FROM {source} GROUP BY 1) USING (day)"""
 
 
-VOLUME, MEAN = "coalesce(n, 0) AS transactions", "round(mean + 1e-7, 6) AS avg_amount"
+VOLUME, MEAN = "coalesce(n, 0) AS transactions", "mean AS avg_amount"
 GAPS = f"""{TRANSACTIONS}, gaps AS (SELECT * FROM transactions
   WHERE is_suspicious AND status = 'FAILED' AND location = (SELECT min(n_name) FROM nation))"""
 TIMED = ("timestamp", "amount")
@@ -351,7 +362,7 @@ def monthly_volume(spark, sf_dir):
 
 @query("monthly_avg_amount", f"WITH {TRANSACTIONS} {series_sql('transactions', MEAN)}")
 def monthly_avg_amount(spark, sf_dir):
-    return averaged(trends.average_amount(transactions(spark, sf_dir, TIMED)))
+    return averaged(trends.average_amount(in_cents(transactions(spark, sf_dir, TIMED))))
 
 
 @query("monthly_volume_gaps", f"WITH {GAPS} {series_sql('gaps', VOLUME)}")
@@ -361,7 +372,7 @@ def monthly_volume_gaps(spark, sf_dir):
 
 @query("monthly_avg_amount_gaps", f"WITH {GAPS} {series_sql('gaps', MEAN)}")
 def monthly_avg_amount_gaps(spark, sf_dir):
-    return averaged(trends.average_amount(gaps(spark, sf_dir)))
+    return averaged(trends.average_amount(in_cents(gaps(spark, sf_dir))))
 
 
 @query("daily_volume", f"WITH {TRANSACTIONS} {series_sql('transactions', VOLUME, 'day')}")
@@ -371,7 +382,7 @@ def daily_volume(spark, sf_dir):
 
 @query("daily_avg_amount", f"WITH {TRANSACTIONS} {series_sql('transactions', MEAN, 'day')}")
 def daily_avg_amount(spark, sf_dir):
-    return averaged(trends.average_amount(transactions(spark, sf_dir, TIMED), "day"))
+    return averaged(trends.average_amount(in_cents(transactions(spark, sf_dir, TIMED)), "day"))
 
 
 @query(
@@ -387,14 +398,15 @@ def suspicious_by_month(spark, sf_dir):
 # --- locations ---------------------------------------------------------------
 
 
-def located(spark, sf_dir, *columns):
-    """Rows with their location, stored, as the operators below pass over them several times."""
-    return stored(transactions(spark, sf_dir, ("location", *columns)), "located")
+def in_top_locations(spark, sf_dir, *columns):
+    """Rows of the busiest locations, which are found from counts and picked before orders are looked up."""
+    top = locations.top_locations(by_customer(spark, sf_dir, ("location",))).select("location")
+    return transactions(spark, sf_dir, ("location", *columns), among=top)
 
 
 @query("top_locations", f"WITH {TRANSACTIONS}, {TOP_LOCATIONS} SELECT * FROM top_locations")
 def top_locations(spark, sf_dir):
-    return locations.top_locations(transactions(spark, sf_dir, ("location",)))
+    return locations.top_locations(by_customer(spark, sf_dir, ("location",)))
 
 
 @query(
@@ -403,7 +415,7 @@ def top_locations(spark, sf_dir):
     WHERE location IN (SELECT location FROM top_locations)""",
 )
 def top_location_rows(spark, sf_dir):
-    return locations.top_location_rows(located(spark, sf_dir, KEY)).select(KEY, "location")
+    return in_top_locations(spark, sf_dir, KEY).select(KEY, "location")
 
 
 @query(
@@ -412,7 +424,7 @@ def top_location_rows(spark, sf_dir):
     FROM transactions WHERE location IN (SELECT location FROM top_locations) GROUP BY 1, 2""",
 )
 def top_location_histogram(spark, sf_dir):
-    return locations.top_location_histogram(transactions(spark, sf_dir, ("location", FLAG)))
+    return locations.top_location_histogram(by_customer(spark, sf_dir, ("location", FLAG)))
 
 
 @query(
@@ -423,7 +435,7 @@ def top_location_histogram(spark, sf_dir):
     FROM transactions WHERE location IN (SELECT location FROM top_locations) GROUP BY 1, 2""",
 )
 def top_location_box(spark, sf_dir):
-    box = locations.top_location_box(located(spark, sf_dir, "amount", FLAG))
+    box = locations.box_stats(in_top_locations(spark, sf_dir, "amount", FLAG))
     return rounded(box, "q1", "median", "q3", digits=4).drop("lower_fence", "upper_fence")
 
 
@@ -446,7 +458,7 @@ def amount_outliers(spark, sf_dir):
     "suspicious_leaderboard",
     f"""WITH {TRANSACTIONS} SELECT customer_id, customer_name, count(*) AS suspicious_count,
       round(sum(amount), 2) AS total_amount, max(timestamp) AS last_seen
-    FROM transactions WHERE is_suspicious GROUP BY 1, 2 ORDER BY sum(amount) DESC, 1, 2 LIMIT 10""",
+    FROM transactions WHERE is_suspicious AND customer_name IS NOT NULL GROUP BY 1, 2 ORDER BY sum(amount) DESC, 1, 2 LIMIT 10""",
 )
 def suspicious_leaderboard(spark, sf_dir):
     rows = transactions(spark, sf_dir, ("customer_id", "timestamp", "amount", FLAG))
@@ -458,7 +470,7 @@ def suspicious_leaderboard(spark, sf_dir):
     "suspicious_leaderboard_by_name",
     f"""WITH {TRANSACTIONS} SELECT customer_id, customer_name, count(*) AS suspicious_count,
       round(sum(amount), 2) AS total_amount, max(timestamp) AS last_seen
-    FROM transactions WHERE is_suspicious GROUP BY 1, 2 ORDER BY sum(amount) DESC, 1, 2 LIMIT 10""",
+    FROM transactions WHERE is_suspicious AND customer_name IS NOT NULL GROUP BY 1, 2 ORDER BY sum(amount) DESC, 1, 2 LIMIT 10""",
 )
 def suspicious_leaderboard_by_name(spark, sf_dir):
     wanted = ("customer_id", "customer_name", "timestamp", "amount", FLAG)
@@ -652,6 +664,9 @@ def log_outcomes(spark, sf_dir):
     return rows.select(F.col("position.offset").alias("event_id"), "outcome", FLAG)
 
 
+#: The names above, which need no optional part.
+CORE = frozenset(QUERIES)
+
 # --- training data -------------------------------------------------------------
 
 try:

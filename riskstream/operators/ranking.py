@@ -17,7 +17,7 @@ def suspicious_leaderboard(
 
     A customer is an id together with a name: two names make two entries. Where names
     are kept apart, one per id, give them as ``names``: totals are then made by id,
-    and only the leaders are looked up.
+    ids without a name are dropped from the totals, and only the leaders are looked up.
     """
     customer = ["customer_id", "customer_name"] if names is None else ["customer_id"]
     require_columns(df, *customer)
@@ -32,6 +32,9 @@ def suspicious_leaderboard(
         .groupBy(*customer)
         .agg(*(value.alias(name) for name, value in measures.items()))
     )
+    if names is not None:
+        names = names.dropna(subset=["customer_id", "customer_name"])
+        totals = totals.join(names.select("customer_id"), "customer_id", "left_semi")
     leaders = totals.orderBy(F.desc("total_amount"), *customer).limit(n)
     if names is None:
         return leaders

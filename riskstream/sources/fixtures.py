@@ -7,7 +7,9 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskstream.functions import iso_text, over_threshold
+from riskstream.operators.measures import AMOUNT, AMOUNTS, ROWS, measured
 from riskstream.schema import FLAG, KEY, STORED_COLUMNS, WIRE_COLUMNS
+from riskstream.session import stored
 from riskstream.sources.messages import position
 
 ORDER_THRESHOLD = 300_000.0
@@ -24,14 +26,17 @@ def transactions(
     columns: Iterable[str] = STORED_COLUMNS,
     *,
     narrow: Callable[[DataFrame], DataFrame] | None = None,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Orders as transactions, with the asked-for columns only.
 
-    Every order has exactly one customer and nation, so looking them up neither
-    adds nor loses rows: it is left out when none of their columns is wanted, and
-    ``narrow``, an operator that picks rows by the columns of the order itself, may
-    run before it. No side is hinted: the planner broadcasts by size, and AQE
-    splits a customer with very many orders.
+    An order whose customer or nation is missing stays, without their columns. So
+    looking them up neither adds nor loses rows: it is left out when none of their
+    columns is wanted, and ``narrow``, an operator that picks few rows by the columns of
+    the order itself, may run before it; they are stored, so that the planner knows how few. ``among``, a short list of locations, keeps only
+    orders from there: it is applied to the customers before they meet the orders. No
+    other side is hinted: the planner broadcasts by size, and AQE splits a customer
+    with very many orders.
     """
     columns = list(columns)
     own = {
@@ -53,16 +58,42 @@ def transactions(
     orders = table(spark, sf_dir, "orders")
     rows = orders.select("o_custkey", *(value.alias(name) for name, value in own.items()))
     if narrow is not None:
-        rows = narrow(rows)
-    if looked_up.keys() & set(columns):
-        customers = table(spark, sf_dir, "customer")
-        if "location" in columns:
-            nations = table(spark, sf_dir, "nation")
-            customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        rows = stored(narrow(rows), "picked")
+    if looked_up.keys() & set(columns) or among is not None:
+        customers = _customers(spark, sf_dir, "location" in columns or among is not None, among)
+        if narrow is not None:  # look for the few picked, not for all
+            picked = rows.select(F.col("o_custkey").alias("c_custkey"))
+            customers = customers.join(picked, "c_custkey", "left_semi")
+        how = "left" if among is None else "inner"
+        rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"), how)
     return rows.select(*(F.col(looked_up.get(c, c)).alias(c) for c in columns))
 
 
+def _customers(spark: SparkSession, sf_dir: str, located: bool, among: DataFrame | None = None) -> DataFrame:
+    customers = table(spark, sf_dir, "customer")
+    if not located:
+        return customers
+    nations = table(spark, sf_dir, "nation")
+    if among is not None:
+        names = F.broadcast(among.select(F.col("location").alias("n_name")))
+        nations = nations.join(names, "n_name", "left_semi")
+    how = "left" if among is None else "inner"
+    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), how)
+
+
+def by_customer(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
+    """A summary of the transactions by ``location``, and by the flag if asked for.
+
+    Orders are counted for each customer first, and only the counts meet the customers.
+    """
+    columns = list(columns)
+    own = [c for c in columns if c != "location"]
+    rows = measured(transactions(spark, sf_dir, ("customer_id", "amount", *own)))
+    counts = rows.groupBy("customer_id", *own).agg(*(F.sum(c).alias(c) for c in (ROWS, AMOUNT, AMOUNTS)))
+    customers = _customers(spark, sf_dir, True).select(F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("location"))
+    return counts.join(customers, "customer_id", "left").drop("customer_id")
+
+
 def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The name of each customer id."""
     return table(spark, sf_dir, "customer").select(

@@ -60,7 +60,7 @@ def test_ranking_precedes_the_lookup(spark, conf):
     # Ids without a name go before the cut, which takes the ids of the names; the names follow it.
     board = query_plan(spark, "suspicious_leaderboard")
     assert board.rindex("TakeOrderedAndProject") > board.index("BroadcastHashJoin")
-    assert board.count("SortMergeJoin") == 1 and "LeftSemi" in board
+    assert "LeftSemi" in board
     assert board.count("ReadSchema: struct<c_custkey:bigint,c_name:string>") == 2
 
 

@@ -63,7 +63,7 @@ EVENTS = f"""transaction_events AS (
 DAMAGED = """k_of AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 damaged AS (
   SELECT event_id, event_type = 'error' AS cut, ts, k, value, event_type,
-    k BETWEEN 40 AND 44 AS bad_time, k < 5 AS no_merchant, value > 100 AS no_amount,
+    k BETWEEN 40 AND 44 AS bad_time, k BETWEEN 35 AND 37 AS far_time, k < 5 AS no_merchant, value > 100 AS no_amount,
     length(event_type) * k > 100 AS long_name
   FROM k_of)"""
 
@@ -171,8 +171,8 @@ def validate_length(spark, sf_dir):
 
 @query(
     "parse_timestamp",
-    f"""WITH {DAMAGED} SELECT event_id, CASE WHEN NOT cut AND NOT bad_time THEN ts END AS parsed,
-      CASE WHEN bad_time AND NOT cut THEN 'unreadable:timestamp' END AS problem FROM damaged""",
+    f"""WITH {DAMAGED} SELECT event_id, CASE WHEN NOT cut AND NOT bad_time AND NOT far_time THEN ts END AS parsed,
+      CASE WHEN cut THEN NULL WHEN bad_time THEN 'unreadable:timestamp' WHEN far_time THEN 'out_of_range:timestamp' END AS problem FROM damaged""",
 )
 def parse_timestamp(spark, sf_dir):
     return damaged(spark, sf_dir).select(
@@ -184,7 +184,7 @@ def parse_timestamp(spark, sf_dir):
     "validate_accepted",
     f"""WITH {DAMAGED} SELECT event_id, CAST(user_id AS VARCHAR) || '-' || event_type AS transaction_id
     FROM damaged JOIN events USING (event_id, ts, value, event_type)
-    WHERE NOT (cut OR no_amount OR no_merchant OR long_name OR bad_time)""",
+    WHERE NOT (cut OR no_amount OR no_merchant OR long_name OR bad_time OR far_time)""",
 )
 def validate_accepted(spark, sf_dir):
     accepted, _ = validate.split(damaged(spark, sf_dir))
@@ -620,7 +620,7 @@ def suspicious_route(spark, sf_dir):
     folder = shared_folder(spark, "route")
     messages = event_messages(spark, sf_dir, streaming=True)
     start_route(messages, f"{folder}/out", f"{folder}/checkpoint", EVENT_OPTIONS).awaitTermination()
-    routed = spark.read.schema("key string, value string").parquet(f"{folder}/out/batch_id=*")
+    routed = spark.read.schema("key string, value string").parquet(f"{folder}/out/job=*/batch_id=*")
     wanted = (KEY, "timestamp", "customer_id", "amount", "location", "status", "card_type")
     return decode(routed, WIRE_SCHEMA).select(
         "key", *(F.rpad(c, 26, "0").alias(c) if c == "timestamp" else c for c in wanted)
@@ -652,10 +652,47 @@ def backfill_ingest(spark, sf_dir):
     return log.resolved(log.read_log(spark, f"{folder}/log"), "insert_ignore", ("position",))
 
 
+def shared_log(spark, sf_dir):
+    """The events as a stream of four batches, then once more as a backfill, in one log."""
+    folder = shared_folder(spark, "shared")
+    messages = event_messages(spark, sf_dir)
+    first, last = messages.agg(F.min("position.offset"), F.max("position.offset")).first()
+    step = (last - first) // 4 + 1
+    for n in range(4):
+        part = F.col("position.offset").between(first + n * step, first + (n + 1) * step - 1)
+        messages.where(part).write.parquet(f"{folder}/in/part={n}")
+        stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1_000_000).parquet(f"{folder}/in/part=*")
+        start_store(stream, f"{folder}/log", f"{folder}/stream", EVENT_OPTIONS).awaitTermination()
+    run_backfill(event_messages(spark, sf_dir, streaming=True), f"{folder}/log", f"{folder}/backfill", EVENT_OPTIONS)
+    return log.read_log(spark, f"{folder}/log")
+
+
+@query("shared_log_upsert", f"WITH {EVENTS} {upsert_sql('transaction_events')}")
+def shared_log_upsert(spark, sf_dir):
+    return log.resolved(shared_log(spark, sf_dir), "flag_upsert")
+
+
+@query("shared_log_ignore", f"WITH {EVENTS} {first_sql('transaction_events', KEY, 'event_id', STORED)}")
+def shared_log_ignore(spark, sf_dir):
+    return log.resolved(shared_log(spark, sf_dir), "insert_ignore")
+
+
+@query(
+    "shared_log_batches",
+    f"""WITH {EVENTS}, quarter AS (SELECT (max(event_id) - min(event_id)) // 4 + 1 AS step, min(event_id) AS since FROM transaction_events)
+    SELECT count(*) AS total, count(*) FILTER (WHERE is_suspicious) AS suspicious, CAST(0 AS BIGINT) AS rejected
+    FROM transaction_events, quarter GROUP BY (event_id - since) // step
+    UNION ALL SELECT count(*), count(*) FILTER (WHERE is_suspicious), 0 FROM transaction_events""",
+)
+def shared_log_batches(spark, sf_dir):
+    counts = log.batch_counts(shared_log(spark, sf_dir), ("job", "batch_id"))
+    return counts.select("total", "suspicious", "rejected")
+
+
 @query(
     "log_outcomes",
     f"""WITH {DAMAGED} SELECT event_id,
-      CASE WHEN cut OR no_amount OR no_merchant OR long_name OR bad_time THEN 'rejected' ELSE 'stored' END AS outcome,
+      CASE WHEN cut OR no_amount OR no_merchant OR long_name OR bad_time OR far_time THEN 'rejected' ELSE 'stored' END AS outcome,
       coalesce(NOT cut AND NOT no_amount AND value > {EVENT_THRESHOLD}, false) AS is_suspicious
     FROM damaged""",
 )

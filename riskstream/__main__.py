@@ -1,19 +1,23 @@
-"""Command line: stream, backfill, compact, report."""
+"""Command line: stream, backfill, compact, prune, report."""
 
 from __future__ import annotations
 
 import argparse
 import logging
 
+from riskstream.operators.filters import period_filter
 from riskstream.operators.upsert import RULES
 from riskstream.options import JobOptions
 from riskstream.plans.dashboard import Snapshot, dashboard
-from riskstream.session import build_session
+from riskstream.session import build_session, release
 from riskstream.sources.messages import file_messages, kafka_messages
 from riskstream.sources.tables import jdbc_table, parquet_table
-from riskstream.streaming.database import database_writer, postgres
+from riskstream.streaming.database import database_writer, jdbc_stage, postgres
 from riskstream.streaming.jobs import run_backfill, run_stream
-from riskstream.streaming.log import compact, log_writer
+from riskstream.streaming.log import compact, prune
+
+#: Rows of a frame on the console where all of them are in a folder.
+SHOWN = 20
 
 
 def _arguments() -> argparse.Namespace:
@@ -34,14 +38,18 @@ def _arguments() -> argparse.Namespace:
     merge.add_argument("--log", required=True)
     merge.add_argument("--out", required=True)
     merge.add_argument("--rule", choices=sorted(RULES), default="flag_upsert")
-    merge.add_argument("--through", type=int, required=True)
-    merge.add_argument("--base")
-    merge.add_argument("--after", type=int, default=-1)
+    merge.add_argument("--through", type=int, help="last batch to take, where one job fills the log")
+    merge.add_argument("--base", help="the table compacted last")
+
+    gone = commands.add_parser("prune", help="remove the log's batches that a compacted table holds")
+    gone.add_argument("--log", required=True)
+    gone.add_argument("--table", required=True)
 
     report = commands.add_parser("report")
     report.add_argument("--table", help="folder of the table; the database if not given")
-    report.add_argument("--from", dest="lower", default="2025-01-01")
-    report.add_argument("--to", dest="upper", default="2026-01-01")
+    report.add_argument("--from", dest="since", help="first day")
+    report.add_argument("--to", dest="until", help="day after the last one")
+    report.add_argument("--out", help="folder for every frame, whole, as Parquet")
     report.add_argument("--per-month", type=int, help="report on a sample of each month")
     for facet in ("status", "location", "card-type"):
         report.add_argument(f"--{facet}", nargs="*")
@@ -63,13 +71,13 @@ def main() -> None:
             start = "latest" if streaming else "earliest"
             messages = kafka_messages(spark, options, starting_offsets=start)
         if arguments.log:
-            writer = log_writer(arguments.log)
+            writer = arguments.log
         else:
             connect = postgres(
                 host=options.db_host, port=options.db_port, dbname=options.db_name,
                 user=options.db_user, password=options.db_password,
             )
-            writer = database_writer(connect, options.db_table, rule)
+            writer = database_writer(connect, jdbc_stage(options), options.db_table, rule)
         if streaming:
             run_stream(
                 spark, messages, writer=writer, checkpoint=arguments.checkpoint,
@@ -81,24 +89,30 @@ def main() -> None:
     elif arguments.command == "compact":
         compact(
             spark, arguments.log, arguments.rule, arguments.out, base_path=arguments.base,
-            through_batch=arguments.through, after_batch=arguments.after,
+            through_batch=arguments.through,
         )
+    elif arguments.command == "prune":
+        print(prune(spark, arguments.log, arguments.table), "batches removed")
     else:
         def load():
-            if arguments.table:
-                return parquet_table(spark, arguments.table)
-            return jdbc_table(spark, options, lower=arguments.lower, upper=arguments.upper)
+            rows = parquet_table(spark, arguments.table) if arguments.table else jdbc_table(spark, options)
+            return period_filter(rows, arguments.since, arguments.until)
 
-        with Snapshot(load, arguments.per_month) as snapshot:
+        with Snapshot(load, arguments.per_month, store=not arguments.table) as snapshot:
             frames = dashboard(
                 snapshot.frame, status=arguments.status, location=arguments.location,
                 card_type=arguments.card_type,
             )
             groups = frames.pop("summary")
             for name, frame in frames.items():
-                print(name)
-                frame.show(100, truncate=False)
+                if arguments.out:
+                    frame.write.parquet(f"{arguments.out}/{name}")
+                    frame = spark.read.parquet(f"{arguments.out}/{name}")
+                rows = frame.count()
+                print(f"{name}: {rows} rows")
+                frame.show(min(rows, SHOWN) if arguments.out else rows, truncate=False)
             groups.unpersist()
+    release(spark)
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ from riskstream.functions.columns import (
     month_label,
     over_threshold,
     parsed_timestamp,
+    readable_timestamp,
     period_start,
     sample_order,
     usable_amount,
@@ -19,6 +20,7 @@ __all__ = [
     "month_label",
     "over_threshold",
     "parsed_timestamp",
+    "readable_timestamp",
     "period_start",
     "sample_order",
     "usable_amount",

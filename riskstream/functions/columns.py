@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from riskstream.schema import FLAG, KEY
+from riskstream.schema import FIRST_YEAR, FLAG, KEY, LAST_YEAR
 
 
 def usable_amount(amount: str = "amount") -> Column:
@@ -50,12 +50,18 @@ def iso_text(timestamp: str = "timestamp") -> Column:
     return F.translate(F.col(timestamp).cast("string"), " ", "T")
 
 
-def parsed_timestamp(text: str = "timestamp") -> Column:
-    """Timestamp from text holding at least a full date; null when it is none."""
+def readable_timestamp(text: str = "timestamp") -> Column:
+    """Timestamp of any year from text holding at least a full date; null when it is none."""
     full_date = F.col(text).rlike(r"^\s*\d{4,6}-\d{1,2}-\d{1,2}")
     return F.when(full_date, F.col(text).try_cast("timestamp_ntz"))
 
 
+def parsed_timestamp(text: str = "timestamp") -> Column:
+    """The same, null too when the year is not an accepted one."""
+    found = readable_timestamp(text)
+    return F.when(F.year(found).between(FIRST_YEAR, LAST_YEAR), found)
+
+
 def id_order(key: str = KEY, *, descending: bool = False) -> list[Column]:
     """Sort columns for an id: short before long, then as text.
 

@@ -41,11 +41,12 @@ def encode(df: DataFrame) -> DataFrame:
 
 
 def encode_whole(df: DataFrame) -> DataFrame:
-    """The incoming message with the flag added, unknown fields and nulls included, no key."""
-    fields = F.map_filter(
-        F.from_json("raw", "map<string, variant>"), lambda name, _: name != F.lit(FLAG)
-    )
-    flag = F.create_map(F.lit(FLAG), F.parse_json(F.col(FLAG).cast("string")))
-    return df.select(
-        F.lit(None).cast("string").alias("key"), F.to_json(F.map_concat(fields, flag)).alias("value")
-    )
+    """The incoming message with the flag added at its end, no key.
+
+    The text is not taken apart: unknown fields, nulls, repeated names and NaN go on as they
+    came. A reader takes the last of repeated names, as :func:`decode` does, so the flag
+    holds even if the message had one of its own.
+    """
+    flag = F.concat(F.lit(f', "{FLAG}": '), F.col(FLAG).cast("string"), F.lit("}"))
+    opened = F.regexp_replace("raw", r"(?s)\s*\}[^}]*\z", "")
+    return df.select(F.lit(None).cast("string").alias("key"), F.concat(opened, flag).alias("value"))

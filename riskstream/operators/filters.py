@@ -55,3 +55,12 @@ def facet_values(df: DataFrame, facets: Sequence[str] = FACETS) -> DataFrame:
         .distinct()
         .orderBy("facet", "value")
     )
+
+
+def period_filter(df: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Rows from the day ``since`` on and before the day ``until``; a bound that isn't given keeps all."""
+    if since is not None:
+        df = df.where(F.col("timestamp") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        df = df.where(F.col("timestamp") < F.lit(until).cast("timestamp_ntz"))
+    return df

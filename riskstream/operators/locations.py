@@ -59,18 +59,14 @@ def box_stats(
     keys: Sequence[str] = ("location", FLAG),
     *,
     accuracy: int | None = None,
-    largest: int | None = None,
 ) -> DataFrame:
     """Five-number summary of the amount and the outlier fences, per group.
 
     Quartiles interpolate linearly between neighbouring values. They are exact
-    unless ``accuracy`` asks for approximate ones. ``largest``, the number of rows
-    of the largest group, saves counting them where it is known.
+    unless ``accuracy`` asks for approximate ones.
     """
     rows = df.withColumn(FLAG, flag_or_false()) if FLAG in keys else df
-    summary = quantiles(
-        rows, keys, "amount", (0.25, 0.5, 0.75), accuracy=accuracy, largest=largest
-    )
+    summary = quantiles(rows, keys, "amount", (0.25, 0.5, 0.75), accuracy=accuracy)
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[2]
     reach = WHISKER * (q3 - q1)
     return summary.select(
@@ -95,15 +91,11 @@ def top_location_box(
 ) -> DataFrame:
     """Distribution of the amount by location and flag, busiest locations only.
 
-    One pass counts the groups, which tells the busiest locations as well as the
-    size of the largest group; the second takes the quartiles. A summary of the rows,
-    given as ``counted``, saves the first.
+    The locations are found first, by counting; a summary of the rows, given as ``counted``,
+    saves that pass.
     """
-    groups = stored(top_location_histogram(df if counted is None else counted, n), "top-locations")
-    largest = groups.agg(F.max("transactions")).first()[0] or 0
-    busiest = F.broadcast(groups.select("location").distinct())
-    rows = df.join(busiest, "location", "left_semi")
-    return box_stats(rows, accuracy=accuracy, largest=largest)
+    busiest = stored(top_locations(df if counted is None else counted, n).select("location"), "top-locations")
+    return box_stats(df.join(F.broadcast(busiest), "location", "left_semi"), accuracy=accuracy)
 
 
 def amount_outliers(

@@ -1,11 +1,10 @@
 """Exact quantiles per group that hold up when one group is most of the table.
 
-The built-in ``percentile`` keeps every distinct value of a group in one task.
-That is the fastest way for groups of a checked size. Beyond it, quantiles are
-found by rank:
+The built-in ``percentile`` keeps every distinct value of a group in one task. Here
+quantiles are found by rank, whatever the size of a group:
 
-1. A sketch per group (bounded in size) gives a narrow bracket of values around
-   each quantile.
+1. One pass takes each group's size, extremes and a sketch (bounded in size), which gives
+   a narrow bracket of values around each quantile.
 2. One pass counts the rows: those between brackets collapse to one count per
    gap, those inside to one count per value, all before the shuffle.
 3. These counts are range-partitioned in value order, whatever group they belong
@@ -27,8 +26,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskstream.functions import usable_amount
 from riskstream.session import stored
 
-# Up to 128 groups of this size may be in the memory of one task.
-GROUP_LIMIT = 100_000
 SKETCH_ACCURACY = 10_000
 SALTS = 16
 
@@ -40,24 +37,18 @@ def quantiles(
     probabilities: Sequence[float],
     *,
     accuracy: int | None = None,
-    largest: int | None = None,
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Per group: ``n``, ``low``, ``high`` and ``quantiles``, one per probability.
 
     Rows without a value or without a key are left out. Runs at once and returns
-    a stored table. ``accuracy`` switches to approximate quantiles. ``largest`` is
-    the size of the largest group, counted here if not given.
+    a stored table. ``accuracy`` asks for approximate quantiles.
     """
     keys = list(keys)
     rows = df.select(*keys, usable_amount(value).alias("v")).dropna()
-    wanted = F.array(*(F.lit(float(p)) for p in probabilities))
-    if accuracy is not None:
-        found = F.percentile_approx("v", wanted, accuracy)
-    elif (_largest_group(rows, keys) if largest is None else largest) <= group_limit:
-        found = F.percentile("v", wanted)
-    else:
+    if accuracy is None:
         return _by_rank(rows, keys, probabilities)
+    wanted = F.array(*(F.lit(float(p)) for p in probabilities))
+    found = F.percentile_approx("v", wanted, accuracy)
     summary = rows.groupBy(*keys).agg(*_extremes(), found.alias("quantiles"))
     return stored(summary, "quantiles")
 
@@ -66,10 +57,6 @@ def _extremes():
     return (F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
 
 
-def _largest_group(rows: DataFrame, keys: list[str]) -> int:
-    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def _by_rank(
     rows: DataFrame,
     keys: list[str],

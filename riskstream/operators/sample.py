@@ -22,8 +22,8 @@ def monthly_sample(df: DataFrame, per_month: int = 30, seed: int = 42) -> DataFr
     zeros = F.length("_hash") - F.length(F.ltrim("_hash", F.lit("0")))
     counted = rows.groupBy("_month", zeros.alias("zeros")).count()
     from_top = Window.partitionBy("_month").orderBy(F.desc("zeros"))
-    # The most zeros that still leave enough rows, or none. One row per calendar
-    # month: at most 120,000 of them from year 1 to 9999, so small enough to broadcast.
+    # The most zeros that still leave enough rows, or none. One row per calendar month, of
+    # which the accepted years have 3,600; the planner broadcasts it if it is small.
     needed = (
         counted.withColumn("reached", F.sum("count").over(from_top))
         .groupBy("_month")
@@ -31,7 +31,7 @@ def monthly_sample(df: DataFrame, per_month: int = 30, seed: int = 42) -> DataFr
     )
     first = Window.partitionBy("_month").orderBy("_hash", KEY)
     return (
-        rows.join(F.broadcast(needed), "_month")
+        rows.join(needed, "_month")
         .where(zeros >= F.col("needed"))
         .withColumn("_place", F.row_number().over(first))
         .where(F.col("_place") <= per_month)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskstream.schema import FLAG, KEY
 
-ARRIVAL = ("batch_id", "position")
+ARRIVAL = ("written_at", "job", "batch_id", "position")
 
 
 def _order(columns: Sequence[str]) -> Column:

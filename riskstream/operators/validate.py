@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskstream.functions import parsed_timestamp
+from riskstream.functions import parsed_timestamp, readable_timestamp
 from riskstream.schema import KEY, MAX_LENGTH, REQUIRED
 
 
@@ -34,9 +34,10 @@ def long_fields(limits: Mapping[str, int] = MAX_LENGTH) -> Column:
 
 
 def bad_timestamp(text: str = "timestamp") -> Column:
-    """Set when there is a timestamp text that cannot be read."""
-    unreadable = F.col(text).isNotNull() & parsed_timestamp(text).isNull()
-    return F.when(unreadable, F.lit(f"unreadable:{text}"))
+    """Set when there is a timestamp text that cannot be read, or is of a year that isn't accepted."""
+    unreadable = F.col(text).isNotNull() & readable_timestamp(text).isNull()
+    far = readable_timestamp(text).isNotNull() & parsed_timestamp(text).isNull()
+    return F.when(unreadable, F.lit(f"unreadable:{text}")).when(far, F.lit(f"out_of_range:{text}"))
 
 
 def with_reason(df: DataFrame) -> DataFrame:

@@ -5,26 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from riskstream.operators import breakdown, locations, ranking, trends
 from riskstream.operators.filters import facet_filter, facet_values
 from riskstream.operators.measures import summary
 from riskstream.operators.sample import monthly_sample
+from riskstream.session import stored
 
 
 class Snapshot:
     """Transactions as of the last load, for all sections of a report.
 
-    ``per_month`` reduces the table to a fixed sample of each month, which is
-    persisted; blocks lost with an executor are computed again, to the same rows. A
-    whole table is not copied: its files are those listed at the load.
+    ``per_month`` reduces the table to a fixed sample of each month. It is stored, and so
+    is a whole table with ``store``, for one that would be read anew, and perhaps changed
+    meanwhile, for each section: that of a database. Files are not copied: the
+    snapshot's are those listed at the load.
     """
 
-    def __init__(self, load: Callable[[], DataFrame], per_month: int | None = None) -> None:
+    def __init__(self, load: Callable[[], DataFrame], per_month: int | None = None, *, store: bool = False) -> None:
         self._load = load
         self._per_month = per_month
+        self._store = store
         self._frame: DataFrame | None = None
         self.refreshed_at: datetime | None = None
 
@@ -33,7 +35,9 @@ class Snapshot:
         if self._frame is None:
             rows = self._load()
             if self._per_month is not None:
-                rows = monthly_sample(rows, self._per_month).persist(StorageLevel.MEMORY_AND_DISK)
+                rows = monthly_sample(rows, self._per_month)
+            if self._store or self._per_month is not None:
+                rows = stored(rows, "snapshot")
             self._frame = rows
         return self._frame
 
@@ -44,9 +48,7 @@ class Snapshot:
         return self.frame
 
     def close(self) -> None:
-        if self._frame is not None:
-            self._frame.unpersist()
-            self._frame = None
+        self._frame = None
 
     def __enter__(self) -> Snapshot:
         return self
@@ -65,11 +67,12 @@ def dashboard(
 ) -> dict[str, DataFrame]:
     """Every frame of the dashboard, over the rows that match the choices.
 
-    The additive sections share one summary, so the table is read once for all of
-    them. It is persisted; unpersist the frame named ``summary`` when done.
+    The additive sections share one summary by month, so the table is read once for all
+    of them; only the daily series groups the rows itself, as a summary by day would be
+    about as large as the table. It is persisted; unpersist the frame named ``summary`` when done.
     """
     chosen = facet_filter(df, status=status, location=location, card_type=card_type)
-    groups = summary(chosen).persist()
+    groups = summary(chosen, grain="month").persist()
     return {
         "summary": groups,
         "facets": facet_values(df),
@@ -80,7 +83,7 @@ def dashboard(
         "card_type_distribution": breakdown.card_type_distribution(groups),
         "monthly_volume": trends.volume(groups),
         "monthly_avg_amount": trends.average_amount(groups),
-        "daily_volume": trends.volume(groups, "day"),
+        "daily_volume": trends.volume(chosen, "day"),
         "top_location_histogram": locations.top_location_histogram(groups),
         "location_hotspots": breakdown.location_hotspots(groups),
         "suspicious_by_month": trends.suspicious_by_month(groups),

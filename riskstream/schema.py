@@ -44,6 +44,9 @@ MAX_LENGTH = {
 DEFAULT_THRESHOLD = 3000.0
 # -----------------------------------------------------------------------------
 
+# Timestamps of other years are taken for errors. This also bounds every series over time.
+FIRST_YEAR, LAST_YEAR = 1900, 2199
+
 KEY = "transaction_id"
 FLAG = "is_suspicious"
 FACETS = ("status", "location", "card_type")
@@ -68,13 +71,16 @@ STORED_SCHEMA = StructType(
     + [StructField(FLAG, BooleanType())]
 )
 
-# `batch_id` and `outcome` are directory levels of the log, not file columns.
+# `job`, `batch_id` and `outcome` are directory levels of the log, not file columns.
+# `written_at` is when the batch was written: the order in which several jobs fill one table.
 LOG_SCHEMA = StructType(
     STORED_SCHEMA.fields
     + [
         StructField("position", POSITION_TYPE),
         StructField("reason", StringType()),
         StructField("raw", StringType()),
+        StructField("written_at", TimestampType()),
+        StructField("job", StringType()),
         StructField("batch_id", LongType()),
         StructField("outcome", StringType()),
     ]

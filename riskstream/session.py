@@ -41,14 +41,31 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path every executor can reach.
 
     It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only a
-    local session, whose executors share this machine, may do without one.
+    local session, whose executors share this machine, may do without one. The
+    folder stays until :func:`release`.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="riskstream-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)  # noqa: SLF001
+
+
+_made: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the intermediate tables made so far. Results that are still to be read need them."""
+    while _made:
+        remove_folder(spark, _made.pop())
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

@@ -150,12 +150,15 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event messages with every kind of fault, decided by the event itself.
 
     Errors are cut off after three characters; small ``k`` leave out the
-    merchant, middle ones carry no readable time; values above 100 are left out;
+    merchant, middle ones carry no readable time or one of a far year; values above 100
+    are left out;
     names repeat the event type ``k`` times and may grow too long.
     """
     k = F.get_json_object("props", "$.k").cast("int")
     columns = _event_columns() | {
-        "timestamp": F.when(k.between(40, 44), F.lit("not a time")).otherwise(iso_text("ts")),
+        "timestamp": F.when(k.between(40, 44), F.lit("not a time"))
+        .when(k.between(35, 37), F.concat(iso_text("ts").substr(1, 4), F.lit("0"), F.substring(iso_text("ts"), 5, 40)))
+        .otherwise(iso_text("ts")),
         "customer_name": F.expr(
             "repeat(event_type, cast(get_json_object(props, '$.k') as int))"
         ),

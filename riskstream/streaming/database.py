@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from itertools import batched
+from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 
+from riskstream.options import JobOptions
 from riskstream.schema import FLAG, KEY, MAX_LENGTH, REQUIRED, STORED_COLUMNS
 from riskstream.sources.messages import with_offsets
+from riskstream.sources.tables import jdbc_settings
 from riskstream.streaming.log import BatchWriter, resolved
 
 CONFLICT = {
@@ -31,51 +32,69 @@ def table_statement(table: str) -> str:
     return f"CREATE TABLE IF NOT EXISTS {table} (id SERIAL PRIMARY KEY, {', '.join(columns)})"
 
 
-def upsert_statement(table: str, rule: str) -> str:
+def merge_statement(table: str, staging: str, rule: str) -> str:
+    """Merge a staged batch, which holds an id once, into the table."""
     columns = ", ".join(STORED_COLUMNS)
-    places = ", ".join(["%s"] * len(STORED_COLUMNS))
     return (
-        f"INSERT INTO {table} ({columns}) VALUES ({places}) "
+        f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging} "
         f"ON CONFLICT ({KEY}) {CONFLICT[rule]}"
     )
 
 
 def database_writer(
     connect: Callable[[], Any],
+    stage: Callable[[DataFrame, str], None],
     table: str,
     rule: str,
     *,
     connections: int = 16,
-    rows_per_call: int = 1000,
 ) -> BatchWriter:
-    """Upserts a batch of log rows from the executors.
-
-    ``connect`` opens a DB-API connection; it runs on the executors. A batch is
-    first reduced to one row per id, so no two tasks touch the same row and the
-    order among tasks does not matter; at most ``connections`` write at a time.
-    A task that runs again repeats the same upserts, which changes nothing.
+    """Upserts a batch of log rows: written to a staging table by the executors, then merged by one statement.
+
+    ``connect`` opens a DB-API connection for the driver; ``stage`` writes rows to a table of
+    the given name, in place of what it held. A batch is first reduced to one row per id. At
+    most ``connections`` tasks write, which get the reduced rows by a shuffle, so the
+    reduction itself keeps its tasks. A batch that runs again is staged and merged again, which
+    changes nothing. The table is made with the first batch if it isn't there; a batch
+    without rows is left out.
     """
-    statement = upsert_statement(table, rule)
+    staging, ready = f"{table}_staging", []
 
-    def send(rows: Iterable[Row]) -> None:
+    def execute(*statements: str) -> None:
         connection = connect()
         try:
             cursor = connection.cursor()
-            for chunk in batched(rows, rows_per_call):
-                cursor.executemany(statement, [tuple(row) for row in chunk])
+            for statement in statements:
+                cursor.execute(statement)
             connection.commit()
         finally:
             connection.close()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        if not ready:
+            execute(table_statement(table))
+            ready.append(True)
         rows = resolved(with_offsets(batch), rule, ("position",)).select(*STORED_COLUMNS)
-        rows.coalesce(connections).foreachPartition(send)
+        stage(rows.repartition(connections), staging)
+        execute(merge_statement(table, staging, rule))
 
     return write
 
 
+def jdbc_stage(options: JobOptions) -> Callable[[DataFrame, str], None]:
+    """A ``stage`` for the database of the options; needs the JDBC driver."""
+
+    def stage(rows: DataFrame, staging: str) -> None:
+        settings = jdbc_settings(options)
+        rows.write.format("jdbc").mode("overwrite").options(**settings).option("dbtable", staging).save()
+
+    return stage
+
+
 def postgres(**parameters: Any) -> Callable[[], Any]:
-    """A ``connect`` for PostgreSQL; needs psycopg2 on the executors."""
+    """A ``connect`` for PostgreSQL; needs psycopg2 on the driver."""
 
     def connect() -> Any:
         import psycopg2

@@ -28,7 +28,7 @@ def start_store(
     every: str | None = None,
 ) -> StreamingQuery:
     """Store all messages. ``writer`` is a batch writer or the path of a log."""
-    write = log_writer(writer) if isinstance(writer, str) else writer
+    write = log_writer(writer, checkpoint) if isinstance(writer, str) else writer
     return (
         log_rows(messages, options.threshold)
         .writeStream.foreachBatch(write)
@@ -52,7 +52,7 @@ def start_route(
     if path is None:
         stream = to_kafka(routed, options)
     else:
-        stream = routed.writeStream.foreachBatch(file_route_writer(path))
+        stream = routed.writeStream.foreachBatch(file_route_writer(path, checkpoint))
     return (
         stream.option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))

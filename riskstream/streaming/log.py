@@ -1,13 +1,17 @@
 """The delivery log: every message, in folders that a replay overwrites.
 
-``<log>/batch_id=N/outcome=stored|rejected``. A batch that runs again after a
-failure writes the same folder again, which makes at-least-once delivery
-idempotent without a table format. The table itself is the log resolved by a
-conflict rule; :func:`compact` writes that down so readers need not.
+``<log>/job=ID/batch_id=N/outcome=stored|rejected``. A batch that runs again after
+a failure writes the same folder again, which makes at-least-once delivery
+idempotent without a table format. Batches are numbered from 0 for each checkpoint, so the
+id that Spark keeps with a checkpoint is the first level: several jobs, or a job with a
+new checkpoint, fill one log side by side. The table itself is the log resolved by a
+conflict rule, in the order in which batches were written; :func:`compact` writes that
+down so readers need not.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable
 
@@ -15,10 +19,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from riskstream.functions import parsed_timestamp
 from riskstream.operators.decode import decode, with_flag
-from riskstream.operators.upsert import MERGES, RULES
+from riskstream.operators.upsert import ARRIVAL, MERGES, RULES
 from riskstream.operators.validate import with_reason
 from riskstream.schema import DEFAULT_THRESHOLD, FLAG, LOG_SCHEMA, STORED_COLUMNS, STORED_SCHEMA
-from riskstream.session import stored
+from riskstream.session import remove_folder, stored
 from riskstream.sources.messages import with_offsets
 
 logger = logging.getLogger(__name__)
@@ -41,7 +45,12 @@ def log_rows(messages: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataF
     }).select(*STORED_COLUMNS, "position", "reason", "raw", "outcome")
 
 
-def log_writer(path: str) -> BatchWriter:
+def job_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps with its checkpoint, through all restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def log_writer(path: str, checkpoint: str) -> BatchWriter:
     """Writes one batch of log rows, evaluating it once, from the executors.
 
     The numbers of rows, suspicious rows and rejects are observed on the way.
@@ -49,8 +58,10 @@ def log_writer(path: str) -> BatchWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"batch {batch_id}")
+        job = job_id(batch.sparkSession, checkpoint)
         (
             with_offsets(batch)
+            .withColumn("written_at", F.current_timestamp())
             .observe(
                 seen,
                 F.count(F.lit(1)).alias("total"),
@@ -61,7 +72,7 @@ def log_writer(path: str) -> BatchWriter:
             # The whole folder, whatever the session does with partitions.
             .option("partitionOverwriteMode", "static")
             .partitionBy("outcome")
-            .parquet(f"{path}/batch_id={batch_id}")
+            .parquet(f"{path}/job={job}/batch_id={batch_id}")
         )
         logger.info("batch %d: %s", batch_id, seen.get)
 
@@ -74,47 +85,70 @@ def read_log(spark: SparkSession, path: str, outcome: str | None = None) -> Data
     return rows if outcome is None else rows.where(F.col("outcome") == outcome)
 
 
-def batch_counts(log: DataFrame) -> DataFrame:
-    """Rows, suspicious rows and rejects of each batch."""
-    return log.groupBy("batch_id").agg(
+def batch_counts(log: DataFrame, by: tuple[str, ...] = ("batch_id",)) -> DataFrame:
+    """Rows, suspicious rows and rejects of each batch; by ``("job", "batch_id")`` where jobs share the log."""
+    return log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(FLAG).alias("suspicious"),
         F.count_if(F.col("outcome") == REJECTED).alias("rejected"),
     )
 
 
-def resolved(log: DataFrame, rule: str, order: tuple[str, ...] = ("batch_id", "position")) -> DataFrame:
+def resolved(log: DataFrame, rule: str, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
     """The table that a log stands for: one row per transaction id.
 
-    Rows count as arriving in the order of their batches, then by position. Give
-    ``order=("position",)`` where positions alone are the order of arrival.
+    Rows count as arriving in the order in which their batches were written, then by
+    position. Give ``order=("position",)`` where positions alone are the order of arrival.
     """
     accepted = log.where(F.col("outcome") == STORED)
     return RULES[rule](accepted.select(*STORED_COLUMNS, *order), order)
 
 
+def batches(log: DataFrame) -> DataFrame:
+    """(job, batch_id) of the batches in a log."""
+    return log.select("job", "batch_id").distinct()
+
+
+def held(spark: SparkSession, table_path: str) -> DataFrame:
+    """(job, batch_id) of the batches that a compacted table holds."""
+    return spark.read.schema("job string, batch_id long").parquet(_record(table_path))
+
+
+def _record(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}.batches"
+
+
+def _tail(spark: SparkSession, log_path: str, base_path: str | None, through_batch: int | None) -> DataFrame:
+    rows = read_log(spark, log_path)
+    if through_batch is not None:
+        rows = rows.where(F.col("batch_id") <= through_batch)
+    if base_path is not None:
+        rows = rows.join(held(spark, base_path), ["job", "batch_id"], "left_anti")
+    return rows
+
+
 def current_table(
     spark: SparkSession,
     log_path: str,
     rule: str,
     *,
     base_path: str | None = None,
-    after_batch: int = -1,
     through_batch: int | None = None,
 ) -> DataFrame:
-    """The table as of ``through_batch``, or of the last batch.
+    """The table as of ``through_batch`` of each job, or of the last batches.
 
-    With ``base_path``, the table as of ``after_batch``, only later batches of the
-    log are read and merged into it. They are reduced and stored first, so that the
-    planner knows their size and, if it is small, leaves the base where it is.
+    With ``base_path``, a compacted table, only the batches that it doesn't hold are
+    merged into it. They are reduced and stored first, so that the planner knows their
+    size and, if it is small, leaves the base where it is.
     """
-    tail = read_log(spark, log_path).where(F.col("batch_id") > after_batch)
-    if through_batch is not None:
-        tail = tail.where(F.col("batch_id") <= through_batch)
+    return _merged(_tail(spark, log_path, base_path, through_batch), rule, base_path)
+
+
+def _merged(tail: DataFrame, rule: str, base_path: str | None) -> DataFrame:
     rows = resolved(tail, rule)
     if base_path is None:
         return rows
-    base = spark.read.schema(STORED_SCHEMA).parquet(base_path)
+    base = tail.sparkSession.read.schema(STORED_SCHEMA).parquet(base_path)
     return MERGES[rule](base, stored(rows, "tail"))
 
 
@@ -125,15 +159,29 @@ def compact(
     out_path: str,
     *,
     base_path: str | None = None,
-    after_batch: int = -1,
-    through_batch: int,
+    through_batch: int | None = None,
 ) -> DataFrame:
-    """Write :func:`current_table` to the new folder ``out_path``.
+    """Write :func:`current_table` to the new folder ``out_path``, and next to it which batches it holds.
 
-    Nothing is changed in place: point the table's view or location at the new
-    folder once this returns.
+    Nothing is changed in place: point the table's view or location at the new folder
+    once this returns. Batches left out now must have been written after those taken, so
+    give ``through_batch`` only where one job fills the log, and run this between batches.
     """
-    current_table(
-        spark, log_path, rule, base_path=base_path, after_batch=after_batch, through_batch=through_batch
-    ).write.parquet(out_path)
+    tail = _tail(spark, log_path, base_path, through_batch)
+    new = batches(tail) if base_path is None else batches(tail).unionByName(held(spark, base_path))
+    taken = stored(new, "batches")
+    _merged(tail, rule, base_path).write.parquet(out_path)
+    taken.write.parquet(_record(out_path))
     return spark.read.schema(STORED_SCHEMA).parquet(out_path)
+
+
+def prune(spark: SparkSession, log_path: str, table_path: str) -> int:
+    """Remove the log's batches that a compacted table holds; returns how many there were.
+
+    The table then is the only place they are kept in: compact further with it as the base.
+    """
+    gone = batches(read_log(spark, log_path)).join(held(spark, table_path), ["job", "batch_id"])
+    removed = [f"{log_path}/job={row.job}/batch_id={row.batch_id}" for row in gone.toLocalIterator()]
+    for folder in removed:
+        remove_folder(spark, folder)
+    return len(removed)

@@ -9,7 +9,7 @@ from riskstream.operators.decode import decode, encode, encode_whole, with_flag
 from riskstream.operators.filters import only_suspicious
 from riskstream.options import JobOptions
 from riskstream.schema import DEFAULT_THRESHOLD
-from riskstream.streaming.log import BatchWriter
+from riskstream.streaming.log import BatchWriter, job_id
 
 
 def flagged_messages(
@@ -23,11 +23,12 @@ def flagged_messages(
     return encode_whole(flagged) if whole else encode(flagged)
 
 
-def file_route_writer(path: str) -> BatchWriter:
-    """Writes one batch of routed messages to a folder that a replay overwrites."""
+def file_route_writer(path: str, checkpoint: str) -> BatchWriter:
+    """Writes one batch of routed messages to a folder of its job that a replay overwrites."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        job = job_id(batch.sparkSession, checkpoint)
+        batch.write.mode("overwrite").parquet(f"{path}/job={job}/batch_id={batch_id}")
 
     return write
 

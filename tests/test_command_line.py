@@ -44,5 +44,30 @@ def test_backfill_compact_report(spark, tmp_path):
         assert {r.transaction_id for r in rows} == {"a", "b"}
         assert {r.transaction_id for r in rows if r.is_suspicious} == flagged
     report = run(tmp_path, "report", "--table", tmp_path / "flag_upsert", "--status", "FAILED")
-    headline = report.stdout.split("kpis\n")[1].split("suspicious_split")[0]
+    headline = report.stdout.split("kpis: 1 rows\n")[1].split("suspicious_split")[0]
     assert "|1    |1         |0     |100.0         |60.0      |" in headline
+
+
+def test_report_is_whole_and_filtered(spark, tmp_path):
+    """Over 100 days, of which none is left out; the folder has every frame."""
+    from datetime import datetime, timedelta
+
+    from conftest import stored_rows
+
+    days = [datetime(2025, 1, 1) + timedelta(days=n) for n in range(150)]
+    rows = [{"transaction_id": str(n), "timestamp": day} for n, day in enumerate(days)]
+    stored_rows(spark, rows).coalesce(1).write.parquet(str(tmp_path / "table"))
+    report = run(tmp_path, "report", "--table", tmp_path / "table", "--out", tmp_path / "report")
+    assert "daily_volume: 150 rows" in report.stdout
+    assert spark.read.parquet(str(tmp_path / "report" / "daily_volume")).count() == 150
+    part = run(tmp_path, "report", "--table", tmp_path / "table", "--from", "2025-01-05", "--to", "2025-05-01")
+    assert "daily_volume: 116 rows" in part.stdout and "|2025-01-05|1" in part.stdout and "|2025-04-30|1" in part.stdout
+
+
+def test_prune(spark, tmp_path):
+    lines(tmp_path / "in", "1.json", [message(transaction_id="a")])
+    for checkpoint in ("one", "two"):
+        run(tmp_path, "backfill", "--messages", tmp_path / "in", "--log", tmp_path / "log", "--checkpoint", tmp_path / checkpoint)
+    run(tmp_path, "compact", "--log", tmp_path / "log", "--out", tmp_path / "table")
+    done = run(tmp_path, "prune", "--log", tmp_path / "log", "--table", tmp_path / "table")
+    assert "2 batches removed" in done.stdout

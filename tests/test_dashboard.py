@@ -11,7 +11,7 @@ from riskstream.operators.measures import summary
 from riskstream.operators.sample import monthly_sample
 from riskstream.plans.dashboard import Snapshot, dashboard
 from riskstream.sources.fixtures import transactions
-from riskstream.sources.tables import jdbc_settings, parquet_table
+from riskstream.sources.tables import bounds_query, jdbc_ranges, jdbc_settings, parquet_table
 from riskstream.options import JobOptions
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -116,5 +116,17 @@ def test_options():
 
 def test_jdbc_settings():
     options = JobOptions(db_name="d", db_user="u")
-    settings = jdbc_settings(options, column="timestamp", lower="2025-01-01", upper="2026-01-01", partitions=8)
-    assert settings["numPartitions"] == "8" and settings["user"] == "u" and "password" not in settings
+    settings = jdbc_settings(options)
+    assert settings["user"] == "u" and "password" not in settings
+    ranges = jdbc_ranges("timestamp", "2025-01-01", "2026-01-01", 8)
+    assert ranges["numPartitions"] == "8" and ranges["lowerBound"] == "2025-01-01"
+    assert bounds_query("t", "timestamp") == "SELECT min(timestamp) AS lower, max(timestamp) AS upper FROM t"
+
+
+def test_stored_snapshot(spark, tmp_path):
+    """A table that would be read anew for each section is read once."""
+    path = str(tmp_path / "table")
+    stored_rows(spark, [{"transaction_id": "a"}]).write.parquet(path)
+    with Snapshot(lambda: parquet_table(spark, path), store=True) as snapshot:
+        assert snapshot.frame.count() == 1
+        assert path not in str(snapshot.frame.inputFiles())

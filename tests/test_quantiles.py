@@ -43,9 +43,8 @@ GROUPS = {
 }
 
 
-@pytest.mark.parametrize("limit", [0, q.GROUP_LIMIT])
-def test_exact(spark, limit):
-    got = q.quantiles(frame(spark, GROUPS), ["g"], "amount", PROBABILITIES, group_limit=limit)
+def test_exact(spark):
+    got = q.quantiles(frame(spark, GROUPS), ["g"], "amount", PROBABILITIES)
     compare(values(got), brute_force(GROUPS))
 
 
@@ -68,7 +67,7 @@ def test_wide_and_wrong_sketches(spark, accuracy):
 
 def test_join_without_broadcast(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
-    got = q.quantiles(frame(spark, GROUPS), ["g"], "amount", PROBABILITIES, group_limit=0)
+    got = q.quantiles(frame(spark, GROUPS), ["g"], "amount", PROBABILITIES)
     compare(values(got), brute_force(GROUPS))
 
 

@@ -15,7 +15,7 @@ from riskstream.schema import STORED_COLUMNS
 from riskstream.sources.fixtures import event_messages
 from riskstream.sources.messages import file_messages, kafka_settings
 from riskstream.streaming import log
-from riskstream.streaming.database import database_writer, table_statement, upsert_statement
+from riskstream.streaming.database import database_writer, merge_statement, table_statement
 from riskstream.streaming.jobs import run_backfill, run_stream, start_route, start_store
 from riskstream.streaming.route import flagged_messages
 
@@ -94,7 +94,10 @@ def test_only_empty_batches(spark, tmp_path):
 def test_half_written_batch_is_replaced(spark, tmp_path, conf, mode, outcome):
     conf(spark__sql__sources__partitionOverwriteMode=mode)
     lines(tmp_path / "in", "1.json", FIRST)
-    left = tmp_path / "log" / "batch_id=0" / f"outcome={outcome}"
+    (tmp_path / "checkpoint").mkdir()
+    (tmp_path / "checkpoint" / "metadata").write_text('{"id":"0b6f2f7c-58a5-4c6e-9d3e-0d8f6f0f4a11"}')
+    job = tmp_path / "log" / "job=0b6f2f7c-58a5-4c6e-9d3e-0d8f6f0f4a11"
+    left = job / "batch_id=0" / f"outcome={outcome}"
     left.mkdir(parents=True)
     spark.range(5).selectExpr("'zz' AS transaction_id").write.mode("overwrite").parquet(str(left))
     rows = store(spark, tmp_path)
@@ -105,7 +108,7 @@ def test_stream_equals_batch(spark, tmp_path):
     sf_dir = "/root/testdata/sf0.01"
     stream = event_messages(spark, sf_dir, streaming=True)
     start_store(stream, str(tmp_path / "log"), str(tmp_path / "checkpoint"), JobOptions(threshold=45)).awaitTermination()
-    streamed = log.read_log(spark, str(tmp_path / "log")).drop("batch_id")
+    streamed = log.read_log(spark, str(tmp_path / "log")).drop("batch_id", "job", "written_at")
     batch = log.log_rows(event_messages(spark, sf_dir), 45).select(*streamed.columns)
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
     assert streamed.count() == 10_000
@@ -179,7 +182,8 @@ def test_backfill_replays_without_effect(spark, tmp_path):
     for run in ("one", "two"):
         run_backfill(messages, str(tmp_path / "log"), str(tmp_path / run))
     rows = log.read_log(spark, str(tmp_path / "log"))
-    assert rows.count() == 7
+    assert rows.count() == 14, "both deliveries are in the log"
+    assert log.batches(rows).count() == 2
     assert table(rows, "insert_ignore") == [
         ("a", 10.0, "old", False), ("b", 5000.0, "Shop", True), ("d", 100.0, "Shop", False),
     ]
@@ -201,11 +205,20 @@ def test_compaction_in_steps_equals_whole_log(spark, tmp_path, rule):
     base = log.compact(spark, path, rule, str(tmp_path / "t1"), through_batch=1)
     assert 0 < base.count() <= whole.count()
     merged = log.compact(
-        spark, path, rule, str(tmp_path / "t3"), base_path=str(tmp_path / "t1"), after_batch=1, through_batch=3,
+        spark, path, rule, str(tmp_path / "t3"), base_path=str(tmp_path / "t1"), through_batch=3,
     )
     assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
-    read = log.current_table(spark, path, rule, base_path=str(tmp_path / "t1"), after_batch=1)
+    read = log.current_table(spark, path, rule, base_path=str(tmp_path / "t1"))
     assert read.exceptAll(whole).isEmpty() and whole.exceptAll(read).isEmpty()
+    # What a table holds may leave the log; nothing is merged twice.
+    assert [r.batch_id for r in log.held(spark, str(tmp_path / "t1")).orderBy("batch_id").collect()] == [0, 1]
+    expected = sorted(map(repr, whole.collect()))
+    assert log.prune(spark, path, str(tmp_path / "t1")) == 2
+    read = log.current_table(spark, path, rule, base_path=str(tmp_path / "t1"))
+    assert sorted(map(repr, read.collect())) == expected
+    again = log.compact(spark, path, rule, str(tmp_path / "t4"), base_path=str(tmp_path / "t3"))
+    assert sorted(map(repr, again.collect())) == expected
+    assert log.held(spark, str(tmp_path / "t4")).count() == 4
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -247,42 +260,42 @@ def test_a_hot_key_leaves_one_row_per_task(spark):
 
 @pytest.mark.parametrize("rule", sorted(upsert.RULES))
 def test_database_writer(spark, tmp_path, rule):
-    lines(tmp_path / "in", "1.json", FIRST)
-    sent = tmp_path / "sent"
-    sent.mkdir()
-    folder = str(sent)
-
-    def connect():
-        """A DB-API connection that writes what it is told to a folder."""
-        import pickle
-        import uuid
-        from pathlib import Path
-
-        class Connection:
-            calls: list = []
+    """A batch is staged whole, then merged by one statement; only the calls are checked here."""
+    calls = []
 
-            def cursor(self):
-                return self
+    class Connection:
+        def cursor(self):
+            return self
 
-            def executemany(self, statement, rows):
-                self.calls = self.calls + [(statement, row) for row in rows]
+        def execute(self, statement):
+            calls.append(statement)
 
-            def commit(self):
-                (Path(folder) / uuid.uuid4().hex).write_bytes(pickle.dumps(self.calls))
+        def commit(self):
+            calls.append("commit")
 
-            def close(self):
-                pass
+        def close(self):
+            calls.append("close")
 
-        return Connection()
+    def stage(rows, name):
+        calls.append(name)
+        rows.write.mode("overwrite").parquet(str(tmp_path / name))
 
-    writer = database_writer(connect, "transactions", rule, rows_per_call=1)
-    run_backfill(file_messages(spark, str(tmp_path / "in")), writer, str(tmp_path / "checkpoint"))
-    calls = [call for file in sent.iterdir() for call in pickle.loads(file.read_bytes())]
-    assert {statement for statement, _ in calls} == {upsert_statement("transactions", rule)}
-    rows = {row[0]: dict(zip(STORED_COLUMNS, row)) for _, row in calls}
-    assert len(calls) == 2 and rows.keys() == {"a", "b"}, "one row per id, valid rows only"
-    assert rows["a"]["merchant"] == "old"
-    assert rows["a"]["is_suspicious"] is (rule == "flag_upsert")
+    writer = database_writer(Connection, stage, "transactions", rule)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.json").write_text("")
+    messages = file_messages(spark, str(tmp_path / "in"))
+    run_backfill(messages, writer, str(tmp_path / "checkpoint"))
+    assert calls == [], "a batch without rows opens no connection"
+    lines(tmp_path / "in", "1.json", FIRST)
+    run_backfill(messages, writer, str(tmp_path / "checkpoint"))
+    assert calls == [
+        table_statement("transactions"), "commit", "close", "transactions_staging",
+        merge_statement("transactions", "transactions_staging", rule), "commit", "close",
+    ]
+    rows = {r.transaction_id: r for r in spark.read.parquet(str(tmp_path / "transactions_staging")).collect()}
+    assert rows.keys() == {"a", "b"}, "one row per id, valid rows only"
+    assert rows["a"].merchant == "old"
+    assert rows["a"].is_suspicious is (rule == "flag_upsert")
 
 
 def test_table_statement():
@@ -292,13 +305,69 @@ def test_table_statement():
     assert text.count("NOT NULL") == 9
 
 
-def test_upsert_statement():
-    assert upsert_statement("t", "insert_ignore").endswith("ON CONFLICT (transaction_id) DO NOTHING")
-    assert upsert_statement("t", "flag_upsert").endswith(
+def test_merge_statement():
+    text = merge_statement("t", "s", "insert_ignore")
+    assert text.startswith("INSERT INTO t (transaction_id, ") and " FROM s ON CONFLICT" in text
+    assert text.endswith("ON CONFLICT (transaction_id) DO NOTHING")
+    assert merge_statement("t", "s", "flag_upsert").endswith(
         "ON CONFLICT (transaction_id) DO UPDATE SET is_suspicious = EXCLUDED.is_suspicious"
     )
 
 
+def test_jobs_share_a_log(spark, tmp_path):
+    """A stream, a backfill and the stream with a new checkpoint fill one log, in this order."""
+    lines(tmp_path / "in", "1.json", [message(transaction_id="a"), message(transaction_id="b", amount=4000.0)])
+    store(spark, tmp_path)
+    lines(tmp_path / "in", "2.json", [message(transaction_id="c")])
+    store(spark, tmp_path)
+    lines(tmp_path / "other", "1.json", [message(transaction_id="x"), message(transaction_id="b", amount=1.0, merchant="late")])
+    messages = file_messages(spark, str(tmp_path / "other"))
+    run_backfill(messages, str(tmp_path / "log"), str(tmp_path / "backfill"))
+    rows = log.read_log(spark, str(tmp_path / "log"))
+    assert [r[0] for r in table(rows)] == ["a", "b", "c", "x"]
+    assert table(rows)[1] == ("b", 4000.0, "Shop", False), "the first row, the last flag"
+    assert log.batch_counts(rows, ("job", "batch_id")).count() == 3
+    # the same input once more, without the old checkpoint: nothing is lost or overwritten
+    start_store(file_messages(spark, str(tmp_path / "in")), str(tmp_path / "log"), str(tmp_path / "new")).awaitTermination()
+    rows = log.read_log(spark, str(tmp_path / "log"))
+    assert rows.count() == 8
+    assert table(rows)[1] == ("b", 4000.0, "Shop", True)
+
+
+def test_jobs_share_a_route(spark, tmp_path):
+    lines(tmp_path / "in", "1.json", FIRST)
+    messages = file_messages(spark, str(tmp_path / "in"))
+    for checkpoint in ("one", "two"):
+        start_route(messages, str(tmp_path / "out"), str(tmp_path / checkpoint)).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+
+
+def test_whole_messages_that_break_rules(spark, tmp_path):
+    """Repeated names, a flag of its own, NaN, blanks: forwarded, and read like any other."""
+    texts = [
+        '{"amount":5000,"amount":6000,"transaction_id":"a"}',
+        '{"amount": 7000, "is_suspicious": false, "transaction_id": "b", "extra": NaN}  ',
+        '{"transaction_id":"c","merchant":"a } b","amount":8000\t}',
+    ]
+    lines(tmp_path / "in", "1.json", texts)
+    messages = file_messages(spark, str(tmp_path / "in"))
+    start_route(messages, str(tmp_path / "out"), str(tmp_path / "routed"), whole=True).awaitTermination()
+    routed = sorted((json.loads(r.value) for r in spark.read.parquet(str(tmp_path / "out")).collect()), key=lambda m: m["transaction_id"])
+    assert [m["amount"] for m in routed] == [6000, 7000, 8000]
+    assert all(m["is_suspicious"] is True for m in routed)
+    assert routed[1]["extra"] != routed[1]["extra"] and routed[2]["merchant"] == "a } b"
+    assert store(spark, tmp_path).where("outcome = 'rejected'").count() == 3
+
+
+def test_years_out_of_range(spark, tmp_path):
+    lines(tmp_path / "in", "1.json", [
+        message(transaction_id=str(i), timestamp=f"{year}-01-02T03:04:05") for i, year in enumerate(("1899", "1900", "2199", "2200", "20250"))
+    ])
+    rows = store(spark, tmp_path).orderBy("transaction_id").collect()
+    assert [r.reason for r in rows] == ["out_of_range:timestamp", None, None, "out_of_range:timestamp", "out_of_range:timestamp"]
+    assert [r.timestamp is None for r in rows] == [True, False, False, True, True]
+
+
 def test_dedup_within_delay(spark, tmp_path):
     lines(tmp_path / "in", "1.json", FIRST)
     lines(tmp_path / "in", "2.json", SECOND)

@@ -25,9 +25,10 @@ CLEAR = 0.4
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fit(docs)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    found = language.predict(rows, model, ["row"])
-    return found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= CLEAR)).select("row.*")
+    others = F.struct(*(c for c in docs.columns if c != "text"))
+    found = language.predict(docs.select(others.alias("row"), "text"), model, ["row", "text"])
+    clear = found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= CLEAR))
+    return clear.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +60,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary = encode.public_vocabulary("byte_bpe_50k.tiktoken")
-    return encode.digests(encode.encode(docs, vocabulary, ["doc_id"]), vocabulary, ["doc_id"])
+    return encode.digests(docs, vocabulary, ["doc_id"])
 
 
 STAGES = [

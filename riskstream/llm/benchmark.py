@@ -26,9 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructField, StructType
 
 from riskstream.llm.words import U64, slices, text_bytes
+from riskstream.llm.workers import held, small_batches
 
 #: Characters of a region, and from one to the next of an item.
 REGION, STRIDE = 96, 48
@@ -189,17 +191,6 @@ class Index:
         return np.where(inside, data[np.clip(at, 0, max(len(data) - 1, 0))], _OUTSIDE) if len(data) else np.full(at.shape, _OUTSIDE, np.uint8)
 
 
-_BUILT: list = []
-
-
-def index_of(sent) -> Index:
-    """The index of a broadcast block, built once in each Python worker."""
-    block = sent.value
-    if not _BUILT or _BUILT[0] is not block:
-        _BUILT[:] = [block, Index(block)]
-    return _BUILT[1]
-
-
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator:
     """The benchmark in broadcast blocks of bounded size."""
     items = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
@@ -207,7 +198,7 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator:
     n = -(-size // BLOCK)
     for block in range(n):
         some = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == block).orderBy("item", "text").collect()
-        yield benchmark.sparkSession.sparkContext.broadcast([tuple(x) for x in some])
+        yield small_batches(benchmark.sparkSession).sparkContext.broadcast([tuple(x) for x in some])
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -215,11 +206,12 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
     rows = df.select(*keep, F.col(text).alias("__text"))
     names = [item, "start", "end", "edits"]
     schema = StructType([*(rows.schema[c] for c in keep), StructField(item, benchmark.schema[item].dataType), *(StructField(c, LongType()) for c in names[1:])])
+    taken_type = to_arrow_type(benchmark.schema[item].dataType)
     found = df.sparkSession.createDataFrame([], schema)
     for sent in _blocks(benchmark, item, item_text):
 
         def find(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = index_of(sent)
+            index = held(sent.value, Index)
             for batch in batches:
                 for part in slices(batch, "__text"):
                     at, region, *place = index.find(part.column("__text"))
@@ -229,7 +221,6 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
                     columns = [pa.array([i for x in items for i in x], taken_type), *(pa.array(np.repeat(x, times), pa.int64()) for x in place)]
                     yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in keep), *columns], [*keep, *names])
 
-        taken_type = pa.int64() if isinstance(benchmark.schema[item].dataType, LongType) else None
         found = found.unionByName(rows.mapInArrow(find, schema))
     return found
 
@@ -239,7 +230,7 @@ def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: st
     for sent in _blocks(benchmark, item, item_text):
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = index_of(sent)
+            index = held(sent.value, Index)
             for batch in batches:
                 for part in slices(batch, text):
                     keep = np.ones(part.num_rows, bool)

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -22,9 +21,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from riskstream.llm.pretokens import pretokens
+from riskstream.llm.workers import held, small_batches
 
 #: Pre-tokens whose counts a Python worker keeps.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 #: Up to here, the pattern's letters and numbers are the same in all Unicode versions.
 SETTLED = "԰"
 
@@ -45,7 +45,7 @@ class Merges:
         self.pattern = pattern
 
     def built(self) -> Counter:
-        return _counter(self.content, self.pattern)
+        return held(self, lambda merges: Counter(merges.content, merges.pattern))
 
 
 class Counter:
@@ -119,11 +119,6 @@ class Counter:
         return total
 
 
-@lru_cache(maxsize=4)
-def _counter(content: str, pattern: str) -> Counter:
-    return Counter(content, pattern)
-
-
 def public_merges(name: str) -> Merges:
     """The merges of a file of the installed package of public tokenizers."""
     import public_tokenizers
@@ -133,7 +128,7 @@ def public_merges(name: str) -> Merges:
 
 def token_counts(df: DataFrame, merges: Merges, keep: list[str], text: str = "text") -> DataFrame:
     """n_bytes and n_tokens of each text next to the columns to keep."""
-    sent = df.sparkSession.sparkContext.broadcast(merges)
+    sent = small_batches(df.sparkSession).sparkContext.broadcast(merges)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(*keep, F.octet_length(body).cast("long").alias("n_bytes"), body.alias("__text"))
     kept = [*keep, "n_bytes"]

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +24,13 @@ import regex
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from riskstream.llm.pretokens import pretokens
+from riskstream.llm.pretokens import boundaries, pretokens
+from riskstream.llm.workers import held, small_batches
 
 #: Characters of a chunk, and how many of the next chunk it also covers.
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 #: Pre-tokens whose ids a Python worker keeps.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class Vocabulary:
@@ -45,7 +45,11 @@ class Vocabulary:
         self.pattern = pattern
 
     def built(self) -> Codec:
-        return _codec(self.content, self.pattern)
+        return held(self, Vocabulary._codec)
+
+    def _codec(self) -> Codec:
+        lines = map(bytes.split, self.content.splitlines())
+        return Codec({base64.b64decode(token): int(rank) for token, rank in lines}, self.pattern)
 
 
 class Codec:
@@ -76,15 +80,8 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def boundaries(self, chunk: str, last: bool) -> np.ndarray:
-        """Where matches end. Those at the end of a chunk that isn't the last might go on, and don't count."""
-        ends = np.cumsum([len(x) for found in pretokens(self.pattern.findall, chunk) for x in found], dtype=np.int64)
-        return ends if last else ends[ends < len(chunk)]
-
-
-@lru_cache(maxsize=4)
-def _codec(content: bytes, pattern: str) -> Codec:
-    ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
-    return Codec(ranks, pattern)
+        """Where matches surely end."""
+        return np.fromiter(boundaries(self.pattern.findall, chunk, last), np.int64)
 
 
 def public_vocabulary(name: str) -> Vocabulary:
@@ -94,23 +91,31 @@ def public_vocabulary(name: str) -> Vocabulary:
     return Vocabulary(public_tokenizers.path(name), public_tokenizers.PATTERN)
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """The ids of each text (``ids``, little-endian unsigned 32-bit integers) next to the columns to keep."""
-    sent = df.sparkSession.sparkContext.broadcast(vocabulary)
+def encode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False) -> DataFrame:
+    """The ids of each text (``ids``, little-endian unsigned 32-bit integers) next to the columns to keep.
+
+    With ``decoded``, also the bytes that the ids stand for, as :func:`decode` gives them, from
+    the same Python workers instead of a second set of them.
+    """
+    sent = small_batches(df.sparkSession).sparkContext.broadcast(vocabulary)
     rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     long = F.length("__text") > chunk
-    schema = StructType([*(rows.schema[c] for c in keep), StructField("ids", BinaryType())])
+    made = ["ids", "decoded"] if decoded else ["ids"]
+    schema = StructType([*(rows.schema[c] for c in keep), *(StructField(c, BinaryType()) for c in made)])
 
     def encode_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = sent.value.built()
         for batch in batches:
             ids = pa.array((codec.encode(x.as_py()) for x in batch.column("__text")), pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
+            columns = [ids, pa.array((codec.decode(x.as_py()) for x in ids), pa.binary())][: len(made)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], [*keep, *made])
 
     short = rows.where(~long).mapInArrow(encode_whole, schema)
     keyed = rows.where(long).withColumn("__key", F.sha2("__text", 256))
     ids = _encode_long(keyed.select("__key", "__text").dropDuplicates(["__key"]), sent, chunk, overlap)
-    return short.unionByName(keyed.drop("__text").join(ids, "__key").select(*keep, "ids"))
+    if decoded:
+        ids = decode(ids, vocabulary, ["__key", "ids"])
+    return short.unionByName(keyed.drop("__text").join(ids, "__key").select(*keep, *made))
 
 
 def _encode_long(texts: DataFrame, sent, size: int, overlap: int) -> DataFrame:
@@ -179,7 +184,7 @@ ARROW_IDS = pa.schema([("__key", pa.string()), ("ids", pa.binary())])
 
 def decode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], ids: str = "ids") -> DataFrame:
     """The bytes that ids stand for (``decoded``) next to the columns to keep. Null ids stand for nothing."""
-    sent = df.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = small_batches(df.sparkSession).sparkContext.broadcast(vocabulary)
     rows = df.select(*keep, F.coalesce(F.col(ids), F.lit(b"")).alias("__ids"))
     schema = StructType([*(rows.schema[c] for c in keep), StructField("decoded", BinaryType())])
 
@@ -192,8 +197,8 @@ def decode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], ids: str = "i
     return rows.mapInArrow(decode_all, schema)
 
 
-def digests(df: DataFrame, vocabulary: Vocabulary, keep: list[str]) -> DataFrame:
-    """n_tokens, ids_sha256 and decoded_sha256 of encoded texts."""
-    rows = df.select(*keep, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    kept = [*keep, "n_tokens", "ids_sha256"]
-    return decode(rows, vocabulary, kept).select(*kept, F.sha2("decoded", 256).alias("decoded_sha256"))
+def digests(df: DataFrame, vocabulary: Vocabulary, keep: list[str], **more) -> DataFrame:
+    """n_tokens, ids_sha256 and decoded_sha256 of texts, next to the columns to keep; ``more`` is for :func:`encode`."""
+    rows = encode(df, vocabulary, keep, decoded=True, **more)
+    n = (F.octet_length("ids") / 4).cast("long")
+    return rows.select(*keep, n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -36,6 +36,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from riskstream.llm.components import components
 from riskstream.llm.filters import bloom_filter, may_contain
 from riskstream.llm.words import U64, Words, mix, runs, slices
+from riskstream.llm.workers import small_batches
 from riskstream.session import stored
 
 #: Sizes of a band are up to so many times its smallest.
@@ -45,7 +46,7 @@ PARTS, PARTS_SMALL, SMALL = 3, 6, 8
 #: Members compared with each other at a time.
 BLOCK = 1024
 #: Texts that a task remembers, to skip exact copies.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -255,6 +256,7 @@ LINK_SCHEMA = "a binary, b binary"
 
 def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], text: str = "text", order: str = "doc_id") -> DataFrame:
     """n_shingles, component_id and component (a key that only its rows have; null without shingles) of each text next to the columns to keep."""
+    small_batches(df.sparkSession)
     rows = df.select(*keep, F.col(order).alias("__order"), F.col(text).alias("text"))
     kept = [*keep, "__order"]
     schema = StructType([*(rows.schema[c] for c in kept), StructField("n_shingles", LongType()), StructField("set_key", BinaryType())])

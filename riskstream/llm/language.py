@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from riskstream.llm.workers import held, small_batches
+
 #: Bounds of the fit: labelled documents, words and n-grams.
 SAMPLE, WORDS, GRAMS = 8_000, 60_000, 40_000
 ORDERS = (4, 3, 2, 1)
 #: Added to each count.
 SMOOTHING = 0.1
 #: Unknown words that a Python worker keeps, and words scored at a time.
-REMEMBERED, AT_ONCE = 300_000, 1 << 16
+REMEMBERED, AT_ONCE = 200_000, 1 << 16
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -58,14 +60,35 @@ def grams(word: str, order: int) -> list[str]:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Counts by language: ``items`` are (order, item, {language: count}), order 0 being words; ``totals`` sums them all."""
-
-    items: tuple
-    totals: dict
+    """Log frequencies: a row of ``scores`` for each item, (order, text) with order 0 for words; a column for each language."""
+
+    languages: tuple[str, ...]
+    items: tuple[tuple[int, str], ...]
+    scores: np.ndarray
+    prior: np.ndarray
+
+    @classmethod
+    def of_counts(cls, items: list[tuple[int, str, dict[str, int]]], totals: dict[tuple[int, str], tuple[int, int]]) -> LanguageModel:
+        """From counts of items by language, and of all items of an order by language with the number of different ones."""
+        languages = tuple(sorted({lang for _, lang in totals}))
+        at = {lang: i for i, lang in enumerate(languages)}
+        sums, kinds = np.zeros((len(ORDERS) + 1, len(at))), np.ones((len(ORDERS) + 1, 1))
+        for (kind, lang), (n, different) in totals.items():
+            sums[kind, at[lang]] = n
+            kinds[kind] = max(kinds[kind], different)
+        counts = np.zeros((len(items), len(at)))
+        for row, (_, _, by_language) in enumerate(items):
+            for lang, n in by_language.items():
+                counts[row, at[lang]] = n
+        orders = np.array([kind for kind, _, _ in items], np.int64)
+        scores = np.log(counts + SMOOTHING) - np.log(sums + SMOOTHING * kinds)[orders]
+        prior = np.log((sums[0] + 1) / (sums[0] + 1).sum()) if at else np.zeros(0)
+        return cls(languages, tuple((kind, item) for kind, item, _ in items), scores, prior)
 
 
 def fit(df: DataFrame, lang: str = "lang", text: str = "text", order: str = "doc_id", sample: int = SAMPLE) -> LanguageModel:
     """A model of the languages of the rows whose language is known."""
+    small_batches(df.sparkSession)
     known = df.select(
         F.col(lang).alias("lang"),
         F.col(text).alias("text"),
@@ -73,7 +96,7 @@ def fit(df: DataFrame, lang: str = "lang", text: str = "text", order: str = "doc
     ).where("lang IS NOT NULL AND text IS NOT NULL")
     n = known.select("lang").distinct().count()
     if not n:
-        return LanguageModel((), {})
+        return LanguageModel.of_counts([], {})
     lowest = Window.partitionBy("lang").orderBy("hash")
     ranked = known.select("lang", "hash").distinct().withColumn("at", F.row_number().over(lowest))
     chosen = ranked.where(F.col("at") <= max(1, sample // n)).select("lang", "hash")
@@ -108,35 +131,25 @@ def fit(df: DataFrame, lang: str = "lang", text: str = "text", order: str = "doc
         top = each.where(kind & (F.col("total") > 1)).orderBy(F.desc("total"), "kind", "item").limit(most)
         items += [(row["kind"], row["item"], row["n"]) for row in top.collect()]
     by_language.unpersist()
-    return LanguageModel(tuple(items), totals)
+    return LanguageModel.of_counts(items, totals)
 
 
 class Scorer:
+    """Scores texts; a word's score is kept once it has been looked up."""
+
     def __init__(self, model: LanguageModel):
-        self.languages = sorted({lang for _, lang in model.totals})
-        at = {lang: i for i, lang in enumerate(self.languages)}
-        sums = np.zeros((len(ORDERS) + 1, len(at)))
-        kinds = np.ones((len(ORDERS) + 1, 1))
-        for (kind, lang), (n, items) in model.totals.items():
-            sums[kind, at[lang]] = n
-            kinds[kind] = max(kinds[kind], items)
-        self.log_total = np.log(sums + SMOOTHING * kinds)
-        self.prior = np.log(sums[0] + 1) - np.log((sums[0] + 1).sum()) if at else np.zeros(0)
+        self.languages, self.prior = model.languages, model.prior
         self.known: dict[str, int] = {}
         self.grams: dict[tuple[int, str], np.ndarray] = {}
-        rows = [np.zeros(len(at))]
-        for kind, item, counts in model.items:
-            n = np.zeros(len(at))
-            for lang, c in counts.items():
-                n[at[lang]] = c
-            score = np.log(n + SMOOTHING) - self.log_total[kind]
+        rows = [np.zeros(len(self.languages))]
+        for (kind, item), score in zip(model.items, model.scores):
             if kind:
                 self.grams[kind, item] = score
             else:
                 self.known[item] = len(rows)
                 rows.append(score)
         self.fixed = len(rows)
-        self.scores = np.vstack([*rows, np.zeros((REMEMBERED, len(at)))])
+        self.scores = np.vstack([*rows, np.zeros((REMEMBERED, len(self.languages)))])
         self.others: dict[str, int] = {}
 
     def back_off(self, word: str) -> np.ndarray:
@@ -178,26 +191,15 @@ class Scorer:
 
 def predict(df: DataFrame, model: LanguageModel, keep: list[str], text: str = "text") -> DataFrame:
     """lang_pred and score of each text next to the columns to keep."""
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    sent = small_batches(df.sparkSession).sparkContext.broadcast(model)
+    rows = df.select(*dict.fromkeys([*keep, text]))
     schema = StructType([*(rows.schema[c] for c in keep), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(sent)
+        scorer = held(sent.value, Scorer)
         for batch in batches:
-            found = [scorer.score(x.as_py()) for x in batch.column("__text")]
+            found = [scorer.score(x.as_py() or "") for x in batch.column(text)]
             out = [pa.array([x[i] for x in found], kind) for i, kind in ((0, pa.string()), (1, pa.float64()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *out], [*keep, "lang_pred", "score"])
 
     return rows.mapInArrow(score, schema)
-
-
-_BUILT: list = []
-
-
-def scorer_of(sent) -> Scorer:
-    """The scorer of a broadcast model, built once in each Python worker."""
-    model = sent.value
-    if not _BUILT or _BUILT[0] is not model:
-        _BUILT[:] = [model, Scorer(model)]
-    return _BUILT[1]

@@ -35,6 +35,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from riskstream.llm.filters import bloom_filter, may_contain
 from riskstream.llm.words import U64, Words, mix, powers, runs, slices
+from riskstream.llm.workers import small_batches
 from riskstream.session import stored
 
 #: Words of a window and of an anchor.
@@ -253,6 +254,7 @@ def remove_passages(df: DataFrame, keep: list[str], window: int = WINDOW, text:
 
     What is left is joined by blanks; unless ``joined``, a text that loses nothing is left as it is.
     """
+    small_batches(df.sparkSession)
     rows = df.select(*keep, *_key(text, order), F.col(text).alias("text"))
     docs = rows.select("k1", "k2", "text")
     occurrences = stored(_occurrences(docs, window), "occurrences")

@@ -6,13 +6,16 @@ from collections.abc import Iterator
 
 #: Characters matched at a time.
 STRETCH = 1 << 18
+#: A match is decided by the character behind it, and by as many from its start on as the longest
+#: alternative with a fixed length has: a contraction such as 'll.
+DECIDING = 3
 
 
 def pretokens(find, text: str, stretch: int = STRETCH) -> Iterator[list[str]]:
     """Lists of the matches that cover ``text``, as ``find`` (a findall whose matches leave no gap) gives them.
 
-    The match that reaches the end of a stretch may go on behind it, so that it is
-    found again with the next one. All others have seen the character after them.
+    Matches near the end of a stretch might be others if they saw what follows, so they
+    are found again with the next one.
     """
     at = 0
     while at < len(text):
@@ -22,9 +25,31 @@ def pretokens(find, text: str, stretch: int = STRETCH) -> Iterator[list[str]]:
             if at + size >= len(text):
                 yield found
                 return
-            if len(found) > 1:
+            if sure := _sure(found, size):
                 break
             size *= 2  # one match fills the stretch
-        found.pop()
-        at += sum(map(len, found))
-        yield found
+        at += sum(map(len, found[:sure]))
+        yield found[:sure]
+
+
+def _sure(found: list[str], size: int) -> int:
+    """How many of the matches that cover a text of some size can't change with what follows it."""
+    n, start = len(found) - 1, size - len(found[-1])
+    while n > 0 and start - len(found[n - 1]) > size - DECIDING:
+        n -= 1
+        start -= len(found[n])
+    return n
+
+
+def boundaries(find, text: str, last: bool) -> Iterator[int]:
+    """Where matches end; for a text that isn't the ``last`` part of one, only where they surely do."""
+    ends, starts = [], []
+    end = 0
+    for found in pretokens(find, text):
+        for match in found:
+            starts.append(end)
+            end += len(match)
+            ends.append(end)
+    for start, end in zip(starts, ends):
+        if last or (end < len(text) and start <= len(text) - DECIDING):
+            yield end

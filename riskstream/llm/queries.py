@@ -88,8 +88,7 @@ def op8_nearest(spark, sf_dir):
 @query("op9_encode")
 def op9_encode(spark, sf_dir):
     vocabulary = encode.public_vocabulary("byte_bpe_50k.tiktoken")
-    rows = encode.encode(table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
-    return encode.digests(rows, vocabulary, ["doc_id"])
+    return encode.digests(table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
 
 
 #: Host, start of the path, verdict.

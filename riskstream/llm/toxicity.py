@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from riskstream.llm.workers import held, small_batches
+
 #: Bounds of the fit: labelled documents, voters, features.
 SAMPLE, VOTERS, FEATURES = 12_000, 300, 2_000
 #: A voter votes in this many toxic texts at least, and among as many toxic as other texts at most this share of its votes is wrong.
@@ -41,8 +43,10 @@ BEGINNINGS, TIMES = range(3, 8), 3
 CORRELATED = 0.5
 #: Texts that a feature occurs in, at least.
 SEEN = 3
+#: Difference in frequency between the two kinds of texts, in standard deviations, that makes a term a feature.
+TELLING = 0.05
 #: Words whose features a Python worker keeps.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -123,6 +127,7 @@ def linear_classifier(rows: np.ndarray, columns: np.ndarray, n: int, m: int, tar
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
     """A model of the labelled texts."""
+    small_batches(docs.sparkSession)
     by_key = labels.select(F.col(key).alias("key"), F.col(label).alias("toxic")).dropna().groupBy("key").agg(F.max("toxic").alias("toxic"))
     chosen = None
     for side in (1, 0):
@@ -153,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     voters = [r["term"] for r in good.orderBy(F.desc(rate - rate_clean), "term").limit(VOTERS).collect()]
     pooled = (F.col("toxic") + F.col("clean") + 1) / (n_toxic + n_clean + 2)
     strength = F.abs(rate - rate_clean) / F.sqrt(pooled * (1 - pooled))
-    features = [r["term"] for r in seen.orderBy(F.desc(strength), "term").limit(FEATURES).collect()]
+    features = [r["term"] for r in seen.where(strength > TELLING).orderBy(F.desc(strength), "term").limit(FEATURES).collect()]
     index = {t: i for i, t in enumerate(dict.fromkeys([*voters, *features]))}
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,27 +216,16 @@ class Scorer:
         return float(1 / (1 + np.exp(-min(max(math.fsum(said), -30.0), 30.0))))
 
 
-_BUILT: list = []
-
-
-def scorer_of(sent) -> Scorer:
-    """The scorer of a broadcast model, built once in each Python worker."""
-    model = sent.value
-    if not _BUILT or _BUILT[0] is not model:
-        _BUILT[:] = [model, Scorer(model)]
-    return _BUILT[1]
-
-
 def score(df: DataFrame, model: ToxicityModel, keep: list[str], text: str = "text") -> DataFrame:
     """The score of each text next to the columns to keep."""
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    sent = small_batches(df.sparkSession).sparkContext.broadcast(model)
+    rows = df.select(*dict.fromkeys([*keep, text]))
     schema = StructType([*(rows.schema[c] for c in keep), StructField("score", DoubleType())])
 
     def score_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(sent)
+        scorer = held(sent.value, Scorer)
         for batch in batches:
-            out = pa.array([scorer.score(x.as_py()) for x in batch.column("__text")], pa.float64())
+            out = pa.array([scorer.score(x.as_py() or "") for x in batch.column(text)], pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), out], [*keep, "score"])
 
     return rows.mapInArrow(score_all, schema)

@@ -110,3 +110,4 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) ->
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()

@@ -1,0 +1,77 @@
+"""Decontamination against exhaustive alignment."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from riskstream.llm import benchmark
+
+CHANCE = random.Random(9)
+SYLLABLES = "the an re on ti er sh ou in ed and es th nd at ha le ly".split()
+
+
+def prose(n):
+    return " ".join("".join(CHANCE.choice(SYLLABLES) for _ in range(CHANCE.randrange(1, 4))) for _ in range(n))
+
+
+def least_edits(region, text):
+    """The least edits between the region and any stretch of the text."""
+    cost = np.zeros(len(text) + 1, int)
+    for c in region:
+        step = np.minimum(cost[:-1] + (np.frombuffer(text, np.uint8) != c), cost[1:] + 1)
+        new = np.concatenate([[cost[0] + 1], step])
+        cost = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
+    return int(cost.min())
+
+
+def edited(text, n):
+    text = list(text)
+    for _ in range(n):
+        at = CHANCE.randrange(len(text))
+        CHANCE.choice([lambda: text.insert(at, "x"), lambda: text.pop(at), lambda: text.__setitem__(at, "y")])()
+    return "".join(text)
+
+
+ITEMS = [prose(CHANCE.randrange(12, 50)) for _ in range(12)] + ["too short", "exactly thirty-two characters ok"]
+
+
+def test_against_exhaustive_alignment():
+    texts = []
+    for n in range(90):
+        item = CHANCE.choice(ITEMS[:12])
+        part = item[: CHANCE.randrange(60, 400)]
+        texts.append(f"{prose(CHANCE.randrange(30))} {edited(part, CHANCE.randrange(9))} {prose(CHANCE.randrange(30))}")
+    texts += ["", "a", prose(200), ITEMS[0], ITEMS[1].upper().replace(" ", "\n"), "the " * 100]
+    index = benchmark.Index(list(enumerate(ITEMS)))
+    text, region, start, end, edits = index.find(pa.array(texts))
+    found = {}
+    for t, r, a, b, e in zip(*(x.tolist() for x in (text, region, start, end, edits))):
+        found[t, r] = min(found.get((t, r), 99), e)
+        stretch = benchmark._FOLD[np.frombuffer(texts[t].encode(), np.uint8)][a:b].tobytes()
+        assert abs(len(stretch) - index.lengths[r]) <= e
+        assert least_edits(index.bytes[r][: index.lengths[r]].tobytes(), stretch) == e
+    want = {}
+    for t, body in enumerate(texts):
+        folded = benchmark._FOLD[np.frombuffer(body.encode(), np.uint8)].tobytes()
+        for r in range(len(index.lengths)):
+            e = least_edits(index.bytes[r][: index.lengths[r]].tobytes(), folded) if folded else 99
+            if e <= index.budgets[r]:
+                want[t, r] = e
+    assert found == want and len(want) > 50
+
+
+@pytest.mark.parametrize("block", [benchmark.BLOCK, 300])
+def test_rows(spark, documents, monkeypatch, block):
+    monkeypatch.setattr(benchmark, "BLOCK", block)
+    items = spark.createDataFrame([*enumerate(ITEMS), (50, ITEMS[0]), (None, "n" * 50), (60, None)], "item_id long, text string")
+    texts = ["", None, prose(30), f"so {ITEMS[0]} it", f"so {ITEMS[0]} it", ITEMS[3], "x" * 100_000 + ITEMS[4], ITEMS[5][:40], "too short"]
+    docs = documents([*enumerate(texts), (3, texts[3])], ("start", "end", "edits", "item_id"))
+    found = benchmark.find_leaks(docs.drop("item_id", "start", "end", "edits"), items, ["doc_id"])
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(3, 0), (3, 50), (4, 0), (4, 50), (5, 3), (6, 4)}
+    kept = benchmark.drop_leaks(docs, items)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 7, 8]
+    assert benchmark.find_leaks(docs, items.limit(0), ["doc_id"]).count() == 0
+    assert benchmark.drop_leaks(docs, items.limit(0)).count() == 10
+    assert benchmark.find_leaks(documents([(1, "a")]).limit(0), items, ["doc_id"]).count() == 0

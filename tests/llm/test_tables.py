@@ -1,0 +1,169 @@
+"""URL filter, shards and nearest neighbours."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from riskstream.llm import filters, neighbours, shards
+
+CHANCE = random.Random(1)
+
+
+def judged(spark, urls, listed, **more):
+    pages = spark.createDataFrame([*enumerate(urls)], "page_id long, url string").selectExpr("*", "'x' AS host", "'y' AS rule", "'z' AS key")
+    rules = spark.createDataFrame(listed, "host string, path string, verdict string")
+    return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in filters.judge_urls(pages, rules, ["page_id"], **more).collect()}
+
+
+def test_urls_and_rules(spark):
+    listed = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+              ("a.b", "/x", "allow"), ("a.b", "/x", "block"), (None, "/", "block"), ("b", "/xyz", "allow")]
+    cases = [
+        (None, "", "", None, "allow"), ("", "", "", None, "allow"), ("no scheme", "", "", None, "allow"),
+        ("http://Example.ORG/es/1?x#y", "example.org", "/es/1", "example.org/es/", "block"),
+        ("https://a.b.example.org/en/12", "a.b.example.org", "/en/12", "example.org/en/1", "block"),
+        ("x://notexample.org/es/", "notexample.org", "/es/", "org/", "allow"),
+        ("x://example.org", "example.org", "", None, "allow"), ("x://example.org?/es/", "example.org", "", None, "allow"),
+        ("x://example.org#a://com/de/", "example.org", "", None, "allow"), ("://com/de/", "com", "/de/", "com/de/", "block"),
+        ("x://y.com/DE/", "y.com", "/DE/", None, "allow"), ("x://com.net/de/", "com.net", "/de/", None, "allow"),
+        ("x://h\n.com/de/\n1", "h\n.com", "/de/\n1", "com/de/", "block"), ("x://a.b/xyz", "a.b", "/xyz", "a.b/x", "block"),
+        ("x://a.b/xa", "a.b", "/xa", "a.b/x", "block"), ("x://ÄB.com/fr/", "ÄB".replace("B", "b") + ".com", "/fr/", "com/fr/", "allow"),
+        ("x://" + "l." * 300 + "org/" + "p" * 5000, "l." * 300 + "org", "/" + "p" * 5000, "org/", "allow"),
+        ("x://org/", "org", "/", "org/", "allow"), ("x://org/", "org", "/", "org/", "allow"),
+    ]
+    assert judged(spark, [c[0] for c in cases], listed) == {i: c[1:] for i, c in enumerate(cases)}
+    assert judged(spark, ["x://org/"], [], default="block") == {0: ("org", "/", None, "block")}
+    assert judged(spark, [], listed) == {}
+
+
+def test_the_filter_lets_through_all_that_is_listed(spark, monkeypatch):
+    monkeypatch.setattr(filters, "BLOCKS", 16)  # so full that much else passes
+    keys = spark.range(2000).select(F.xxhash64("id").alias("key"))
+    blocks = filters.bloom_filter(keys)
+    assert blocks.count() <= 16
+    assert filters.may_contain(keys, blocks).count() == 2000
+    monkeypatch.setattr(filters, "BLOCKS", 1 << 16)
+    blocks = filters.bloom_filter(keys)
+    others = spark.range(10_000, 110_000).select(F.xxhash64("id").alias("key"))
+    assert filters.may_contain(keys, blocks).count() == 2000
+    assert filters.may_contain(others, blocks).count() < 1000
+    listed = [(f"h{i}.org", "/", "block") for i in range(300)]
+    found = judged(spark, [f"x://h{i}.org/" for i in range(600)], listed)
+    assert [found[i][3] for i in range(600)] == ["block"] * 300 + ["allow"] * 300, "the join is exact"
+
+
+def sharded(df, n, **more):
+    return shards.assign_shards(df, n, ["doc_id"], **more).collect()
+
+
+def test_groups_stay_together_and_slots_have_no_gaps(spark, documents, monkeypatch):
+    monkeypatch.setattr(shards, "STRETCH", 20)
+    texts = [None, None, "", "", "é", "é"] + ["hot"] * 150 + ["t" * CHANCE.randrange(400) + str(i) for i in range(600)]
+    docs = documents([*enumerate(texts), (9000, "again"), (9000, "again")], ("size", "shard", "slot", "__group", "item"))
+    rows = sharded(docs, 6)
+    assert len(rows) == len(texts) + 2
+    of_text, sizes, slots = {}, [0] * 6, [[] for _ in range(6)]
+    for r in rows:
+        text = "again" if r.doc_id == 9000 else texts[r.doc_id]
+        data = (text or "").encode()
+        assert (r.size, r.text_crc32) == (len(data) + 8, zlib.crc32(data))
+        of_text.setdefault(text, set()).add(r.shard)
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(len(s) == 1 for s in of_text.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots)
+    assert max(sizes) - min(sizes) < 0.02 * sum(sizes) / 6
+
+
+def test_few_rows_and_none(spark, documents):
+    assert sharded(documents([(1, "a")]).limit(0), 4) == []
+    assert sorted(r.shard for r in sharded(documents(["aa", "b", "cccc"]), 24)) == sorted({r.shard for r in sharded(documents(["aa", "b", "cccc"]), 24)})
+    assert len(sharded(documents([(None, "x" * 10**6), (None, None)]), 2)) == 2
+
+
+def test_best_fit_decreasing():
+    """Against looking at every bin, and against the bounds on the capacity."""
+    for seed in range(30):
+        chance = random.Random(seed)
+        sizes = sorted(((chance.randrange(1, 100), i) for i in range(chance.randrange(1, 80))), reverse=True)
+        bins = chance.randrange(1, 12)
+        placed = shards.pack(sizes, bins)
+        load = [0] * bins
+        for (size, _), b in zip(sizes, placed):
+            load[b] += size
+        total, largest = sum(s for s, _ in sizes), sizes[0][0]
+        assert max(load) <= max(total / bins + largest, largest)
+        capacity = max(load)
+        room, want = [capacity] * bins, []
+        for size, _ in sizes:
+            fitting = [(r, b) for b, r in enumerate(room) if r >= size]
+            r, b = min(fitting)
+            room[b] -= size
+            want.append(b)
+        assert shards.best_fit_decreasing(sizes, bins, capacity) == want
+        assert shards.best_fit_decreasing(sizes, bins, -(-total // bins) - 1) is None
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3).selectExpr("*", "'x' AS score", "1 AS id", "2 AS axis")
+
+
+def brute_force(rows, queries, k):
+    usable = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            usable[i] = np.array(v, np.float32).astype(float)
+    out = {}
+    for q in sorted(queries & usable.keys()):
+        others = [(-round(float(usable[q] @ v), 12), i) for i, v in usable.items() if i != q and len(v) == len(usable[q])]
+        out[q] = [i for _, i in sorted(others)[:k]]
+    return out
+
+
+def search(spark, rows, queries, k, **more):
+    asked = spark.createDataFrame([(q,) for q in queries], "vec_id long")
+    out = {}
+    for r in sorted(neighbours.nearest(vectors(spark, rows), asked, k, **more).collect(), key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append(r.vec_id)
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def test_neighbours_in_all_bins_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    chance = np.random.default_rng(4)
+    rows = [(i, chance.normal(size=6).round(2).tolist()) for i in range(150)]
+    rows += [(200 + i, rows[3][1]) for i in range(40)]  # equal vectors: ties go to the smaller id
+    rows += [(300, None), (301, []), (302, [0.0] * 6), (303, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (304, [float("nan")] * 6), (305, [float("inf")] * 6), (None, [1.0] * 6)]
+    rows += [(400, [1.0, 2.0]), (401, [2.0, 1.0]), (402, [1.0]), rows[5]]
+    queries = {0, 3, 5, 201, 239, 300, 302, 304, 400, 402, 999}
+    got = search(spark, rows, queries, 5, probes=10**6)
+    want = brute_force(rows, queries, 5)
+    assert got == {q: v for q, v in want.items() if v}
+
+
+def test_recall(spark):
+    chance = np.random.default_rng(5)
+    centres = chance.normal(size=(20, 32))
+    rows = [(i, (centres[i % 20] + 0.7 * chance.normal(size=32)).tolist()) for i in range(2000)]
+    queries = set(range(0, 2000, 20))
+    got, want = search(spark, rows, queries, 20), brute_force(rows, queries, 20)
+    assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) > 0.9
+
+
+def test_few_vectors(spark):
+    assert search(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], {0, 1}, 20, probes=99) == {0: [2, 1], 1: [2, 0]}
+    assert search(spark, [(0, [1.0])], {0}, 20) == {}
+    assert search(spark, [], {0}, 20) == {}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 64, 65])
+def test_rotations_keep_lengths(n):
+    x = np.random.default_rng(n).normal(size=(20, n))
+    y = neighbours.rotated(x, 3, 11)
+    assert np.allclose(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
+    axes = neighbours.nearest_axes(y, 1)[:, 0]
+    assert (axes == neighbours.nearest_axes(y, 4)[:, 0]).all()

@@ -19,8 +19,6 @@ some shards stay empty.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskstream.session import stored
@@ -33,19 +31,66 @@ ROW_BYTES = 8
 STRETCH = 50_000
 
 
-def best_fit_decreasing(sizes: list[tuple[int, int]], bins: int, capacity: int) -> list[int] | None:
-    """The bin of each item, (size, id) in order of size, largest first; None if the bins don't suffice.
+class Rooms:
+    """Bins by the room they have left: a balanced tree (a treap, whose priorities are fixed by a multiplier).
 
-    Bins wait in a sorted list of (room, bin), the balanced tree's part: of a fixed
-    number of bins, it is searched and changed in as many steps as a tree's height.
+    A node is [(room, bin), priority, nodes before, nodes after].
     """
-    room, out = [(capacity, b) for b in range(bins)], []
+
+    def __init__(self, bins: int, capacity: int):
+        self.top = None
+        for b in range(bins):
+            self.add(capacity, b)
+
+    def add(self, room: int, b: int) -> None:
+        node = [(room, b), (b + 1) * 2654435761 % (1 << 32), None, None]
+        before, after = self._split(self.top, node[0])
+        self.top = self._merge(self._merge(before, node), after)
+
+    def take_tightest(self, size: int) -> tuple[int, int] | None:
+        """Remove the bin with the least room that is enough, the first of equal ones."""
+        before, enough = self._split(self.top, (size, -1))
+        if enough is None:
+            self.top = before
+            return None
+        found = enough
+        while found[2] is not None:
+            found = found[2]
+        _, after = self._split(enough, (found[0][0], found[0][1] + 1))
+        self.top = self._merge(before, after)
+        return found[0]
+
+    def _split(self, node, key):
+        """The nodes below a key, and the others."""
+        if node is None:
+            return None, None
+        if node[0] < key:
+            low, high = self._split(node[3], key)
+            node[3] = low
+            return node, high
+        low, high = self._split(node[2], key)
+        node[2] = high
+        return low, node
+
+    def _merge(self, low, high):
+        if low is None or high is None:
+            return low or high
+        if low[1] > high[1]:
+            low[3] = self._merge(low[3], high)
+            return low
+        high[2] = self._merge(low, high[2])
+        return high
+
+
+def best_fit_decreasing(sizes: list[tuple[int, int]], bins: int, capacity: int) -> list[int] | None:
+    """The bin of each item, (size, id) in order of size, largest first; None if the bins don't suffice."""
+    rooms, out = Rooms(bins, capacity), []
     for size, _ in sizes:
-        at = bisect_left(room, (size, -1))
-        if at == len(room):
+        found = rooms.take_tightest(size)
+        if found is None:
             return None
-        left, b = room.pop(at)
-        insort(room, (left - size, b))
+        room, b = found
+        rooms.add(room - size, b)
         out.append(b)
     return out
 

@@ -216,13 +216,16 @@ def similar_links(df: DataFrame, similarity: Similarity) -> DataFrame:
     by_signature = Window.partitionBy("signature").orderBy("member").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     centred = signed.select("member", F.first("member").over(by_signature).alias("centre"))
     pairs = stored(centred.where("member <> centre").distinct(), "candidates")
-    sizes = pairs.groupBy("centre").agg((F.count(F.lit(1)) + 1).alias("n"))
-    members = pairs.join(sizes, "centre").unionByName(sizes.select(F.col("centre").alias("member"), "centre", "n"))
-    blocks = F.ceil(F.col("n") / BLOCK)
+    # Few centres have more members than a block: stored, so that they are broadcast if they are few
+    # enough, and else join in a way that splits a centre with very many.
+    crowded = stored(pairs.groupBy("centre").agg((F.count(F.lit(1)) + 1).alias("n")).where(F.col("n") > BLOCK), "crowded")
+    centres = pairs.select(F.col("centre").alias("member"), "centre").distinct()
+    members = pairs.unionByName(centres).join(crowded, "centre", "left")
+    blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1))
     own = F.pmod(F.xxhash64("member", "centre"), blocks)
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     members = members.withColumn("own", own).withColumn("other", other)
-    members = members.select(F.col("member").alias("key"), "centre", "n", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    members = members.select(F.col("member").alias("key"), "centre", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
 
     wanted = pairs.select("member").unionByName(pairs.select(F.col("centre").alias("member"))).select(F.xxhash64("member").alias("key"))
     # The filter is of a fixed size; whatever it lets pass, the join decides.

@@ -46,7 +46,26 @@ def op2_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-@query("op3_jaccard_join")
+#: The words of each document, as a list.
+WORDS_SQL = r"SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all({text}, '[^\x20\x09-\x0D]+'), []) AS words FROM documents"
+LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op3_jaccard_join",
+    f"""WITH RECURSIVE listed AS MATERIALIZED ({WORDS_SQL.format(text=LOWER_SQL)}),
+    sets AS MATERIALIZED (
+      SELECT DISTINCT r, array_to_string(words[i : i + 3], ' ') AS shingle FROM listed, unnest(generate_series(1, len(words) - 3)) AS t(i) WHERE len(words) >= 4
+      UNION ALL SELECT r, array_to_string(words, ' ') FROM listed WHERE len(words) BETWEEN 1 AND 3),
+    sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM sets GROUP BY r),
+    links AS MATERIALIZED (
+      SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS common FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.r <> y.r GROUP BY ALL) AS pairs
+      JOIN sizes sa ON a = sa.r JOIN sizes sb ON b = sb.r WHERE 100 * common >= 85 * (sa.n + sb.n - common)),
+    reached(r, c) AS (SELECT r, r FROM listed UNION SELECT reached.r, b FROM reached JOIN links ON c = a)
+    SELECT listed.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other.doc_id) AS component_id
+    FROM listed JOIN reached ON listed.r = reached.r JOIN listed AS other ON c = other.r LEFT JOIN sizes ON listed.r = sizes.r
+    GROUP BY listed.r, listed.doc_id""",
+)
 def op3_jaccard_join(spark, sf_dir):
     similarity = jaccard.Similarity(words=4, share=(85, 100))
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), similarity, ["doc_id"]).drop("component")
@@ -60,7 +79,18 @@ def op4_decontamination(spark, sf_dir):
     return pairs.select("doc_id", "item_id", "n_regions", "first.*")
 
 
-@query("op5_substring_dedup")
+@query(
+    "op5_substring_dedup",
+    f"""WITH listed AS MATERIALIZED ({WORDS_SQL.format(text="text")}),
+    starts AS MATERIALIZED (SELECT r, i, array_to_string(words[i : i + 34], ' ') AS passage FROM listed, unnest(generate_series(1, len(words) - 34)) AS t(i)),
+    recurring AS (SELECT r, i FROM starts SEMI JOIN (SELECT passage FROM starts GROUP BY passage HAVING count(*) > 1) AS often USING (passage)),
+    single AS (SELECT r, j, words[j] AS word FROM listed, unnest(generate_series(1, len(words))) AS t(j)),
+    marked AS (SELECT single.r, j, word, coalesce(j - max(i) OVER (PARTITION BY single.r ORDER BY j) < 35, false) AS gone
+      FROM single LEFT JOIN recurring ON single.r = recurring.r AND j = i)
+    SELECT doc_id, len(any_value(words)) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+      sha256(coalesce(string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM listed LEFT JOIN marked ON listed.r = marked.r GROUP BY listed.r, doc_id""",
+)
 def op5_substring_dedup(spark, sf_dir):
     left = passages.remove_passages(table(spark, sf_dir, "documents"), ["doc_id"])
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from riskstream.functions import iso_text, month_label, parsed_timestamp, period_start
-from riskstream.operators import breakdown, filters, locations, ranking, trends, upsert, validate
+from riskstream.operators import breakdown, filters, locations, patterns, ranking, trends, upsert, validate
 from riskstream.operators.decode import decode, with_flag
 from riskstream.operators.measures import summary
 from riskstream.operators.sample import monthly_sample as sample_months
@@ -532,6 +532,52 @@ def sampled_kpis(spark, sf_dir):
     return breakdown.kpis(filters.facet_filter(sample_months(rows), status=["SUCCESS", "FAILED"]))
 
 
+# --- unusual behaviour ---------------------------------------------------------
+
+BY_HOUR = """SELECT customer_id, date_trunc('hour', timestamp) AS since, date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS until,
+  count(*) AS transactions FROM transaction_events"""
+
+
+@query("frequent_customers", f"WITH {EVENTS} {BY_HOUR} GROUP BY ALL HAVING count(*) >= 2")
+def frequent_customers(spark, sf_dir):
+    return patterns.frequent(transaction_events(spark, sf_dir), 2)
+
+
+@query("repeated_failures", f"WITH {EVENTS} {BY_HOUR} WHERE status = 'error' GROUP BY ALL HAVING count(*) >= 2")
+def repeated_failures(spark, sf_dir):
+    return patterns.repeated_failures(transaction_events(spark, sf_dir), 2, failed="error")
+
+
+@query(
+    "unusual_hours",
+    f"""WITH {EVENTS}, hours AS (SELECT customer_id, CAST(hour(timestamp) AS INTEGER) AS hour, count(*) AS transactions FROM transaction_events GROUP BY ALL),
+    shares AS (SELECT *, CAST(sum(transactions) OVER (PARTITION BY customer_id) AS BIGINT) AS of FROM hours)
+    SELECT customer_id, hour, transactions, of FROM shares WHERE of >= 50 AND transactions < 0.02 * of""",
+)
+def unusual_hours(spark, sf_dir):
+    return patterns.unusual_hours(transaction_events(spark, sf_dir))
+
+
+@query(
+    "new_locations",
+    f"""WITH {EVENTS} SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY first_seen, location) AS nth
+    FROM (SELECT customer_id, location, min(timestamp) AS first_seen FROM transaction_events GROUP BY ALL) QUALIFY nth > 3""",
+)
+def new_locations(spark, sf_dir):
+    return patterns.new_locations(transaction_events(spark, sf_dir), known=3)
+
+
+@query(
+    "suspicious_merchants",
+    f"""WITH {TRANSACTIONS}, merchants AS (SELECT merchant, count(*) AS transactions, count(*) FILTER (WHERE is_suspicious) AS suspicious
+      FROM transactions WHERE merchant IS NOT NULL GROUP BY merchant)
+    SELECT * FROM merchants WHERE transactions >= 100
+      AND suspicious * (SELECT sum(transactions) FROM merchants) > (SELECT sum(suspicious) FROM merchants) * transactions""",
+)
+def suspicious_merchants(spark, sf_dir):
+    return patterns.suspicious_merchants(transactions(spark, sf_dir, ("merchant", "amount", FLAG)))
+
+
 # --- conflict rules, as a batch ------------------------------------------------
 
 

@@ -41,10 +41,13 @@ from riskstream.session import stored
 #: Words of a window and of an anchor.
 WINDOW, GRAM = 35, 8
 #: An anchor is hot from this many stretches on, and from this share of all: one in HOT_SHARE.
-HOT, HOT_SHARE = 4096, 1_000_000
+HOT, HOT_SHARE = 4096, 10_000_000
 #: Stretches in one automaton, about.
 CHUNK = 4096
 
+#: Different words for which one character each is enough.
+ONE_CHARACTER = 1_000_000
+
 _BASE = U64(0x9E3779B97F4A7C15)
 _INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 
@@ -87,7 +90,8 @@ class Stretches:
 
     def spread(self, hot: np.ndarray) -> tuple[np.ndarray, ...]:
         """text, at, windows, key, own and whether a window stands by itself; the stretches of hot anchors by window."""
-        is_hot = np.isin(self.anchor, hot)
+        at = np.minimum(np.searchsorted(hot, self.anchor), max(len(hot) - 1, 0))
+        is_hot = hot[at] == self.anchor if len(hot) else np.zeros(len(at), bool)
         times = np.where(is_hot, self.windows, 1)
         which = np.repeat(np.arange(len(times)), times)
         step = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
@@ -104,8 +108,8 @@ def _key(text: str, order: str) -> list:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(order, text).alias("k2")]
 
 
-def _hot_anchors(docs: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
-    """(key) of the anchors that occur twice, and the hot ones."""
+def _anchors(docs: DataFrame, window: int) -> tuple[DataFrame, np.ndarray]:
+    """(key) of the anchors that occur twice, and the hot ones, sorted: HOT_SHARE numbers at most, 80 MB."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,14 +120,14 @@ def _hot_anchors(docs: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
     counted = docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     twice = stored(counted.where("n > 1"), "anchors")
     total = twice.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = twice.where((F.col("n") > HOT) & (F.col("n") * HOT_SHARE > total))  # fewer than HOT_SHARE
-    return twice.select("key"), [row[0] for row in hot.select("key").collect()]
+    hot = twice.where((F.col("n") > HOT) & (F.col("n") * HOT_SHARE > total)).select("key").toArrow()
+    return twice.select("key"), np.sort(hot.column("key").to_numpy().view(np.uint64))
 
 
 def _occurrences(docs: DataFrame, window: int) -> DataFrame:
     """(key, own, k1, k2, at, windows) of every stretch that may hold a recurring window."""
-    twice, hot = _hot_anchors(docs, window)
-    sent = docs.sparkSession.sparkContext.broadcast(np.array(sorted(hot), np.int64).view(np.uint64))
+    twice, hot = _anchors(docs, window)
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,8 +171,11 @@ def _texts(docs: DataFrame, occurrences: DataFrame, window: int) -> DataFrame:
     return held.join(wanted, ["k1", "k2"]).select("text", "wanted").mapInArrow(cut, "key long, own long, n long, text binary")
 
 
-def recurring_runs(stretches: list[tuple[int, str]], window: int) -> Iterator[str]:
-    """The maximal runs of windows that occur twice or more in (times, words) with one anchor."""
+def recurring_runs(stretches: list[tuple[int, str]], window: int, step: int = 1) -> Iterator[str]:
+    """The maximal runs of windows that occur twice or more in (times, words) with one anchor.
+
+    ``window`` and ``step``, that of a word, are in characters.
+    """
     if len(stretches) == 1:
         times, words = stretches[0]
         if times > 1:
@@ -176,34 +183,36 @@ def recurring_runs(stretches: list[tuple[int, str]], window: int) -> Iterator[st
             return
     seen: Counter = Counter()
     for times, words in stretches:
-        for i in range(len(words) - window + 1):
+        for i in range(0, len(words) - window + 1, step):
             seen[words[i : i + window]] += times
     for _, words in stretches:
         since = None
-        for i in range(len(words) - window + 2):
+        for i in range(0, len(words) - window + step + 1, step):
             if i + window <= len(words) and seen[words[i : i + window]] > 1:
                 since = i if since is None else since
             elif since is not None:
-                yield words[since : i + window - 1]
+                yield words[since : i + window - step]
                 since = None
 
 
+def _spelled(texts: list[bytes]) -> tuple[list[str], int]:
+    """Texts with a character for each word, or two from different ranges if one can't tell them all apart."""
+    numbers: dict[bytes, int] = {}
+    numbered = [[numbers.setdefault(word, len(numbers)) for word in text.split()] for text in texts]
+    free = 0x100  # no surrogates: numbers from 0xD700 on are moved behind them
+    if len(numbers) <= ONE_CHARACTER:
+        return ["".join([chr(n + (free if n < 0xD700 else 0x900)) for n in text]) for text in numbered], 1
+    return ["".join([chr(free + (n >> 14)) + chr(0x20000 + (n & 0x3FFF)) for n in text]) for text in numbered], 2
+
+
 def locate(stretches: list[tuple[int, int, int, bytes]], window: int) -> Iterator[tuple[int, int, int, int]]:
     """Where recurring phrases lie in (key, own, n, text), whole anchors in order: (key, own, from, to) in words."""
-    symbols: dict[bytes, str] = {}  # a character for each word
-    texts = []
-    for _, _, _, text in stretches:
-        letters = []
-        for word in text.split():
-            if (letter := symbols.get(word)) is None:
-                letter = symbols[word] = chr(len(symbols) + (0x100 if len(symbols) < 0xD700 else 0x900))
-            letters.append(letter)
-        texts.append("".join(letters))
+    texts, step = _spelled([text for _, _, _, text in stretches])
     automaton, known, group = ahocorasick.Automaton(), set(), []
     for i, (key, _, n, _) in enumerate(stretches):
         group.append((n, texts[i]))
         if i + 1 == len(stretches) or stretches[i + 1][0] != key:
-            for phrase in recurring_runs(group, window):
+            for phrase in recurring_runs(group, window * step, step):
                 if phrase not in known:
                     known.add(phrase)
                     automaton.add_word(phrase, len(phrase))
@@ -217,11 +226,11 @@ def locate(stretches: list[tuple[int, int, int, bytes]], window: int) -> Iterato
         for a, b in spans:
             if a > until:
                 if until > 0:
-                    yield key, own, since, until
+                    yield key, own, since // step, until // step
                 since, until = a, b
             until = max(until, b)
         if until > 0:
-            yield key, own, since, until
+            yield key, own, since // step, until // step
 
 
 def _located(texts: DataFrame, window: int) -> DataFrame:

@@ -60,6 +60,7 @@ def test_against_all_windows(spark, documents, window):
 
 def test_hot_anchors_give_the_same(spark, documents, monkeypatch):
     monkeypatch.setattr(passages, "HOT", 2)
+    monkeypatch.setattr(passages, "HOT_SHARE", 10**9)
     monkeypatch.setattr(passages, "CHUNK", 5)
     check(spark, documents, 35)
 
@@ -81,6 +82,14 @@ def test_phrases_are_located_wherever_they_lie():
     assert found == [(1, 1, 0, 8), (1, 2, 0, 20), (2, 3, 0, 12)] or found == [(1, 1, 0, 8), (1, 2, 0, 8), (1, 2, 8, 20), (2, 3, 0, 12)]
 
 
+def test_two_characters_for_a_word(spark, documents, monkeypatch):
+    monkeypatch.setattr(passages, "ONE_CHARACTER", 0)
+    check(spark, documents, 8)
+    words = " ".join(map(str, range(100_000)))
+    assert passages._spelled([words.encode()])[1] == 2
+    assert list(passages.locate([(1, 1, 2, words.encode())], 35)) == [(1, 1, 0, 100_000)]
+
+
 def test_more_words_than_fit_below_the_surrogates():
     words = [str(i) for i in range(60_000)]
     text = " ".join(words).encode()

@@ -399,8 +399,8 @@ def suspicious_by_month(spark, sf_dir):
 
 
 def in_top_locations(spark, sf_dir, *columns):
-    """Rows of the busiest locations, which are found from counts and picked before orders are looked up."""
-    top = locations.top_locations(by_customer(spark, sf_dir, ("location",))).select("location")
+    """Rows of the busiest locations, which are found from counts, once, and picked before orders are looked up."""
+    top = stored(locations.top_locations(by_customer(spark, sf_dir, ("location",))).select("location"), "top-locations")
     return transactions(spark, sf_dir, ("location", *columns), among=top)
 
 

@@ -1,10 +1,13 @@
-"""Approximate nearest neighbours by cross-polytope hashing.
+"""Approximate nearest neighbours by cross-polytope hashing, exact where that costs no more.
 
-A table turns unit vectors by a fast pseudo-rotation, three rounds of random signs and a
+A table turns directions by a fast pseudo-rotation, three rounds of random signs and a
 Hadamard transform, and assigns each to its nearest signed axis. A query looks in the bins of the
-PROBES axes nearest to it, in each of TABLES tables, and what it finds is ranked by the exact
-inner product. Every vector is in every table. If lengths differ, vectors get one more coordinate
-that brings them to one length, so that the nearest in angle has the largest inner product.
+axes nearest to it, in each of TABLES tables, and what it finds is ranked by the exact
+inner product. Every vector is in every table. Vectors are cut into bands of length, so that in
+a band the nearest in angle has about the largest inner product.
+
+A band is searched whole if it is small, or if the probes would cost as much; and every query that
+finds fewer vectors than were asked for and there are is searched whole in all bands.
 
 A bin is searched in blocks: its vectors and its queries are split by hash into parts of
 about BLOCK, every part of queries meets every part of vectors, and a block gives each query's best.
@@ -27,8 +30,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from riskstream.session import stored
 
-#: Tables and probes: recall 0.97 on random vectors of 64 dimensions, the hardest case; see the README.
+#: Tables, and the fewest probes of a band that is not searched whole.
 TABLES, PROBES = 8, 16
+#: Lengths of a band are up to so many times its shortest.
+BAND = 1.25
 #: Vectors or queries in a block.
 BLOCK = 4096
 #: Lengths that differ less than this don't count as different.
@@ -57,6 +62,11 @@ def rotated(x: np.ndarray, table: int, seed: int) -> np.ndarray:
     return x
 
 
+def axes(dim: int) -> int:
+    """The number of signed axes of a table."""
+    return 2 << max(1, (dim - 1).bit_length())
+
+
 def nearest_axes(x: np.ndarray, probes: int) -> np.ndarray:
     """For each row the nearest signed axes, nearest first: 2 * axis, and 1 more for its negative end."""
     both = np.stack([x, -x], axis=2).reshape(len(x), -1)
@@ -66,7 +76,7 @@ def nearest_axes(x: np.ndarray, probes: int) -> np.ndarray:
 
 
 def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, v, length): vectors that take part, as 64-bit numbers."""
+    """(id, v, dim, length): vectors that take part, as 64-bit numbers."""
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,32 +91,32 @@ def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vectors, pa.binary()), pa.array(lengths, pa.float64())], ["id", "v", "length"])
 
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
-    return rows.mapInArrow(clean, "id long, v binary, length double").dropDuplicates(["id"])
+    found = rows.mapInArrow(clean, "id long, v binary, length double").dropDuplicates(["id"])
+    return found.withColumn("dim", (F.octet_length("v") / 8).cast("int"))
+
 
+def _whole(rows: DataFrame) -> DataFrame:
+    """Rows in the one bin of their dimension in which everything meets."""
+    return rows.select("dim", F.lit(-1).alias("band"), F.lit(0).alias("bin_table"), F.lit(0).alias("axis"), "id", "v")
 
-def _binned(rows: DataFrame, tables: int, probes: int, seed: int, longest: float | None, query: bool) -> DataFrame:
-    """(dim, bin_table, axis, id, v): each vector in the bins of its nearest axes of each table."""
+
+def _binned(rows: DataFrame, tables: int, seed: int) -> DataFrame:
+    """(dim, band, bin_table, axis, id, v): each vector in the bins of its ``probes`` nearest axes of each table."""
 
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_size = batch.column("v").to_pylist()
-            sizes = np.array([len(v) for v in by_size])
-            for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                x = np.frombuffer(b"".join(by_size[i] for i in at), np.float64).reshape(len(at), -1)
-                if longest is not None:  # the further coordinate
-                    rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(longest**2 - (x**2).sum(axis=1), 0))
-                    x = np.column_stack([x, rest])
+            kinds = np.column_stack([batch.column(c).to_numpy() for c in ("dim", "probes")])
+            for dim, probes in np.unique(kinds, axis=0).tolist():
+                taken = batch.take(pa.array(np.flatnonzero((kinds == (dim, probes)).all(axis=1))))
+                x = np.frombuffer(b"".join(taken.column("v").to_pylist()), np.float64).reshape(-1, dim)
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                taken = batch.take(pa.array(at))
                 for table in range(tables):
                     axes = nearest_axes(rotated(x, table, seed), probes)
-                    each = taken.take(pa.array(np.repeat(np.arange(len(at)), axes.shape[1])))
-                    n = each.num_rows
-                    columns = [pa.array(np.full(n, size, np.int32)), pa.array(np.full(n, table, np.int32)), pa.array(axes.ravel().astype(np.int32)), each.column("id"), each.column("v")]
-                    yield pa.RecordBatch.from_arrays(columns, ["dim", "bin_table", "axis", "id", "v"])
+                    each = taken.take(pa.array(np.repeat(np.arange(len(x)), axes.shape[1])))
+                    columns = [each.column("dim"), each.column("band"), pa.array(np.full(each.num_rows, table, np.int32)), pa.array(axes.ravel().astype(np.int32)), each.column("id"), each.column("v")]
+                    yield pa.RecordBatch.from_arrays(columns, ["dim", "band", "bin_table", "axis", "id", "v"])
 
-    return rows.select("id", "v").mapInArrow(hash_all, "dim int, bin_table int, axis int, id long, v binary")
+    return rows.select("dim", "band", "probes", "id", "v").mapInArrow(hash_all, "dim int, band int, bin_table int, axis int, id long, v binary")
 
 
 def _best(ids: np.ndarray, points: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,21 +135,10 @@ def _best(ids: np.ndarray, points: np.ndarray, queries: np.ndarray, k: int) -> t
     return query, ids[point], np.einsum("ij,ij->i", queries[query], points[point])
 
 
-def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding", tables: int = TABLES, probes: int = PROBES, seed: int = 11) -> DataFrame:
-    """query_id, rank, vec_id and score: each query's nearest k other vectors. ``queries`` has the key of the rows to search for."""
-    chosen = queries.select(F.col(key).cast("long").alias("id")).distinct().withColumn("is_query", F.lit(True))
-    rows = stored(_vectors(df, key, vector).join(chosen, "id", "left").fillna(False, ["is_query"]), "vectors")
-    shortest, longest = rows.agg(F.min("length"), F.max("length")).first()
-    differ = shortest is not None and longest - shortest > SAME_LENGTH * longest
-
-    # of equal vectors the first k and the query's own can be asked for
-    nth = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    points = rows.select("id", "v", nth.alias("nth")).where(F.col("nth") <= k + 1).drop("nth")
-    distinct = rows.where("is_query").groupBy("v").agg(F.min("id").alias("id"))
-    points = _binned(points, tables, 1, seed, longest if differ else None, False)
-    searched = _binned(distinct, tables, probes, seed, longest if differ else None, True)
-    bins = ["dim", "bin_table", "axis"]
-    # as many rows as there are tables and axes
+def _hits(points: DataFrame, searched: DataFrame, k: int) -> DataFrame:
+    """asked, vec_id and score: the best k of what the bins of each query hold, at least."""
+    bins = ["dim", "band", "bin_table", "axis"]
+    # as many rows as there are bands, tables and axes
     parts = points.groupBy(*bins).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("np"))
     asked = searched.groupBy(*bins).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nq"))
     grid = stored(parts.join(asked, bins), "bins")
@@ -159,7 +158,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
             query = id_ = score = np.zeros(0, np.int64)
             if sides[0] and sides[1]:
                 (pids, points), (qids, asked) = ((np.array([i for i, _ in s]), np.frombuffer(b"".join(v for _, v in s), np.float64).reshape(len(s), -1)) for s in sides)
-                which, id_, score = _best(pids, points, asked, k + 1)
+                which, id_, score = _best(pids, points, asked, k)
                 query = qids[which]
             return pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(id_, pa.int64()), pa.array(score, pa.float64())], ["asked", "vec_id", "score"])
 
@@ -171,13 +170,67 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
                 sides[query].append((i, v))
         yield found()
 
-    hits = together.repartition(*block).sortWithinPartitions(*block, "query", "id").mapInArrow(search, "asked long, vec_id long, score double")
-    order = [F.desc(F.round("score", DIGITS)), "vec_id"]
+    return together.repartition(*block).sortWithinPartitions(*block, "query", "id").mapInArrow(search, "asked long, vec_id long, score double")
+
+
+def _order() -> list:
+    return [F.desc(F.round("score", DIGITS)), "vec_id"]
+
+
+def _first(hits: DataFrame, k: int) -> DataFrame:
+    """The best k of each query."""
     hits = hits.groupBy("asked", "vec_id").agg(F.max("score").alias("score"))
-    hits = hits.withColumn("at", F.row_number().over(Window.partitionBy("asked").orderBy(*order))).where(F.col("at") <= k + 1).drop("at")
+    return hits.withColumn("at", F.row_number().over(Window.partitionBy("asked").orderBy(*_order()))).where(F.col("at") <= k).drop("at")
+
+
+def _probes(cells: dict[tuple[int, int], int], asked: dict[int, int], tables: int, wanted: dict[tuple[int, int], int]) -> dict[tuple[int, int], int]:
+    """Probes of the bands (dim, band) that are cheaper to search by bins than whole, of those wanted."""
+    out = {}
+    for (dim, band), probes in wanted.items():
+        n, q, bins = cells[dim, band], asked[dim], axes(dim)
+        fewer_rows = n * -(-q // BLOCK) + q * -(-n // BLOCK) <= tables * (n + q * probes)
+        if not (tables * probes >= bins and fewer_rows) and tables * probes < 2 * bins:
+            out[dim, band] = probes
+    return out
+
+
+def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding", tables: int = TABLES, probes: int | None = None, seed: int = 11) -> DataFrame:
+    """query_id, rank, vec_id and score: each query's nearest k other vectors. ``queries`` has the key of the rows to search for.
+
+    Probes that are given hold for all bands but the small ones.
+    """
+    spark = df.sparkSession
+    chosen = queries.select(F.col(key).cast("long").alias("id")).distinct().withColumn("is_query", F.lit(True))
+    rows = stored(_vectors(df, key, vector).join(chosen, "id", "left").fillna(False, ["is_query"]), "vectors")
+    # of equal vectors the first k and the query's own can be asked for
+    nth = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    points = rows.select("dim", "id", "v", "length", nth.alias("nth")).where(F.col("nth") <= k + 1)
+    longest = rows.groupBy("dim").agg(F.max(F.log("length")).alias("most"))
+    shorter = F.greatest(F.col("most") - F.log("length") - SAME_LENGTH, F.lit(0.0))
+    points = points.join(F.broadcast(longest), "dim").select("dim", F.floor(shorter / float(np.log(BAND))).cast("int").alias("band"), "id", "v")
+    points = stored(points, "points")
+    distinct = stored(rows.where("is_query").groupBy("dim", "v").agg(F.min("id").alias("id")), "queries")
+    # as many rows as there are dimensions and bands
+    cells = {(r.dim, r.band): r.n for r in points.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n")).collect()}
+    asked = {r.dim: r.n for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    large = [cell for cell, n in cells.items() if n > BLOCK and cell[0] in asked]
+    if probes is not None:
+        plan = {cell: min(probes, axes(cell[0])) for cell in large}
+    else:
+        plan = _probes(cells, asked, tables, {cell: max(PROBES, axes(cell[0]) // 8) for cell in large})
+    binned = spark.createDataFrame([(*cell, n) for cell, n in plan.items()], "dim int, band int, probes int")
+    by_bin = points.join(F.broadcast(binned), ["dim", "band"])
+    hits = _hits(_whole(points.join(F.broadcast(binned), ["dim", "band"], "left_anti")), _whole(distinct), k + 1)
+    if plan:
+        near = _hits(_binned(by_bin.withColumn("probes", F.lit(1)), tables, seed), _binned(distinct.join(F.broadcast(binned), "dim"), tables, seed), k + 1)
+        hits = stored(_first(hits.unionByName(near), k + 1), "hits")
+        there = points.groupBy("dim").agg(F.least(F.count(F.lit(1)), F.lit(k + 1)).alias("there"))
+        found = hits.groupBy(F.col("asked").alias("id")).agg(F.count(F.lit(1)).alias("found"))
+        short = distinct.join(F.broadcast(there), "dim").join(found, "id", "left").where("coalesce(found, 0) < there")
+        hits = hits.unionByName(_hits(_whole(by_bin), _whole(stored(short.select("dim", "id", "v"), "short")), k + 1))
+    hits = _first(hits, k + 1)
     first = F.min("id").over(Window.partitionBy("v"))
     people = rows.where("is_query").select(F.col("id").alias("query_id"), first.alias("asked"))
     others = people.join(hits, "asked").where("vec_id <> query_id")
-    ranked = others.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    ranked = others.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*_order())))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-

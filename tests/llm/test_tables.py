@@ -167,3 +167,21 @@ def test_rotations_keep_lengths(n):
     assert np.allclose(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
     axes = neighbours.nearest_axes(y, 1)[:, 0]
     assert (axes == neighbours.nearest_axes(y, 4)[:, 0]).all()
+
+
+def recall(got, want):
+    assert {q: len(v) for q, v in got.items()} == {q: len(v) for q, v in want.items() if v}
+    return np.mean([len(set(got[q]) & set(want[q])) / len(want[q]) for q in want])
+
+
+def test_neighbours_of_vectors_of_any_length(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    chance = np.random.default_rng(6)
+    for outlier, spread in ((100.0, 0.0), (1.0, 0.5)):
+        x = chance.normal(size=(1500, 64))
+        x *= np.exp(spread * chance.normal(size=(1500, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+        x[7] *= outlier
+        rows, queries = list(enumerate(x.tolist())), set(range(0, 1500, 20))
+        assert recall(search(spark, rows, queries, 20), brute_force(rows, queries, 20)) > 0.95
+    # bins that hold too little: all vectors of a dimension count, whatever the probes
+    assert recall(search(spark, rows, queries, 20, tables=1, probes=1), brute_force(rows, queries, 20)) > 0

@@ -4,7 +4,8 @@ A table turns directions by a fast pseudo-rotation, three rounds of random signs
 Hadamard transform, and assigns each to its nearest signed axis. A query looks in the bins of the
 axes nearest to it, in each of TABLES tables, and what it finds is ranked by the exact
 inner product. Every vector is in every table. Vectors are cut into bands of length, so that in
-a band the nearest in angle has about the largest inner product.
+a band the nearest in angle has about the largest inner product. A band has its own number of probes:
+it is measured on a sample of queries that are searched exactly first (RECALL).
 
 A band is searched whole if it is small, or if the probes would cost as much; and every query that
 finds fewer vectors than were asked for and there are is searched whole in all bands.
@@ -32,6 +33,8 @@ from riskstream.session import stored
 
 #: Tables, and the fewest probes of a band that is not searched whole.
 TABLES, PROBES = 8, 16
+#: Probes are raised until so many of the neighbours of SAMPLE queries of a dimension are in their bins.
+RECALL, SAMPLE = 0.98, 64
 #: Lengths of a band are up to so many times its shortest.
 BAND = 1.25
 #: Vectors or queries in a block.
@@ -183,6 +186,32 @@ def _first(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("at", F.row_number().over(Window.partitionBy("asked").orderBy(*_order()))).where(F.col("at") <= k).drop("at")
 
 
+def _needs(points: DataFrame, distinct: DataFrame, dims: list[int], k: int, tables: int, seed: int) -> DataFrame:
+    """dim, band, need and count: probes that find a neighbour, of the exact neighbours of a sample of queries."""
+    nth = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id"))
+    some = distinct.where(F.col("dim").isin(dims)).withColumn("nth", nth).where(F.col("nth") <= SAMPLE)
+    some = stored(some.select("dim", "id", "v"), "sample")
+    exact = _first(_hits(_whole(points), _whole(some), k + 1), k + 1).where("asked <> vec_id")
+    pairs = exact.join(some.select(F.col("id").alias("asked"), F.col("v").alias("query")), "asked")
+    pairs = pairs.join(points.withColumnRenamed("id", "vec_id"), "vec_id").select("dim", "band", "query", "v")
+
+    def need(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                taken = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                query, point = (np.frombuffer(b"".join(taken.column(c).to_pylist()), np.float64).reshape(-1, dim) for c in ("query", "v"))
+                least = np.full(len(query), axes(dim), np.int64)
+                for table in range(tables):
+                    at = nearest_axes(rotated(point / np.linalg.norm(point, axis=1, keepdims=True), table, seed), 1)
+                    turned = rotated(query / np.linalg.norm(query, axis=1, keepdims=True), table, seed)
+                    both = np.stack([turned, -turned], axis=2).reshape(len(turned), -1)
+                    least = np.minimum(least, (both >= np.take_along_axis(both, at, 1)).sum(axis=1))
+                yield pa.RecordBatch.from_arrays([taken.column("dim"), taken.column("band"), pa.array(least)], ["dim", "band", "need"])
+
+    return pairs.mapInArrow(need, "dim int, band int, need long").groupBy("dim", "band", "need").count()
+
+
 def _probes(cells: dict[tuple[int, int], int], asked: dict[int, int], tables: int, wanted: dict[tuple[int, int], int]) -> dict[tuple[int, int], int]:
     """Probes of the bands (dim, band) that are cheaper to search by bins than whole, of those wanted."""
     out = {}
@@ -217,7 +246,14 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     if probes is not None:
         plan = {cell: min(probes, axes(cell[0])) for cell in large}
     else:
-        plan = _probes(cells, asked, tables, {cell: max(PROBES, axes(cell[0]) // 8) for cell in large})
+        # those left when the fewest probes cost less than all
+        plan = _probes(cells, asked, tables, {cell: min(PROBES, axes(cell[0])) for cell in large})
+        needs: dict[tuple[int, int], list[int]] = {cell: [] for cell in plan}
+        for r in _needs(points, distinct, sorted({dim for dim, _ in plan}), k, tables, seed).collect() if plan else []:
+            needs.get((r.dim, r.band), []).extend([r.need] * r["count"])
+        # a band that holds no neighbours of the sample: an eighth of its bins
+        wanted = {cell: max(PROBES, int(np.quantile(x, RECALL, method="higher")) if x else axes(cell[0]) // 8) for cell, x in needs.items()}
+        plan = _probes(cells, asked, tables, wanted)
     binned = spark.createDataFrame([(*cell, n) for cell, n in plan.items()], "dim int, band int, probes int")
     by_bin = points.join(F.broadcast(binned), ["dim", "band"])
     hits = _hits(_whole(points.join(F.broadcast(binned), ["dim", "band"], "left_anti")), _whole(distinct), k + 1)

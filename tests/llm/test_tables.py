@@ -185,3 +185,15 @@ def test_neighbours_of_vectors_of_any_length(spark, monkeypatch):
         assert recall(search(spark, rows, queries, 20), brute_force(rows, queries, 20)) > 0.95
     # bins that hold too little: all vectors of a dimension count, whatever the probes
     assert recall(search(spark, rows, queries, 20, tables=1, probes=1), brute_force(rows, queries, 20)) > 0
+
+
+def test_neighbours_in_many_dimensions(spark, monkeypatch):
+    chance = np.random.default_rng(7)
+    for n in (10, 25):  # few vectors see all others
+        rows = list(enumerate(chance.normal(size=(n, 64)).tolist()))
+        assert search(spark, rows, {0, 1}, 20) == brute_force(rows, {0, 1}, 20)
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    for noise in (0.3, 30.0):  # near copies, and as good as no neighbours
+        x = np.repeat(chance.normal(size=(60, 256)), 25, axis=0) + noise * chance.normal(size=(1500, 256))
+        rows, queries = list(enumerate((x / np.linalg.norm(x, axis=1, keepdims=True)).tolist())), set(range(0, 1500, 20))
+        assert recall(search(spark, rows, queries, 20), brute_force(rows, queries, 20)) > 0.95

@@ -9,6 +9,12 @@ bands of diagonals, each twice as wide as the budget; bands that reach the bound
 and verified by an alignment inside the band. Characters are UTF-8 bytes, A-Z as a-z
 and all white space as blanks.
 
+Of a text that holds no region of an item, every passage of PASSAGE characters of the item, at whatever
+place it begins, is searched by the same lemma: q-grams are indexed once at their places in the item, and
+where enough of a band lie within the length of a passage, the passages there are aligned. So an
+excerpt that covers no whole region is found, and an item of which a word in the middle is replaced. The
+pair of text and item then has one row, the passage with the fewest edits.
+
 Texts are read once and whole, next to an index of the benchmark, which is sent to the
 executors in blocks of bounded size: a larger benchmark takes one pass a block.
 
@@ -34,6 +40,8 @@ from riskstream.llm.workers import held, small_batches
 
 #: Characters of a region, and from one to the next of an item.
 REGION, STRIDE = 96, 48
+#: Characters of the shortest excerpt that is found.
+PASSAGE = 44
 #: Length of a q-gram, edits allowed as a share of a region's length, characters of the shortest item.
 Q, EDITS, SHORTEST = 12, 0.05, 32
 #: Characters of benchmark text in one block of the index.
@@ -91,10 +99,12 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         regions: defaultdict[bytes, list[int]] = defaultdict(list)
+        whole: defaultdict[bytes, list[int]] = defaultdict(list)
         for item, text in items:
             data = _FOLD[np.frombuffer(text.encode(), np.uint8)].tobytes()
             if len(data) < SHORTEST:
                 continue
+            whole[data].append(item)
             last = max(0, len(data) - REGION)
             for at in sorted({*range(0, last + 1, STRIDE), last}):
                 regions[data[at : at + REGION]].append(item)
@@ -103,27 +113,48 @@ class Index:
         self.budgets = (self.lengths * EDITS).astype(np.int64)
         self.bounds = self.lengths - Q + 1 - Q * self.budgets
         self.bytes = np.full((len(regions), REGION), _OUTSIDE - 1, np.uint8)
-        hashes, region, place = [], [], []
         for k, data in enumerate(regions):
-            row = np.frombuffer(data, np.uint8)
-            self.bytes[k, : len(row)] = row
-            grams = gram_hashes(row)
-            hashes.append(grams)
-            region.append(np.full(len(grams), k))
-            place.append(np.arange(len(grams)))
-        hashes = np.concatenate([np.zeros(0, U64), *hashes])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.region, self.place = (np.concatenate([np.zeros(0, np.int64), *x])[order] for x in (region, place))
+            self.bytes[k, : len(data)] = np.frombuffer(data, np.uint8)
+        self.hashes, self.region, self.place = self._grams(regions)
+        # items long enough to have passages, one after another
+        long = [data for data in whole if len(data) >= PASSAGE]
+        self.whole = [whole[data] for data in long]
+        self.text = np.frombuffer(b"".join(long), np.uint8)
+        self.begin = np.concatenate([[0], np.cumsum([len(data) for data in long])]).astype(np.int64)
+        self.item_hashes, self.item, self.item_place = self._grams(long)
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[self._address(self.hashes)] = True
 
+    @staticmethod
+    def _grams(texts) -> tuple[np.ndarray, ...]:
+        """The q-grams of some texts in order: hash, text, place."""
+        grams = [gram_hashes(np.frombuffer(data, np.uint8)) for data in texts]
+        hashes = np.concatenate([np.zeros(0, U64), *grams])
+        which = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
+        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)])
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], which[order], place[order]
+
     @staticmethod
     def _address(hashes: np.ndarray) -> np.ndarray:
         return (hashes >> U64(64 - TABLE_BITS)).astype(np.int64)
 
     def find(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
         """Of each region that a text holds: text, region, start, end, edits."""
+        return self._find(*self._shared(texts))
+
+    def find_all(self, texts: pa.Array) -> tuple[list[int], list, list[int], list[int], list[int]]:
+        """Of each region that a text holds, and of excerpts: text, item, start, end, edits."""
+        shared = self._shared(texts)
+        found = list(zip(*(x.tolist() for x in self._find(*shared))))
+        rows = [(t, item, *place) for t, r, *place in found for item in self.items[r]]
+        pairs = {row[:2] for row in rows}
+        for t, w, *place in zip(*(x.tolist() for x in self._excerpts(*shared, pairs))):
+            rows += [(t, item, *place) for item in self.whole[w]]
+        return tuple(map(list, zip(*rows))) if rows else ([],) * 5
+
+    def _shared(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """The folded texts, where each begins, and hash, place and text of the q-grams that may be in the index."""
         data, offsets = text_bytes(texts)
         data = _FOLD[data]
         hashes = gram_hashes(data)
@@ -131,10 +162,60 @@ class Index:
         text = np.searchsorted(offsets, at, "right") - 1
         inside = at + Q <= offsets[text + 1]
         at, text = at[inside], text[inside]
-        low, high = (np.searchsorted(self.hashes, hashes[at], side) for side in ("left", "right"))
+        return data, offsets, hashes[at], at, text
+
+    def _find(self, data, offsets, hashes, at, text) -> tuple[np.ndarray, ...]:
+        low, high = (np.searchsorted(self.hashes, hashes, side) for side in ("left", "right"))
         found = [self._bands(at[s], text[s], low[s], high[s]) for s in self._parts(text, high - low)]
         text, region, lowest = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-        return self._verify(data, offsets, text, region, lowest)
+        return self._verify(data, offsets, text, region, lowest, self.bytes, self.lengths, self.budgets)
+
+    def _excerpts(self, data, offsets, hashes, at, text, known: set[tuple]) -> tuple[np.ndarray, ...]:
+        """Of each item of which a text holds a passage, if not known: text, whole item, start, end, edits."""
+        low, high = (np.searchsorted(self.item_hashes, hashes, side) for side in ("left", "right"))
+        budget = int(PASSAGE * EDITS)
+        found = [np.zeros((0, 5), np.int64)]
+        for s in self._parts(text, high - low):
+            t, w, band, first, last = self._runs(at[s], text[s], low[s], high[s], budget)
+            pairs, which = np.unique(np.column_stack([t, w]), axis=0, return_inverse=True)
+            new = np.array([any((a, item) not in known for item in self.whole[b]) for a, b in pairs.tolist()], bool)[which.ravel()]
+            t, w, band, first, last = (x[new] for x in (t, w, band, first, last))
+            first, last = np.maximum(first, 0), np.minimum(last, self.begin[w + 1] - self.begin[w] - PASSAGE)
+            some = np.concatenate([[0], np.cumsum(np.maximum(last - first + 1, 0))])
+            for k in range(0, int(some[-1]), 1 << 16):  # passages, numbered through
+                number = np.arange(k, min(k + (1 << 16), int(some[-1])))
+                run = np.searchsorted(some, number, "right") - 1
+                since = self.begin[w[run]] + first[run] + number - some[run]
+                passages = np.unique(np.column_stack([t[run], w[run], since, band[run] + since - self.begin[w[run]]]), axis=0)
+                since, n = passages[:, 2], len(passages)
+                rows = self.text[since[:, None] + np.arange(PASSAGE)]
+                # rows take the place of regions, a band's lowest diagonal is that of the passage
+                r, *place = self._verify(data, offsets, passages[:, 0], np.arange(n), passages[:, 3], rows, np.full(n, PASSAGE), np.full(n, budget))[1:]
+                found.append(np.column_stack([passages[r, 0], passages[r, 1], *place]))
+        found = np.concatenate(found)
+        found = found[np.lexsort((found[:, 3], found[:, 2], found[:, 4], found[:, 1], found[:, 0]))]  # fewest edits, then the first
+        once = np.concatenate([[True], (found[1:, :2] != found[:-1, :2]).any(axis=1)])[: len(found)]
+        return tuple(found[once].T)
+
+    def _runs(self, at, text, low, high, budget) -> tuple[np.ndarray, ...]:
+        """Text, whole item and lowest diagonal of bands, with the first and the last passage that may share enough q-grams there."""
+        counts = high - low
+        start = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) if len(counts) else counts
+        posting = start + np.arange(counts.sum())
+        item, place, at, text = self.item[posting], self.item_place[posting], np.repeat(at, counts), np.repeat(text, counts)
+        shift, longest = budget + 1, int(self.begin[-1])
+        band = (at - place + longest) // shift
+        text, item, place, band = (np.concatenate([x, x]) for x in (text, item, place, band))
+        band[len(band) // 2 :] -= 1
+        order = np.lexsort((place, band, item, text))
+        text, item, place, band = (x[order] for x in (text, item, place, band))
+        bound = PASSAGE - Q + 1 - Q * budget
+        ends = slice(bound - 1, None), slice(None, len(text) - bound + 1 if len(text) >= bound else 0)
+        near = place[ends[0]] - place[ends[1]] <= PASSAGE - Q
+        for x in (text, item, band):
+            near &= x[ends[0]] == x[ends[1]]
+        to, since = np.flatnonzero(near) + bound - 1, np.flatnonzero(near)
+        return text[since], item[since], band[since] * shift - longest, place[to] - (PASSAGE - Q), place[since]
 
     @staticmethod
     def _parts(text: np.ndarray, counts: np.ndarray, most: int = 2_000_000) -> Iterator[slice]:
@@ -162,21 +243,21 @@ class Index:
         kept = keys[first][shared >= self.bounds[keys.region[first]]]
         return kept.text, kept.region, kept.band * (self.budgets[kept.region] + 1) - REGION
 
-    def _verify(self, data, offsets, text, region, lowest) -> tuple[np.ndarray, ...]:
+    def _verify(self, data, offsets, text, region, lowest, regions, lengths, budgets) -> tuple[np.ndarray, ...]:
         found = []
-        widest = int(self.budgets.max(initial=0))
+        longest, widest = regions.shape[1], int(budgets.max(initial=0))
         width = 2 * (widest + 1) + 2 * widest
         for k in range(0, len(text), SIDE_BY_SIDE):
             t, r, low = (x[k : k + SIDE_BY_SIDE] for x in (text, region, lowest))
             low = low - widest
-            edits, diagonal = align(self.bytes[r], self._around(data, offsets, t, low, REGION + width - 1), self.lengths[r])
-            good = np.flatnonzero(edits <= self.budgets[r])
-            t, r, low, edits, end = t[good], r[good], low[good], edits[good], (low + self.lengths[r] + diagonal)[good]
+            edits, diagonal = align(regions[r], self._around(data, offsets, t, low, longest + width - 1), lengths[r])
+            good = np.flatnonzero(edits <= budgets[r])
+            t, r, low, edits, end = t[good], r[good], low[good], edits[good], (low + lengths[r] + diagonal)[good]
             # from its end backwards, the same alignment tells where the stretch begins
-            back = np.take_along_axis(self.bytes[r], np.maximum(self.lengths[r, None] - 1 - np.arange(REGION), 0), 1)
-            before = self._around(data, offsets, t, end - REGION - 2 * widest, REGION + 4 * widest)[:, ::-1]
-            _, diagonal = align(back, before, self.lengths[r], np.full(len(t), 2 * widest))
-            start = end - self.lengths[r] - (diagonal - 2 * widest)
+            back = np.take_along_axis(regions[r], np.maximum(lengths[r, None] - 1 - np.arange(longest), 0), 1)
+            before = self._around(data, offsets, t, end - longest - 2 * widest, longest + 4 * widest)[:, ::-1]
+            _, diagonal = align(back, before, lengths[r], np.full(len(t), 2 * widest))
+            start = end - lengths[r] - (diagonal - 2 * widest)
             found.append((t, r, start - offsets[t], end - offsets[t], edits.astype(np.int64)))
         if not found:
             return (np.zeros(0, np.int64),) * 5
@@ -202,7 +283,7 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator:
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Stretches of texts that hold regions of items: item, start, end (in bytes) and edits, next to the columns to keep."""
+    """Stretches of texts that hold regions or passages of items: item, start, end (in bytes) and edits, next to the columns to keep."""
     rows = df.select(*keep, F.col(text).alias("__text"))
     names = [item, "start", "end", "edits"]
     schema = StructType([*(rows.schema[c] for c in keep), StructField(item, benchmark.schema[item].dataType), *(StructField(c, LongType()) for c in names[1:])])
@@ -214,11 +295,9 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
             index = held(sent.value, Index)
             for batch in batches:
                 for part in slices(batch, "__text"):
-                    at, region, *place = index.find(part.column("__text"))
-                    items = [index.items[r] for r in region]
-                    times = [len(x) for x in items]
-                    taken = part.take(pa.array(np.repeat(at, times)))
-                    columns = [pa.array([i for x in items for i in x], taken_type), *(pa.array(np.repeat(x, times), pa.int64()) for x in place)]
+                    at, items, *place = index.find_all(part.column("__text"))
+                    taken = part.take(pa.array(at, pa.int64()))
+                    columns = [pa.array(items, taken_type), *(pa.array(x, pa.int64()) for x in place)]
                     yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in keep), *columns], [*keep, *names])
 
         found = found.unionByName(rows.mapInArrow(find, schema))
@@ -226,7 +305,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
 
 
 def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows whose text holds no region of an item."""
+    """The rows whose text holds no region or passage of an item."""
     for sent in _blocks(benchmark, item, item_text):
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -234,7 +313,7 @@ def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: st
             for batch in batches:
                 for part in slices(batch, text):
                     keep = np.ones(part.num_rows, bool)
-                    keep[index.find(part.column(text))[0]] = False
+                    keep[index.find_all(part.column(text))[0]] = False
                     yield part.filter(pa.array(keep))
 
         df = df.mapInArrow(clean, df.schema)

@@ -75,3 +75,25 @@ def test_rows(spark, documents, monkeypatch, block):
     assert benchmark.find_leaks(docs, items.limit(0), ["doc_id"]).count() == 0
     assert benchmark.drop_leaks(docs, items.limit(0)).count() == 10
     assert benchmark.find_leaks(documents([(1, "a")]).limit(0), items, ["doc_id"]).count() == 0
+
+
+def test_excerpts_from_any_place(spark, documents):
+    items = [*enumerate(ITEMS[:12])]
+    texts, want = [], set()
+    for item, text in items:
+        for at in range(0, len(text) - 100, 7):
+            want.add((len(texts), item))
+            texts.append(f"{prose(9)}{text[at : at + 100]}{prose(9)}")
+        words = text[:125].split()
+        words[len(words) // 2] = "qxzqxzqxz"
+        if len(text) >= 96:
+            want.add((len(texts), item))
+            texts.append(" ".join(words))
+    benchmark_items = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(texts + [prose(30), ITEMS[0][:40]])
+    found = benchmark.find_leaks(docs, benchmark_items, ["doc_id"]).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(want) > 60
+    for r in found:
+        text = texts[r.doc_id].encode()[r.start : r.end]
+        assert least_edits(text, ITEMS[r.item_id].encode()) <= r.edits
+    assert sorted(r.doc_id for r in benchmark.drop_leaks(docs, benchmark_items).collect()) == [len(texts), len(texts) + 1]

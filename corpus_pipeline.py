@@ -8,7 +8,7 @@ folder; its result is written and read again before the next one runs.
    with the smallest id stays; a repeated row is the same document.
 3. passages: words of passages that recur are removed; documents of which nothing is left go, and
    those that lose nothing stay as they are.
-4. benchmark: documents that hold a region of a benchmark item go.
+4. benchmark: documents that hold a region or passage of a benchmark item, or a short item, go.
 5. encode: ids of each text and their digests, and that of what they decode to.
 """
 
@@ -55,7 +55,7 @@ def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return benchmark.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return benchmark.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), short=True)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

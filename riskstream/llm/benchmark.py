@@ -19,7 +19,8 @@ Texts are read once and whole, next to an index of the benchmark, which is sent
 executors in blocks of bounded size: a larger benchmark takes one pass a block.
 
 Defined results: null and empty texts hold nothing; an item shorter than SHORTEST
-characters can't be told from chance and is held by nothing; items with equal regions
+characters is held by nothing, unless ``short`` items are asked for: then by a text that holds all of it, between
+the ends of words and without edits, and by nothing if it is blank; items with equal regions
 are all found; a null item is left out; repeated rows each give their rows; with an empty
 benchmark nothing is found.
 """
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskstream.llm.words import U64, slices, text_bytes
+from riskstream.llm.words import U64, mix, slices, text_bytes
 from riskstream.llm.workers import held, small_batches
 
 #: Characters of a region, and from one to the next of an item.
@@ -55,6 +56,9 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
 _FOLD[0x09:0x0E] = 0x20
 _OUTSIDE = 255  # no byte of UTF-8
+#: Bytes of words, after folding, and a random number for each byte.
+_WORD = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
+_SPREAD = mix(np.arange(1, 257, dtype=U64))
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -100,14 +104,22 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         regions: defaultdict[bytes, list[int]] = defaultdict(list)
         whole: defaultdict[bytes, list[int]] = defaultdict(list)
+        short: defaultdict[bytes, list[int]] = defaultdict(list)
         for item, text in items:
             data = _FOLD[np.frombuffer(text.encode(), np.uint8)].tobytes()
             if len(data) < SHORTEST:
+                if data.strip(b" "):
+                    short[data.strip(b" ")].append(item)
                 continue
             whole[data].append(item)
             last = max(0, len(data) - REGION)
             for at in sorted({*range(0, last + 1, STRIDE), last}):
                 regions[data[at : at + REGION]].append(item)
+        self.short = dict(short)
+        sums: defaultdict[int, list[int]] = defaultdict(list)
+        for data in short:
+            sums[len(data)].append(sum(_SPREAD[list(data)].tolist()) & (2**64 - 1))
+        self.short_sums = {length: np.array(x, U64) for length, x in sums.items()}
         self.items = list(regions.values())
         self.lengths = np.array([len(r) for r in regions], np.int64)
         self.budgets = (self.lengths * EDITS).astype(np.int64)
@@ -143,16 +155,39 @@ class Index:
         """Of each region that a text holds: text, region, start, end, edits."""
         return self._find(*self._shared(texts))
 
-    def find_all(self, texts: pa.Array) -> tuple[list[int], list, list[int], list[int], list[int]]:
-        """Of each region that a text holds, and of excerpts: text, item, start, end, edits."""
+    def find_all(self, texts: pa.Array, short: bool = False) -> tuple[list[int], list, list[int], list[int], list[int]]:
+        """Of each region that a text holds, and of excerpts, and of short items if asked for: text, item, start, end, edits."""
         shared = self._shared(texts)
         found = list(zip(*(x.tolist() for x in self._find(*shared))))
         rows = [(t, item, *place) for t, r, *place in found for item in self.items[r]]
         pairs = {row[:2] for row in rows}
         for t, w, *place in zip(*(x.tolist() for x in self._excerpts(*shared, pairs))):
             rows += [(t, item, *place) for item in self.whole[w]]
+        if short and self.short:
+            rows += self._short(*shared[:2])
         return tuple(map(list, zip(*rows))) if rows else ([],) * 5
 
+    def _short(self, data, offsets) -> list[tuple]:
+        """Of each short item that stands in a text: text, item, start, end, 0."""
+        word = _WORD[data]
+        edge = np.ones(len(data) + 1, bool)  # no word goes on across it
+        edge[1:-1] = ~(word[1:] & word[:-1])
+        edge[offsets] = True
+        begins = np.flatnonzero(edge[:-1])
+        text = np.searchsorted(offsets, begins, "right") - 1
+        left = offsets[text + 1] - begins
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(_SPREAD[data], dtype=U64)])
+        rows = []
+        for length, wanted in self.short_sums.items():
+            fits = np.flatnonzero(left >= length)
+            fits = fits[edge[begins[fits] + length]]
+            # sums of bytes in any order: what agrees is compared
+            agree = np.isin(sums[begins[fits] + length] - sums[begins[fits]], wanted)
+            for at, t in zip(begins[fits[agree]].tolist(), text[fits[agree]].tolist()):
+                since = at - int(offsets[t])
+                rows += [(t, item, since, since + length, 0) for item in self.short.get(data[at : at + length].tobytes(), ())]
+        return rows
+
     def _shared(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
         """The folded texts, where each begins, and hash, place and text of the q-grams that may be in the index."""
         data, offsets = text_bytes(texts)
@@ -282,7 +317,7 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator:
         yield small_batches(benchmark.sparkSession).sparkContext.broadcast([tuple(x) for x in some])
 
 
-def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
     """Stretches of texts that hold regions or passages of items: item, start, end (in bytes) and edits, next to the columns to keep."""
     rows = df.select(*keep, F.col(text).alias("__text"))
     names = [item, "start", "end", "edits"]
@@ -295,7 +330,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
             index = held(sent.value, Index)
             for batch in batches:
                 for part in slices(batch, "__text"):
-                    at, items, *place = index.find_all(part.column("__text"))
+                    at, items, *place = index.find_all(part.column("__text"), short)
                     taken = part.take(pa.array(at, pa.int64()))
                     columns = [pa.array(items, taken_type), *(pa.array(x, pa.int64()) for x in place)]
                     yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in keep), *columns], [*keep, *names])
@@ -304,7 +339,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
     return found
 
 
-def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
     """The rows whose text holds no region or passage of an item."""
     for sent in _blocks(benchmark, item, item_text):
 
@@ -313,7 +348,7 @@ def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: st
             for batch in batches:
                 for part in slices(batch, text):
                     keep = np.ones(part.num_rows, bool)
-                    keep[index.find_all(part.column(text))[0]] = False
+                    keep[index.find_all(part.column(text), short)[0]] = False
                     yield part.filter(pa.array(keep))
 
         df = df.mapInArrow(clean, df.schema)

@@ -97,3 +97,12 @@ def test_excerpts_from_any_place(spark, documents):
         text = texts[r.doc_id].encode()[r.start : r.end]
         assert least_edits(text, ITEMS[r.item_id].encode()) <= r.edits
     assert sorted(r.doc_id for r in benchmark.drop_leaks(docs, benchmark_items).collect()) == [len(texts), len(texts) + 1]
+
+
+def test_short_items(spark, documents):
+    items = [(0, "What is the capital of Peru?"), (1, " 42 "), (2, "What is the capital of Peru?"), (3, " "), (4, "née"), (5, "")]
+    texts = ["WHAT IS\tthe capital of Peru?", '"what is the capital of peru?"42', "a42 420 4 2", "x What is the capital of Peru", None, "(Née)", "somewhat is the capital of peru?", "née42"]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.start, r.end, r.edits) for r in benchmark.find_leaks(documents(texts), items, ["doc_id"], short=True).collect()}
+    assert found == {(0, 0, 0, 28, 0), (0, 2, 0, 28, 0), (1, 0, 1, 29, 0), (1, 2, 1, 29, 0), (1, 1, 30, 32, 0), (5, 4, 1, 5, 0)}
+    assert sorted(r.doc_id for r in benchmark.drop_leaks(documents(texts), items, short=True).collect()) == [2, 3, 4, 6, 7]

@@ -15,7 +15,9 @@ out of groups also gives its empty subsets, and meets any other such set.
 Sets with a common signature form groups around the smallest set of each signature. Each member
 goes there once, with its shingles, and the members of a group are compared in blocks; a block
 gives the links of a spanning forest only. Equal sets are one class throughout. So the links
-found have the same connected components as all links, and no list of pairs is made.
+found have the same connected components as all links, and no list of pairs is made. Where the number of
+links is asked for, or the pairs themselves, a pair belongs to the smallest centre that both sets have, and there to
+one block; a block then counts the links of each member, or gives its pairs.
 
 Defined results: A-Z are lower-cased; a text with fewer words than a shingle has its
 whole sequence as its one shingle; a null text or one without words has none and is linked with
@@ -186,12 +188,9 @@ class Forest:
         return a != b
 
 
-def forest_links(sets: list[np.ndarray], similarity: Similarity) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the similar sets among these."""
+def in_common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of these sets have in common."""
     sizes = np.array([len(s) for s in sets])
-    if len(sets) == 2:
-        common = len(np.intersect1d(*sets, assume_unique=True))
-        return [(0, 1)] if similarity.similar(common, sizes.sum()) else []
     hashes, which = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     hashes, column, times = np.unique(hashes, return_inverse=True, return_counts=True)
     shared = times > 1
@@ -204,13 +203,27 @@ def forest_links(sets: list[np.ndarray], similarity: Similarity) -> list[tuple[i
         holds = np.zeros((len(sets), 4096), np.float32)
         holds[which[some], column[some] - since] = 1
         common += holds @ holds.T
-    similar = np.triu(similarity.similar(common.astype(np.int64), sizes[:, None] + sizes[None, :]), 1)
+    return common.astype(np.int64)
+
+
+def all_similar(sets: list[np.ndarray], similarity: Similarity) -> np.ndarray:
+    """Which two of these sets are similar, as a matrix with the smaller place first."""
+    sizes = np.array([len(s) for s in sets])
+    return np.triu(similarity.similar(in_common(sets), sizes[:, None] + sizes[None, :]), 1)
+
+
+def forest_links(sets: list[np.ndarray], similarity: Similarity) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the similar sets among these."""
+    if len(sets) == 2:
+        common = len(np.intersect1d(*sets, assume_unique=True))
+        return [(0, 1)] if similarity.similar(common, len(sets[0]) + len(sets[1])) else []
+    similar = all_similar(sets, similarity)
     forest = Forest(len(sets))
     return [(a, b) for a, b in np.argwhere(similar).tolist() if forest.join(a, b)]
 
 
-def similar_links(df: DataFrame, similarity: Similarity) -> DataFrame:
-    """Links (a, b) between set keys, with the same connected components as all links. ``df``: text."""
+def _grouped(df: DataFrame, similarity: Similarity, copies: DataFrame | None = None) -> DataFrame:
+    """(centre, x, y, set_key, shingles): the blocks of all groups. With copies (set_key, copies) also own, copies and centres, all those of the set."""
     signed = _signature_rows(df.select("text"), similarity)
     # The smallest member of a signature is its centre; a running minimum needs no group in memory.
     by_signature = Window.partitionBy("signature").orderBy("member").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -225,13 +238,23 @@ def similar_links(df: DataFrame, similarity: Similarity) -> DataFrame:
     own = F.pmod(F.xxhash64("member", "centre"), blocks)
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     members = members.withColumn("own", own).withColumn("other", other)
-    members = members.select(F.col("member").alias("key"), "centre", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    members = members.select(F.col("member").alias("key"), "centre", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own")
 
     wanted = pairs.select("member").unionByName(pairs.select(F.col("centre").alias("member"))).select(F.xxhash64("member").alias("key"))
     # The filter is of a fixed size; whatever it lets pass, the join decides.
     sets = may_contain(_sets(df.select("text"), similarity).withColumn("__hash", F.xxhash64("key")), bloom_filter(wanted), "__hash")
     sets = sets.select("key", "set_key", "shingles")
-    grouped = members.join(sets, "key").select("centre", "x", "y", "set_key", "shingles")
+    if copies is None:
+        return members.join(sets, "key").select("centre", "x", "y", "set_key", "shingles")
+    # as many as a set has signatures, at most
+    lists = pairs.select("member", "centre").unionByName(centres).groupBy(F.col("member").alias("key")).agg(F.sort_array(F.collect_set("centre")).alias("centres"))
+    sets = sets.join(copies, "set_key").join(lists, "key")
+    return members.join(sets, "key").select("centre", "x", "y", "own", "set_key", "shingles", "copies", "centres")
+
+
+def similar_links(df: DataFrame, similarity: Similarity) -> DataFrame:
+    """Links (a, b) between set keys, with the same connected components as all links. ``df``: text."""
+    grouped = _grouped(df, similarity)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, keys, sets = None, [], []
@@ -253,15 +276,74 @@ def similar_links(df: DataFrame, similarity: Similarity) -> DataFrame:
     return grouped.repartition("centre", "x", "y").sortWithinPartitions("centre", "x", "y", "set_key").mapInArrow(compare, LINK_SCHEMA)
 
 
+def _owned(block: list[tuple], centre: int, x: int, y: int, similarity: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the similar pairs of a block that belong to it: in no smaller centre, and in no other block of this one."""
+    if len(block) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    own, _, sets, _, centres = zip(*block)
+    similar = all_similar(list(sets), similarity)
+    similar &= in_common([c[c < centre] for c in centres]) == 0
+    if x != y:
+        similar &= np.array(own)[:, None] != np.array(own)[None, :]
+    return np.nonzero(similar)
+
+
+def _owned_pairs(df: DataFrame, similarity: Similarity, copies: DataFrame, schema: str, give) -> DataFrame:
+    """What ``give`` makes of each block and its pairs."""
+    grouped = _grouped(df, similarity, copies)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = (0, 0, 0), []
+        for batch in batches:
+            for *where, own, key, data, n, centres in zip(*(batch.column(c).to_pylist() for c in ("centre", "x", "y", "own", "set_key", "shingles", "copies", "centres"))):
+                if tuple(where) != at:
+                    yield give(block, *_owned(block, *at, similarity))
+                    at, block = tuple(where), []
+                if not block or block[-1][1] != key:  # copies that several tasks have sent
+                    block.append((own, key, np.frombuffer(data, "<u8"), n, np.array(centres, np.int64)))
+        yield give(block, *_owned(block, *at, similarity))
+
+    return grouped.repartition("centre", "x", "y").sortWithinPartitions("centre", "x", "y", "set_key").mapInArrow(compare, schema)
+
+
+def _copies(df: DataFrame, similarity: Similarity) -> DataFrame:
+    return _measured(df.select("text"), [], similarity).where("set_key IS NOT NULL").groupBy("set_key").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def similar_pairs(df: DataFrame, similarity: Similarity) -> DataFrame:
+    """All similar pairs (a, b) of different sets, by their keys, a before b, each once. ``df``: text.
+
+    Their number grows with the square of a group of near copies; :func:`link_counts` needs no such list.
+    """
+
+    small_batches(df.sparkSession)
+
+    def give(block, a, b) -> pa.RecordBatch:
+        keys = [row[1] for row in block]
+        return pa.RecordBatch.from_pydict({"a": [keys[i] for i in a], "b": [keys[i] for i in b]}, LINKS)
+
+    return _owned_pairs(df, similarity, stored(_copies(df, similarity), "copies"), LINK_SCHEMA, give)
+
+
+def link_counts(df: DataFrame, similarity: Similarity, copies: DataFrame) -> DataFrame:
+    """set_key and links: the rows with another, similar set. ``copies``: set_key and the rows that have it."""
+
+    def give(block, a, b) -> pa.RecordBatch:
+        copies, links = np.array([row[3] for row in block], np.int64), np.zeros(len(block), np.int64)
+        np.add.at(links, a, copies[b])
+        np.add.at(links, b, copies[a])
+        some = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays([pa.array([block[i][1] for i in some], pa.binary()), pa.array(links[some])], ["set_key", "links"])
+
+    return _owned_pairs(df, similarity, copies, "set_key binary, links long", give).groupBy("set_key").agg(F.sum("links").alias("links"))
+
+
 LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 LINK_SCHEMA = "a binary, b binary"
 
 
-def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], text: str = "text", order: str = "doc_id") -> DataFrame:
-    """n_shingles, component_id and component (a key that only its rows have; null without shingles) of each text next to the columns to keep."""
-    small_batches(df.sparkSession)
-    rows = df.select(*keep, F.col(order).alias("__order"), F.col(text).alias("text"))
-    kept = [*keep, "__order"]
+def _measured(rows: DataFrame, kept: list[str], similarity: Similarity) -> DataFrame:
+    """The columns kept, n_shingles and set_key (null without shingles) of each text."""
     schema = StructType([*(rows.schema[c] for c in kept), StructField("n_shingles", LongType()), StructField("set_key", BinaryType())])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,11 +356,27 @@ def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], te
                 columns = [pa.array(n, pa.int64()), pa.array(keys, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *columns], [*kept, "n_shingles", "set_key"])
 
-    measured = stored(rows.mapInArrow(measure, schema), "shingle-sets")
-    classes = stored(measured.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("__order").alias("first")), "shingle-classes")
+    return rows.mapInArrow(measure, schema)
+
+
+def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], text: str = "text", order: str = "doc_id", links: bool = False) -> DataFrame:
+    """n_shingles, component_id and component (a key that only its rows have; null without shingles) of each text next to the columns to keep.
+
+    With ``links`` also n_links, the number of other rows whose sets are equal or similar.
+    """
+    small_batches(df.sparkSession)
+    rows = df.select(*keep, F.col(order).alias("__order"), F.col(text).alias("text"))
+    measured = stored(_measured(rows, [*keep, "__order"], similarity), "shingle-sets")
+    of_class = [F.min("__order").alias("first"), *([F.count(F.lit(1)).alias("copies")] if links else [])]
+    classes = stored(measured.where("set_key IS NOT NULL").groupBy("set_key").agg(*of_class), "shingle-classes")
     joined = components(similar_links(rows, similarity))
     named = classes.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = named.join(least, "component").select("set_key", "component", "component_id")
+    ids = named.join(least, "component").select("set_key", "component", "component_id", *(["copies"] if links else []))
+    more = []
+    if links:
+        counts = link_counts(rows, similarity, classes.select("set_key", "copies"))
+        ids = ids.join(counts, "set_key", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+        more = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
     found = measured.join(ids, "set_key", "left")
-    return found.select(*keep, "n_shingles", F.coalesce("component_id", "__order").alias("component_id"), "component")
+    return found.select(*keep, "n_shingles", F.coalesce("component_id", "__order").alias("component_id"), "component", *more)

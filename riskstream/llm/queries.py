@@ -71,6 +71,25 @@ def op3_jaccard_join(spark, sf_dir):
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), similarity, ["doc_id"]).drop("component")
 
 
+@query(
+    "op3_jaccard_links",
+    f"""WITH listed AS MATERIALIZED ({WORDS_SQL.format(text=LOWER_SQL)}),
+    sets AS MATERIALIZED (
+      SELECT DISTINCT r, array_to_string(words[i : i + 3], ' ') AS shingle FROM listed, unnest(generate_series(1, len(words) - 3)) AS t(i) WHERE len(words) >= 4
+      UNION ALL SELECT r, array_to_string(words, ' ') FROM listed WHERE len(words) BETWEEN 1 AND 3),
+    sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM sets GROUP BY r),
+    links AS MATERIALIZED (
+      SELECT a, count(*) AS n_links FROM (SELECT x.r AS a, y.r AS b, count(*) AS common FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.r <> y.r GROUP BY ALL) AS pairs
+      JOIN sizes sa ON a = sa.r JOIN sizes sb ON b = sb.r WHERE 100 * common >= 85 * (sa.n + sb.n - common) GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(n_links, 0) AS n_links
+    FROM listed LEFT JOIN sizes ON listed.r = sizes.r LEFT JOIN links ON listed.r = a""",
+)
+def op3_jaccard_links(spark, sf_dir):
+    similarity = jaccard.Similarity(words=4, share=(85, 100))
+    found = jaccard.similar_documents(table(spark, sf_dir, "documents"), similarity, ["doc_id"], links=True)
+    return found.select("doc_id", "n_shingles", "n_links")
+
+
 @query("op4_decontamination")
 def op4_decontamination(spark, sf_dir):
     leaks = benchmark.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"], short=True)

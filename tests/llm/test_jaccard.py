@@ -119,3 +119,19 @@ def test_words_of_a_batch():
     assert all((a == b) == (x == y) for a, x in zip(flat, hashes) for b, y in zip(flat, hashes))
     assert len(runs(hashes, 3)) == len(flat) - 2 and len(runs(hashes[:2], 3)) == 0
     assert len(Words(pa.array([], pa.string()))) == 0
+
+
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 3])
+def test_all_links(spark, documents, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rows = corpus()
+    rows += [(2000 + i, t) for i, (_, t) in enumerate(rows[:60])]
+    sets = [shingles(t, 5) for _, t in rows]
+    linked = [[bool(a and b) and jaccard.Similarity().similar(len(a & b), len(a) + len(b)) for b in sets] for a in sets]
+    want = sorted((doc, sum(row) - row[i]) for i, ((doc, _), row) in enumerate(zip(rows, linked)))
+    found = jaccard.similar_documents(documents(rows), jaccard.Similarity(), ["doc_id"], links=True)
+    assert sorted((r.doc_id, r.n_links) for r in found.collect()) == want and max(n for _, n in want) > 5
+    distinct = set(sets) - {frozenset()}
+    pairs = jaccard.similar_pairs(documents(rows), jaccard.Similarity()).collect()
+    alike = sum(jaccard.Similarity().similar(len(a & b), len(a) + len(b)) for a in distinct for b in distinct if a != b) // 2
+    assert len({frozenset(p) for p in pairs}) == len(pairs) == alike

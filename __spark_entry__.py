@@ -548,6 +548,20 @@ def repeated_failures(spark, sf_dir):
     return patterns.repeated_failures(transaction_events(spark, sf_dir), 2, failed="error")
 
 
+BURSTS = """SELECT * FROM (SELECT customer_id, lag(timestamp) OVER (PARTITION BY customer_id ORDER BY timestamp) AS since, timestamp AS until
+  FROM transaction_events{where}) WHERE until - since < INTERVAL 1 HOUR"""
+
+
+@query("customer_bursts", f"WITH {EVENTS} {BURSTS.format(where='')}")
+def customer_bursts(spark, sf_dir):
+    return patterns.bursts(transaction_events(spark, sf_dir), 2)
+
+
+@query("failure_bursts", f"""WITH {EVENTS} {BURSTS.format(where=" WHERE status = 'error'")}""")
+def failure_bursts(spark, sf_dir):
+    return patterns.failure_bursts(transaction_events(spark, sf_dir), 2, failed="error")
+
+
 @query(
     "unusual_hours",
     f"""WITH {EVENTS}, hours AS (SELECT customer_id, CAST(hour(timestamp) AS INTEGER) AS hour, count(*) AS transactions FROM transaction_events GROUP BY ALL),

@@ -35,6 +35,43 @@ def repeated_failures(df: DataFrame, at_least: int = 3, within: str = "1 hour",
     return frequent(df, at_least, within, kind=F.col("status") == failed, watermark=watermark)
 
 
+def failure_bursts(df: DataFrame, at_least: int = 3, within: str = "1 hour", *, failed: str = "FAILED", watermark: str | None = None) -> DataFrame:
+    """Failed transactions of a customer that are at least the ``at_least``-th in less than ``within``."""
+    return bursts(df, at_least, within, kind=F.col("status") == failed, watermark=watermark)
+
+
+def bursts(
+    df: DataFrame, at_least: int, within: str = "1 hour", *, kind: Column | None = None, watermark: str | None = None
+) -> DataFrame:
+    """Transactions of a customer that are at least the ``at_least``-th (of a kind, if given) in less than ``within``.
+
+    ``until`` is the time of the transaction, ``since`` of the ``at_least - 1``-th before it. Unlike the
+    windows of :func:`frequent`, a span begins anywhere. ``within`` is a number and a unit up to days. Each
+    transaction is looked at in the window of twice that length in whose second half it lies, so a customer's transactions
+    are split by time; on a stream, the times in a window are held until it closes.
+    """
+    number, unit = within.split()
+    seconds = int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    rows = df if kind is None else df.where(kind)
+    rows = rows.where(F.col("customer_id").isNotNull() & F.col("timestamp").isNotNull())
+    rows = rows.select("customer_id", F.col("timestamp").cast("timestamp").alias("timestamp"))
+    if watermark is not None:
+        rows = rows.withWatermark("timestamp", watermark)
+    span = F.window("timestamp", f"{2 * seconds} seconds", f"{seconds} seconds").alias("span")
+    micros = F.unix_micros("timestamp").alias("until")
+    middle = F.unix_micros("span.start") + seconds * 1_000_000
+    if df.isStreaming:
+        held = rows.groupBy("customer_id", span).agg(F.sort_array(F.collect_list(micros)).alias("times"))
+        each = held.select("customer_id", "span", "times", F.posexplode("times").alias("at", "until"))
+        since = F.when(F.col("at") >= at_least - 1, F.get("times", F.col("at") - (at_least - 1)))
+        found = each.select("customer_id", "span", since.alias("since"), "until")
+    else:
+        in_order = Window.partitionBy("customer_id", "span").orderBy("until")
+        found = rows.select("customer_id", span, micros).withColumn("since", F.lag("until", at_least - 1).over(in_order))
+    found = found.where((F.col("until") >= middle) & (F.col("until") - F.col("since") < seconds * 1_000_000))
+    return found.select("customer_id", *(F.timestamp_micros(c).cast("timestamp_ntz").alias(c) for c in ("since", "until")))
+
+
 def unusual_hours(df: DataFrame, below: float = 0.02, seen: int = 50) -> DataFrame:
     """Hours of the day in which a customer with ``seen`` transactions has less than a share ``below`` of them.
 

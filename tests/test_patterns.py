@@ -59,3 +59,19 @@ def test_suspicious_merchants(spark):
     assert [tuple(r) for r in patterns.suspicious_merchants(rows).collect()] == [("A", 200, 100)]
     assert patterns.suspicious_merchants(rows, times=2.0).count() == 0
     assert patterns.suspicious_merchants(rows.where(F.lit(False))).count() == 0
+
+
+def test_bursts_across_the_hour(spark, tmp_path):
+    rows = sales(spark, *({"customer_id": 1, "status": "FAILED", "timestamp": START + timedelta(minutes=m)} for m in (58, 59, 61, 180, 240, 299)))
+    got = [(r.since, r.until) for r in patterns.failure_bursts(rows, 3).collect()]
+    assert got == [(START + timedelta(minutes=58), START + timedelta(minutes=61))]
+    assert [r.until for r in patterns.failure_bursts(rows, 2).orderBy("until").collect()] == [START + timedelta(minutes=m) for m in (59, 61, 299)]
+    events = transaction_events(spark, SF_DIR).select("customer_id", "timestamp", "status")
+    events.repartition(3).write.parquet(str(tmp_path / "events"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "events"))
+    patterns.bursts(stream, 3, watermark="60 days").writeStream.format("memory").queryName("bursts").outputMode("complete").option(
+        "checkpointLocation", str(tmp_path / "checkpoint")
+    ).trigger(availableNow=True).start().awaitTermination()
+    batch = patterns.bursts(events, 3)
+    assert batch.count() > 0
+    assert sorted(map(repr, spark.table("bursts").collect())) == sorted(map(repr, batch.collect()))

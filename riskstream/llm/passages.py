@@ -42,6 +42,8 @@ from riskstream.session import stored
 WINDOW, GRAM = 35, 8
 #: An anchor is hot from this many stretches on, and from this share of all: one in HOT_SHARE.
 HOT, HOT_SHARE = 4096, 10_000_000
+#: Bits that tell apart the places of a window's anchors; more places than a window has, however long the text.
+PLACE_BITS = 24
 #: Stretches in one automaton, about.
 CHUNK = 4096
 
@@ -67,14 +69,14 @@ class Stretches:
             valid = np.zeros(0, np.int64)
         else:
             valid = np.flatnonzero(text_of[: n - window + 1] == text_of[window - 1 :])
-        places = U64((1 << 24) - 1)
-        # the lowest hash, and of equal ones the first: the place takes the low bits (a batch has fewer words than that)
-        least, width = (grams & ~places) | np.arange(len(grams)).astype(U64), 1
+        places = U64((1 << PLACE_BITS) - 1)
+        # the lowest hash, and of equal ones the first: the place takes the low bits, and begins anew when they are full
+        least, width = (grams & ~places) | (np.arange(len(grams)).astype(U64) & places), 1
         while width * 2 <= span:
             least, width = np.minimum(least[:-width], least[width:]), width * 2
         if width < span:
             least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
-        anchor = (least[valid] & places).astype(np.int64)
+        anchor = valid + (((least[valid] & places).astype(np.int64) - valid) & int(places))
         new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text_of[valid[1:]] != text_of[valid[:-1]])]) if len(valid) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         self.windows = np.diff(np.concatenate([first, [len(valid)]]))

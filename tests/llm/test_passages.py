@@ -95,3 +95,8 @@ def test_more_words_than_fit_below_the_surrogates():
     text = " ".join(words).encode()
     assert list(passages.locate([(1, 1, 2, text)], 35)) == [(1, 1, 0, 60_000)]
     assert np.uint64(int(passages._BASE) * int(passages._INVERSE) % (1 << 64)) == 1
+
+
+def test_more_words_than_places(spark, documents, monkeypatch):
+    monkeypatch.setattr(passages, "PLACE_BITS", 6)
+    check(spark, documents, 35)

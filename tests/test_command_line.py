@@ -5,7 +5,7 @@ import subprocess
 import sys
 from pathlib import Path
 
-from conftest import lines, message
+from rows import lines, message
 
 ROOT = Path(__file__).parents[1]
 
@@ -52,7 +52,7 @@ def test_report_is_whole_and_filtered(spark, tmp_path):
     """Over 100 days, of which none is left out; the folder has every frame."""
     from datetime import datetime, timedelta
 
-    from conftest import stored_rows
+    from rows import stored_rows
 
     days = [datetime(2025, 1, 1) + timedelta(days=n) for n in range(150)]
     rows = [{"transaction_id": str(n), "timestamp": day} for n, day in enumerate(days)]

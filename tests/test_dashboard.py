@@ -5,7 +5,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import stored_rows
+from rows import stored_rows
 from riskstream.operators import breakdown, locations, trends
 from riskstream.operators.measures import summary
 from riskstream.operators.sample import monthly_sample

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from conftest import stored_rows
+from rows import stored_rows
 from riskstream.operators import patterns
 from riskstream.sources.fixtures import transaction_events
 

@@ -78,7 +78,7 @@ def test_customers_are_picked_before_orders_are_looked_up(spark):
 
 
 def test_small_batches_leave_the_table_in_place(spark, tmp_path):
-    from conftest import stored_rows
+    from rows import stored_rows
 
     table, batch = str(tmp_path / "table"), str(tmp_path / "batch")
     stored_rows(spark, [{"transaction_id": str(i)} for i in range(100)]).write.parquet(table)

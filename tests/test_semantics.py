@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import message, stored_rows
+from rows import message, stored_rows
 from riskstream.functions import iso_text, parsed_timestamp
 from riskstream.operators import breakdown, filters, locations, ranking, trends, upsert, validate
 from riskstream.operators.decode import decode, encode, encode_whole, with_flag

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines, message
+from rows import lines, message
 from riskstream.operators import upsert
 from riskstream.operators.decode import decode
 from riskstream.options import JobOptions

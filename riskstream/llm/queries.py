@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, neighbours, passages, shards, toxicity
+from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, negatives, neighbours, passages, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,24 @@ URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 def op10_url_filter(spark, sf_dir):
     listed = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return filters.judge_urls(table(spark, sf_dir, "pages"), listed, ["page_id"])
+
+
+@query(
+    "op13_hard_negatives",
+    """WITH vectors AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+    positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+      vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN pairs USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3""",
+)
+def op13_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.select("vec_id", label.alias("label"), "embedding")
+    return negatives.hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, negatives, neighbours, passages, shards, toxicity
+from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, negatives, neighbours, passages, resampling, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -166,6 +166,33 @@ def op10_url_filter(spark, sf_dir):
     return filters.judge_urls(table(spark, sf_dir, "pages"), listed, ["page_id"])
 
 
+LETTERS_SQL = rf"regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op12_resampling",
+    f"""WITH codes AS MATERIALIZED (SELECT list(c ORDER BY n) AS codes FROM (SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) AS t(n))),
+    listed AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce({LETTERS_SQL}, []) AS words FROM documents),
+    asked AS MATERIALIZED (SELECT unnest({LETTERS_SQL}) AS word FROM benchmark),
+    features AS MATERIALIZED (SELECT r, unnest(words) AS word FROM listed),
+    spelled AS MATERIALIZED (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM features UNION SELECT word FROM asked)),
+    buckets AS MATERIALIZED (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2), lambda i: (instr('0123456789ABCDEF', h[i]) - 1) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 1)),
+        lambda c, b: xor(codes[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM spelled, codes),
+    own AS (SELECT bucket, count(*) AS s FROM features JOIN buckets USING (word) GROUP BY bucket),
+    target AS (SELECT bucket, count(*) AS t FROM asked JOIN buckets USING (word) GROUP BY bucket),
+    gains AS MATERIALIZED (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM features) + 10000) / (CAST(s + 1 AS DOUBLE) * ((SELECT count(*) FROM asked) + 10000)))) AS BIGINT) AS gain
+      FROM own LEFT JOIN target USING (bucket)),
+    weights AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM features JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r),
+    scored AS (SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+      coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(('0x' || substr(sha256('2024:' || doc_id), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM listed LEFT JOIN weights USING (r)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+    SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM placed""",
+)
+def op12_resampling(spark, sf_dir):
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resampling.resample(docs, target, ["doc_id"])
+
+
 @query(
     "op13_hard_negatives",
     """WITH vectors AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

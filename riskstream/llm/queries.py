@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, negatives, neighbours, passages, resampling, shards, toxicity
+from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, negatives, neighbours, passages, resampling, shards, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -166,6 +166,26 @@ def op10_url_filter(spark, sf_dir):
     return filters.judge_urls(table(spark, sf_dir, "pages"), listed, ["page_id"])
 
 
+@query(
+    "op11_suffix_dedup",
+    """WITH listed AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    pieces AS MATERIALIZED (SELECT r, c, substr(h, c + 1, 4398) AS p FROM listed, unnest(range(0, length(h), 4000)) AS t(c)),
+    starts AS MATERIALIZED (SELECT r, c // 2 + i AS i, md5_number(substr(p, 2 * i - 1, 400)) AS w FROM pieces, unnest(range(1, least(2000, length(p) // 2 - 199) + 1)) AS t(i)),
+    recurring AS MATERIALIZED (SELECT r, i FROM starts SEMI JOIN (SELECT w FROM starts GROUP BY w HAVING count(*) > 1) AS often USING (w)),
+    runs AS (SELECT r, min(i) AS since, max(i) + 200 AS until FROM (SELECT r, i, sum(apart) OVER (PARTITION BY r ORDER BY i) AS run
+      FROM (SELECT r, i, CAST(coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > 200, true) AS INTEGER) AS apart FROM recurring)) GROUP BY r, run),
+    kept AS (SELECT r, count(*) AS n_spans, sum(until - since) AS n_removed, list(since ORDER BY since) AS since, list(until ORDER BY since) AS until FROM runs GROUP BY r)
+    SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+      sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE array_to_string(list_transform(range(0, n_spans + 1), lambda k:
+        substr(h, CASE WHEN k = 0 THEN 1 ELSE 2 * until[k] - 1 END, 2 * (CASE WHEN k = n_spans THEN length(h) // 2 + 1 ELSE since[k + 1] END - CASE WHEN k = 0 THEN 1 ELSE until[k] END))), '') END)) AS kept_sha256
+    FROM listed LEFT JOIN kept USING (r)""",
+)
+def op11_suffix_dedup(spark, sf_dir):
+    left = suffixes.remove_recurring(table(spark, sf_dir, "documents"), ["doc_id"])
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return left.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 LETTERS_SQL = rf"regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 

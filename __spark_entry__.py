@@ -26,13 +26,16 @@ from riskstream.sources.fixtures import (
     customer_names,
     damaged_messages,
     event_messages,
+    order_messages,
     table,
     transaction_events,
     transactions,
 )
 from riskstream.options import JobOptions
-from riskstream.streaming import log
-from riskstream.streaming.jobs import run_backfill, start_route, start_store
+from riskstream.sources.tables import parquet_table
+from riskstream import files
+from riskstream.streaming import log, monthly
+from riskstream.streaming.jobs import run_backfill, start_fan_out, start_route, start_store
 from riskstream.streaming.route import flagged_messages
 
 ENTRY_DIR = "/root/testdata/sf0.001"
@@ -749,6 +752,80 @@ def shared_log_batches(spark, sf_dir):
     return counts.select("total", "suspicious", "rejected")
 
 
+@query("replayed_log_upsert", f"WITH {EVENTS} {upsert_sql('transaction_events')}")
+def replayed_log_upsert(spark, sf_dir):
+    """The first half of the events by one job and the rest by another; then the first job's batch runs again.
+
+    The batch had been written, but not committed, when its job failed.
+    """
+    folder = shared_folder(spark, "replayed")
+    messages = event_messages(spark, sf_dir)
+    first, last = messages.agg(F.min("position.offset"), F.max("position.offset")).first()
+    early = F.col("position.offset") < (first + last) // 2
+    messages.withColumn("part", F.when(early, "early").otherwise("late")).write.partitionBy("part").parquet(f"{folder}/in")
+
+    def run(part):
+        stream = spark.readStream.schema(messages.schema).parquet(f"{folder}/in/part={part}")
+        start_store(stream, f"{folder}/log", f"{folder}/{part}", EVENT_OPTIONS).awaitTermination()
+
+    run("early")
+    run("late")
+    files.remove(spark, f"{folder}/early/commits/0")
+    run("early")
+    return log.resolved(log.read_log(spark, f"{folder}/log"), "flag_upsert")
+
+
+AGAIN = f"""{TRANSACTIONS}, days AS (SELECT max(date_trunc('month', o_orderdate)) - INTERVAL 2 MONTH AS since FROM orders)"""
+
+
+@query(
+    "merged_by_month",
+    f"""WITH {AGAIN} SELECT {DESCRIPTIVE}, CASE WHEN timestamp >= since THEN amount * 2 > {ORDER_THRESHOLD} ELSE is_suspicious END AS is_suspicious
+    FROM transactions, days WHERE customer_name IS NOT NULL AND location IS NOT NULL""",
+)
+def merged_by_month(spark, sf_dir):
+    """All orders, merged into a table by month; then those of the last months once more, at twice the amount."""
+    folder = shared_folder(spark, "merged")
+    since = table(spark, sf_dir, "orders").agg(F.add_months(F.trunc(F.max("o_orderdate"), "month"), -2)).first()[0]
+    for n, again in enumerate((None, since)):
+        order_messages(spark, sf_dir, again).write.parquet(f"{folder}/in/part={n}")
+        schema = order_messages(spark, sf_dir).schema
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in/part=*")
+        start_store(stream, f"{folder}/log", f"{folder}/checkpoint", JobOptions(threshold=ORDER_THRESHOLD)).awaitTermination()
+        monthly.merge_batches(spark, f"{folder}/log", "flag_upsert", f"{folder}/table")
+    return parquet_table(spark, f"{folder}/table")
+
+
+@query(
+    "one_read_fan_out",
+    f"""WITH {EVENTS} SELECT 'stored' AS sink, transaction_id, customer_id, amount, location, card_type, is_suspicious FROM transaction_events
+    UNION ALL SELECT 'routed', transaction_id, customer_id, amount, location, card_type, true FROM transaction_events WHERE is_suspicious""",
+)
+def one_read_fan_out(spark, sf_dir):
+    """Log and route of one query that reads its source once."""
+    folder = shared_folder(spark, "fan-out")
+    messages = event_messages(spark, sf_dir, streaming=True)
+    start_fan_out(messages, f"{folder}/log", f"{folder}/out", f"{folder}/checkpoint", EVENT_OPTIONS).awaitTermination()
+    out = spark.read.schema("key string, value string").parquet(f"{folder}/out/job=*/batch_id=*")
+    routed = decode(out.drop("key"), STORED_MESSAGE).withColumn("sink", F.lit("routed"))
+    kept = log.read_log(spark, f"{folder}/log", "stored").withColumn("sink", F.lit("stored"))
+    wanted = ("sink", KEY, "customer_id", "amount", "location", "card_type", FLAG)
+    return kept.select(*wanted).unionByName(routed.select(*wanted))
+
+
+@query(
+    "manifest_counts",
+    f"WITH {EVENTS} SELECT count(*) AS total, count(*) FILTER (WHERE is_suspicious) AS suspicious, CAST(0 AS BIGINT) AS rejected FROM transaction_events",
+)
+def manifest_counts(spark, sf_dir):
+    """The counts observed while the batches were written; the log itself isn't read."""
+    folder = shared_folder(spark, "manifest")
+    messages = event_messages(spark, sf_dir, streaming=True)
+    start_store(messages, f"{folder}/log", f"{folder}/checkpoint", EVENT_OPTIONS).awaitTermination()
+    counts = log.manifest(spark, f"{folder}/log")
+    return counts.agg(*(F.sum(c).alias(c) for c in ("total", "suspicious", "rejected")))
+
+
 @query(
     "log_outcomes",
     f"""WITH {DAMAGED} SELECT event_id,

@@ -1,4 +1,4 @@
-"""Command line: stream, backfill, compact, prune, report."""
+"""Command line: stream, backfill, merge, compact, prune, report."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from riskstream.sources.tables import jdbc_table, parquet_table
 from riskstream.streaming.database import database_writer, jdbc_stage, postgres
 from riskstream.streaming.jobs import run_backfill, run_stream
 from riskstream.streaming.log import compact, prune
+from riskstream.streaming.monthly import merge_batches
 
 #: Rows of a frame on the console where all of them are in a folder.
 SHOWN = 20
@@ -33,6 +34,7 @@ def _arguments() -> argparse.Namespace:
             job.add_argument("--route", help="folder for flagged messages; the flagged topic if not given")
             job.add_argument("--whole", action="store_true", help="forward messages as they came")
             job.add_argument("--every", default="10 seconds")
+            job.add_argument("--apart", action="store_true", help="store and forward as two queries that read the source each")
 
     merge = commands.add_parser("compact")
     merge.add_argument("--log", required=True)
@@ -41,6 +43,11 @@ def _arguments() -> argparse.Namespace:
     merge.add_argument("--through", type=int, help="last batch to take, where one job fills the log")
     merge.add_argument("--base", help="the table compacted last")
 
+    months = commands.add_parser("merge", help="merge new batches of the log into a table by month")
+    months.add_argument("--log", required=True)
+    months.add_argument("--table", required=True)
+    months.add_argument("--rule", choices=sorted(RULES), default="flag_upsert")
+
     gone = commands.add_parser("prune", help="remove the log's batches that a compacted table holds")
     gone.add_argument("--log", required=True)
     gone.add_argument("--table", required=True)
@@ -77,12 +84,13 @@ def main() -> None:
                 host=options.db_host, port=options.db_port, dbname=options.db_name,
                 user=options.db_user, password=options.db_password,
             )
-            writer = database_writer(connect, jdbc_stage(options), options.db_table, rule)
+            checkpoint = f"{arguments.checkpoint}/store" if streaming else arguments.checkpoint
+            writer = database_writer(connect, jdbc_stage(options), options.db_table, rule, checkpoint)
         if streaming:
             run_stream(
                 spark, messages, writer=writer, checkpoint=arguments.checkpoint,
                 route_path=arguments.route, whole=arguments.whole, options=options,
-                every=arguments.every,
+                every=arguments.every, apart=arguments.apart,
             )
         else:
             run_backfill(messages, writer, arguments.checkpoint, options)
@@ -91,6 +99,8 @@ def main() -> None:
             spark, arguments.log, arguments.rule, arguments.out, base_path=arguments.base,
             through_batch=arguments.through,
         )
+    elif arguments.command == "merge":
+        print("months rewritten:", *merge_batches(spark, arguments.log, arguments.rule, arguments.table))
     elif arguments.command == "prune":
         print(prune(spark, arguments.log, arguments.table), "batches removed")
     else:

@@ -85,6 +85,56 @@ def flag_upsert_into(table: DataFrame, batch: DataFrame, key: str = KEY) -> Data
 MERGES = {"insert_ignore": insert_ignore_into, "flag_upsert": flag_upsert_into}
 
 
+#: Where the row that a key's values are from, and the one its flag is from, stand in the order of arrival.
+ARRIVED, FLAGGED = "arrived", "flagged_at"
+
+
+def ordered(df: DataFrame, rule: str, order: Sequence[str] = ARRIVAL, key: str = KEY) -> DataFrame:
+    """The rows of a rule, with the places in the order that decided them."""
+    kept = _others(df, FLAG, *order)
+    place = F.struct(*order)
+    last = (F.max_by, F.max) if rule == "flag_upsert" else (F.min_by, F.min)
+    return (
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_key"))
+        .agg(
+            F.min_by(F.struct(*kept), place).alias("first"),
+            last[0](FLAG, place).alias(FLAG),
+            F.min(place).alias(ARRIVED),
+            last[1](place).alias(FLAGGED),
+        )
+        .select("first.*", FLAG, ARRIVED, FLAGGED)
+    )
+
+
+def combined(rows: DataFrame, rule: str, key: str = KEY) -> DataFrame:
+    """One row for each key of rows that have such places: their order decides, however often a row is there."""
+    values = [c for c in rows.columns if c not in (key, FLAG, FLAGGED)]
+    by_flag = F.max_by if rule == "flag_upsert" else F.min_by
+    return (
+        rows.groupBy(key)
+        .agg(
+            F.min_by(F.struct(*values), ARRIVED).alias("first"),
+            by_flag(F.struct(FLAG, FLAGGED), FLAGGED).alias("flagged"),
+        )
+        .select(key, "first.*", "flagged.*")
+        .select(*rows.columns)
+    )
+
+
+def merge_ordered(table: DataFrame, batch: DataFrame, rule: str, key: str = KEY) -> DataFrame:
+    """Two tables of :func:`ordered` as one, whichever came first and however often rows come again.
+
+    The place a row has decides, not the side it is on: a batch that is merged twice, or later than
+    one that arrived after it, changes nothing. Only rows whose key is in the batch are grouped; the table is
+    the left side of all joins, so a batch small enough to broadcast is merged without shuffling the table.
+    """
+    keys = batch.select(key)
+    known = table.join(keys, key, "left_semi")
+    others = table.join(keys, key, "left_anti")
+    return others.unionByName(combined(known.unionByName(batch), rule, key)).select(*table.columns)
+
+
 def dedup_within(df: DataFrame, delay: str, key: str = KEY) -> DataFrame:
     """Streaming insert-ignore that remembers a key for ``delay`` only.
 

@@ -72,7 +72,8 @@ STORED_SCHEMA = StructType(
 )
 
 # `job`, `batch_id` and `outcome` are directory levels of the log, not file columns.
-# `written_at` is when the batch was written: the order in which several jobs fill one table.
+# `written_at` is the time that the job's checkpoint has for the batch, which a replay finds there
+# again: the order in which several jobs fill one table.
 LOG_SCHEMA = StructType(
     STORED_SCHEMA.fields
     + [
@@ -85,3 +86,18 @@ LOG_SCHEMA = StructType(
         StructField("outcome", StringType()),
     ]
 )
+
+# A row's place in the order of arrival.
+ARRIVAL_TYPE = StructType([
+    StructField("written_at", TimestampType()),
+    StructField("job", StringType()),
+    StructField("batch_id", LongType()),
+    StructField("position", POSITION_TYPE),
+])
+
+# A merged table also keeps which rows its values and its flags are from.
+MERGED_SCHEMA = StructType([
+    *STORED_SCHEMA,
+    StructField("arrived", ARRIVAL_TYPE),
+    StructField("flagged_at", ARRIVAL_TYPE),
+])

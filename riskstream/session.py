@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskstream import files
 from riskstream.options import JobOptions
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -53,19 +54,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return _made[-1]
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder in whatever file system it is."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)  # noqa: SLF001
-
-
 _made: list[str] = []
 
 
 def release(spark: SparkSession) -> None:
     """Remove the intermediate tables made so far. Results that are still to be read need them."""
     while _made:
-        remove_folder(spark, _made.pop())
+        files.remove(spark, _made.pop())
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

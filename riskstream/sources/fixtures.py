@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -146,6 +147,17 @@ def event_messages(spark: SparkSession, sf_dir: str, *, streaming: bool = False)
     return _packed(rows, columns).select("position", "value")
 
 
+def order_messages(spark: SparkSession, sf_dir: str, since: date | None = None) -> DataFrame:
+    """Orders as JSON messages; with ``since``, those from that day on, delivered later and at twice the amount."""
+    rows = transactions(spark, sf_dir)
+    again = since is not None
+    if again:
+        rows = rows.where(F.col("timestamp") >= F.lit(since)).withColumn("amount", F.col("amount") * 2)
+    place = position(F.lit(None), F.lit("orders"), F.lit(int(again)), F.col(KEY))
+    wire = rows.withColumn("timestamp", iso_text("timestamp")).select(place, F.to_json(F.struct(*WIRE_COLUMNS)).alias("value"))
+    return wire.select("position", "value")
+
+
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event messages with every kind of fault, decided by the event itself.
 

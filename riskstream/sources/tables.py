@@ -9,8 +9,8 @@ from riskstream.schema import STORED_SCHEMA
 
 
 def parquet_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table; only the columns and row groups a query needs are read."""
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
+    """A stored table, or one merged by month; only the columns and row groups a query needs are read."""
+    return spark.read.schema(STORED_SCHEMA).parquet(path).select(*STORED_SCHEMA.names)
 
 
 def jdbc_settings(options: JobOptions) -> dict[str, str]:

@@ -11,7 +11,7 @@ from riskstream.options import JobOptions
 from riskstream.schema import FLAG, KEY, MAX_LENGTH, REQUIRED, STORED_COLUMNS
 from riskstream.sources.messages import with_offsets
 from riskstream.sources.tables import jdbc_settings
-from riskstream.streaming.log import BatchWriter, resolved
+from riskstream.streaming.log import BatchWriter, job_id, resolved
 
 CONFLICT = {
     "insert_ignore": "DO NOTHING",
@@ -32,13 +32,29 @@ def table_statement(table: str) -> str:
     return f"CREATE TABLE IF NOT EXISTS {table} (id SERIAL PRIMARY KEY, {', '.join(columns)})"
 
 
-def merge_statement(table: str, staging: str, rule: str) -> str:
-    """Merge a staged batch, which holds an id once, into the table."""
+def batches_statement(table: str) -> str:
+    """The definition of the table that says which batches are merged."""
+    return f"CREATE TABLE IF NOT EXISTS {table}_batches (job VARCHAR(36), batch_id BIGINT, PRIMARY KEY (job, batch_id))"
+
+
+def staging_name(table: str, job: str, batch_id: int) -> str:
+    """The staging table of one batch of one job: jobs side by side, and a batch that runs again, don't meet in it."""
+    return f"{table}_{job.replace('-', '')}_{batch_id}"
+
+
+def merge_statements(table: str, staging: str, rule: str, job: str, batch_id: int) -> list[str]:
+    """Merge a staged batch, which holds an id once, into the table, unless that has been done; to run as one transaction.
+
+    So a batch that runs again, after others of other jobs, changes nothing.
+    """
     columns = ", ".join(STORED_COLUMNS)
-    return (
+    done = f"SELECT 1 FROM {table}_batches WHERE job = '{job}' AND batch_id = {batch_id}"
+    return [
         f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging} "
-        f"ON CONFLICT ({KEY}) {CONFLICT[rule]}"
-    )
+        f"WHERE NOT EXISTS ({done}) ON CONFLICT ({KEY}) {CONFLICT[rule]}",
+        f"INSERT INTO {table}_batches VALUES ('{job}', {batch_id}) ON CONFLICT DO NOTHING",
+        f"DROP TABLE {staging}",
+    ]
 
 
 def database_writer(
@@ -46,19 +62,20 @@ def database_writer(
     stage: Callable[[DataFrame, str], None],
     table: str,
     rule: str,
+    checkpoint: str,
     *,
     connections: int = 16,
 ) -> BatchWriter:
-    """Upserts a batch of log rows: written to a staging table by the executors, then merged by one statement.
+    """Upserts a batch of log rows: written to a staging table by the executors, then merged in one transaction.
 
     ``connect`` opens a DB-API connection for the driver; ``stage`` writes rows to a table of
     the given name, in place of what it held. A batch is first reduced to one row per id. At
     most ``connections`` tasks write, which get the reduced rows by a shuffle, so the
-    reduction itself keeps its tasks. A batch that runs again is staged and merged again, which
-    changes nothing. The table is made with the first batch if it isn't there; a batch
+    reduction itself keeps its tasks. Each batch of each job has a staging table of its own, which goes with the
+    merge, and is merged once, even if it runs again. The tables are made with the first batch if they aren't there; a batch
     without rows is left out.
     """
-    staging, ready = f"{table}_staging", []
+    ready = []
 
     def execute(*statements: str) -> None:
         connection = connect()
@@ -74,11 +91,13 @@ def database_writer(
         if batch.isEmpty():
             return
         if not ready:
-            execute(table_statement(table))
+            execute(table_statement(table), batches_statement(table))
             ready.append(True)
+        job = job_id(batch.sparkSession, checkpoint)
+        staging = staging_name(table, job, batch_id)
         rows = resolved(with_offsets(batch), rule, ("position",)).select(*STORED_COLUMNS)
         stage(rows.repartition(connections), staging)
-        execute(merge_statement(table, staging, rule))
+        execute(*merge_statements(table, staging, rule, job, batch_id))
 
     return write
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from riskstream.operators.decode import decode, with_flag
 from riskstream.options import JobOptions
-from riskstream.streaming.log import BatchWriter, log_rows, log_writer
-from riskstream.streaming.route import file_route_writer, flagged_messages, to_kafka
+from riskstream.streaming.log import BatchWriter, checked_rows, log_rows, log_writer
+from riskstream.streaming.route import file_route_writer, flagged_messages, kafka_route_writer, routed, to_kafka
 
 
 def _trigger(every: str | None) -> dict[str, object]:
@@ -60,6 +61,41 @@ def start_route(
     )
 
 
+def start_fan_out(
+    messages: DataFrame,
+    writer: BatchWriter | str,
+    route_path: str | None,
+    checkpoint: str,
+    options: JobOptions = JobOptions(),
+    *,
+    whole: bool = False,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Store all messages and forward the flagged ones, from one read of the source.
+
+    A batch is read and decoded once and kept until both are written. Each of the two overwrites what an earlier
+    run of the batch has written, so the batch may run again at any point; only a topic gets its messages twice then.
+    """
+    store = log_writer(writer, checkpoint) if isinstance(writer, str) else writer
+    forward = kafka_route_writer(options) if route_path is None else file_route_writer(route_path, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            forward(routed(batch, whole=whole), batch_id)
+            store(checked_rows(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    return (
+        with_flag(decode(messages), options.threshold)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
 def run_stream(
     spark: SparkSession,
     messages: DataFrame,
@@ -70,16 +106,21 @@ def run_stream(
     whole: bool = False,
     options: JobOptions = JobOptions(),
     every: str | None = "10 seconds",
+    apart: bool = False,
 ) -> None:
-    """Store and forward until one of the two fails or both are done.
+    """Store and forward until that fails or is done.
 
-    Both queries keep their offsets in the checkpoint, so a restart goes on where
-    they stopped. A failure of either ends the job with that error.
+    The source is read once for both, unless they are to run ``apart``: as two queries, of which
+    neither waits for the other. Offsets are kept in the checkpoint, so a restart goes on where
+    the job stopped. A failure of either ends the job with that error.
     """
-    queries = [
-        start_store(messages, writer, f"{checkpoint}/store", options, every=every),
-        start_route(messages, route_path, f"{checkpoint}/route", options, whole=whole, every=every),
-    ]
+    if apart:
+        queries = [
+            start_store(messages, writer, f"{checkpoint}/store", options, every=every),
+            start_route(messages, route_path, f"{checkpoint}/route", options, whole=whole, every=every),
+        ]
+    else:
+        queries = [start_fan_out(messages, writer, route_path, f"{checkpoint}/store", options, whole=whole, every=every)]
     try:
         while any(query.isActive for query in queries):
             spark.streams.awaitAnyTermination()

@@ -4,9 +4,14 @@
 a failure writes the same folder again, which makes at-least-once delivery
 idempotent without a table format. Batches are numbered from 0 for each checkpoint, so the
 id that Spark keeps with a checkpoint is the first level: several jobs, or a job with a
-new checkpoint, fill one log side by side. The table itself is the log resolved by a
-conflict rule, in the order in which batches were written; :func:`compact` writes that
-down so readers need not.
+new checkpoint, fill one log side by side.
+
+The table itself is the log resolved by a conflict rule, in the order of the batches' times. A
+batch's time is the one that Spark notes in the checkpoint before the batch runs: a batch that runs again finds it
+there, so a replay changes neither a row nor its place, whatever other jobs have written meanwhile.
+
+``<log>/_batches/ID/N.json`` is written once a batch is complete: its time and counts. These
+entries are the manifest of the log, by which a merge reads only the batches it lacks.
 """
 
 from __future__ import annotations
@@ -17,12 +22,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from riskstream import files
 from riskstream.functions import parsed_timestamp
 from riskstream.operators.decode import decode, with_flag
-from riskstream.operators.upsert import ARRIVAL, MERGES, RULES
+from riskstream.operators.upsert import ARRIVAL, RULES, merge_ordered, ordered
 from riskstream.operators.validate import with_reason
-from riskstream.schema import DEFAULT_THRESHOLD, FLAG, LOG_SCHEMA, STORED_COLUMNS, STORED_SCHEMA
-from riskstream.session import remove_folder, stored
+from riskstream.schema import DEFAULT_THRESHOLD, FLAG, LOG_SCHEMA, MERGED_SCHEMA, STORED_COLUMNS
+from riskstream.session import stored
 from riskstream.sources.messages import with_offsets
 
 logger = logging.getLogger(__name__)
@@ -36,7 +42,12 @@ def log_rows(messages: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataF
 
     The raw text is kept for rejected rows only.
     """
-    checked = with_reason(with_flag(decode(messages), threshold))
+    return checked_rows(with_flag(decode(messages), threshold))
+
+
+def checked_rows(flagged: DataFrame) -> DataFrame:
+    """Decoded and flagged messages as rows of the log."""
+    checked = with_reason(flagged)
     accepted = F.col("reason").isNull()
     return checked.withColumns({
         "timestamp": parsed_timestamp(),
@@ -47,21 +58,35 @@ def log_rows(messages: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataF
 
 def job_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that a streaming query keeps with its checkpoint, through all restarts."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    return json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def _entry(path: str, job: str, batch_id: int) -> str:
+    return f"{path}/_batches/{job}/{batch_id}.json"
+
+
+def batch_time(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> int:
+    """The batch's time in microseconds: that in the checkpoint, and never before that of the job's batch before."""
+    noted = json.loads(files.read_text(spark, f"{checkpoint}/offsets/{batch_id}").split("\n")[1])
+    time, before = noted["batchTimestampMs"] * 1000, _entry(path, job_id(spark, checkpoint), batch_id - 1)
+    if files.exists(spark, before):
+        time = max(time, json.loads(files.read_text(spark, before))["written_at"])
+    return time
 
 
 def log_writer(path: str, checkpoint: str) -> BatchWriter:
     """Writes one batch of log rows, evaluating it once, from the executors.
 
-    The numbers of rows, suspicious rows and rejects are observed on the way.
+    The numbers of rows, suspicious rows and rejects are observed on the way and noted in the batch's entry.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         seen = Observation(f"batch {batch_id}")
-        job = job_id(batch.sparkSession, checkpoint)
+        job, time = job_id(spark, checkpoint), batch_time(spark, path, checkpoint, batch_id)
         (
             with_offsets(batch)
-            .withColumn("written_at", F.current_timestamp())
+            .withColumn("written_at", F.timestamp_micros(F.lit(time).cast("long")))
             .observe(
                 seen,
                 F.count(F.lit(1)).alias("total"),
@@ -74,6 +99,8 @@ def log_writer(path: str, checkpoint: str) -> BatchWriter:
             .partitionBy("outcome")
             .parquet(f"{path}/job={job}/batch_id={batch_id}")
         )
+        entry = {"job": job, "batch_id": batch_id, "written_at": time, **seen.get}
+        files.write_once(spark, _entry(path, job, batch_id), json.dumps(entry))
         logger.info("batch %d: %s", batch_id, seen.get)
 
     return write
@@ -104,27 +131,63 @@ def resolved(log: DataFrame, rule: str, order: tuple[str, ...] = ARRIVAL) -> Dat
     return RULES[rule](accepted.select(*STORED_COLUMNS, *order), order)
 
 
-def batches(log: DataFrame) -> DataFrame:
-    """(job, batch_id) of the batches in a log."""
-    return log.select("job", "batch_id").distinct()
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(job, batch_id, written_at, total, suspicious, rejected) of the complete batches, without reading them."""
+    schema = "job string, batch_id long, written_at long, total long, suspicious long, rejected long"
+    folders = [f"{path}/_batches/{job}" for job in files.names(spark, f"{path}/_batches")]
+    if not folders:
+        return spark.createDataFrame([], schema).withColumn("written_at", F.timestamp_micros("written_at"))
+    return spark.read.schema(schema).json(folders).withColumn("written_at", F.timestamp_micros("written_at"))
+
 
+def batches(spark: SparkSession, path: str) -> set[tuple[str, int]]:
+    """(job, batch_id) of the complete batches, from the names of their entries."""
+    found = ((job, name) for job in files.names(spark, f"{path}/_batches") for name in files.names(spark, f"{path}/_batches/{job}"))
+    return {(job, int(name.removesuffix(".json"))) for job, name in found}
 
-def held(spark: SparkSession, table_path: str) -> DataFrame:
-    """(job, batch_id) of the batches that a compacted table holds."""
-    return spark.read.schema("job string, batch_id long").parquet(_record(table_path))
+
+def held(spark: SparkSession, table_path: str) -> set[tuple[str, int]]:
+    """(job, batch_id) of the batches that a merged table holds."""
+    record = _record(table_path)
+    if not files.exists(spark, record):
+        return set()
+    rows = spark.read.schema("job string, batch_id long").parquet(record).distinct()
+    return {(row.job, row.batch_id) for row in rows.toLocalIterator()}
+
+
+def hold(spark: SparkSession, table_path: str, taken: set[tuple[str, int]]) -> None:
+    """Note that a merged table holds some more batches."""
+    rows = spark.createDataFrame(sorted(taken), "job string, batch_id long")
+    rows.coalesce(1).write.mode("append").parquet(_record(table_path))
 
 
 def _record(table_path: str) -> str:
     return f"{table_path.rstrip('/')}.batches"
 
 
-def _tail(spark: SparkSession, log_path: str, base_path: str | None, through_batch: int | None) -> DataFrame:
-    rows = read_log(spark, log_path)
-    if through_batch is not None:
-        rows = rows.where(F.col("batch_id") <= through_batch)
-    if base_path is not None:
-        rows = rows.join(held(spark, base_path), ["job", "batch_id"], "left_anti")
-    return rows
+def read_batches(spark: SparkSession, log_path: str, wanted: set[tuple[str, int]]) -> DataFrame:
+    """The rows of some batches; no other folder is looked at."""
+    folders = [f"{log_path}/job={job}/batch_id={n}" for job, n in sorted(wanted)]
+    reader = spark.read.schema(LOG_SCHEMA).option("basePath", log_path)
+    # a batch without rows has no folder for its outcomes
+    return reader.parquet(*folders) if folders else spark.createDataFrame([], LOG_SCHEMA)
+
+
+def lacking(spark: SparkSession, log_path: str, table_path: str | None, through_batch: int | None = None) -> set[tuple[str, int]]:
+    """The complete batches that a merged table doesn't hold."""
+    there = {(job, n) for job, n in batches(spark, log_path) if through_batch is None or n <= through_batch}
+    return there - held(spark, table_path) if table_path is not None else there
+
+
+def reduced(spark: SparkSession, log_path: str, rule: str, wanted: set[tuple[str, int]]) -> DataFrame:
+    """Some batches reduced to one row an id, with its places in the order of arrival."""
+    rows = read_batches(spark, log_path, wanted).where(F.col("outcome") == STORED)
+    return ordered(rows.select(*STORED_COLUMNS, *ARRIVAL), rule)
+
+
+def merged_table(spark: SparkSession, path: str) -> DataFrame:
+    """A merged table with its places in the order of arrival. Without them, read it like any stored table."""
+    return spark.read.schema(MERGED_SCHEMA).parquet(path).select(*MERGED_SCHEMA.names)
 
 
 def current_table(
@@ -137,19 +200,19 @@ def current_table(
 ) -> DataFrame:
     """The table as of ``through_batch`` of each job, or of the last batches.
 
-    With ``base_path``, a compacted table, only the batches that it doesn't hold are
+    With ``base_path``, a merged table, only the batches that it doesn't hold are read and
     merged into it. They are reduced and stored first, so that the planner knows their
     size and, if it is small, leaves the base where it is.
     """
-    return _merged(_tail(spark, log_path, base_path, through_batch), rule, base_path)
+    wanted = lacking(spark, log_path, base_path, through_batch)
+    return _current(spark, log_path, rule, base_path, wanted).select(*STORED_COLUMNS)
 
 
-def _merged(tail: DataFrame, rule: str, base_path: str | None) -> DataFrame:
-    rows = resolved(tail, rule)
+def _current(spark: SparkSession, log_path: str, rule: str, base_path: str | None, wanted: set[tuple[str, int]]) -> DataFrame:
+    rows = reduced(spark, log_path, rule, wanted)
     if base_path is None:
         return rows
-    base = tail.sparkSession.read.schema(STORED_SCHEMA).parquet(base_path)
-    return MERGES[rule](base, stored(rows, "tail"))
+    return merge_ordered(merged_table(spark, base_path), stored(rows, "tail"), rule)
 
 
 def compact(
@@ -164,24 +227,26 @@ def compact(
     """Write :func:`current_table` to the new folder ``out_path``, and next to it which batches it holds.
 
     Nothing is changed in place: point the table's view or location at the new folder
-    once this returns. Batches left out now must have been written after those taken, so
-    give ``through_batch`` only where one job fills the log, and run this between batches.
+    once this returns. Batches may be left out and merged later, in any order. For a table that is kept up to
+    date month by month, see :mod:`riskstream.streaming.monthly`.
     """
-    tail = _tail(spark, log_path, base_path, through_batch)
-    new = batches(tail) if base_path is None else batches(tail).unionByName(held(spark, base_path))
-    taken = stored(new, "batches")
-    _merged(tail, rule, base_path).write.parquet(out_path)
-    taken.write.parquet(_record(out_path))
-    return spark.read.schema(STORED_SCHEMA).parquet(out_path)
+    wanted = lacking(spark, log_path, base_path, through_batch)
+    before = set() if base_path is None else held(spark, base_path)
+    _current(spark, log_path, rule, base_path, wanted).write.parquet(out_path)
+    hold(spark, out_path, wanted | before)
+    return merged_table(spark, out_path).select(*STORED_COLUMNS)
 
 
 def prune(spark: SparkSession, log_path: str, table_path: str) -> int:
-    """Remove the log's batches that a compacted table holds; returns how many there were.
+    """Remove the log's batches that a merged table holds; returns how many there were.
 
-    The table then is the only place they are kept in: compact further with it as the base.
+    The table then is the only place they are kept in: merge further with it as the base. The
+    batches' entries stay.
     """
-    gone = batches(read_log(spark, log_path)).join(held(spark, table_path), ["job", "batch_id"])
-    removed = [f"{log_path}/job={row.job}/batch_id={row.batch_id}" for row in gone.toLocalIterator()]
-    for folder in removed:
-        remove_folder(spark, folder)
-    return len(removed)
+    gone = 0
+    for job, n in held(spark, table_path):
+        folder = f"{log_path}/job={job}/batch_id={n}"
+        if files.exists(spark, folder):
+            files.remove(spark, folder)
+            gone += 1
+    return gone

@@ -19,8 +19,13 @@ def flagged_messages(
 
     ``whole`` forwards the message as it came, unknown fields included, without a key.
     """
-    flagged = only_suspicious(with_flag(decode(messages), threshold))
-    return encode_whole(flagged) if whole else encode(flagged)
+    return routed(with_flag(decode(messages), threshold), whole=whole)
+
+
+def routed(flagged: DataFrame, *, whole: bool = False) -> DataFrame:
+    """The same of messages that are decoded and flagged already."""
+    rows = only_suspicious(flagged)
+    return encode_whole(rows) if whole else encode(rows)
 
 
 def file_route_writer(path: str, checkpoint: str) -> BatchWriter:
@@ -33,10 +38,19 @@ def file_route_writer(path: str, checkpoint: str) -> BatchWriter:
     return write
 
 
+def kafka_route_writer(options: JobOptions) -> BatchWriter:
+    """Sends one batch of routed messages to the flagged topic, at least once. Needs the Kafka connector."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format("kafka").options(**_topic(options)).save()
+
+    return write
+
+
 def to_kafka(routed: DataFrame, options: JobOptions) -> DataStreamWriter:
     """The stream writer for the flagged topic. Needs the Kafka connector."""
-    return (
-        routed.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", options.broker)
-        .option("topic", options.flagged_topic)
-    )
+    return routed.writeStream.format("kafka").options(**_topic(options))
+
+
+def _topic(options: JobOptions) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": options.broker, "topic": options.flagged_topic}

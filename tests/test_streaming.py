@@ -3,6 +3,7 @@
 import json
 import pickle
 import random
+import sqlite3
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from riskstream.schema import STORED_COLUMNS
 from riskstream.sources.fixtures import event_messages
 from riskstream.sources.messages import file_messages, kafka_settings
 from riskstream.streaming import log
-from riskstream.streaming.database import database_writer, merge_statement, table_statement
-from riskstream.streaming.jobs import run_backfill, run_stream, start_route, start_store
+from riskstream.streaming.database import batches_statement, database_writer, merge_statements, staging_name, table_statement
+from riskstream.streaming.jobs import run_backfill, run_stream, start_fan_out, start_route, start_store
 from riskstream.streaming.route import flagged_messages
 
 FIRST = [
@@ -40,6 +41,12 @@ def table(rows, rule="flag_upsert"):
     return [(r.transaction_id, r.amount, r.merchant, r.is_suspicious) for r in resolved]
 
 
+def uncommit(checkpoint, batch):
+    """As if the job had failed after the batch was written and before its commit."""
+    for name in (str(batch), f".{batch}.crc"):
+        (checkpoint / "commits" / name).unlink(missing_ok=True)
+
+
 def test_drops_restarts_and_replays(spark, tmp_path):
     lines(tmp_path / "in", "1.json", FIRST)
     rows = store(spark, tmp_path)
@@ -61,13 +68,9 @@ def test_drops_restarts_and_replays(spark, tmp_path):
     assert [tuple(r) for r in counts] == [(0, 5, 3, 2), (1, 2, 0, 0)]
 
     # Without the commit of the last batch, the batch runs again.
-    last = tmp_path / "checkpoint" / "commits" / "1"
-    last.rename(tmp_path / "moved-commit")
-    checksum = last.with_name(".1.crc")
-    if checksum.exists():
-        checksum.rename(tmp_path / "moved-checksum")
+    uncommit(tmp_path / "checkpoint", 1)
     rows = store(spark, tmp_path)
-    assert last.exists() and rows.count() == 7 and table(rows) == final
+    assert (tmp_path / "checkpoint" / "commits" / "1").exists() and rows.count() == 7 and table(rows) == final
 
 
 def test_empty_batch(spark, tmp_path):
@@ -151,18 +154,46 @@ def test_route_of_whole_messages(spark, tmp_path):
     assert [json.loads(r.value)["extra"] for r in routed] == [7]
 
 
-def test_both_queries_run_until_done(spark, tmp_path):
+@pytest.mark.parametrize("apart", [False, True])
+def test_both_outputs_run_until_done(spark, tmp_path, apart):
     lines(tmp_path / "in", "1.json", FIRST)
     run_stream(
         spark, file_messages(spark, str(tmp_path / "in")), writer=str(tmp_path / "log"),
-        checkpoint=str(tmp_path / "checkpoint"), route_path=str(tmp_path / "out"), every=None,
+        checkpoint=str(tmp_path / "checkpoint"), route_path=str(tmp_path / "out"), every=None, apart=apart,
     )
     assert log.read_log(spark, str(tmp_path / "log"), "stored").count() == 3
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
     assert not spark.streams.active
 
 
-def test_failure_of_one_query_ends_the_job(spark, tmp_path):
+@pytest.mark.parametrize("whole", [False, True])
+def test_fan_out_reads_the_source_once(spark, tmp_path, whole):
+    lines(tmp_path / "in", "1.json", FIRST)
+    lines(tmp_path / "in", "2.json", SECOND)
+    messages = file_messages(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+
+    def run():
+        query = start_fan_out(messages, str(tmp_path / "log"), str(tmp_path / "out"), str(tmp_path / "checkpoint"), whole=whole)
+        query.awaitTermination()
+        return [p.numInputRows for p in query.recentProgress if p.numInputRows]
+
+    def outputs():
+        out = spark.read.parquet(str(tmp_path / "out"))
+        return table(log.read_log(spark, str(tmp_path / "log"))), sorted(r.value for r in out.collect())
+
+    assert sorted(run()) == [2, 5], "each message is read once"
+    expected = start_store(messages, str(tmp_path / "log2"), str(tmp_path / "checkpoint2")), start_route(messages, str(tmp_path / "out2"), str(tmp_path / "checkpoint3"), whole=whole)
+    for query in expected:
+        query.awaitTermination()
+    found = outputs()
+    assert found == (table(log.read_log(spark, str(tmp_path / "log2"))), sorted(r.value for r in spark.read.parquet(str(tmp_path / "out2")).collect()))
+    uncommit(tmp_path / "checkpoint", 1)
+    run()
+    assert outputs() == found, "a replay changes neither output"
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_failure_of_one_output_ends_the_job(spark, tmp_path, apart):
     lines(tmp_path / "in", "1.json", FIRST)
 
     def broken(batch, batch_id):
@@ -171,7 +202,7 @@ def test_failure_of_one_query_ends_the_job(spark, tmp_path):
     with pytest.raises(Exception, match="no space left"):
         run_stream(
             spark, file_messages(spark, str(tmp_path / "in")), writer=broken,
-            checkpoint=str(tmp_path / "checkpoint"), route_path=str(tmp_path / "out"), every="1 second",
+            checkpoint=str(tmp_path / "checkpoint"), route_path=str(tmp_path / "out"), every="1 second", apart=apart,
         )
     assert not spark.streams.active
 
@@ -183,7 +214,7 @@ def test_backfill_replays_without_effect(spark, tmp_path):
         run_backfill(messages, str(tmp_path / "log"), str(tmp_path / run))
     rows = log.read_log(spark, str(tmp_path / "log"))
     assert rows.count() == 14, "both deliveries are in the log"
-    assert log.batches(rows).count() == 2
+    assert len(log.batches(spark, str(tmp_path / "log"))) == 2
     assert table(rows, "insert_ignore") == [
         ("a", 10.0, "old", False), ("b", 5000.0, "Shop", True), ("d", 100.0, "Shop", False),
     ]
@@ -211,14 +242,14 @@ def test_compaction_in_steps_equals_whole_log(spark, tmp_path, rule):
     read = log.current_table(spark, path, rule, base_path=str(tmp_path / "t1"))
     assert read.exceptAll(whole).isEmpty() and whole.exceptAll(read).isEmpty()
     # What a table holds may leave the log; nothing is merged twice.
-    assert [r.batch_id for r in log.held(spark, str(tmp_path / "t1")).orderBy("batch_id").collect()] == [0, 1]
+    assert sorted(n for _, n in log.held(spark, str(tmp_path / "t1"))) == [0, 1]
     expected = sorted(map(repr, whole.collect()))
     assert log.prune(spark, path, str(tmp_path / "t1")) == 2
     read = log.current_table(spark, path, rule, base_path=str(tmp_path / "t1"))
     assert sorted(map(repr, read.collect())) == expected
     again = log.compact(spark, path, rule, str(tmp_path / "t4"), base_path=str(tmp_path / "t3"))
     assert sorted(map(repr, again.collect())) == expected
-    assert log.held(spark, str(tmp_path / "t4")).count() == 4
+    assert len(log.held(spark, str(tmp_path / "t4"))) == 4
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -280,7 +311,7 @@ def test_database_writer(spark, tmp_path, rule):
         calls.append(name)
         rows.write.mode("overwrite").parquet(str(tmp_path / name))
 
-    writer = database_writer(Connection, stage, "transactions", rule)
+    writer = database_writer(Connection, stage, "transactions", rule, str(tmp_path / "checkpoint"))
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "0.json").write_text("")
     messages = file_messages(spark, str(tmp_path / "in"))
@@ -288,16 +319,56 @@ def test_database_writer(spark, tmp_path, rule):
     assert calls == [], "a batch without rows opens no connection"
     lines(tmp_path / "in", "1.json", FIRST)
     run_backfill(messages, writer, str(tmp_path / "checkpoint"))
+    job = log.job_id(spark, str(tmp_path / "checkpoint"))
+    staging = staging_name("transactions", job, 1)
     assert calls == [
-        table_statement("transactions"), "commit", "close", "transactions_staging",
-        merge_statement("transactions", "transactions_staging", rule), "commit", "close",
+        table_statement("transactions"), batches_statement("transactions"), "commit", "close", staging,
+        *merge_statements("transactions", staging, rule, job, 1), "commit", "close",
     ]
-    rows = {r.transaction_id: r for r in spark.read.parquet(str(tmp_path / "transactions_staging")).collect()}
+    rows = {r.transaction_id: r for r in spark.read.parquet(str(tmp_path / staging)).collect()}
     assert rows.keys() == {"a", "b"}, "one row per id, valid rows only"
     assert rows["a"].merchant == "old"
     assert rows["a"].is_suspicious is (rule == "flag_upsert")
 
 
+def test_two_jobs_on_one_database(spark, tmp_path):
+    """Both stage before either merges; then the first job's batch runs again. In a database file of this process."""
+    path = str(tmp_path / "database")
+
+    def staged(rows, name):
+        with sqlite3.connect(path) as database:
+            database.execute(f"DROP TABLE IF EXISTS {name}")
+            database.execute(f"CREATE TABLE {name} ({', '.join(STORED_COLUMNS)})")
+            values = [tuple(str(v) if k == "timestamp" else v for k, v in r.asDict().items()) for r in rows.collect()]
+            database.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(STORED_COLUMNS))})", values)
+
+    def kept():
+        with sqlite3.connect(path) as database:
+            names = [row[0] for row in database.execute("SELECT name FROM sqlite_master WHERE type = 'table' ORDER BY name")]
+            return names, database.execute("SELECT transaction_id, merchant, is_suspicious FROM t ORDER BY 1").fetchall()
+
+    drops = {"a": [message(transaction_id="x", merchant="A"), message(transaction_id="y")], "b": [message(transaction_id="x", merchant="B", amount=9000.0), message(transaction_id="z")]}
+    for name, drop in drops.items():
+        lines(tmp_path / name, "1.json", drop)
+
+    def run(name, stage):
+        checkpoint = str(tmp_path / f"checkpoint-{name}")
+        writer = database_writer(lambda: sqlite3.connect(path), stage, "t", "flag_upsert", checkpoint)
+        run_backfill(file_messages(spark, str(tmp_path / name)), writer, checkpoint)
+
+    def stage_and_let_the_other_run(rows, name):
+        staged(rows, name)
+        run("b", staged)
+
+    run("a", stage_and_let_the_other_run)
+    # A has merged last: all rows are there, the flag is A's
+    tables = ["t", "t_batches"]
+    assert kept() == (tables, [("x", "B", 0), ("y", "Shop", 0), ("z", "Shop", 0)])
+    uncommit(tmp_path / "checkpoint-b", 0)
+    run("b", staged)
+    assert kept() == (tables, [("x", "B", 0), ("y", "Shop", 0), ("z", "Shop", 0)]), "a replay changes nothing"
+
+
 def test_table_statement():
     text = table_statement("t")
     assert "transaction_id VARCHAR(50) UNIQUE NOT NULL, timestamp TIMESTAMP NOT NULL" in text
@@ -305,13 +376,72 @@ def test_table_statement():
     assert text.count("NOT NULL") == 9
 
 
-def test_merge_statement():
-    text = merge_statement("t", "s", "insert_ignore")
-    assert text.startswith("INSERT INTO t (transaction_id, ") and " FROM s ON CONFLICT" in text
-    assert text.endswith("ON CONFLICT (transaction_id) DO NOTHING")
-    assert merge_statement("t", "s", "flag_upsert").endswith(
+def test_merge_statements():
+    merge, note, drop = merge_statements("t", "s", "insert_ignore", "j", 3)
+    assert merge.startswith("INSERT INTO t (transaction_id, ") and " FROM s WHERE NOT EXISTS (" in merge
+    assert merge.endswith("ON CONFLICT (transaction_id) DO NOTHING")
+    assert merge_statements("t", "s", "flag_upsert", "j", 3)[0].endswith(
         "ON CONFLICT (transaction_id) DO UPDATE SET is_suspicious = EXCLUDED.is_suspicious"
     )
+    assert (note, drop) == ("INSERT INTO t_batches VALUES ('j', 3) ON CONFLICT DO NOTHING", "DROP TABLE s")
+
+
+def test_a_replay_keeps_its_place(spark, tmp_path):
+    """A's batch is written, not committed; B writes; A starts again."""
+    lines(tmp_path / "a", "1.json", [message(transaction_id="x", merchant="FIRST", amount=100.0)])
+    lines(tmp_path / "b", "1.json", [message(transaction_id="x", merchant="SECOND", amount=9999.0)])
+
+    def run(name):
+        start_store(file_messages(spark, str(tmp_path / name)), str(tmp_path / "log"), str(tmp_path / f"checkpoint-{name}")).awaitTermination()
+        return log.read_log(spark, str(tmp_path / "log"))
+
+    run("a")
+    uncommit(tmp_path / "checkpoint-a", 0)
+    before = run("b")
+    assert table(before) == [("x", 100.0, "FIRST", True)]
+    places = sorted(map(repr, before.select("job", "batch_id", "written_at").collect()))
+    after = run("a")
+    assert (tmp_path / "checkpoint-a" / "commits" / "0").exists()
+    assert table(after) == [("x", 100.0, "FIRST", True)]
+    assert sorted(map(repr, after.select("job", "batch_id", "written_at").collect())) == places
+
+
+def test_a_batch_is_never_before_the_one_before(spark, tmp_path):
+    """Even if the driver's clock is set back between them."""
+    lines(tmp_path / "in", "1.json", FIRST)
+    store(spark, tmp_path)
+    job = log.job_id(spark, str(tmp_path / "checkpoint"))
+    entry = tmp_path / "log" / "_batches" / job / "0.json"
+    noted = json.loads(entry.read_text())
+    assert noted == {"job": job, "batch_id": 0, "written_at": noted["written_at"], "total": 5, "suspicious": 3, "rejected": 2}
+    later = noted["written_at"] + 10**12
+    entry.write_text(json.dumps({**noted, "written_at": later}))
+    entry.with_name(".0.json.crc").unlink(missing_ok=True)
+    lines(tmp_path / "in", "2.json", SECOND)
+    store(spark, tmp_path)
+    assert [r[0] for r in log.manifest(spark, str(tmp_path / "log")).selectExpr("unix_micros(written_at)").collect()] == [later, later]
+
+
+def test_a_merge_reads_only_the_batches_it_lacks(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for n in range(3):
+        lines(tmp_path / "in", f"{n}.json", [message(transaction_id=str(n))])
+        store(spark, tmp_path)
+    log.compact(spark, path, "flag_upsert", str(tmp_path / "t"), through_batch=1)
+    wanted = log.lacking(spark, path, str(tmp_path / "t"))
+    assert [n for _, n in wanted] == [2]
+    read = log.read_batches(spark, path, wanted).inputFiles()
+    assert read and all("batch_id=2" in name for name in read)
+    assert [tuple(r) for r in log.manifest(spark, path).select("batch_id", "total").orderBy("batch_id").collect()] == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_a_batch_without_an_entry_is_not_merged(spark, tmp_path):
+    lines(tmp_path / "in", "1.json", FIRST)
+    store(spark, tmp_path)
+    left = tmp_path / "log" / "job=broken" / "batch_id=0" / "outcome=stored"
+    left.mkdir(parents=True)
+    (left / "part-0.parquet").write_bytes(b"half of a file")
+    assert log.current_table(spark, str(tmp_path / "log"), "flag_upsert").count() == 2
 
 
 def test_jobs_share_a_log(spark, tmp_path):

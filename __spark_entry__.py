@@ -8,12 +8,13 @@ over its whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from riskstream.functions import iso_text, month_label, parsed_timestamp, period_start
-from riskstream.operators import breakdown, filters, locations, patterns, ranking, trends, upsert, validate
+from riskstream.operators import breakdown, filters, locations, patterns, ranking, risk, trends, upsert, validate
 from riskstream.operators.decode import decode, with_flag
 from riskstream.operators.measures import summary
 from riskstream.operators.sample import monthly_sample as sample_months
@@ -34,8 +35,8 @@ from riskstream.sources.fixtures import (
 from riskstream.options import JobOptions
 from riskstream.sources.tables import parquet_table
 from riskstream import files
-from riskstream.streaming import log, monthly
-from riskstream.streaming.jobs import run_backfill, start_fan_out, start_route, start_store
+from riskstream.streaming import log, monthly, profiles
+from riskstream.streaming.jobs import run_backfill, start_fan_out, start_judged, start_route, start_store
 from riskstream.streaming.route import flagged_messages
 
 ENTRY_DIR = "/root/testdata/sf0.001"
@@ -595,6 +596,84 @@ def suspicious_merchants(spark, sf_dir):
     return patterns.suspicious_merchants(transactions(spark, sf_dir, ("merchant", "amount", FLAG)))
 
 
+# --- risk score ------------------------------------------------------------------
+
+
+def past_sql(by: str) -> str:
+    """Totals of the days before each day of a customer or merchant."""
+    sums = ", ".join(f"coalesce(sum({c}) OVER past, 0) AS {c}" for c in risk.MEASURES)
+    return f"""SELECT {by}, day, {sums}, max(day) OVER past AS last_day
+      FROM (SELECT {by}, day, count(*) AS n, count(*) FILTER (WHERE status = 'FAILED') AS failed, sum(cents) AS cents, count(cents) AS amounts
+        FROM dated WHERE {by} IS NOT NULL GROUP BY {by}, day)
+      WINDOW past AS (PARTITION BY {by} ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+def bands_sql(value: str, ends: tuple[int, ...], known: str) -> str:
+    cases = " ".join(f"WHEN {value.format(end=end)} THEN {i}" for i, end in enumerate(ends, 1))
+    return f"CASE WHEN NOT coalesce({known}, false) THEN 0 {cases} ELSE {len(ends) + 1} END"
+
+
+RISK_FROM = date(2000, 1, 1)
+BANDS = {
+    "customer_failures": bands_sql("c.failed * 100 < {end} * c.n", risk.SHARES, "c.n > 0"),
+    "merchant_failures": bands_sql("m.failed * 100 < {end} * m.n", risk.SHARES, "m.n > 0"),
+    "customer_count": bands_sql("c.n < {end}", risk.COUNTS, "c.n > 0"),
+    "amount_to_mean": bands_sql("dated.cents * c.amounts * 100 < {end} * c.cents", risk.RATIOS, "c.amounts > 0 AND dated.cents IS NOT NULL"),
+    "days_since": bands_sql("date_diff('day', c.last_day, dated.day) < {end}", risk.DAYS, "c.last_day IS NOT NULL"),
+}
+RISK_SQL = f"""WITH {TRANSACTIONS}, dated AS MATERIALIZED (SELECT *, CAST(timestamp AS DATE) AS day, CAST(round(amount * 100) AS BIGINT) AS cents FROM transactions),
+  c AS MATERIALIZED ({past_sql("customer_id")}), m AS MATERIALIZED ({past_sql("merchant")}),
+  banded AS MATERIALIZED (SELECT transaction_id, dated.day, status, [{", ".join(f"'{name}_' || ({case})" for name, case in BANDS.items())}] AS bands
+    FROM dated LEFT JOIN c ON dated.customer_id = c.customer_id AND dated.day = c.day LEFT JOIN m ON dated.merchant = m.merchant AND dated.day = m.day),
+  learnt AS MATERIALIZED (SELECT CAST(status = 'FAILED' AS INTEGER) AS label, bands FROM banded WHERE day < DATE '{RISK_FROM}' AND status IS NOT NULL),
+  labels AS (SELECT * FROM (VALUES (0), (1)) AS v(label)),
+  classes AS (SELECT labels.label, count(bands) AS n FROM labels LEFT JOIN learnt USING (label) GROUP BY ALL),
+  met AS (SELECT label, unnest(bands) AS band FROM learnt),
+  weights AS MATERIALIZED (SELECT label, band, ln(count(met.band) + 1) - ln(any_value(classes.n) * {len(risk.FEATURES)} + {len(risk.INDICATORS)}) AS weight
+    FROM (SELECT DISTINCT unnest(bands) AS band FROM banded) CROSS JOIN classes LEFT JOIN met USING (label, band) GROUP BY label, band),
+  summed AS (SELECT transaction_id, label, sum(weight) AS weight FROM (SELECT transaction_id, unnest(bands) AS band FROM banded WHERE day >= DATE '{RISK_FROM}') JOIN weights USING (band) GROUP BY ALL),
+  raw AS (SELECT transaction_id, sum(CASE label WHEN 1 THEN weight + ln(n + 1) ELSE -weight - ln(n + 1) END) AS odds FROM summed JOIN classes USING (label) GROUP BY ALL)
+  SELECT transaction_id, status, round(1 / (1 + exp(-odds)), 6) AS risk FROM raw JOIN banded USING (transaction_id)"""
+
+
+@query("risk_scores", RISK_SQL)
+def risk_scores(spark, sf_dir):
+    """Fitted on the transactions before a day, for those from that day on."""
+    wanted = (KEY, "timestamp", "customer_id", "merchant", "amount", "status")
+    rows = stored(risk.past_features(transactions(spark, sf_dir, wanted)), "features")
+    early = F.col("day") < F.lit(RISK_FROM)
+    scored = risk.score(rows.where(~early), risk.fit(rows.where(early)))
+    return rounded(scored, "risk", digits=6).select(KEY, "status", "risk")
+
+
+HOURS_FROM = (date(2024, 1, 11), date(2024, 1, 21))
+
+
+@query(
+    "streamed_unusual_hours",
+    f"""WITH {EVENTS}, known AS (SELECT day, coalesce(lead(day) OVER (ORDER BY day), DATE '9999-12-31') AS until FROM (VALUES {", ".join(f"(DATE '{d}')" for d in HOURS_FROM)}) AS v(day)),
+    asked AS (SELECT event_id, customer_id, hour(timestamp) AS hour, day FROM transaction_events JOIN known ON timestamp >= day AND timestamp < until),
+    before AS (SELECT day, customer_id, hour(timestamp) AS hour, count(*) AS n FROM transaction_events JOIN known ON timestamp < day GROUP BY ALL),
+    everything AS (SELECT day, customer_id, CAST(sum(n) AS BIGINT) AS "of" FROM before GROUP BY ALL)
+    SELECT event_id, customer_id, coalesce(n, 0) AS transactions, "of" FROM asked JOIN everything USING (day, customer_id) LEFT JOIN before USING (day, customer_id, hour)
+    WHERE coalesce(n, 0) < 0.05 * "of" AND "of" >= 20""",
+)
+def streamed_unusual_hours(spark, sf_dir):
+    """Events of a stream, judged by the newest profiles of their customers."""
+    folder = shared_folder(spark, "hours")
+    rows = transaction_events(spark, sf_dir)
+    for day in HOURS_FROM:
+        profiles.write_profiles(rows, f"{folder}/profiles", day, failed="error")
+
+    def judge(batch):
+        return profiles.at_unusual_hours(batch, f"{folder}/profiles", 0.05, 20)
+
+    messages = event_messages(spark, sf_dir, streaming=True)
+    start_judged(messages, judge, f"{folder}/out", f"{folder}/checkpoint", EVENT_OPTIONS).awaitTermination()
+    found = spark.read.parquet(f"{folder}/out/job=*/batch_id=*")
+    return found.select(F.col("position.offset").alias("event_id"), "customer_id", "transactions", "of")
+
+
 # --- conflict rules, as a batch ------------------------------------------------
 
 

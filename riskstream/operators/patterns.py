@@ -84,6 +84,28 @@ def unusual_hours(df: DataFrame, below: float = 0.02, seen: int = 50) -> DataFra
     return share.where(F.col("transactions") < below * F.col("of"))
 
 
+def hour_profiles(df: DataFrame) -> DataFrame:
+    """customer_id, of (all transactions) and hours (how many of them at each hour of the day): a row for each customer."""
+    rows = df.where(F.col("customer_id").isNotNull() & F.col("timestamp").isNotNull())
+    counted = rows.groupBy("customer_id", F.hour("timestamp").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    # 24 entries at most
+    hours = F.map_from_entries(F.collect_list(F.struct("hour", "n"))).alias("hours")
+    return counted.groupBy("customer_id").agg(F.sum("n").alias("of"), hours)
+
+
+def at_unusual_hours(df: DataFrame, profiles: DataFrame, below: float = 0.02, seen: int = 50) -> DataFrame:
+    """Transactions at an hour at which their customer, with ``seen`` earlier ones, had less than a share ``below`` of them.
+
+    ``profiles`` are those of :func:`hour_profiles`, and where there are several of a customer, the rows and they have ``as_of`` to tell
+    which. Works on a stream: the profiles are a table.
+    """
+    by = [c for c in ("customer_id", "as_of") if c in profiles.columns]
+    there = F.coalesce(F.try_element_at("hours", F.hour("timestamp")), F.lit(0))
+    found = df.join(profiles, by).withColumn("transactions", there)
+    found = found.where((F.col("of") >= seen) & (F.col("transactions") < below * F.col("of")))
+    return found.select(*df.columns, "transactions", "of")
+
+
 def new_locations(df: DataFrame, known: int = 1) -> DataFrame:
     """When a customer was first seen at a location, for those after the first ``known`` locations.
 

@@ -6,12 +6,16 @@ which conflict rule applies. Message sources come from ``riskstream.sources``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.operators.decode import decode, with_flag
 from riskstream.options import JobOptions
-from riskstream.streaming.log import BatchWriter, checked_rows, log_rows, log_writer
+from riskstream.schema import STORED_COLUMNS
+from riskstream.streaming.log import STORED, BatchWriter, checked_rows, log_rows, log_writer
+from riskstream.streaming.profiles import judged_writer
 from riskstream.streaming.route import file_route_writer, flagged_messages, kafka_route_writer, routed, to_kafka
 
 
@@ -133,6 +137,26 @@ def run_stream(
             query.stop()
 
 
+def start_judged(
+    messages: DataFrame,
+    judge: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    options: JobOptions = JobOptions(),
+    *,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Write what ``judge`` makes of the accepted transactions of each batch: see :mod:`riskstream.streaming.profiles`."""
+    accepted = log_rows(messages, options.threshold).where(F.col("outcome") == STORED)
+    return (
+        accepted.select(*STORED_COLUMNS, "position")
+        .writeStream.foreachBatch(judged_writer(path, checkpoint, judge))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
 def run_backfill(
     messages: DataFrame,
     writer: BatchWriter | str,

@@ -585,6 +585,40 @@ def new_locations(spark, sf_dir):
     return patterns.new_locations(transaction_events(spark, sf_dir), known=3)
 
 
+MOVES = """SELECT * FROM (SELECT customer_id, lag(location) OVER line AS location_before, lag(timestamp) OVER line AS since, location, timestamp AS until
+  FROM transaction_events WHERE location IS NOT NULL WINDOW line AS (PARTITION BY customer_id ORDER BY timestamp, location))
+  WHERE location_before <> location AND until - since < INTERVAL 6 HOUR"""
+
+
+@query("location_moves", f"WITH {EVENTS} {MOVES}")
+def location_moves(spark, sf_dir):
+    return patterns.moves(transaction_events(spark, sf_dir), "6 hours")
+
+
+def in_order_of_time(spark, sf_dir, found, name):
+    """A pattern found on a stream that gets the events week by week."""
+    folder = shared_folder(spark, name)
+    events = transaction_events(spark, sf_dir)
+    weeks = ["2024-01-08", "2024-01-15", "2024-01-22"]
+    week = sum((F.col("timestamp") >= F.lit(day).cast("timestamp_ntz")).cast("int") for day in weeks)
+    events.withColumn("week", week).write.partitionBy("week").parquet(f"{folder}/in")
+    for n in range(len(weeks) + 1):
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1_000_000).parquet(f"{folder}/in/week=[0-{n}]")
+        writer = found(stream).writeStream.format("parquet").option("path", f"{folder}/out")
+        writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query("streamed_failure_bursts", f"""WITH {EVENTS} {BURSTS.format(where=" WHERE status = 'error'")}""")
+def streamed_failure_bursts(spark, sf_dir):
+    return in_order_of_time(spark, sf_dir, lambda rows: patterns.failure_bursts(rows, 2, failed="error", watermark="1 day"), "bursts")
+
+
+@query("streamed_location_moves", f"WITH {EVENTS} {MOVES}")
+def streamed_location_moves(spark, sf_dir):
+    return in_order_of_time(spark, sf_dir, lambda rows: patterns.moves(rows, "6 hours", watermark="1 day"), "moves")
+
+
 @query(
     "suspicious_merchants",
     f"""WITH {TRANSACTIONS}, merchants AS (SELECT merchant, count(*) AS transactions, count(*) FILTER (WHERE is_suspicious) AS suspicious

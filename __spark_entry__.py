@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
@@ -443,6 +444,26 @@ def top_location_box(spark, sf_dir):
     return rounded(box, "q1", "median", "q3", digits=4).drop("lower_fence", "upper_fence")
 
 
+NEAR = ", ".join(f"true AS {name}_near" for name in ("q1", "median", "q3"))
+
+
+@query(
+    "sketched_box",
+    f"""WITH {TRANSACTIONS} SELECT location, is_suspicious, count(*) AS transactions, min(amount) AS min_amount, max(amount) AS max_amount, {NEAR}
+    FROM transactions WHERE location IS NOT NULL GROUP BY 1, 2""",
+)
+def sketched_box(spark, sf_dir):
+    """Boxes from a summary alone, and whether their quartiles are within two hundredths of the ranks they stand for."""
+    rows = stored(transactions(spark, sf_dir, ("timestamp", "status", "location", "card_type", "amount", FLAG)), "rows")
+    groups = summary(rows, grain="month", sketch=1024)
+    box = stored(locations.box_stats(groups), "box")
+    placed = rows.join(box, ["location", FLAG]).groupBy(*box.columns[:4], "max_amount")
+    ends = [("q1", 0.25), ("median", 0.5), ("q3", 0.75)]
+    ranks = [[F.avg((F.col("amount") < F.col(name)).cast("int")), F.avg((F.col("amount") <= F.col(name)).cast("int"))] for name, _ in ends]
+    near = [((below <= p + 0.02) & (upto >= p - 0.02)).alias(f"{name}_near") for (name, p), (below, upto) in zip(ends, ranks)]
+    return placed.agg(*near)
+
+
 @query(
     "amount_outliers",
     f"""WITH {EVENTS}, fences AS (SELECT status, is_suspicious, quantile_cont(amount, 0.25) AS q1, quantile_cont(amount, 0.75) AS q3
@@ -909,6 +930,37 @@ def merged_by_month(spark, sf_dir):
     return parquet_table(spark, f"{folder}/table")
 
 
+QUARTERS = f"""{EVENTS}, quarter AS (SELECT (max(event_id) - min(event_id)) // 4 + 1 AS step, min(event_id) AS since FROM transaction_events),
+  numbered AS MATERIALIZED (SELECT transaction_events.*, CAST((event_id - since) // step AS INTEGER) AS nth FROM transaction_events, quarter),
+  asked AS MATERIALIZED (SELECT numbered.*, unnest(range(nth, 4)) AS after FROM numbered)"""
+
+
+@query(
+    "summary_after_batches",
+    f"""WITH {QUARTERS}, first AS (SELECT * FROM asked QUALIFY row_number() OVER (PARTITION BY after, transaction_id ORDER BY event_id) = 1),
+    last AS (SELECT after, transaction_id, is_suspicious AS flag FROM asked QUALIFY row_number() OVER (PARTITION BY after, transaction_id ORDER BY event_id DESC) = 1)
+    SELECT CAST(after AS INTEGER) AS after, date_trunc('day', timestamp) AS timestamp, status, location, card_type, flag AS is_suspicious,
+      count(*) AS row_count, round(sum(amount), 2) AS amount_sum, count(amount) AS amount_count
+    FROM first JOIN last USING (after, transaction_id) GROUP BY ALL""",
+)
+def summary_after_batches(spark, sf_dir):
+    """The summary that merges keep up to date, after each of four batches of events."""
+    folder = shared_folder(spark, "kept-up")
+    messages = event_messages(spark, sf_dir)
+    first, last = messages.agg(F.min("position.offset"), F.max("position.offset")).first()
+    step = (last - first) // 4 + 1
+    after = []
+    for n in range(4):
+        part = F.col("position.offset").between(first + n * step, first + (n + 1) * step - 1)
+        messages.where(part).write.parquet(f"{folder}/in/part={n}")
+        stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1_000_000).parquet(f"{folder}/in/part=*")
+        start_store(stream, f"{folder}/log", f"{folder}/checkpoint", EVENT_OPTIONS).awaitTermination()
+        monthly.merge_batches(spark, f"{folder}/log", "flag_upsert", f"{folder}/table")
+        kept = monthly.merged_summary(spark, f"{folder}/table").drop("amount_sketch")
+        after.append(stored(kept.select(F.lit(n).alias("after"), "*"), "summary"))
+    return rounded(reduce(DataFrame.unionByName, after), "amount_sum")
+
+
 @query(
     "one_read_fan_out",
     f"""WITH {EVENTS} SELECT 'stored' AS sink, transaction_id, customer_id, amount, location, card_type, is_suspicious FROM transaction_events

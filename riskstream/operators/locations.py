@@ -63,7 +63,7 @@ def box_stats(
     """Five-number summary of the amount and the outlier fences, per group.
 
     Quartiles interpolate linearly between neighbouring values. They are exact
-    unless ``accuracy`` asks for approximate ones.
+    unless ``accuracy`` asks for approximate ones, or a summary with sketches is given in place of the rows.
     """
     rows = df.withColumn(FLAG, flag_or_false()) if FLAG in keys else df
     summary = quantiles(rows, keys, "amount", (0.25, 0.5, 0.75), accuracy=accuracy)

@@ -16,6 +16,8 @@ from riskstream.functions import flag_or_false, period_start, usable_amount
 from riskstream.schema import FACETS, FLAG
 
 ROWS, AMOUNT, AMOUNTS = "row_count", "amount_sum", "amount_count"
+#: A KLL sketch of the amounts, in summaries that are asked for one.
+SKETCH = "amount_sketch"
 
 
 def is_summary(df: DataFrame) -> bool:
@@ -36,20 +38,20 @@ def measured(df: DataFrame) -> DataFrame:
 
 
 def summary(
-    df: DataFrame, facets: Iterable[str] = FACETS, grain: str = "day"
+    df: DataFrame, facets: Iterable[str] = FACETS, grain: str = "day", sketch: int | None = None
 ) -> DataFrame:
     """One row per period, facet values and flag, with the measures.
 
     A single pass over the table, combined in each task before the shuffle; its
     size depends on the number of distinct groups only. Everything additive can
-    then be answered without reading the table again.
+    then be answered without reading the table again. With ``sketch``, the size of one, each row also has a sketch of its
+    amounts, from which approximate quantiles of any groups can be had.
     """
     periods = df.withColumn("timestamp", period_start(grain).cast("timestamp_ntz"))
-    return (
-        measured(periods)
-        .groupBy("timestamp", *facets, FLAG)
-        .agg(*(F.sum(c).alias(c) for c in (ROWS, AMOUNT, AMOUNTS)))
-    )
+    measures = [F.sum(c).alias(c) for c in (ROWS, AMOUNT, AMOUNTS)]
+    if sketch is not None:
+        measures.append(F.kll_sketch_agg_double(usable_amount(), sketch).alias(SKETCH))
+    return measured(periods).groupBy("timestamp", *facets, FLAG).agg(*measures)
 
 
 def total(measure: str, condition: str | None = None):

@@ -3,30 +3,35 @@
 The built-in ``percentile`` keeps every distinct value of a group in one task. Here
 quantiles are found by rank, whatever the size of a group:
 
-1. One pass takes each group's size, extremes and a sketch (bounded in size), which gives
-   a narrow bracket of values around each quantile.
+1. One pass takes each group's size, extremes and a KLL sketch (bounded in size), which gives
+   a narrow bracket of values around each quantile, and cuts it into parts that hold about as many values.
 2. One pass counts the rows: those between brackets collapse to one count per
    gap, those inside to one count per value, all before the shuffle.
-3. These counts are range-partitioned in value order, whatever group they belong
-   to, and the count of each partition gives the rank at which it starts.
-4. Only the partitions in which a wanted rank falls are looked at row by row.
+3. The counts of gaps and parts, of which a group has a fixed number, give the rank at which each starts.
+4. Only the parts in which a wanted rank falls are looked at value by value.
 
-A bracket that misses its rank is noticed, and step 2 is repeated with every
-value inside. The result is the same as that of ``percentile``.
+A bracket that misses its rank is noticed, and step 2 is repeated with brackets over all
+values. The result is the same as that of ``percentile``.
+
+Sketches can be merged: those that a summary of the rows holds (see ``measures``) give approximate quantiles without the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, or_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskstream.functions import usable_amount
+from riskstream.operators.measures import SKETCH
 from riskstream.session import stored
 
-SKETCH_ACCURACY = 10_000
+#: The size of a sketch, and how far (as a share of the ranks) a bracket reaches: over three times the sketch's error.
+SKETCH_SIZE, MARGIN = 4096, 0.004
+#: The smallest reach with room for the ranks next to a quantile; those of small groups are wider, up to all ranks.
+WIDTHS = tuple(1.25 * MARGIN * 2**j for j in range(9))
+#: Parts of a bracket.
+PARTS = 32
 SALTS = 16
 
 
@@ -40,126 +45,110 @@ def quantiles(
 ) -> DataFrame:
     """Per group: ``n``, ``low``, ``high`` and ``quantiles``, one per probability.
 
-    Rows without a value or without a key are left out. Runs at once and returns
-    a stored table. ``accuracy`` asks for approximate quantiles.
+    Rows without a value or without a key are left out. Exact ones run at once and return
+    a stored table. ``accuracy``, the size of a sketch, asks for approximate quantiles; a summary that holds sketches gives such.
     """
     keys = list(keys)
+    if SKETCH in df.columns:
+        merged = df.dropna(subset=keys).groupBy(*keys).agg(F.kll_merge_agg_double(SKETCH).alias("sketch"))
+        return _approximate(merged, keys, probabilities)
     rows = df.select(*keys, usable_amount(value).alias("v")).dropna()
-    if accuracy is None:
-        return _by_rank(rows, keys, probabilities)
-    wanted = F.array(*(F.lit(float(p)) for p in probabilities))
-    found = F.percentile_approx("v", wanted, accuracy)
-    summary = rows.groupBy(*keys).agg(*_extremes(), found.alias("quantiles"))
-    return stored(summary, "quantiles")
+    if accuracy is not None:
+        return _approximate(rows.groupBy(*keys).agg(F.kll_sketch_agg_double("v", accuracy).alias("sketch")), keys, probabilities)
+    return _by_rank(rows, keys, probabilities)
+
+
+def _at(sketch: str, ranks: Sequence[float]) -> str:
+    """The values of a sketch at some ranks, from 0 to 1, as an expression."""
+    inside = (min(max(float(r), 0.0), 1.0) for r in ranks)
+    return f"kll_sketch_get_quantile_double({sketch}, array({', '.join(f'{r!r}D' for r in inside)}))"
 
 
-def _extremes():
+def _approximate(sketches: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
+    found = sketches.withColumn("n", F.kll_sketch_get_n_double("sketch")).where(F.col("n") > 0)
+    values = found.select(*keys, "n", F.expr(f"{_at('sketch', (0, 1, *probabilities))} AS values"))
+    rest = F.slice("values", 3, len(probabilities)).alias("quantiles")
+    return values.select(*keys, "n", F.col("values")[0].alias("low"), F.col("values")[1].alias("high"), rest)
+
+
+def _extremes() -> tuple[Column, ...]:
     return (F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
 
 
-def _by_rank(
-    rows: DataFrame,
-    keys: list[str],
-    probabilities: Sequence[float],
-    accuracy: int = SKETCH_ACCURACY,
-) -> DataFrame:
-    margin = 2.0 / accuracy
-    edges = [
-        min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-margin, margin)
-    ]
-    sketch = F.percentile_approx("v", F.array(*map(F.lit, edges)), accuracy)
-    groups = stored(
-        rows.groupBy(*keys).agg(*_extremes(), sketch.alias("edges")), "quantile-groups"
+def _by_rank(rows: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
+    sketched = rows.groupBy(*keys).agg(*_extremes(), F.kll_sketch_agg_double("v", SKETCH_SIZE).alias("sketch"))
+    # a bracket holds the two ranks next to the quantile, whatever the size of the group
+    width = F.expr(f"CAST(least(greatest(ceil(log2(({MARGIN!r}D + 2 / n) / {WIDTHS[0]!r}D)), 0), {len(WIDTHS) - 1}) AS INT)")
+    brackets = ", ".join(
+        f"struct({_at('sketch', [p - w for w in WIDTHS])}[width] AS low, {_at('sketch', [p + w for w in WIDTHS])}[width] AS high, "
+        f"{_at('sketch', [p + MARGIN * (2 * i / PARTS - 1) for i in range(1, PARTS)])} AS cuts)"
+        for p in probabilities
     )
+    bracketed = sketched.withColumn("width", width).select(*keys, "n", "low", "high", F.expr(f"array({brackets}) AS brackets"))
+    groups = stored(bracketed, "quantile-groups")
     found = _select(rows, groups, keys, probabilities)
     if not found.where(F.exists("quantiles", F.isnull)).isEmpty():
-        whole = F.flatten(F.array_repeat(F.array("low", "high"), len(probabilities)))
-        found = _select(rows, groups.withColumn("edges", whole), keys, probabilities)
+        everything = F.expr("transform(brackets, b -> struct(low AS low, high AS high, b.cuts AS cuts))")
+        found = _select(rows, groups.withColumn("brackets", everything), keys, probabilities)
     return found
 
 
 def _counted(rows: DataFrame, groups: DataFrame, keys: list[str], brackets: int) -> DataFrame:
     """Rows as counts whose order by (slot, v) is the order of the values.
 
-    ``slot`` is the number of edges below the value. Values outside all brackets
-    lose their value; within a slot they come before any that lies inside.
+    A slot is a gap before or behind a bracket, whose rows lose their value, or a part of a bracket.
 
     Rows meet their brackets by key and salt: should there be too many groups to
     broadcast, a hot one is spread, and since the counts are not grouped by salt
     they are combined before a shuffle of their own.
     """
-    v, edges = F.col("v"), [F.col("edges")[i] for i in range(brackets * 2)]
-    below = [(edge < v).cast("int") for edge in edges]
-    inside = [v.between(*edges[i : i + 2]) for i in range(0, len(edges), 2)]
-    salts = F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt")
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
-    return (
-        salted.join(groups.select(*keys, "edges", salts), [*keys, "salt"])
-        .select(
-            *keys,
-            reduce(add, below).alias("slot"),
-            F.when(reduce(or_, inside), v).alias("v"),
-        )
-        .groupBy(*keys, "slot", "v")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    # written as text: a driver builds a long expression faster from that than from parts
+    gap = "struct({} AS slot, CAST(NULL AS DOUBLE) AS v)"
+    cases = " ".join(
+        f"WHEN v < brackets[{i}].low THEN {gap.format(i * (PARTS + 1))} "
+        f"WHEN v <= brackets[{i}].high THEN struct(size(filter(brackets[{i}].cuts, cut -> cut < v)) + {i * (PARTS + 1) + 1} AS slot, v AS v)"
+        for i in range(brackets)
     )
+    place = F.expr(f"CASE {cases} ELSE {gap.format(brackets * (PARTS + 1))} END AS place")
+    salts = F.expr(f"explode(sequence(0L, {SALTS - 1}L)) AS salt")
+    salted = rows.withColumn("salt", F.expr(f"pmod(xxhash64(v), {SALTS})"))
+    placed = salted.join(groups.select(*keys, "brackets", salts), [*keys, "salt"]).select(*keys, place)
+    return placed.select(*keys, "place.*").groupBy(*keys, "slot", "v").agg(F.expr("count(1) AS copies"))
 
 
 def _select(
     rows: DataFrame, groups: DataFrame, keys: list[str], probabilities: Sequence[float]
 ) -> DataFrame:
-    """The values at the ranks each quantile needs, interpolated."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Stored, since the number of a range partition must be the same for all readers.
-    blocks = stored(
-        _counted(rows, groups, keys, len(probabilities))
-        .repartitionByRange(parts, *keys, "slot", "v")
-        .withColumn("block", F.spark_partition_id()),
-        "quantile-counts",
-    )
-    block_order = Window.partitionBy(*keys).orderBy("block")
+    """The values at the ranks each quantile needs, interpolated; null where a rank is outside its bracket."""
+    counts = stored(_counted(rows, groups, keys, len(probabilities)), "quantile-counts")
+    # as many rows for a group as there are slots
+    in_order = Window.partitionBy(*keys).orderBy("slot")
     starts = (
-        blocks.groupBy(*keys, "block")
+        counts.groupBy(*keys, "slot")
         .agg(F.sum("copies").alias("inside"))
-        .withColumn("before", F.sum("inside").over(block_order) - F.col("inside"))
-    )
-    places = [(F.col("n") - 1) * F.lit(float(p)) for p in probabilities]
-    ranks = F.array(
-        *(end(place).cast("long") for place in places for end in (F.floor, F.ceil))
+        .withColumn("before", F.sum("inside").over(in_order) - F.col("inside"))
     )
+    places = [f"((n - 1) * {float(p)!r}D)" for p in probabilities]
+    ranks = ", ".join(f"CAST({end}({place}) AS BIGINT)" for place in places for end in ("floor", "ceil"))
     # One row per group and wanted rank.
-    targets = groups.select(*keys, F.posexplode(ranks).alias("nth", "rank"))
-    hits = starts.join(targets, keys).where(
-        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("inside"))
-    )
-    in_block = Window.partitionBy(*keys, "block").orderBy("slot", "v")
+    targets = groups.select(*keys, F.expr(f"posexplode(array({ranks})) AS (nth, rank)"))
+    hits = starts.join(targets, keys).where("rank >= before AND rank < before + inside")
+    wanted = hits.groupBy(*keys, "slot", "before").agg(F.expr("collect_list(struct(nth, rank)) AS wanted"))
+    in_slot = Window.partitionBy(*keys, "slot").orderBy("v")
     opened = (
-        blocks.join(hits.select(*keys, "block", "before").distinct(), [*keys, "block"])
-        .withColumn("upto", F.col("before") + F.sum("copies").over(in_block))
-        .select(*keys, "block", "v", "copies", "upto")
-    )
-    values = (
-        opened.join(hits.select(*keys, "block", "nth", "rank"), [*keys, "block"])
-        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("copies")))
-        .groupBy(*keys)
-        .agg(
-            *(
-                F.max(F.when(F.col("nth") == i, F.col("v"))).alias(f"v{i}")
-                for i in range(2 * len(places))
-            )
-        )
-    )
-    interpolated = [
-        _between(F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}"), place)
-        for i, place in enumerate(places)
-    ]
-    result = groups.join(values, keys).select(
-        *keys, "n", "low", "high", F.array(*interpolated).alias("quantiles")
+        counts.where("v IS NOT NULL")
+        .join(wanted, [*keys, "slot"])
+        .withColumn("upto", F.col("before") + F.sum("copies").over(in_slot))
+        .select(*keys, "v", "copies", "upto", F.explode("wanted").alias("hit"))
+        .where("hit.rank < upto AND hit.rank >= upto - copies")
     )
+    values = opened.groupBy(*keys).agg(F.expr("map_from_entries(collect_list(struct(hit.nth, v))) AS at"))
+    interpolated = ", ".join(_between(f"at[{2 * i}]", f"at[{2 * i + 1}]", place) for i, place in enumerate(places))
+    result = groups.join(values, keys, "left").select(*keys, "n", "low", "high", F.expr(f"array({interpolated}) AS quantiles"))
     return stored(result, "quantiles")
 
 
-def _between(lower, upper, place):
+def _between(lower: str, upper: str, place: str) -> str:
     """Linear interpolation between two neighbouring values."""
-    share = place - F.floor(place)
-    return F.when(lower == upper, lower).otherwise(lower * (1 - share) + upper * share)
+    share = f"({place} - floor({place}))"
+    return f"CASE WHEN {lower} = {upper} THEN {lower} ELSE {lower} * (1 - {share}) + {upper} * {share} END"

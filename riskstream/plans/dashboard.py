@@ -69,10 +69,11 @@ def dashboard(
 
     The additive sections share one summary by month, so the table is read once for all
     of them; only the daily series groups the rows itself, as a summary by day would be
-    about as large as the table. It is persisted; unpersist the frame named ``summary`` when done.
+    about as large as the table. With ``accuracy``, the size of sketches, the summary has some of the amounts, and the boxes are approximate
+    ones from it. It is persisted; unpersist the frame named ``summary`` when done.
     """
     chosen = facet_filter(df, status=status, location=location, card_type=card_type)
-    groups = summary(chosen, grain="month").persist()
+    groups = summary(chosen, grain="month", sketch=accuracy).persist()
     return {
         "summary": groups,
         "facets": facet_values(df),
@@ -87,7 +88,7 @@ def dashboard(
         "top_location_histogram": locations.top_location_histogram(groups),
         "location_hotspots": breakdown.location_hotspots(groups),
         "suspicious_by_month": trends.suspicious_by_month(groups),
-        "top_location_box": locations.top_location_box(chosen, counted=groups, accuracy=accuracy),
+        "top_location_box": locations.top_location_box(chosen if accuracy is None else groups, counted=groups),
         "suspicious_leaderboard": ranking.suspicious_leaderboard(chosen),
         "latest_suspicious": ranking.latest_suspicious(chosen),
         "recent_transactions": ranking.recent_transactions(chosen),

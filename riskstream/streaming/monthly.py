@@ -2,10 +2,12 @@
 
 ``<table>/month=2025-01`` holds the transactions of a month with their places in the order of arrival, and
 ``<table>.keys/month=2025-01`` their ids: the index that says in which months the ids of a new batch
-are already. A merge reads the log's new batches, looks their ids up in the index, and replaces
-these months and those of the new rows by dynamic partition overwrite. All other months' files stay.
+are already. ``<table>.summary/month=2025-01`` is the summary of the month's transactions, for
+all additive figures. A merge reads the log's new batches, looks their ids up in the index, and replaces
+these months and those of the new rows by dynamic partition overwrite. All other months' files stay. Index
+and summary are made from the rows just merged: the table isn't read for them.
 
-A merge that fails can be run again at any point: months first, then the index, then the record of the batches. Until a batch is
+A merge that fails can be run again at any point: months first, then index and summary, then the record of the batches. Until a batch is
 recorded it is merged again, which changes nothing, as the places in the order of arrival decide (see ``merge_ordered``). One merge runs at a time.
 """
 
@@ -15,12 +17,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from riskstream import files
+from riskstream.operators.measures import summary
 from riskstream.operators.upsert import merge_ordered
 from riskstream.schema import KEY, MERGED_SCHEMA
 from riskstream.session import stored
 from riskstream.streaming import log
 
 MONTH = "month"
+#: The size of the sketches of amounts in the summary.
+SKETCH = 256
 
 
 def _with_month(rows: DataFrame) -> DataFrame:
@@ -31,6 +36,15 @@ def _keys(table_path: str) -> str:
     return f"{table_path.rstrip('/')}.keys"
 
 
+def _summaries(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}.summary"
+
+
+def merged_summary(spark: SparkSession, table_path: str) -> DataFrame:
+    """The summary of the table by day, facets and flag: give it to the additive operators in place of the rows."""
+    return spark.read.parquet(_summaries(table_path)).drop(MONTH)
+
+
 def _read(spark: SparkSession, path: str, months: list[str]) -> DataFrame:
     """The rows of some months; only their folders are read."""
     schema = StructType([*MERGED_SCHEMA, StructField(MONTH, StringType())])
@@ -65,6 +79,7 @@ def merge_batches(spark: SparkSession, log_path: str, rule: str, table_path: str
         once = stored(_with_month(merge_ordered(old, new, rule)), "months")
         _replace(once, table_path)
         _replace(once.select(KEY, MONTH), _keys(table_path))
+        _replace(_with_month(summary(once, grain="day", sketch=SKETCH)), _summaries(table_path))
         _drop_emptied(spark, once, months, table_path)
     log.hold(spark, table_path, wanted)
     return months
@@ -74,5 +89,5 @@ def _drop_emptied(spark: SparkSession, rows: DataFrame, months: list[str], table
     """Remove the months whose last row has moved to another month, which nothing replaces."""
     left = {row[0] for row in rows.select(MONTH).distinct().collect()}
     for month in set(months) - left:
-        for path in (table_path, _keys(table_path)):
+        for path in (table_path, _keys(table_path), _summaries(table_path)):
             files.remove(spark, f"{path}/{MONTH}={month}")

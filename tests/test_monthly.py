@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import lines, message
+from riskstream.operators import breakdown, locations
+from riskstream.operators.measures import summary
 from riskstream.operators.upsert import RULES, combined, merge_ordered, ordered
 from riskstream.schema import STORED_COLUMNS
 from riskstream.sources.messages import file_messages
@@ -31,7 +33,7 @@ class Store:
         return sorted((r.transaction_id, r.timestamp.month, r.merchant, r.is_suspicious) for r in parquet_table(self.spark, self.table).collect())
 
     def files(self):
-        return {str(f.relative_to(self.folder)): f.stat().st_mtime_ns for top in ("table", "table.keys") for f in (self.folder / top).rglob("*.parquet")}
+        return {str(f.relative_to(self.folder)): f.stat().st_mtime_ns for top in ("table", "table.keys", "table.summary") for f in (self.folder / top).rglob("*.parquet")}
 
 
 def at(month):
@@ -56,7 +58,7 @@ def test_only_the_months_it_touches_are_rewritten(store):
     assert store.merge() == ["2025-03", "2025-04", "2025-05"]
     after = store.files()
     kept = {name for name in before if after.get(name) == before[name]}
-    assert months(kept) == {"2025-01", "2025-02", "2025-06"} and len(kept) == 6
+    assert months(kept) == {"2025-01", "2025-02", "2025-06"} and len(kept) == 9
     assert months(before.keys() - kept) == {"2025-03", "2025-04", "2025-05"}
     assert ("5-1", 5, "Shop", True) in store.rows() and ("new", 3, "Shop", False) in store.rows() and len(store.rows()) == 19
     assert store.merge() == [] and store.files() == after
@@ -72,6 +74,23 @@ def test_steps_equal_the_whole_log(store, spark, rule):
     read = parquet_table(spark, store.table)
     assert read.exceptAll(whole).isEmpty() and whole.exceptAll(read).isEmpty()
     assert read.columns == list(STORED_COLUMNS)
+    figures = [sorted(map(repr, breakdown.kpis(x).collect())) for x in (read, monthly.merged_summary(spark, store.table))]
+    assert figures[0] == figures[1]
+
+
+def test_the_summary_is_kept_up_without_reading_the_table(store, spark, monkeypatch):
+    store.deliver(*({"transaction_id": f"{m}-{n}", "timestamp": at(m), "amount": 100.0 * n} for m in range(1, 4) for n in range(3)))
+    store.merge()
+    store.deliver({"transaction_id": "1-1", "timestamp": at(1), "amount": 9000.0}, {"transaction_id": "new", "timestamp": at(3), "amount": 1.0})
+    read, whole = [], monthly._read
+    monkeypatch.setattr(monthly, "_read", lambda spark, path, wanted: read.append(wanted) or whole(spark, path, wanted))
+    store.merge()
+    assert read == [["2025-01", "2025-03"]], "the months that are rewritten, once"
+    kept = monthly.merged_summary(spark, store.table)
+    want = summary(parquet_table(spark, store.table))
+    assert sorted(map(repr, kept.drop("amount_sketch").collect())) == sorted(map(repr, want.collect()))
+    assert breakdown.kpis(kept).first().suspicious == 1
+    assert locations.box_stats(kept, ("is_suspicious",)).where("is_suspicious").first().median == 100.0
 
 
 def test_a_batch_that_is_merged_late(store):

@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 
 from riskstream.operators import quantiles as q
-from riskstream.operators.locations import amount_outliers, box_stats
+from riskstream.operators.locations import amount_outliers, box_stats, top_location_box
+from riskstream.operators.measures import summary
 
 PROBABILITIES = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
 
@@ -52,17 +53,28 @@ def test_missed_brackets_are_noticed(spark):
     """Brackets that hold no value at all: the ranks are found all the same."""
     rows = frame(spark, GROUPS).withColumnRenamed("amount", "v")
     groups = rows.groupBy("g").agg(*q._extremes())
-    nowhere = groups.withColumn("edges", q.F.array(*[q.F.lit(1e12)] * 12))
+    nowhere = groups.withColumn("brackets", q.F.expr("array_repeat(struct(1e12D AS low, 1e12D AS high, array(1e12D) AS cuts), 6)"))
     missed = q._select(rows, nowhere, ["g"], PROBABILITIES)
     assert missed.where("exists(quantiles, x -> x is null)").count() == len(GROUPS)
-    whole = groups.withColumn("edges", q.F.flatten(q.F.array_repeat(q.F.array("low", "high"), 6)))
+    whole = groups.withColumn("brackets", q.F.expr("array_repeat(struct(low, high, array(0D, 1D, 100D, 505D, 510D) AS cuts), 6)"))
     compare(values(q._select(rows, whole, ["g"], PROBABILITIES)), brute_force(GROUPS))
 
 
-@pytest.mark.parametrize("accuracy", [2, 5])
-def test_wide_and_wrong_sketches(spark, accuracy):
-    rows = frame(spark, GROUPS).withColumnRenamed("amount", "v")
-    compare(values(q._by_rank(rows, ["g"], PROBABILITIES, accuracy)), brute_force(GROUPS))
+@pytest.mark.parametrize("size", [8, 20])
+def test_small_sketches(spark, monkeypatch, size):
+    """Sketches far too coarse for their brackets: what they miss is found all the same."""
+    monkeypatch.setattr(q, "SKETCH_SIZE", size)
+    compare(values(q.quantiles(frame(spark, GROUPS), ["g"], "amount", PROBABILITIES)), brute_force(GROUPS))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 100, 3000])
+def test_brackets_hold_their_ranks(spark, monkeypatch, n):
+    """Small groups are not looked at twice."""
+    rounds, whole = [], q._select
+    monkeypatch.setattr(q, "_select", lambda *a: rounds.append(1) or whole(*a))
+    groups = {g: np.random.default_rng(g).normal(0, 9, n) for g in range(20)}
+    compare(values(q.quantiles(frame(spark, groups), ["g"], "amount", PROBABILITIES)), brute_force(groups))
+    assert rounds == [1]
 
 
 def test_join_without_broadcast(spark, conf):
@@ -81,15 +93,17 @@ def test_two_keys_nulls_and_nan(spark):
     assert box == {("a", True): (2, 1.5), ("a", False): (1, 3.0), ("b", False): (1, 4.0)}
 
 
-def test_only_bounded_rows_reach_the_last_step(spark):
+def test_only_bounded_rows_reach_the_last_step(spark, monkeypatch):
     """Between brackets, rows are counted rather than shuffled."""
     rows = frame(spark, {"hot": np.random.default_rng(3).normal(0, 1, 100_000)}).withColumnRenamed("amount", "v")
-    edges = [0.2498, 0.2502, 0.4998, 0.5002, 0.7498, 0.7502]
-    sketch = q.F.percentile_approx("v", q.F.array(*map(q.F.lit, edges)), 10_000)
-    groups = rows.groupBy("g").agg(*q._extremes(), sketch.alias("edges"))
-    counted = q._counted(rows, groups, ["g"], 3)
+    seen, whole = [], q._counted
+    monkeypatch.setattr(q, "_counted", lambda *a: seen.append(whole(*a)) or seen[-1])
+    q.quantiles(rows.withColumnRenamed("v", "amount"), ["g"], "amount", (0.25, 0.5, 0.75))
+    (counted,) = seen
     assert counted.agg({"copies": "sum"}).first()[0] == 100_000
-    assert counted.count() < 400
+    by_slot = {r.slot: r["count"] for r in counted.groupBy("slot").count().collect()}
+    assert sum(by_slot.values()) < 3 * 3 * q.MARGIN * 100_000
+    assert len(by_slot) > 80 and max(by_slot.values()) < 200, "and no part of a bracket holds many of them"
 
 
 def test_outliers(spark):
@@ -101,3 +115,20 @@ def test_outliers(spark):
 def test_approximate(spark):
     got = values(q.quantiles(frame(spark, GROUPS), ["g"], "amount", (0.5,), accuracy=10_000))
     assert got["hot"][3] == pytest.approx(np.median(GROUPS["hot"]), rel=1e-2)
+
+
+def test_a_summary_of_sketches(spark):
+    """Approximate boxes from a summary, without the rows; merged over months and other facets."""
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'A' WHEN id % 3 = 1 THEN 'B' END AS location", "id % 2 = 0 AS is_suspicious", "CAST(id % 1000 AS DOUBLE) AS amount",
+        "CAST(timestamp_seconds(id * 300) AS TIMESTAMP_NTZ) AS timestamp", "CAST(id % 5 AS STRING) AS status", "'x' AS card_type",
+    )
+    groups = summary(rows, grain="month", sketch=1024)
+    assert groups.count() > 100
+    exact = {(r.location, r.is_suspicious): r for r in box_stats(rows).collect()}
+    boxes = {(r.location, r.is_suspicious): r for r in box_stats(groups).collect()}
+    assert boxes.keys() == exact.keys() and len(boxes) == 4
+    for key, box in boxes.items():
+        assert (box.transactions, box.min_amount, box.max_amount) == (exact[key].transactions, exact[key].min_amount, exact[key].max_amount)
+        assert all(abs(box[c] - exact[key][c]) < 10 for c in ("q1", "median", "q3"))
+    assert sorted(r.location for r in top_location_box(groups, 1).collect()) == ["A", "A"]

@@ -10,7 +10,7 @@ encoded where it is read.
 
 Defined results: a null text counts as empty; an empty text has no ids; repeated rows
 each give a row; an empty table gives an empty result. Rows keep the columns asked
-for, under their names.
+for, under their names; one that has the name of a result gives way to it.
 """
 
 from __future__ import annotations
@@ -21,11 +21,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from riskstream.llm.kept import ROW, carried, restored
 from riskstream.llm.pretokens import boundaries, pretokens
 from riskstream.llm.workers import held, small_batches
+from riskstream.session import stored
 
 #: Characters of a chunk, and how many of the next chunk it also covers.
 CHUNK, OVERLAP = 1 << 16, 1 << 10
@@ -98,107 +100,128 @@ def encode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], text: str = "
     the same Python workers instead of a second set of them.
     """
     sent = small_batches(df.sparkSession).sparkContext.broadcast(vocabulary)
-    rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    long = F.length("__text") > chunk
     made = ["ids", "decoded"] if decoded else ["ids"]
-    schema = StructType([*(rows.schema[c] for c in keep), *(StructField(c, BinaryType()) for c in made)])
+    kept, row = carried(keep, made)
+    rows = df.select(row, F.coalesce(F.col(text), F.lit("")).alias("text"))
+    long = F.length("text") > chunk
+    schema = StructType([rows.schema[ROW], *(StructField(c, BinaryType()) for c in made)])
 
     def encode_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = sent.value.built()
         for batch in batches:
-            ids = pa.array((codec.encode(x.as_py()) for x in batch.column("__text")), pa.binary())
+            ids = pa.array((codec.encode(x.as_py()) for x in batch.column("text")), pa.binary())
             columns = [ids, pa.array((codec.decode(x.as_py()) for x in ids), pa.binary())][: len(made)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], [*keep, *made])
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), *columns], [ROW, *made])
 
     short = rows.where(~long).mapInArrow(encode_whole, schema)
-    keyed = rows.where(long).withColumn("__key", F.sha2("__text", 256))
-    ids = _encode_long(keyed.select("__key", "__text").dropDuplicates(["__key"]), sent, chunk, overlap)
+    keyed = rows.where(long).withColumn("key", F.sha2("text", 256))
+    ids = _encode_long(keyed.select("key", "text").dropDuplicates(["key"]), sent, chunk, overlap)
     if decoded:
-        ids = decode(ids, vocabulary, ["__key", "ids"])
-    return short.unionByName(keyed.drop("__text").join(ids, "__key").select(*keep, *made))
+        ids = decode(ids, vocabulary, ["key", "ids"], of="ids")
+    return restored(short.unionByName(keyed.drop("text").join(ids, "key").select(ROW, *made)), kept, made)
 
 
-def _encode_long(texts: DataFrame, sent, size: int, overlap: int) -> DataFrame:
-    """(__key, ids) of long texts, by chunks."""
+def _seams(chunks: DataFrame, sent, overlap: int) -> DataFrame:
+    """(key, at, size, since, until) of chunks (key, at, size, last, text): where the piece of each begins and ends.
 
-    def cut(batches):
-        for batch in batches:
-            for key, x in zip(batch.column("__key"), batch.column("__text")):
-                key, x = key.as_py(), x.as_py()
-                for at in range(0, len(x), size):
-                    row = {"__key": [key], "chunk": [at // size], "last": [at + size >= len(x)], "text": [x[at : at + size + overlap]]}
-                    yield pa.RecordBatch.from_pydict(row, ARROW_CHUNK)
+    ``until`` is null where a chunk and the next one share no boundary.
+    """
 
-    def pretokenise(batches):
-        """The boundaries of each chunk that its neighbours may share, counted from the chunk's own start and the next one's."""
+    def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The boundaries of each chunk that its neighbours may share, as places in the text."""
         codec = sent.value.built()
         for batch in batches:
             head, tail = [], []
-            for x, last in zip(batch.column("text"), batch.column("last")):
-                ends = codec.boundaries(x.as_py(), last.as_py())
-                head.append(ends[ends < overlap])
-                tail.append(ends[ends >= size] - size)
+            for x, at, size, last in zip(*(batch.column(c).to_pylist() for c in ("text", "at", "size", "last"))):
+                ends = codec.boundaries(x, last)
+                head.append(ends[ends < overlap] + at)
+                tail.append(ends[ends >= size] + at)
             found = [pa.array(side, pa.list_(pa.int64())) for side in (head, tail)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("__key", "chunk", "last")), *found], ["__key", "chunk", "last", "head", "tail"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "at", "size", "last")), *found], ["key", "at", "size", "last", "head", "tail"])
 
-    def encode_pieces(batches):
+    ends = chunks.mapInArrow(pretokenise, "key string, at long, size long, last boolean, head array<long>, tail array<long>")
+    order = Window.partitionBy("key").orderBy("at")
+    shared = F.array_min(F.array_intersect("tail", F.lead("head").over(order)))
+    until = F.when(F.col("last"), F.col("at") + F.col("size")).otherwise(shared)
+    stitched = ends.select("key", "at", "size", "last", until.alias("until"))
+    return stitched.withColumn("since", F.coalesce(F.lag("until").over(order), "at"))
+
+
+def _encode_long(texts: DataFrame, sent, size: int, overlap: int) -> DataFrame:
+    """(key, ids) of long texts, by chunks."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, x in zip(batch.column("key").to_pylist(), batch.column("text")):
+                x = x.as_py()
+                for at in range(0, len(x), size):
+                    row = {"key": [key], "at": [at], "size": [min(size, len(x) - at)], "last": [at + size >= len(x)], "text": [x[at : at + size + overlap]]}
+                    yield pa.RecordBatch.from_pydict(row, ARROW_CHUNK)
+
+    def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = sent.value.built()
         for batch in batches:
             ids = pa.array((codec.encode(x.as_py()) for x in batch.column("piece")), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("__key"), batch.column("chunk"), ids], ["__key", "chunk", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("since"), ids], ["key", "since", "ids"])
 
-    def in_order(batches):
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The pieces of a text come one after another."""
         key, parts = None, []
         for batch in batches:
-            for k, ids in zip(batch.column("__key"), batch.column("ids")):
-                if k.as_py() != key:
+            for k, ids in zip(batch.column("key").to_pylist(), batch.column("ids")):
+                if k != key:
                     if key is not None:
-                        yield pa.RecordBatch.from_pydict({"__key": [key], "ids": [b"".join(parts)]}, ARROW_IDS)
-                    key, parts = k.as_py(), []
+                        yield pa.RecordBatch.from_pydict({"key": [key], "ids": [b"".join(parts)]}, ARROW_IDS)
+                    key, parts = k, []
                 parts.append(ids.as_py())
         if key is not None:
-            yield pa.RecordBatch.from_pydict({"__key": [key], "ids": [b"".join(parts)]}, ARROW_IDS)
+            yield pa.RecordBatch.from_pydict({"key": [key], "ids": [b"".join(parts)]}, ARROW_IDS)
 
-    chunks = texts.mapInArrow(cut, "__key string, chunk long, last boolean, text string").repartition("__key", "chunk")
-    ends = chunks.mapInArrow(pretokenise, "__key string, chunk long, last boolean, head array<long>, tail array<long>")
-    order = Window.partitionBy("__key").orderBy("chunk")
-    shared = F.array_min(F.array_intersect("tail", F.lead("head").over(order)))
-    stitched = ends.select("__key", "chunk", "last", shared.alias("until"))
-    broken = F.min(F.when(~F.col("last") & F.col("until").isNull(), F.col("chunk"))).over(Window.partitionBy("__key"))
-    stitched = stitched.select("__key", "chunk", F.coalesce(F.lag("until").over(order), F.lit(0)).alias("since"), "until", broken.alias("broken"))
-    # Behind a pair of neighbours that share no boundary, the rest of the text is one piece.
-    whole = stitched.where(F.col("broken").isNull() | (F.col("chunk") < F.col("broken")))
-    piece = F.substring("text", F.col("since").cast("int") + 1, F.coalesce(F.col("until") + size, F.length("text").cast("long")).cast("int") - F.col("since").cast("int"))
-    pieces = chunks.join(whole, ["__key", "chunk"]).select("__key", "chunk", piece.alias("piece"))
-    rest = stitched.where(F.col("chunk") == F.col("broken")).join(texts, "__key")
-    start = (F.col("chunk") * size + F.col("since")).cast("int") + 1
-    rest = rest.select("__key", "chunk", F.substring("__text", start, F.length("__text")).alias("piece"))
-    ids = pieces.unionByName(rest).mapInArrow(encode_pieces, "__key string, chunk long, ids binary")
-    return ids.repartition("__key").sortWithinPartitions("__key", "chunk").mapInArrow(in_order, "__key string, ids binary")
+    chunks = texts.mapInArrow(cut, "key string, at long, size long, last boolean, text string").repartition("key", "at")
+    seams = stored(_seams(chunks, sent, overlap), "seams")
+    while not seams.where("until IS NULL").isEmpty():
+        # chunks that share no boundary become one; a row a chunk, without texts
+        order = Window.partitionBy("key").orderBy("at")
+        begins = F.coalesce(F.lag(F.col("until").isNotNull()).over(order), F.lit(True))
+        first = F.max(F.when(F.col("begins"), F.col("at"))).over(order)
+        merged = seams.withColumn("begins", begins).withColumn("first", first).groupBy("key", F.col("first").alias("at")).agg(F.sum("size").alias("size"), F.bool_or("last").alias("last"))
+        chunks = _substrings(merged.join(texts, "key"), F.col("at"), F.col("at") + F.col("size") + overlap, "text").select("key", "at", "size", "last", "text")
+        seams = stored(_seams(chunks.repartition("key", "at"), sent, overlap), "seams")
+    pieces = seams.where("until > since").select("key", "since", "until").join(texts, "key")
+    pieces = _substrings(pieces, F.col("since"), F.col("until"), "piece").select("key", "since", "piece").repartition("key", "since")
+    ids = pieces.mapInArrow(encode_pieces, "key string, since long, ids binary")
+    return ids.repartition("key").sortWithinPartitions("key", "since").mapInArrow(in_order, "key string, ids binary")
+
+
+def _substrings(rows: DataFrame, since: Column, until: Column, name: str) -> DataFrame:
+    return rows.withColumn(name, F.substring("text", (since + 1).cast("int"), (until - since).cast("int")))
 
 
-ARROW_CHUNK = pa.schema([("__key", pa.string()), ("chunk", pa.int64()), ("last", pa.bool_()), ("text", pa.string())])
-ARROW_IDS = pa.schema([("__key", pa.string()), ("ids", pa.binary())])
+ARROW_CHUNK = pa.schema([("key", pa.string()), ("at", pa.int64()), ("size", pa.int64()), ("last", pa.bool_()), ("text", pa.string())])
+ARROW_IDS = pa.schema([("key", pa.string()), ("ids", pa.binary())])
 
 
-def decode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], ids: str = "ids") -> DataFrame:
+def decode(df: DataFrame, vocabulary: Vocabulary, keep: list[str], of: str = "ids") -> DataFrame:
     """The bytes that ids stand for (``decoded``) next to the columns to keep. Null ids stand for nothing."""
     sent = small_batches(df.sparkSession).sparkContext.broadcast(vocabulary)
-    rows = df.select(*keep, F.coalesce(F.col(ids), F.lit(b"")).alias("__ids"))
-    schema = StructType([*(rows.schema[c] for c in keep), StructField("decoded", BinaryType())])
+    kept, row = carried(keep, ["decoded"])
+    rows = df.select(row, F.coalesce(F.col(of), F.lit(b"")).alias("ids"))
+    schema = StructType([rows.schema[ROW], StructField("decoded", BinaryType())])
 
-    def decode_all(batches):
+    def decode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = sent.value.built()
         for batch in batches:
-            out = pa.array((codec.decode(x.as_py()) for x in batch.column("__ids")), pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), out], [*keep, "decoded"])
+            out = pa.array((codec.decode(x.as_py()) for x in batch.column("ids")), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), out], [ROW, "decoded"])
 
-    return rows.mapInArrow(decode_all, schema)
+    return restored(rows.mapInArrow(decode_all, schema), kept, ["decoded"])
 
 
-def digests(df: DataFrame, vocabulary: Vocabulary, keep: list[str], **more) -> DataFrame:
+def digests(df: DataFrame, vocabulary: Vocabulary, keep: list[str], text: str = "text", **more) -> DataFrame:
     """n_tokens, ids_sha256 and decoded_sha256 of texts, next to the columns to keep; ``more`` is for :func:`encode`."""
-    rows = encode(df, vocabulary, keep, decoded=True, **more)
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    kept, row = carried(keep, made)
+    rows = encode(df.select(row, F.col(text).alias("text")), vocabulary, [ROW], decoded=True, **more)
     n = (F.octet_length("ids") / 4).cast("long")
-    return rows.select(*keep, n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    columns = [n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+    return restored(rows.select(ROW, *columns), kept, made)

@@ -45,6 +45,30 @@ def test_ids_and_round_trip(spark, documents, reference, chunk, overlap):
     assert digests == {i: (len(x), sha(np.array(x, "<u4").tobytes()), sha(back[i].encode())) for i, x in found.items()}
 
 
+def test_a_broken_seam_leaves_the_rest_in_pieces(spark, documents, reference, monkeypatch):
+    """A run of letters over two seams is one piece with what it takes to stitch; all other chunks stay pieces of their own."""
+    text = " ".join(CHANCE.choice(WORDS) for _ in range(12000))
+    text = text[:4900] + "q" * 1500 + text[4900:30000] + "z" * 300 + text[30000:]
+    pieces, whole = [], encode._substrings
+    monkeypatch.setattr(encode, "_substrings", lambda rows, since, until, name: pieces.append((name, whole(rows, since, until, name))) or pieces[-1][1])
+    rows = encode.encode(documents([text]), encode.public_vocabulary("byte_bpe_50k.tiktoken"), ["doc_id"], chunk=1000, overlap=100)
+    assert np.frombuffer(rows.first().ids, "<u4").tolist() == reference.encode_ordinary(text)
+    sizes = sorted(r[0] for r in [found for name, found in pieces if name == "piece"][-1].selectExpr("length(piece)").collect())
+    assert len(sizes) > 50 and sizes[-1] < 4000 and sizes[-3] < 1300
+
+
+def test_kept_columns_of_any_name(spark, documents):
+    docs = documents([(1, "a b"), (2, LONG)], ("ids", "key", "__row", "__text", "decoded", "n_tokens", "at", "piece"))
+    keep = [c for c in docs.columns if c != "n_chars"]
+    vocabulary = encode.public_vocabulary("byte_bpe_50k.tiktoken")
+    rows = encode.encode(docs, vocabulary, keep, chunk=500, overlap=50, decoded=True)
+    assert rows.columns == [*(c for c in keep if c not in ("ids", "decoded")), "ids", "decoded"]
+    assert [(r.doc_id, r.key, r.at, r.text == bytes(r.decoded).decode()) for r in rows.orderBy("doc_id").collect()] == [(1, "key", "at", True), (2, "key", "at", True)]
+    found = encode.digests(docs, vocabulary, keep, chunk=500, overlap=50)
+    assert found.columns == [*(c for c in keep if c != "n_tokens"), "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert {r.ids for r in found.collect()} == {"ids"}
+
+
 def test_repeated_rows_and_empty_table(spark, documents):
     vocabulary = encode.public_vocabulary("byte_bpe_50k.tiktoken")
     docs = documents([(1, LONG), (1, LONG), (2, "a"), (2, "a"), (None, "b")])

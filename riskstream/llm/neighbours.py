@@ -1,14 +1,14 @@
-"""Approximate nearest neighbours by cross-polytope hashing, exact where that costs no more.
+"""Approximate nearest neighbours by cross-polytope hashing with multiprobe tables.
 
 A table turns directions by a fast pseudo-rotation, three rounds of random signs and a
 Hadamard transform, and assigns each to its nearest signed axis. A query looks in the bins of the
-axes nearest to it, in each of TABLES tables, and what it finds is ranked by the exact
-inner product. Every vector is in every table. Vectors are cut into bands of length, so that in
-a band the nearest in angle has about the largest inner product. A band has its own number of probes:
-it is measured on a sample of queries that are searched exactly first (RECALL).
+axes nearest to it, in each table, and what it finds is ranked by the exact
+inner product. Vectors are cut into bands of length, so that in
+a band the nearest in angle has about the largest inner product.
 
-A band is searched whole if it is small, or if the probes would cost as much; and every query that
-finds fewer vectors than were asked for and there are is searched whole in all bands.
+How many tables a band has and how many bins of each a query looks in is measured: the neighbours of a sample of queries are found exactly
+first, and of 1, 2, 4 and up to TABLES tables those are taken of which the fewest bins hold RECALL of the neighbours. Every vector is in every table of
+its band. A query that finds fewer vectors than were asked for and there are is searched whole in all bands, and only such a query is.
 
 A bin is searched in blocks: its vectors and its queries are split by hash into parts of
 about BLOCK, every part of queries meets every part of vectors, and a block gives each query's best.
@@ -23,18 +23,20 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from riskstream.llm.workers import BATCH_BYTES, small_batches
 from riskstream.session import stored
 
-#: Tables, and the fewest probes of a band that is not searched whole.
-TABLES, PROBES = 8, 16
+#: The most tables of a band.
+TABLES = 8
 #: Probes are raised until so many of the neighbours of SAMPLE queries of a dimension are in their bins.
-RECALL, SAMPLE = 0.98, 64
+RECALL, SAMPLE = 0.97, 64
 #: Lengths of a band are up to so many times its shortest.
 BAND = 1.25
 #: Vectors or queries in a block.
@@ -103,23 +105,24 @@ def _whole(rows: DataFrame) -> DataFrame:
     return rows.select("dim", F.lit(-1).alias("band"), F.lit(0).alias("bin_table"), F.lit(0).alias("axis"), "id", "v")
 
 
-def _binned(rows: DataFrame, tables: int, seed: int) -> DataFrame:
-    """(dim, band, bin_table, axis, id, v): each vector in the bins of its ``probes`` nearest axes of each table."""
+def _binned(rows: DataFrame, seed: int) -> DataFrame:
+    """(dim, band, bin_table, axis, id, v): each vector in the bins of its ``probes`` nearest axes of each of ``tables`` tables."""
 
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = np.column_stack([batch.column(c).to_numpy() for c in ("dim", "probes")])
-            for dim, probes in np.unique(kinds, axis=0).tolist():
-                taken = batch.take(pa.array(np.flatnonzero((kinds == (dim, probes)).all(axis=1))))
+            kinds = np.column_stack([batch.column(c).to_numpy() for c in ("dim", "tables", "probes")])
+            for dim, tables, probes in np.unique(kinds, axis=0).tolist():
+                taken = batch.take(pa.array(np.flatnonzero((kinds == (dim, tables, probes)).all(axis=1))))
                 x = np.frombuffer(b"".join(taken.column("v").to_pylist()), np.float64).reshape(-1, dim)
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                for table in range(tables):
-                    axes = nearest_axes(rotated(x, table, seed), probes)
-                    each = taken.take(pa.array(np.repeat(np.arange(len(x)), axes.shape[1])))
+                step = max(1, BATCH_BYTES // (8 * dim * probes))  # a vector goes out once for each probe
+                for table, at in itertools.product(range(tables), range(0, len(x), step)):
+                    axes = nearest_axes(rotated(x[at : at + step], table, seed), probes)
+                    each = taken.take(pa.array(np.repeat(np.arange(at, at + len(axes)), axes.shape[1])))
                     columns = [each.column("dim"), each.column("band"), pa.array(np.full(each.num_rows, table, np.int32)), pa.array(axes.ravel().astype(np.int32)), each.column("id"), each.column("v")]
                     yield pa.RecordBatch.from_arrays(columns, ["dim", "band", "bin_table", "axis", "id", "v"])
 
-    return rows.select("dim", "band", "probes", "id", "v").mapInArrow(hash_all, "dim int, band int, bin_table int, axis int, id long, v binary")
+    return rows.select("dim", "band", "tables", "probes", "id", "v").mapInArrow(hash_all, "dim int, band int, bin_table int, axis int, id long, v binary")
 
 
 def _best(ids: np.ndarray, points: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,14 +189,20 @@ def _first(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("at", F.row_number().over(Window.partitionBy("asked").orderBy(*_order()))).where(F.col("at") <= k).drop("at")
 
 
-def _needs(points: DataFrame, distinct: DataFrame, dims: list[int], k: int, tables: int, seed: int) -> DataFrame:
-    """dim, band, need and count: probes that find a neighbour, of the exact neighbours of a sample of queries."""
+def _some_tables(tables: int) -> list[int]:
+    """1, 2, 4 and so on, up to all."""
+    return [*(1 << i for i in range((tables - 1).bit_length())), tables]
+
+
+def _needs(points: DataFrame, distinct: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
+    """dim, band, tables, need and count: probes that find a neighbour in so many tables, of the exact neighbours of a sample of queries."""
     nth = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id"))
-    some = distinct.where(F.col("dim").isin(dims)).withColumn("nth", nth).where(F.col("nth") <= SAMPLE)
+    some = distinct.withColumn("nth", nth).where(F.col("nth") <= SAMPLE)
     some = stored(some.select("dim", "id", "v"), "sample")
     exact = _first(_hits(_whole(points), _whole(some), k + 1), k + 1).where("asked <> vec_id")
     pairs = exact.join(some.select(F.col("id").alias("asked"), F.col("v").alias("query")), "asked")
     pairs = pairs.join(points.withColumnRenamed("id", "vec_id"), "vec_id").select("dim", "band", "query", "v")
+    counts = _some_tables(tables)
 
     def need(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,28 +216,38 @@ def _needs(points: DataFrame, distinct: DataFrame, dims: list[int], k: int, tabl
                     turned = rotated(query / np.linalg.norm(query, axis=1, keepdims=True), table, seed)
                     both = np.stack([turned, -turned], axis=2).reshape(len(turned), -1)
                     least = np.minimum(least, (both >= np.take_along_axis(both, at, 1)).sum(axis=1))
-                yield pa.RecordBatch.from_arrays([taken.column("dim"), taken.column("band"), pa.array(least)], ["dim", "band", "need"])
+                    if table + 1 in counts:
+                        columns = [taken.column("dim"), taken.column("band"), pa.array(np.full(len(least), table + 1, np.int32)), pa.array(least)]
+                        yield pa.RecordBatch.from_arrays(columns, ["dim", "band", "tables", "need"])
+
+    return pairs.mapInArrow(need, "dim int, band int, tables int, need long").groupBy("dim", "band", "tables", "need").count()
+
 
-    return pairs.mapInArrow(need, "dim int, band int, need long").groupBy("dim", "band", "need").count()
+def _planned(needs: dict[int, list[int]], dim: int, tables: int) -> tuple[int, int]:
+    """Tables and probes of a band: those with the fewest bins that hold RECALL of the neighbours in the sample."""
+    if not needs:  # none is in this band: an eighth of the bins of all tables
+        return tables, max(1, axes(dim) // 8)
+    return min(((n, int(np.quantile(x, RECALL, method="higher"))) for n, x in needs.items()), key=lambda plan: (plan[0] * plan[1], plan[0]))
 
 
-def _probes(cells: dict[tuple[int, int], int], asked: dict[int, int], tables: int, wanted: dict[tuple[int, int], int]) -> dict[tuple[int, int], int]:
-    """Probes of the bands (dim, band) that are cheaper to search by bins than whole, of those wanted."""
-    out = {}
-    for (dim, band), probes in wanted.items():
-        n, q, bins = cells[dim, band], asked[dim], axes(dim)
-        fewer_rows = n * -(-q // BLOCK) + q * -(-n // BLOCK) <= tables * (n + q * probes)
-        if not (tables * probes >= bins and fewer_rows) and tables * probes < 2 * bins:
-            out[dim, band] = probes
-    return out
+def plan_bands(points: DataFrame, distinct: DataFrame, k: int, tables: int, probes: int | None, seed: int) -> dict[tuple[int, int], tuple[int, int]]:
+    """Tables and probes of each band (dim, band) of the dimensions there are queries of."""
+    # as many rows as there are dimensions and bands
+    cells = [tuple(r) for r in points.join(distinct.select("dim").distinct(), "dim", "left_semi").select("dim", "band").distinct().collect()]
+    if probes is not None:
+        return {(dim, band): (tables, min(probes, axes(dim))) for dim, band in cells}
+    needs: dict[tuple[int, int], dict[int, list[int]]] = {cell: {} for cell in cells}
+    for r in _needs(points, distinct, k, tables, seed).collect() if cells else []:
+        needs[r.dim, r.band].setdefault(r.tables, []).extend([r.need] * r["count"])
+    return {cell: _planned(found, cell[0], tables) for cell, found in needs.items()}
 
 
 def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding", tables: int = TABLES, probes: int | None = None, seed: int = 11) -> DataFrame:
     """query_id, rank, vec_id and score: each query's nearest k other vectors. ``queries`` has the key of the rows to search for.
 
-    Probes that are given hold for all bands but the small ones.
+    Probes that are given hold for all bands, each with all tables.
     """
-    spark = df.sparkSession
+    spark = small_batches(df.sparkSession)
     chosen = queries.select(F.col(key).cast("long").alias("id")).distinct().withColumn("is_query", F.lit(True))
     rows = stored(_vectors(df, key, vector).join(chosen, "id", "left").fillna(False, ["is_query"]), "vectors")
     # of equal vectors the first k and the query's own can be asked for
@@ -239,34 +258,17 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     points = points.join(F.broadcast(longest), "dim").select("dim", F.floor(shorter / float(np.log(BAND))).cast("int").alias("band"), "id", "v")
     points = stored(points, "points")
     distinct = stored(rows.where("is_query").groupBy("dim", "v").agg(F.min("id").alias("id")), "queries")
-    # as many rows as there are dimensions and bands
-    cells = {(r.dim, r.band): r.n for r in points.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n")).collect()}
-    asked = {r.dim: r.n for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    large = [cell for cell, n in cells.items() if n > BLOCK and cell[0] in asked]
-    if probes is not None:
-        plan = {cell: min(probes, axes(cell[0])) for cell in large}
-    else:
-        # those left when the fewest probes cost less than all
-        plan = _probes(cells, asked, tables, {cell: min(PROBES, axes(cell[0])) for cell in large})
-        needs: dict[tuple[int, int], list[int]] = {cell: [] for cell in plan}
-        for r in _needs(points, distinct, sorted({dim for dim, _ in plan}), k, tables, seed).collect() if plan else []:
-            needs.get((r.dim, r.band), []).extend([r.need] * r["count"])
-        # a band that holds no neighbours of the sample: an eighth of its bins
-        wanted = {cell: max(PROBES, int(np.quantile(x, RECALL, method="higher")) if x else axes(cell[0]) // 8) for cell, x in needs.items()}
-        plan = _probes(cells, asked, tables, wanted)
-    binned = spark.createDataFrame([(*cell, n) for cell, n in plan.items()], "dim int, band int, probes int")
-    by_bin = points.join(F.broadcast(binned), ["dim", "band"])
-    hits = _hits(_whole(points.join(F.broadcast(binned), ["dim", "band"], "left_anti")), _whole(distinct), k + 1)
-    if plan:
-        near = _hits(_binned(by_bin.withColumn("probes", F.lit(1)), tables, seed), _binned(distinct.join(F.broadcast(binned), "dim"), tables, seed), k + 1)
-        hits = stored(_first(hits.unionByName(near), k + 1), "hits")
-        there = points.groupBy("dim").agg(F.least(F.count(F.lit(1)), F.lit(k + 1)).alias("there"))
-        found = hits.groupBy(F.col("asked").alias("id")).agg(F.count(F.lit(1)).alias("found"))
-        short = distinct.join(F.broadcast(there), "dim").join(found, "id", "left").where("coalesce(found, 0) < there")
-        hits = hits.unionByName(_hits(_whole(by_bin), _whole(stored(short.select("dim", "id", "v"), "short")), k + 1))
-    hits = _first(hits, k + 1)
-    first = F.min("id").over(Window.partitionBy("v"))
-    people = rows.where("is_query").select(F.col("id").alias("query_id"), first.alias("asked"))
+    plan = plan_bands(points, distinct, k, tables, probes, seed)
+    planned = spark.createDataFrame([(*cell, *bins) for cell, bins in plan.items()], "dim int, band int, tables int, probes int")
+    in_bins = points.join(F.broadcast(planned.drop("probes")), ["dim", "band"]).withColumn("probes", F.lit(1))
+    asked = distinct.join(F.broadcast(planned), "dim")
+    hits = stored(_first(_hits(_binned(in_bins, seed), _binned(asked, seed), k + 1), k + 1), "hits")
+    # the exact way for those that found too little
+    there = points.groupBy("dim").agg(F.least(F.count(F.lit(1)), F.lit(k + 1)).alias("there"))
+    found = hits.groupBy(F.col("asked").alias("id")).agg(F.count(F.lit(1)).alias("found"))
+    short = distinct.join(F.broadcast(there), "dim").join(found, "id", "left").where("coalesce(found, 0) < there")
+    hits = _first(hits.unionByName(_hits(_whole(points), _whole(stored(short.select("dim", "id", "v"), "short")), k + 1)), k + 1)
+    people = rows.where("is_query").select(F.col("id").alias("query_id"), "v").join(distinct.select("v", F.col("id").alias("asked")), "v").drop("v")
     others = people.join(hits, "asked").where("vec_id <> query_id")
     ranked = others.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*_order())))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,30 +1,29 @@
-"""Shards of near equal size by best-fit-decreasing bin packing of indivisible groups.
+"""Shards by best-fit-decreasing bin packing of indivisible groups.
 
 Rows with equal texts form a group, which stays together. Groups are packed in order
 of size, largest first, each into the tightest bin that still has room for it, found
-in a balanced tree of remaining capacities; the smallest capacity for which the bins
-suffice is searched for.
+in a balanced tree of remaining capacities. Either the number of shards is given, and the
+smallest capacity for which that many suffice is searched for, or the capacity of a shard is, and bins are opened as they are needed, which keeps them few.
 
-The order is that of sizes, so groups are packed in two classes. A group larger than
-a fixed fraction of the total is packed by itself: there can't be more than the
-inverse of the fraction of them. The others are bundled by the hash of their text into
-as many bundles as that inverse, and a bundle is packed like a group. So what the
-packing sees is bounded, whatever the number of groups, and bundles are small against
-a shard. Everything else is counts, sums and joins.
+Groups of one size are interchangeable, so the packing is of sizes with the numbers of
+groups that have them, counted by Spark: a bin that is the tightest for one group of a size is the tightest for the next one too, until
+it is full, so as many as fit go there at once. The driver sees the different sizes, not the groups. The groups are
+sorted by size over partitions and numbered; the packing says which numbers go to which shard.
 
 Defined results: a null text has no bytes and forms a group of its own; repeated rows
 each get a place; an empty table gives an empty result; with fewer groups than shards
-some shards stay empty.
+some shards stay empty; a group larger than the given capacity has a shard to itself. A column to keep that has the name of a result gives way to it;
+other columns may have any name.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from riskstream.llm.kept import ROW, carried, restored
+from riskstream.llm.resampling import ranked
 from riskstream.session import stored
 
-#: Groups of at least 1 / (shards * GRAIN) of all bytes are packed by themselves; there are as many bundles of the rest.
-GRAIN = 256
 #: Bytes that each row takes besides its text.
 ROW_BYTES = 8
 #: Rows that are numbered by one task at a time, about.
@@ -82,22 +81,31 @@ class Rooms:
         return high
 
 
-def best_fit_decreasing(sizes: list[tuple[int, int]], bins: int, capacity: int) -> list[int] | None:
-    """The bin of each item, (size, id) in order of size, largest first; None if the bins don't suffice."""
-    rooms, out = Rooms(bins, capacity), []
-    for size, _ in sizes:
-        found = rooms.take_tightest(size)
-        if found is None:
-            return None
-        room, b = found
-        rooms.add(room - size, b)
-        out.append(b)
+#: How many groups of a size go to a bin: (size, groups, bin).
+Placed = list[tuple[int, int, int]]
+
+
+def best_fit_decreasing(sizes: list[tuple[int, int]], bins: int | None, capacity: int) -> Placed | None:
+    """Where (size, groups), largest size first, go; None if so many bins don't suffice. Without a number, bins are opened as they are needed."""
+    rooms, opened, out = Rooms(bins or 0, capacity), bins or 0, []
+    for size, left in sizes:
+        while left:
+            found = rooms.take_tightest(size)
+            if found is None:
+                if bins is not None:
+                    return None
+                found, opened = (max(capacity, size), opened), opened + 1
+            room, b = found
+            taken = min(left, room // size)
+            rooms.add(room - taken * size, b)
+            out.append((size, taken, b))
+            left -= taken
     return out
 
 
-def pack(sizes: list[tuple[int, int]], bins: int) -> list[int]:
+def pack(sizes: list[tuple[int, int]], bins: int) -> Placed:
     """Best fit decreasing with the smallest capacity for which the bins suffice."""
-    total, largest = sum(s for s, _ in sizes), max((s for s, _ in sizes), default=0)
+    total, largest = sum(size * n for size, n in sizes), max((size for size, _ in sizes), default=0)
     low = max(-(-total // bins), largest)
     high = low
     while (best := best_fit_decreasing(sizes, bins, high)) is None:
@@ -109,47 +117,47 @@ def pack(sizes: list[tuple[int, int]], bins: int) -> list[int]:
     return best
 
 
-def assign_shards(df: DataFrame, shards: int, keep: list[str], text: str = "text", order: str = "doc_id") -> DataFrame:
-    """size, text_crc32, shard and slot of each row next to the columns to keep."""
+def assign_shards(df: DataFrame, shards: int | None, keep: list[str], text: str = "text", capacity: int | None = None) -> DataFrame:
+    """size, text_crc32, shard and slot of each row next to the columns to keep.
+
+    Give the number of shards, or None and the capacity of each in bytes.
+    """
+    if (shards is None) == (capacity is None):
+        raise ValueError("give the number of shards or their capacity")
     spark = df.sparkSession
+    results = ["size", "text_crc32", "shard", "slot"]
+    kept, row = carried(keep, results)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = stored(
-        df.select(
-            *keep,
-            (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
-            F.crc32(body.cast("binary")).alias("text_crc32"),
-            F.xxhash64(F.col(text).isNull(), body).alias("__group"),
-            F.col(order).alias("__order"),
-        ),
-        "shard-rows",
-    )
-    grains = shards * GRAIN
-    total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    bundle = F.pmod(F.col("__group"), F.lit(grains))
-    groups = stored(rows.groupBy("__group").agg(F.sum("size").alias("size")), "shard-groups")
-    large = groups.where(F.col("size") * grains >= total).select("__group", "size")  # at most ``grains`` rows
-    small = groups.join(F.broadcast(large.select("__group")), "__group", "left_anti").groupBy(bundle.alias("bundle")).agg(F.sum("size").alias("size"))
-
-    items = [(size, 0, group) for group, size in large.collect()] + [(size, 1, b) for b, size in small.collect()]
-    items.sort(key=lambda item: (-item[0], item[1], item[2]))
-    bins = pack([(size, k) for k, (size, _, _) in enumerate(items)], shards) if items else []
-    placed = [(kind == 1, which, b) for (_, kind, which), b in zip(items, bins)]
-    placed = spark.createDataFrame(placed, "bundled boolean, item long, shard int")
-    of_group, of_bundle = placed.where("NOT bundled"), placed.where("bundled")
-    rows = (
-        rows.withColumn("__bundle", bundle)
-        .join(F.broadcast(of_group.select(F.col("item").alias("__group"), F.col("shard").alias("__own"))), "__group", "left")
-        .join(F.broadcast(of_bundle.select(F.col("item").alias("__bundle"), F.col("shard").alias("__shared"))), "__bundle", "left")
-        .withColumn("shard", F.coalesce("__own", "__shared"))
+    rows = df.select(
+        row,
+        (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
+        F.crc32(body.cast("binary")).alias("text_crc32"),
+        F.xxhash64(F.col(text).isNull(), body).alias("hash"),
+        F.monotonically_increasing_id().alias("number"),
     )
+    rows = stored(rows, "shard-rows")
+    group = ["hash", "text_crc32", "size"]
+    groups = stored(rows.groupBy(*group).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "shard-groups")
+    # as many rows as there are different sizes
+    sizes = [tuple(r) for r in groups.groupBy("bytes").count().collect()]
+    sizes.sort(reverse=True)
+    placed = pack(sizes, shards) if shards is not None else best_fit_decreasing(sizes, None, capacity)
+    spans, at = [], 0
+    for size, n, b in placed:
+        spans.append((size, at + 1, at + n, b))
+        at += n
+    spans = spark.createDataFrame(spans, "bytes long, since long, until long, shard int")
+    numbered = ranked(groups.withColumn("down", -F.col("bytes")), ("down", *group))
+    of_group = numbered.join(spans, "bytes").where("rank BETWEEN since AND until").select(*group, "shard", "n")
+    rows = rows.join(of_group.drop("n"), group)
 
     # Slots: stretches of a shard are numbered side by side, each from where those before it end.
-    stretches = max(1, n // (shards * STRETCH))
-    stretch = F.pmod(F.xxhash64("__order", "text_crc32", "size"), F.lit(stretches))
-    rows = rows.withColumn("__stretch", stretch)
-    before = Window.partitionBy("shard").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
-    since = rows.groupBy("shard", "__stretch").agg(F.count(F.lit(1)).alias("__rows"))
-    since = since.select("shard", "__stretch", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__since"))
-    within = Window.partitionBy("shard", "__stretch").orderBy("__order", "text_crc32", "size")
-    slot = (F.col("__since") + F.row_number().over(within) - 1).cast("long")
-    return rows.join(since, ["shard", "__stretch"]).select(*keep, "size", "text_crc32", "shard", slot.alias("slot"))
+    n = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    stretches = max(1, n // (max(1, len({b for _, _, b in placed})) * STRETCH))
+    rows = rows.withColumn("stretch", F.pmod(F.xxhash64("number"), F.lit(stretches)))
+    before = Window.partitionBy("shard").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    since = rows.groupBy("shard", "stretch").agg(F.count(F.lit(1)).alias("there"))
+    since = since.select("shard", "stretch", F.coalesce(F.sum("there").over(before), F.lit(0)).alias("since"))
+    within = Window.partitionBy("shard", "stretch").orderBy("number")
+    slot = (F.col("since") + F.row_number().over(within) - 1).cast("long")
+    return restored(rows.join(since, ["shard", "stretch"]).withColumn("slot", slot), kept, results)

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -84,27 +85,85 @@ def test_few_rows_and_none(spark, documents):
     assert len(sharded(documents([(None, "x" * 10**6), (None, None)]), 2)) == 2
 
 
+def plain(sizes, bins, capacity):
+    """Best fit decreasing, one group after another, looking at every bin."""
+    room, out = [capacity] * (bins or 0), []
+    for size in sizes:
+        fitting = [(r, b) for b, r in enumerate(room) if r >= size]
+        if not fitting and bins is not None:
+            return None
+        if not fitting:
+            room.append(max(capacity, size))
+            fitting = [(room[-1], len(room) - 1)]
+        _, b = min(fitting)
+        room[b] -= size
+        out.append((size, b))
+    return out
+
+
+def counted(sizes):
+    return sorted(Counter(sizes).items(), reverse=True)
+
+
+def spread(placed):
+    return sorted((size, b) for size, n, b in placed for _ in range(n))
+
+
 def test_best_fit_decreasing():
-    """Against looking at every bin, and against the bounds on the capacity."""
-    for seed in range(30):
+    """Sizes with their numbers against one group after another, and against the bounds on the capacity."""
+    for seed in range(60):
         chance = random.Random(seed)
-        sizes = sorted(((chance.randrange(1, 100), i) for i in range(chance.randrange(1, 80))), reverse=True)
+        sizes = sorted((chance.randrange(1, chance.choice([5, 100])) for _ in range(chance.randrange(1, 80))), reverse=True)
         bins = chance.randrange(1, 12)
-        placed = shards.pack(sizes, bins)
-        load = [0] * bins
-        for (size, _), b in zip(sizes, placed):
+        placed = spread(shards.pack(counted(sizes), bins))
+        load = Counter()
+        for size, b in placed:
             load[b] += size
-        total, largest = sum(s for s, _ in sizes), sizes[0][0]
-        assert max(load) <= max(total / bins + largest, largest)
-        capacity = max(load)
-        room, want = [capacity] * bins, []
-        for size, _ in sizes:
-            fitting = [(r, b) for b, r in enumerate(room) if r >= size]
-            r, b = min(fitting)
-            room[b] -= size
-            want.append(b)
-        assert shards.best_fit_decreasing(sizes, bins, capacity) == want
-        assert shards.best_fit_decreasing(sizes, bins, -(-total // bins) - 1) is None
+        assert max(load.values()) <= max(sum(sizes) / bins + sizes[0], sizes[0])
+        for capacity in (max(load.values()), max(load.values()) - 1, sizes[0] * 2):
+            want, got = plain(sizes, bins, capacity), shards.best_fit_decreasing(counted(sizes), bins, capacity)
+            assert (got is None) == (want is None) and (got is None or spread(got) == sorted(want))
+        for capacity in (1, sizes[0], 150):
+            want, got = plain(sizes, None, capacity), shards.best_fit_decreasing(counted(sizes), None, capacity)
+            assert spread(got) == sorted(want)
+
+
+def test_groups_are_placed_by_best_fit_decreasing(spark, documents):
+    texts = ["t" * CHANCE.choice([3, 3, 3, 10, 50, CHANCE.randrange(200)]) + str(i) for i in range(500)] + ["copy"] * 40
+    rows = sharded(documents(texts), 7)
+    groups = {}
+    for r in rows:
+        size, shard = groups.get(texts[r.doc_id], (0, r.shard))
+        groups[texts[r.doc_id]] = size + r.size, shard
+    sizes = sorted((size for size, _ in groups.values()), reverse=True)
+    assert sorted(groups.values()) == spread(shards.pack(counted(sizes), 7))
+
+
+@pytest.mark.parametrize("capacity", [40, 300, 5000])
+def test_shards_of_a_capacity(spark, documents, capacity):
+    texts = ["t" * CHANCE.randrange(200) for _ in range(300)] + [str(i) for i in range(200)]
+    rows = shards.assign_shards(documents([*enumerate(texts)]), None, ["doc_id"], capacity=capacity).collect()
+    groups, load = {}, Counter()
+    for r in rows:
+        size, shard = groups.get(texts[r.doc_id], (0, r.shard))
+        assert shard == r.shard
+        groups[texts[r.doc_id]] = size + r.size, shard
+        load[r.shard] += r.size
+    sizes = sorted((size for size, _ in groups.values()), reverse=True)
+    assert len(rows) == len(texts) and sorted(groups.values()) == sorted(plain(sizes, None, capacity))
+    alone = {b for size, b in groups.values() if size > capacity}
+    assert all(n <= capacity for b, n in load.items() if b not in alone)
+    # best fit decreasing needs at most 11/9 of the bins there must be, and one
+    assert len(load) - len(alone) <= 11 / 9 * -(-sum(s for s in sizes if s <= capacity) // capacity) * 1.5 + 1
+
+
+def test_kept_columns_of_shards(spark, documents):
+    docs = documents(["a", "b"], ("size", "hash", "number", "bytes", "since", "shard", "stretch"))
+    out = shards.assign_shards(docs, 2, ["doc_id", "hash", "size", "number", "shard", "stretch"])
+    assert out.columns == ["doc_id", "hash", "number", "stretch", "size", "text_crc32", "shard", "slot"]
+    assert sorted((r.doc_id, r.hash, r.stretch, r.size) for r in out.collect()) == [(0, "hash", "stretch", 9), (1, "hash", "stretch", 9)]
+    with pytest.raises(ValueError):
+        shards.assign_shards(docs, 2, ["doc_id"], capacity=9)
 
 
 def vectors(spark, rows):

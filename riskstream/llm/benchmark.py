@@ -22,7 +22,8 @@ Defined results: null and empty texts hold nothing; an item shorter than SHORTES
 characters is held by nothing, unless ``short`` items are asked for: then by a text that holds all of it, between
 the ends of words and without edits, and by nothing if it is blank; items with equal regions
 are all found; a null item is left out; repeated rows each give their rows; with an empty
-benchmark nothing is found.
+benchmark nothing is found. A column to keep that has the name
+of a result gives way to it; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructField, StructType
 
+from riskstream.llm.kept import ROW, carried, restored
 from riskstream.llm.words import U64, mix, slices, text_bytes
 from riskstream.llm.workers import held, small_batches
 
@@ -155,7 +157,7 @@ class Index:
         """Of each region that a text holds: text, region, start, end, edits."""
         return self._find(*self._shared(texts))
 
-    def find_all(self, texts: pa.Array, short: bool = False) -> tuple[list[int], list, list[int], list[int], list[int]]:
+    def find_all(self, texts: pa.Array, short: bool = True) -> tuple[list[int], list, list[int], list[int], list[int]]:
         """Of each region that a text holds, and of excerpts, and of short items if asked for: text, item, start, end, edits."""
         shared = self._shared(texts)
         found = list(zip(*(x.tolist() for x in self._find(*shared))))
@@ -317,11 +319,12 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator:
         yield small_batches(benchmark.sparkSession).sparkContext.broadcast([tuple(x) for x in some])
 
 
-def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
+def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", short: bool = True) -> DataFrame:
     """Stretches of texts that hold regions or passages of items: item, start, end (in bytes) and edits, next to the columns to keep."""
-    rows = df.select(*keep, F.col(text).alias("__text"))
     names = [item, "start", "end", "edits"]
-    schema = StructType([*(rows.schema[c] for c in keep), StructField(item, benchmark.schema[item].dataType), *(StructField(c, LongType()) for c in names[1:])])
+    kept, row = carried(keep, names)
+    rows = df.select(row, F.col(text).alias("text"))
+    schema = StructType([rows.schema[ROW], StructField(item, benchmark.schema[item].dataType), *(StructField(c, LongType()) for c in names[1:])])
     taken_type = to_arrow_type(benchmark.schema[item].dataType)
     found = df.sparkSession.createDataFrame([], schema)
     for sent in _blocks(benchmark, item, item_text):
@@ -329,17 +332,17 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
         def find(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = held(sent.value, Index)
             for batch in batches:
-                for part in slices(batch, "__text"):
-                    at, items, *place = index.find_all(part.column("__text"), short)
+                for part in slices(batch):
+                    at, items, *place = index.find_all(part.column("text"), short)
                     taken = part.take(pa.array(at, pa.int64()))
                     columns = [pa.array(items, taken_type), *(pa.array(x, pa.int64()) for x in place)]
-                    yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in keep), *columns], [*keep, *names])
+                    yield pa.RecordBatch.from_arrays([taken.column(ROW), *columns], [ROW, *names])
 
         found = found.unionByName(rows.mapInArrow(find, schema))
-    return found
+    return restored(found, kept, names)
 
 
-def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
+def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", short: bool = True) -> DataFrame:
     """The rows whose text holds no region or passage of an item."""
     for sent in _blocks(benchmark, item, item_text):
 

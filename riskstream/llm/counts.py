@@ -6,7 +6,8 @@ number of merges, so that no ids are made. Special strings inside a text count a
 one token each and split it.
 
 Defined results: a null text counts as empty and has 0 tokens; repeated rows each
-give a row; an empty table gives an empty result.
+give a row; an empty table gives an empty result. A column to keep that has the name
+of a result gives way to it; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from riskstream.llm.kept import ROW, carried, restored
 from riskstream.llm.pretokens import pretokens
 from riskstream.llm.workers import held, small_batches
 
@@ -130,14 +132,15 @@ def token_counts(df: DataFrame, merges: Merges, keep: list[str], text: str = "te
     """n_bytes and n_tokens of each text next to the columns to keep."""
     sent = small_batches(df.sparkSession).sparkContext.broadcast(merges)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = df.select(*keep, F.octet_length(body).cast("long").alias("n_bytes"), body.alias("__text"))
-    kept = [*keep, "n_bytes"]
-    schema = StructType([*(rows.schema[c] for c in kept), StructField("n_tokens", LongType())])
+    results = ["n_bytes", "n_tokens"]
+    kept, row = carried(keep, results)
+    rows = df.select(row, F.octet_length(body).cast("long").alias("n_bytes"), body.alias("text"))
+    schema = StructType([rows.schema[ROW], *(StructField(c, LongType()) for c in results)])
 
     def count_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = sent.value.built()
         for batch in batches:
-            n = pa.array((counter.count(x.as_py()) for x in batch.column("__text")), pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), n], [*kept, "n_tokens"])
+            n = pa.array((counter.count(x.as_py()) for x in batch.column("text")), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("n_bytes"), n], [ROW, *results])
 
-    return rows.mapInArrow(count_all, schema)
+    return restored(rows.mapInArrow(count_all, schema), kept, results)

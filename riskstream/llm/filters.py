@@ -11,13 +11,16 @@ Defined results: a URL that is null or has no ``://`` has an empty host and path
 fits nothing; an empty path fits no listing but one with an empty path; listings that
 repeat a host and path count once, and ``block`` wins between their verdicts; of two
 fitting listings of one length the one with the longer host wins; listings with a null
-are left out; repeated rows each give a row.
+are left out; repeated rows each give a row. A column to keep that has the name
+of a result gives way to it; other columns may have any name.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskstream.llm.kept import ROW, carried, restored
+
 #: Blocks of the filter. A block is a row of 16 bytes, so this bounds what is broadcast whatever the listing's size.
 BLOCKS = 1 << 20
 #: Bits that a key sets in its block, each chosen by six bits of its hash.
@@ -63,7 +66,9 @@ def judge_urls(df: DataFrame, listed: DataFrame, keep: list[str], url: str = "ur
     # As many as there are lengths of paths in the listing, so at most as the longest path has characters.
     lengths = [row[0] for row in listed.select(F.length("rule_path")).distinct().collect()]
     host, path = host_and_path(F.col(url))
-    pages = df.select(*keep, host.alias("__host"), path.alias("__path"))
+    results = ["host", "path", "rule", "verdict"]
+    kept, row = carried(keep, results)
+    pages = df.select(row, host.alias("__host"), path.alias("__path"))
 
     urls = pages.select(F.col("__host").alias("host"), F.col("__path").alias("path")).where("host <> ''").distinct()
     labels = F.split("host", r"\.")
@@ -82,4 +87,5 @@ def judge_urls(df: DataFrame, listed: DataFrame, keep: list[str], url: str = "ur
         F.col("best.verdict").alias("verdict"),
     )
     judged = pages.join(best, ["__host", "__path"], "left")
-    return judged.select(*keep, F.col("__host").alias("host"), F.col("__path").alias("path"), "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    judged = judged.select(ROW, F.col("__host").alias("host"), F.col("__path").alias("path"), "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    return restored(judged, kept, results)

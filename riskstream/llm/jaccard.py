@@ -22,7 +22,8 @@ one block; a block then counts the links of each member, or gives its pairs.
 Defined results: A-Z are lower-cased; a text with fewer words than a shingle has its
 whole sequence as its one shingle; a null text or one without words has none and is linked with
 nothing; rows with equal sets are linked; repeated rows each give a row. A component is named by its
-smallest id.
+smallest id. A column to keep that has the name
+of a result gives way to it; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from riskstream.llm.components import components
 from riskstream.llm.filters import bloom_filter, may_contain
+from riskstream.llm.kept import ROW, carried, restored
 from riskstream.llm.words import U64, Words, mix, runs, slices
 from riskstream.llm.workers import small_batches
 from riskstream.session import stored
@@ -365,8 +367,10 @@ def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], te
     With ``links`` also n_links, the number of other rows whose sets are equal or similar.
     """
     small_batches(df.sparkSession)
-    rows = df.select(*keep, F.col(order).alias("__order"), F.col(text).alias("text"))
-    measured = stored(_measured(rows, [*keep, "__order"], similarity), "shingle-sets")
+    results = ["n_shingles", "component_id", "component", *(["n_links"] if links else [])]
+    kept, row = carried(keep, results)
+    rows = df.select(row, F.col(order).alias("__order"), F.col(text).alias("text"))
+    measured = stored(_measured(rows, [ROW, "__order"], similarity), "shingle-sets")
     of_class = [F.min("__order").alias("first"), *([F.count(F.lit(1)).alias("copies")] if links else [])]
     classes = stored(measured.where("set_key IS NOT NULL").groupBy("set_key").agg(*of_class), "shingle-classes")
     joined = components(similar_links(rows, similarity))
@@ -379,4 +383,5 @@ def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], te
         ids = ids.join(counts, "set_key", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
         more = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
     found = measured.join(ids, "set_key", "left")
-    return found.select(*keep, "n_shingles", F.coalesce("component_id", "__order").alias("component_id"), "component", *more)
+    found = found.select(ROW, "n_shingles", F.coalesce("component_id", "__order").alias("component_id"), "component", *more)
+    return restored(found, kept, results)

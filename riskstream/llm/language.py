@@ -12,7 +12,8 @@ words and GRAMS n-grams at most. Prediction reads every text whole.
 Defined results: a text that is null or has no letter is ``und`` with score 0; of equal
 scores the first language by name wins; words of which no n-gram is known leave the shares
 of the languages in the sample; without labelled rows everything is ``und``;
-repeated rows each give a row.
+repeated rows each give a row. A column to keep that has the name
+of a result gives way to it; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from riskstream.llm.kept import ROW, carried, restored
 from riskstream.llm.workers import held, small_batches
 
 #: Bounds of the fit: labelled documents, words and n-grams.
@@ -192,14 +194,16 @@ class Scorer:
 def predict(df: DataFrame, model: LanguageModel, keep: list[str], text: str = "text") -> DataFrame:
     """lang_pred and score of each text next to the columns to keep."""
     sent = small_batches(df.sparkSession).sparkContext.broadcast(model)
-    rows = df.select(*dict.fromkeys([*keep, text]))
-    schema = StructType([*(rows.schema[c] for c in keep), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    results = ["lang_pred", "score"]
+    kept, row = carried(keep, results)
+    rows = df.select(row, F.col(text).alias("text"))
+    schema = StructType([rows.schema[ROW], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = held(sent.value, Scorer)
         for batch in batches:
-            found = [scorer.score(x.as_py() or "") for x in batch.column(text)]
+            found = [scorer.score(x.as_py() or "") for x in batch.column("text")]
             out = [pa.array([x[i] for x in found], kind) for i, kind in ((0, pa.string()), (1, pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *out], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), *out], [ROW, *results])
 
-    return rows.mapInArrow(score, schema)
+    return restored(rows.mapInArrow(score, schema), kept, results)

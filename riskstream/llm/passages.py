@@ -18,7 +18,8 @@ the window's own hash, so that equal windows are combined and different ones spr
 
 Defined results: words are kept as they are; a null text has no words; a text shorter than
 a window loses nothing; repeated rows are occurrences like any other, so that a repeated text
-of a window or more is removed whole; an empty table gives an empty result.
+of a window or more is removed whole; an empty table gives an empty result. A column to keep that has the name
+of a result gives way to it; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from riskstream.llm.filters import bloom_filter, may_contain
+from riskstream.llm.kept import ROW, carried, restored
 from riskstream.llm.words import U64, Words, mix, powers, runs, slices
 from riskstream.llm.workers import small_batches
 from riskstream.session import stored
@@ -266,13 +268,15 @@ def remove_passages(df: DataFrame, keep: list[str], window: int = WINDOW, text:
     What is left is joined by blanks; unless ``joined``, a text that loses nothing is left as it is.
     """
     small_batches(df.sparkSession)
-    rows = df.select(*keep, *_key(text, order), F.col(text).alias("text"))
+    results = ["n_words", "n_removed", "kept_text"]
+    kept, row = carried(keep, results)
+    rows = df.select(row, *_key(text, order), F.col(text).alias("text"))
     docs = rows.select("k1", "k2", "text")
     occurrences = stored(_occurrences(docs, window), "occurrences")
     located = _located(_texts(docs, occurrences, window), window)
     spans = occurrences.join(located, ["key", "own"]).select("k1", "k2", (F.col("at") + F.col("since")).alias("since"), (F.col("at") + F.col("until")).alias("until"))
     spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("since", "until")).alias("spans"))
-    schema = StructType([*(rows.schema[c] for c in keep), StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())])
+    schema = StructType([rows.schema[ROW], StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,6 +294,7 @@ def remove_passages(df: DataFrame, keep: list[str], window: int = WINDOW, text:
                     gone.append(n[-1] - len(words))
                     left.append(b" ".join(words) if joined or gone[-1] else (body.as_py() or "").encode())
                 columns = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *columns], [*keep, "n_words", "n_removed", "kept_text"])
+                yield pa.RecordBatch.from_arrays([part.column(ROW), *columns], [ROW, *results])
 
-    return rows.join(spans, ["k1", "k2"], "left").select(*keep, "text", "spans").mapInArrow(remove, schema)
+    left = rows.join(spans, ["k1", "k2"], "left").select(ROW, "text", "spans").mapInArrow(remove, schema)
+    return restored(left, kept, results)

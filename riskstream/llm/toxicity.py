@@ -12,9 +12,11 @@ there are so many (those with the lowest hash of id), VOTERS voters and FEATURES
 features at most. Scoring reads every text whole.
 
 Defined results: a null or empty text has no features and the score that comes with
-none; a row labelled twice counts as toxic if any label says so; without a
+none; a row labelled twice counts as toxic if any label says so; of texts that repeat an id the
+smallest is learned from; without a
 labelled row of either kind nothing is learned and every score is 0; repeated rows each
-give a row.
+give a row. A column to keep that has the name
+of a result gives way to it; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from riskstream.llm.kept import ROW, carried, restored
 from riskstream.llm.workers import held, small_batches
 
 #: Bounds of the fit: labelled documents, voters, features.
@@ -135,7 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         chosen = some if chosen is None else chosen.unionByName(some)
     # as many rows as the sample at most
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = texts.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).select("key", "toxic", "text").cache()
+    # of texts that repeat a key the smallest counts
+    texts = texts.join(F.broadcast(chosen), "key").groupBy("key", "toxic").agg(F.min("text").alias("text")).cache()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,13 +223,14 @@ class Scorer:
 def score(df: DataFrame, model: ToxicityModel, keep: list[str], text: str = "text") -> DataFrame:
     """The score of each text next to the columns to keep."""
     sent = small_batches(df.sparkSession).sparkContext.broadcast(model)
-    rows = df.select(*dict.fromkeys([*keep, text]))
-    schema = StructType([*(rows.schema[c] for c in keep), StructField("score", DoubleType())])
+    kept, row = carried(keep, ["score"])
+    rows = df.select(row, F.col(text).alias("text"))
+    schema = StructType([rows.schema[ROW], StructField("score", DoubleType())])
 
     def score_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = held(sent.value, Scorer)
         for batch in batches:
-            out = pa.array([scorer.score(x.as_py() or "") for x in batch.column(text)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), out], [*keep, "score"])
+            out = pa.array([scorer.score(x.as_py() or "") for x in batch.column("text")], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), out], [ROW, "score"])
 
-    return rows.mapInArrow(score_all, schema)
+    return restored(rows.mapInArrow(score_all, schema), kept, ["score"])

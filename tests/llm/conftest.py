@@ -19,6 +19,3 @@ def documents(spark):
         return df
 
     return make
-
-
-CLASHING = ("key", "score", "size", "n", "signature", "member", "component", "shard", "slot", "ids", "k1", "row", "hash", "text_crc32")

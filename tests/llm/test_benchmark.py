@@ -68,9 +68,9 @@ def test_rows(spark, documents, monkeypatch, block):
     items = spark.createDataFrame([*enumerate(ITEMS), (50, ITEMS[0]), (None, "n" * 50), (60, None)], "item_id long, text string")
     texts = ["", None, prose(30), f"so {ITEMS[0]} it", f"so {ITEMS[0]} it", ITEMS[3], "x" * 100_000 + ITEMS[4], ITEMS[5][:40], "too short"]
     docs = documents([*enumerate(texts), (3, texts[3])], ("start", "end", "edits", "item_id"))
-    found = benchmark.find_leaks(docs.drop("item_id", "start", "end", "edits"), items, ["doc_id"])
+    found = benchmark.find_leaks(docs, items, ["doc_id"], short=False)
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(3, 0), (3, 50), (4, 0), (4, 50), (5, 3), (6, 4)}
-    kept = benchmark.drop_leaks(docs, items)
+    kept = benchmark.drop_leaks(docs, items, short=False)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 7, 8]
     assert benchmark.find_leaks(docs, items.limit(0), ["doc_id"]).count() == 0
     assert benchmark.drop_leaks(docs, items.limit(0)).count() == 10
@@ -103,6 +103,6 @@ def test_short_items(spark, documents):
     items = [(0, "What is the capital of Peru?"), (1, " 42 "), (2, "What is the capital of Peru?"), (3, " "), (4, "née"), (5, "")]
     texts = ["WHAT IS\tthe capital of Peru?", '"what is the capital of peru?"42', "a42 420 4 2", "x What is the capital of Peru", None, "(Née)", "somewhat is the capital of peru?", "née42"]
     items = spark.createDataFrame(items, "item_id long, text string")
-    found = {(r.doc_id, r.item_id, r.start, r.end, r.edits) for r in benchmark.find_leaks(documents(texts), items, ["doc_id"], short=True).collect()}
+    found = {(r.doc_id, r.item_id, r.start, r.end, r.edits) for r in benchmark.find_leaks(documents(texts), items, ["doc_id"]).collect()}
     assert found == {(0, 0, 0, 28, 0), (0, 2, 0, 28, 0), (1, 0, 1, 29, 0), (1, 2, 1, 29, 0), (1, 1, 30, 32, 0), (5, 4, 1, 5, 0)}
-    assert sorted(r.doc_id for r in benchmark.drop_leaks(documents(texts), items, short=True).collect()) == [2, 3, 4, 6, 7]
+    assert sorted(r.doc_id for r in benchmark.drop_leaks(documents(texts), items).collect()) == [2, 3, 4, 6, 7]

@@ -1,0 +1,68 @@
+"""Columns to keep whose names the operators use themselves, for every operator."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskstream.llm import benchmark, counts, encode, filters, jaccard, language, passages, resampling, shards, suffixes, toxicity
+
+NAMES = sorted({
+    "key", "score", "size", "n", "signature", "member", "component", "shard", "slot", "ids", "k1", "__row", "row", "text_crc32", "set_key", "component_id", "n_shingles", "n_links", "n_words", "n_removed", "kept_text", "spans", "lang_pred", "start", "end", "item_id", "edits",
+    "n_bytes", "n_tokens", "__text", "__order", "__host", "host", "path", "rule", "verdict", "stretch", "number", "since", "until", "at", "hash", "rank", "weight", "n_features", "decoded", "kept",
+})
+
+
+def url_rules(spark):
+    return spark.createDataFrame([("org", "/", "block")], "host string, path string, verdict string")
+
+
+def labels(spark):
+    return spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+
+
+def items(spark):
+    return spark.createDataFrame([(1, "a short item")], "item_id long, text string")
+
+
+OPERATORS = {
+    "language": lambda spark, df, keep: language.predict(df, language.fit(df), keep),
+    "toxicity": lambda spark, df, keep: toxicity.score(df, toxicity.fit(df, labels(spark)), keep),
+    "jaccard": lambda spark, df, keep: jaccard.similar_documents(df, jaccard.Similarity(), keep, links=True),
+    "benchmark": lambda spark, df, keep: benchmark.find_leaks(df, items(spark), keep),
+    "passages": lambda spark, df, keep: passages.remove_passages(df, keep),
+    "shards": lambda spark, df, keep: shards.assign_shards(df, 3, keep),
+    "counts": lambda spark, df, keep: counts.token_counts(df, counts.public_merges("byte_bpe_50k.json"), keep),
+    "encode": lambda spark, df, keep: encode.encode(df, encode.public_vocabulary("byte_bpe_50k.tiktoken"), keep),
+    "digests": lambda spark, df, keep: encode.digests(df, encode.public_vocabulary("byte_bpe_50k.tiktoken"), keep),
+    "filters": lambda spark, df, keep: filters.judge_urls(df.withColumn("url", F.lit("http://example.org/")), url_rules(spark), keep),
+    "suffixes": lambda spark, df, keep: suffixes.remove_recurring(df, keep),
+    "resampling": lambda spark, df, keep: resampling.resample(df, df, keep),
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_kept_columns(spark, documents, name):
+    docs = documents(["a short item", "this and that"], NAMES)
+    keep = ["doc_id", "text", "lang", *NAMES]
+    out = OPERATORS[name](spark, docs, keep)
+    assert len(out.columns) == len(set(out.columns)) and out.columns[0] == "doc_id"
+    rows = out.collect()
+    assert len(rows) == (1 if name == "benchmark" else 2)
+    carried = [c for c in out.columns if c in NAMES and c not in OPERATOR_RESULTS[name]]
+    assert all(r[c] == c for r in rows for c in carried) and len(carried) > len(NAMES) - 8
+    assert out.columns[-len(OPERATOR_RESULTS[name]) :] == OPERATOR_RESULTS[name]
+
+
+OPERATOR_RESULTS = {
+    "language": ["lang_pred", "score"],
+    "toxicity": ["score"],
+    "jaccard": ["n_shingles", "component_id", "component", "n_links"],
+    "benchmark": ["item_id", "start", "end", "edits"],
+    "passages": ["n_words", "n_removed", "kept_text"],
+    "shards": ["size", "text_crc32", "shard", "slot"],
+    "counts": ["n_bytes", "n_tokens"],
+    "encode": ["ids"],
+    "digests": ["n_tokens", "ids_sha256", "decoded_sha256"],
+    "filters": ["host", "path", "rule", "verdict"],
+    "suffixes": ["n_bytes", "n_removed", "spans", "kept"],
+    "resampling": ["n_features", "weight", "score", "rank"],
+}

@@ -15,6 +15,7 @@ from riskstream.sources.tables import jdbc_table, parquet_table
 from riskstream.streaming.database import database_writer, jdbc_stage, postgres
 from riskstream.streaming.jobs import run_backfill, run_stream
 from riskstream.streaming.log import compact, prune
+from riskstream.streaming.metrics import BatchMetrics
 from riskstream.streaming.monthly import merge_batches
 
 #: Rows of a frame on the console where all of them are in a folder.
@@ -30,6 +31,7 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--messages", help="folder of JSON lines; the Kafka topic if not given")
         job.add_argument("--log", help="folder of the delivery log; the database if not given")
         job.add_argument("--checkpoint", required=True)
+        job.add_argument("--metrics", help="folder for the counts of each batch")
         if name == "stream":
             job.add_argument("--route", help="folder for flagged messages; the flagged topic if not given")
             job.add_argument("--whole", action="store_true", help="forward messages as they came")
@@ -72,6 +74,8 @@ def main() -> None:
     if arguments.command in ("stream", "backfill"):
         streaming = arguments.command == "stream"
         rule = "flag_upsert" if streaming else "insert_ignore"
+        if arguments.metrics:
+            spark.streams.addListener(BatchMetrics(spark, arguments.metrics))
         if arguments.messages:
             messages = file_messages(spark, arguments.messages)
         else:

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.operators.decode import decode, with_flag
+from riskstream.operators.validate import with_reason
 from riskstream.options import JobOptions
 from riskstream.schema import STORED_COLUMNS
 from riskstream.streaming.log import STORED, BatchWriter, checked_rows, log_rows, log_writer
+from riskstream.streaming.metrics import observed
 from riskstream.streaming.profiles import judged_writer
 from riskstream.streaming.route import file_route_writer, flagged_messages, kafka_route_writer, routed, to_kafka
 
@@ -35,7 +37,7 @@ def start_store(
     """Store all messages. ``writer`` is a batch writer or the path of a log."""
     write = log_writer(writer, checkpoint) if isinstance(writer, str) else writer
     return (
-        log_rows(messages, options.threshold)
+        observed(log_rows(messages, options.threshold))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
@@ -92,7 +94,7 @@ def start_fan_out(
             batch.unpersist()
 
     return (
-        with_flag(decode(messages), options.threshold)
+        observed(with_reason(with_flag(decode(messages), options.threshold)))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))

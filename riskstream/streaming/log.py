@@ -42,12 +42,11 @@ def log_rows(messages: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataF
 
     The raw text is kept for rejected rows only.
     """
-    return checked_rows(with_flag(decode(messages), threshold))
+    return checked_rows(with_reason(with_flag(decode(messages), threshold)))
 
 
-def checked_rows(flagged: DataFrame) -> DataFrame:
-    """Decoded and flagged messages as rows of the log."""
-    checked = with_reason(flagged)
+def checked_rows(checked: DataFrame) -> DataFrame:
+    """Messages that are decoded, flagged and checked as rows of the log."""
     accepted = F.col("reason").isNull()
     return checked.withColumns({
         "timestamp": parsed_timestamp(),

@@ -4,6 +4,7 @@ import json
 import pickle
 import random
 import sqlite3
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from riskstream.sources.messages import file_messages, kafka_settings
 from riskstream.streaming import log
 from riskstream.streaming.database import batches_statement, database_writer, merge_statements, staging_name, table_statement
 from riskstream.streaming.jobs import run_backfill, run_stream, start_fan_out, start_route, start_store
+from riskstream.streaming.metrics import BatchMetrics, read_metrics
 from riskstream.streaming.route import flagged_messages
 
 FIRST = [
@@ -464,6 +466,35 @@ def test_jobs_share_a_log(spark, tmp_path):
     assert table(rows)[1] == ("b", 4000.0, "Shop", True)
 
 
+@pytest.mark.parametrize("fan_out", [False, True])
+def test_a_listener_counts_the_batches(spark, tmp_path, fan_out):
+    """Equal to the counts of the log, which isn't read for them; a batch that runs again is counted once."""
+    listener = BatchMetrics(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(listener)
+
+    def run():
+        messages, checkpoint = file_messages(spark, str(tmp_path / "in")), str(tmp_path / "checkpoint")
+        query = start_fan_out(messages, str(tmp_path / "log"), str(tmp_path / "out"), checkpoint) if fan_out else start_store(messages, str(tmp_path / "log"), checkpoint)
+        query.awaitTermination()
+        return log.read_log(spark, str(tmp_path / "log"))
+
+    try:
+        for n, drop in enumerate((FIRST, SECOND)):
+            lines(tmp_path / "in", f"{n}.json", drop)
+            rows = run()
+        uncommit(tmp_path / "checkpoint", 1)
+        rows = run()
+        want = sorted(tuple(r) for r in log.batch_counts(rows, ("job", "batch_id")).collect())
+        for _ in range(100):  # listeners hear of a batch a little later
+            found = read_metrics(spark, str(tmp_path / "metrics")).orderBy("batch_id").collect()
+            if len(found) == 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert [tuple(r)[:5] for r in found] == want and [r.total for r in found] == [5, 2]
+
+
 def test_jobs_share_a_route(spark, tmp_path):
     lines(tmp_path / "in", "1.json", FIRST)
     messages = file_messages(spark, str(tmp_path / "in"))

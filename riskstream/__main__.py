@@ -16,7 +16,7 @@ from riskstream.streaming.database import database_writer, jdbc_stage, postgres
 from riskstream.streaming.jobs import run_backfill, run_stream
 from riskstream.streaming.log import compact, prune
 from riskstream.streaming.metrics import BatchMetrics
-from riskstream.streaming.monthly import merge_batches
+from riskstream.streaming.monthly import has_summary, merge_batches, merged_summary
 
 #: Rows of a frame on the console where all of them are in a folder.
 SHOWN = 20
@@ -60,6 +60,7 @@ def _arguments() -> argparse.Namespace:
     report.add_argument("--to", dest="until", help="day after the last one")
     report.add_argument("--out", help="folder for every frame, whole, as Parquet")
     report.add_argument("--per-month", type=int, help="report on a sample of each month")
+    report.add_argument("--accuracy", type=int, help="approximate boxes, from sketches of this size")
     for facet in ("status", "location", "card-type"):
         report.add_argument(f"--{facet}", nargs="*")
     return parser.parse_args()
@@ -112,10 +113,13 @@ def main() -> None:
             rows = parquet_table(spark, arguments.table) if arguments.table else jdbc_table(spark, options)
             return period_filter(rows, arguments.since, arguments.until)
 
+        by_day = None
+        if arguments.table and arguments.per_month is None and has_summary(spark, arguments.table):
+            by_day = period_filter(merged_summary(spark, arguments.table), arguments.since, arguments.until)
         with Snapshot(load, arguments.per_month, store=not arguments.table) as snapshot:
             frames = dashboard(
                 snapshot.frame, status=arguments.status, location=arguments.location,
-                card_type=arguments.card_type,
+                card_type=arguments.card_type, accuracy=arguments.accuracy, by_day=by_day,
             )
             groups = frames.pop("summary")
             for name, frame in frames.items():

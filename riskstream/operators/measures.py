@@ -45,12 +45,13 @@ def summary(
     A single pass over the table, combined in each task before the shuffle; its
     size depends on the number of distinct groups only. Everything additive can
     then be answered without reading the table again. With ``sketch``, the size of one, each row also has a sketch of its
-    amounts, from which approximate quantiles of any groups can be had.
+    amounts, from which approximate quantiles of any groups can be had. A summary by day may be given in place of the rows.
     """
     periods = df.withColumn("timestamp", period_start(grain).cast("timestamp_ntz"))
     measures = [F.sum(c).alias(c) for c in (ROWS, AMOUNT, AMOUNTS)]
     if sketch is not None:
-        measures.append(F.kll_sketch_agg_double(usable_amount(), sketch).alias(SKETCH))
+        merged = F.kll_merge_agg_double(SKETCH) if SKETCH in df.columns else F.kll_sketch_agg_double(usable_amount(), sketch)
+        measures.append(merged.alias(SKETCH))
     return measured(periods).groupBy("timestamp", *facets, FLAG).agg(*measures)
 
 

@@ -64,19 +64,22 @@ def dashboard(
     location: list[str | None] | None = None,
     card_type: list[str | None] | None = None,
     accuracy: int | None = None,
+    by_day: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every frame of the dashboard, over the rows that match the choices.
 
     The additive sections share one summary by month, so the table is read once for all
     of them; only the daily series groups the rows itself, as a summary by day would be
     about as large as the table. With ``accuracy``, the size of sketches, the summary has some of the amounts, and the boxes are approximate
-    ones from it. It is persisted; unpersist the frame named ``summary`` when done.
+    ones from it. ``by_day``, a summary by day of the same rows that is there already (that of a merged table, say), takes the place of the
+    rows for all additive sections, the daily series included, so that only the listings and exact boxes read rows. The summary by month is persisted; unpersist the frame named ``summary`` when done.
     """
     chosen = facet_filter(df, status=status, location=location, card_type=card_type)
-    groups = summary(chosen, grain="month", sketch=accuracy).persist()
+    additive = chosen if by_day is None else facet_filter(by_day, status=status, location=location, card_type=card_type)
+    groups = summary(additive, grain="month", sketch=accuracy).persist()
     return {
         "summary": groups,
-        "facets": facet_values(df),
+        "facets": facet_values(df if by_day is None else by_day),
         "kpis": breakdown.kpis(groups),
         "suspicious_split": breakdown.suspicious_split(groups),
         "status_counts": breakdown.status_counts(groups),
@@ -84,7 +87,7 @@ def dashboard(
         "card_type_distribution": breakdown.card_type_distribution(groups),
         "monthly_volume": trends.volume(groups),
         "monthly_avg_amount": trends.average_amount(groups),
-        "daily_volume": trends.volume(chosen, "day"),
+        "daily_volume": trends.volume(additive, "day"),
         "top_location_histogram": locations.top_location_histogram(groups),
         "location_hotspots": breakdown.location_hotspots(groups),
         "suspicious_by_month": trends.suspicious_by_month(groups),

@@ -40,6 +40,11 @@ def _summaries(table_path: str) -> str:
     return f"{table_path.rstrip('/')}.summary"
 
 
+def has_summary(spark: SparkSession, table_path: str) -> bool:
+    """Whether a folder is a table by month with a summary."""
+    return files.exists(spark, _summaries(table_path))
+
+
 def merged_summary(spark: SparkSession, table_path: str) -> DataFrame:
     """The summary of the table by day, facets and flag: give it to the additive operators in place of the rows."""
     return spark.read.parquet(_summaries(table_path)).drop(MONTH)

@@ -40,6 +40,30 @@ def test_summary_gives_the_same_as_the_rows(rows, operator):
     assert result(summary(rows)) == result(rows)
 
 
+def test_a_summary_by_day_takes_the_place_of_the_rows(spark, rows, tmp_path):
+    """The same frames; only listings and exact boxes read rows."""
+    summary(rows, sketch=512).write.parquet(str(tmp_path / "summary"))
+    rows.withColumn("customer_id", F.col("customer_id").cast("int")).write.parquet(str(tmp_path / "rows"))
+    choices = {"status": ["SUCCESS", "FAILED"], "card_type": ["5-LOW", None]}
+    stored = parquet_table(spark, str(tmp_path / "rows"))
+    frames = [dashboard(stored, **choices), dashboard(stored, **choices, by_day=spark.read.parquet(str(tmp_path / "summary")))]
+
+    def result(frame):
+        doubles = [name for name, kind in frame.dtypes if kind == "double"]
+        return sorted(map(repr, frame.withColumns({c: F.round(c, 6) for c in doubles}).collect()))
+
+    from_rows = set()
+    for name, frame in frames[1].items():
+        assert result(frame) == result(frames[0][name]), name
+        if f"file:{tmp_path}/rows" in frame._jdf.queryExecution().toString():
+            from_rows.add(name)
+    assert from_rows == {"suspicious_leaderboard", "latest_suspicious", "recent_transactions"}
+    boxes = dashboard(stored, accuracy=512, by_day=spark.read.parquet(str(tmp_path / "summary")))["top_location_box"]
+    assert boxes.count() == 20 and "/rows" not in boxes._jdf.queryExecution().toString()
+    for groups in frames:
+        groups["summary"].unpersist()
+
+
 def test_frames_agree(rows):
     frames = dashboard(rows)
     kpis = frames["kpis"].first()

@@ -224,13 +224,17 @@ def forest_links(sets: list[np.ndarray], similarity: Similarity) -> list[tuple[i
     return [(a, b) for a, b in np.argwhere(similar).tolist() if forest.join(a, b)]
 
 
-def _grouped(df: DataFrame, similarity: Similarity, copies: DataFrame | None = None) -> DataFrame:
-    """(centre, x, y, set_key, shingles): the blocks of all groups. With copies (set_key, copies) also own, copies and centres, all those of the set."""
+def candidates(df: DataFrame, similarity: Similarity) -> DataFrame:
+    """(member, centre): each set that shares a signature with a smaller one, and the smallest of that signature. ``df``: text."""
     signed = _signature_rows(df.select("text"), similarity)
     # The smallest member of a signature is its centre; a running minimum needs no group in memory.
     by_signature = Window.partitionBy("signature").orderBy("member").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     centred = signed.select("member", F.first("member").over(by_signature).alias("centre"))
-    pairs = stored(centred.where("member <> centre").distinct(), "candidates")
+    return stored(centred.where("member <> centre").distinct(), "candidates")
+
+
+def _grouped(df: DataFrame, similarity: Similarity, pairs: DataFrame, copies: DataFrame | None = None) -> DataFrame:
+    """(centre, x, y, set_key, shingles): the blocks of all groups of candidates. With copies (set_key, copies) also own, copies and centres, all those of the set."""
     # Few centres have more members than a block: stored, so that they are broadcast if they are few
     # enough, and else join in a way that splits a centre with very many.
     crowded = stored(pairs.groupBy("centre").agg((F.count(F.lit(1)) + 1).alias("n")).where(F.col("n") > BLOCK), "crowded")
@@ -254,9 +258,9 @@ def _grouped(df: DataFrame, similarity: Similarity, copies: DataFrame | None = N
     return members.join(sets, "key").select("centre", "x", "y", "own", "set_key", "shingles", "copies", "centres")
 
 
-def similar_links(df: DataFrame, similarity: Similarity) -> DataFrame:
-    """Links (a, b) between set keys, with the same connected components as all links. ``df``: text."""
-    grouped = _grouped(df, similarity)
+def similar_links(df: DataFrame, similarity: Similarity, pairs: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) between set keys, with the same connected components as all links. ``df``: text; ``pairs``: its candidates, if they are there already."""
+    grouped = _grouped(df, similarity, candidates(df, similarity) if pairs is None else pairs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, keys, sets = None, [], []
@@ -290,9 +294,9 @@ def _owned(block: list[tuple], centre: int, x: int, y: int, similarity: Similari
     return np.nonzero(similar)
 
 
-def _owned_pairs(df: DataFrame, similarity: Similarity, copies: DataFrame, schema: str, give) -> DataFrame:
+def _owned_pairs(df: DataFrame, similarity: Similarity, copies: DataFrame, schema: str, give, pairs: DataFrame | None = None) -> DataFrame:
     """What ``give`` makes of each block and its pairs."""
-    grouped = _grouped(df, similarity, copies)
+    grouped = _grouped(df, similarity, candidates(df, similarity) if pairs is None else pairs, copies)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, block = (0, 0, 0), []
@@ -327,7 +331,7 @@ def similar_pairs(df: DataFrame, similarity: Similarity) -> DataFrame:
     return _owned_pairs(df, similarity, stored(_copies(df, similarity), "copies"), LINK_SCHEMA, give)
 
 
-def link_counts(df: DataFrame, similarity: Similarity, copies: DataFrame) -> DataFrame:
+def link_counts(df: DataFrame, similarity: Similarity, copies: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """set_key and links: the rows with another, similar set. ``copies``: set_key and the rows that have it."""
 
     def give(block, a, b) -> pa.RecordBatch:
@@ -337,7 +341,7 @@ def link_counts(df: DataFrame, similarity: Similarity, copies: DataFrame) -> Dat
         some = np.flatnonzero(links)
         return pa.RecordBatch.from_arrays([pa.array([block[i][1] for i in some], pa.binary()), pa.array(links[some])], ["set_key", "links"])
 
-    return _owned_pairs(df, similarity, copies, "set_key binary, links long", give).groupBy("set_key").agg(F.sum("links").alias("links"))
+    return _owned_pairs(df, similarity, copies, "set_key binary, links long", give, pairs).groupBy("set_key").agg(F.sum("links").alias("links"))
 
 
 LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -373,13 +377,14 @@ def similar_documents(df: DataFrame, similarity: Similarity, keep: list[str], te
     measured = stored(_measured(rows, [ROW, "__order"], similarity), "shingle-sets")
     of_class = [F.min("__order").alias("first"), *([F.count(F.lit(1)).alias("copies")] if links else [])]
     classes = stored(measured.where("set_key IS NOT NULL").groupBy("set_key").agg(*of_class), "shingle-classes")
-    joined = components(similar_links(rows, similarity))
+    pairs = candidates(rows, similarity)  # signed once, for components and counts
+    joined = components(similar_links(rows, similarity, pairs))
     named = classes.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     ids = named.join(least, "component").select("set_key", "component", "component_id", *(["copies"] if links else []))
     more = []
     if links:
-        counts = link_counts(rows, similarity, classes.select("set_key", "copies"))
+        counts = link_counts(rows, similarity, classes.select("set_key", "copies"), pairs)
         ids = ids.join(counts, "set_key", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
         more = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
     found = measured.join(ids, "set_key", "left")

@@ -196,13 +196,14 @@ def predict(df: DataFrame, model: LanguageModel, keep: list[str], text: str = "t
     sent = small_batches(df.sparkSession).sparkContext.broadcast(model)
     results = ["lang_pred", "score"]
     kept, row = carried(keep, results)
-    rows = df.select(row, F.col(text).alias("text"))
+    # a text that is kept travels once
+    rows = df.select(row) if text in kept else df.select(row, F.col(text).alias("text"))
     schema = StructType([rows.schema[ROW], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = held(sent.value, Scorer)
         for batch in batches:
-            found = [scorer.score(x.as_py() or "") for x in batch.column("text")]
+            found = [scorer.score(x.as_py() or "") for x in (batch.column(ROW).field(text) if text in kept else batch.column("text"))]
             out = [pa.array([x[i] for x in found], kind) for i, kind in ((0, pa.string()), (1, pa.float64()))]
             yield pa.RecordBatch.from_arrays([batch.column(ROW), *out], [ROW, *results])
 

@@ -224,13 +224,14 @@ def score(df: DataFrame, model: ToxicityModel, keep: list[str], text: str = "tex
     """The score of each text next to the columns to keep."""
     sent = small_batches(df.sparkSession).sparkContext.broadcast(model)
     kept, row = carried(keep, ["score"])
-    rows = df.select(row, F.col(text).alias("text"))
+    # a text that is kept travels once
+    rows = df.select(row) if text in kept else df.select(row, F.col(text).alias("text"))
     schema = StructType([rows.schema[ROW], StructField("score", DoubleType())])
 
     def score_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = held(sent.value, Scorer)
         for batch in batches:
-            out = pa.array([scorer.score(x.as_py() or "") for x in batch.column("text")], pa.float64())
+            out = pa.array([scorer.score(x.as_py() or "") for x in (batch.column(ROW).field(text) if text in kept else batch.column("text"))], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(ROW), out], [ROW, "score"])
 
     return restored(rows.mapInArrow(score_all, schema), kept, ["score"])

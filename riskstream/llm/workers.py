@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Bytes of an Arrow batch sent to a worker. Texts are long, and a batch is in memory several times over.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 _held: list = []
 

@@ -23,7 +23,7 @@ def test_only_the_latest_is_held():
 
 @pytest.mark.parametrize(
     ("set_to", "becomes"),
-    [("64m", workers.BATCH_BYTES), ("67108864", workers.BATCH_BYTES), ("1g", workers.BATCH_BYTES), ("4m", 4 << 20), ("1000", 1000), ("8192k", 8 << 20)],
+    [("64m", workers.BATCH_BYTES), ("67108864", workers.BATCH_BYTES), ("1g", workers.BATCH_BYTES), ("4m", 4 << 20), ("1000", 1000), ("2048k", 2 << 20)],
 )
 def test_batches_get_smaller_but_never_larger(spark, conf, set_to, becomes):
     conf(**{NAME.replace(".", "__"): set_to})

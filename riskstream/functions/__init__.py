@@ -5,6 +5,7 @@ from riskstream.functions.columns import (
     id_order,
     iso_text,
     month_label,
+    of_accepted_year,
     over_threshold,
     parsed_timestamp,
     readable_timestamp,
@@ -18,6 +19,7 @@ __all__ = [
     "id_order",
     "iso_text",
     "month_label",
+    "of_accepted_year",
     "over_threshold",
     "parsed_timestamp",
     "readable_timestamp",

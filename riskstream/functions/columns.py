@@ -56,12 +56,16 @@ def readable_timestamp(text: str = "timestamp") -> Column:
     return F.when(full_date, F.col(text).try_cast("timestamp_ntz"))
 
 
-def parsed_timestamp(text: str = "timestamp") -> Column:
-    """The same, null too when the year is not an accepted one."""
-    found = readable_timestamp(text)
+def of_accepted_year(found: Column) -> Column:
+    """The timestamp, null when its year is not an accepted one."""
     return F.when(F.year(found).between(FIRST_YEAR, LAST_YEAR), found)
 
 
+def parsed_timestamp(text: str = "timestamp") -> Column:
+    """The readable timestamp, null too when its year is not an accepted one."""
+    return of_accepted_year(readable_timestamp(text))
+
+
 def id_order(key: str = KEY, *, descending: bool = False) -> list[Column]:
     """Sort columns for an id: short before long, then as text.
 

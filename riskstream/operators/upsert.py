@@ -90,32 +90,32 @@ ARRIVED, FLAGGED = "arrived", "flagged_at"
 
 
 def ordered(df: DataFrame, rule: str, order: Sequence[str] = ARRIVAL, key: str = KEY) -> DataFrame:
-    """The rows of a rule, with the places in the order that decided them."""
+    """The rows of a rule, with the places in the order that decided them.
+
+    A place goes in front of what it decides, so that each is sorted and shuffled once.
+    """
     kept = _others(df, FLAG, *order)
     place = F.struct(*order)
-    last = (F.max_by, F.max) if rule == "flag_upsert" else (F.min_by, F.min)
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_key"))
-        .agg(
-            F.min_by(F.struct(*kept), place).alias("first"),
-            last[0](FLAG, place).alias(FLAG),
-            F.min(place).alias(ARRIVED),
-            last[1](place).alias(FLAGGED),
-        )
-        .select("first.*", FLAG, ARRIVED, FLAGGED)
-    )
+    first, flagged = F.struct(place.alias(ARRIVED), *kept), F.struct(place.alias(FLAGGED), FLAG)
+    if rule == "flag_upsert":
+        wanted = [F.min(first).alias("first"), F.max(flagged).alias("flagged")]
+    else:  # all of one row
+        wanted = [F.min(F.struct(first.alias("first"), F.col(FLAG))).alias("whole")]
+    found = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(*wanted)
+    if rule != "flag_upsert":
+        found = found.select("whole.first", F.struct(F.col(f"whole.first.{ARRIVED}").alias(FLAGGED), f"whole.{FLAG}").alias("flagged"))
+    return found.select("first.*", "flagged.*").select(*kept, FLAG, ARRIVED, FLAGGED)
 
 
 def combined(rows: DataFrame, rule: str, key: str = KEY) -> DataFrame:
     """One row for each key of rows that have such places: their order decides, however often a row is there."""
-    values = [c for c in rows.columns if c not in (key, FLAG, FLAGGED)]
-    by_flag = F.max_by if rule == "flag_upsert" else F.min_by
+    values = [c for c in rows.columns if c not in (key, FLAG, FLAGGED, ARRIVED)]
+    by_flag = F.max if rule == "flag_upsert" else F.min
     return (
         rows.groupBy(key)
         .agg(
-            F.min_by(F.struct(*values), ARRIVED).alias("first"),
-            by_flag(F.struct(FLAG, FLAGGED), FLAGGED).alias("flagged"),
+            F.min(F.struct(ARRIVED, *values)).alias("first"),
+            by_flag(F.struct(FLAGGED, FLAG)).alias("flagged"),
         )
         .select(key, "first.*", "flagged.*")
         .select(*rows.columns)

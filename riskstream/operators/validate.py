@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskstream.functions import parsed_timestamp, readable_timestamp
+from riskstream.functions import of_accepted_year, readable_timestamp
 from riskstream.schema import KEY, MAX_LENGTH, REQUIRED
 
 
@@ -33,17 +33,21 @@ def long_fields(limits: Mapping[str, int] = MAX_LENGTH) -> Column:
     )
 
 
-def bad_timestamp(text: str = "timestamp") -> Column:
-    """Set when there is a timestamp text that cannot be read, or is of a year that isn't accepted."""
-    unreadable = F.col(text).isNotNull() & readable_timestamp(text).isNull()
-    far = readable_timestamp(text).isNotNull() & parsed_timestamp(text).isNull()
+def bad_timestamp(text: str = "timestamp", found: Column | None = None) -> Column:
+    """Set when there is a timestamp text that cannot be read, or is of a year that isn't accepted.
+
+    ``found`` is what was read from the text, where that is a column already.
+    """
+    found = readable_timestamp(text) if found is None else found
+    unreadable = F.col(text).isNotNull() & found.isNull()
+    far = found.isNotNull() & of_accepted_year(found).isNull()
     return F.when(unreadable, F.lit(f"unreadable:{text}")).when(far, F.lit(f"out_of_range:{text}"))
 
 
 def with_reason(df: DataFrame) -> DataFrame:
-    """Add ``reason``: why the table would refuse the row, or null."""
-    checks = (missing_fields(df), long_fields(), bad_timestamp())
-    return df.withColumn("reason", _reason(checks))
+    """Add ``reason``: why the table would refuse the row, or null. The timestamp is read once for all its checks."""
+    checks = (missing_fields(df), long_fields(), bad_timestamp(found=F.col("_found")))
+    return df.withColumn("_found", readable_timestamp()).withColumn("reason", _reason(checks)).drop("_found")
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from riskstream import files
-from riskstream.functions import parsed_timestamp
+from riskstream.functions import of_accepted_year, readable_timestamp
 from riskstream.operators.decode import decode, with_flag
 from riskstream.operators.upsert import ARRIVAL, RULES, merge_ordered, ordered
 from riskstream.operators.validate import with_reason
@@ -48,8 +48,8 @@ def log_rows(messages: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataF
 def checked_rows(checked: DataFrame) -> DataFrame:
     """Messages that are decoded, flagged and checked as rows of the log."""
     accepted = F.col("reason").isNull()
-    return checked.withColumns({
-        "timestamp": parsed_timestamp(),
+    return checked.withColumn("_found", readable_timestamp()).withColumns({
+        "timestamp": of_accepted_year(F.col("_found")),
         "raw": F.when(~accepted, F.col("raw")),
         "outcome": F.when(accepted, STORED).otherwise(REJECTED),
     }).select(*STORED_COLUMNS, "position", "reason", "raw", "outcome")

@@ -5,7 +5,8 @@
 are already. ``<table>.summary/month=2025-01`` is the summary of the month's transactions, for
 all additive figures. A merge reads the log's new batches, looks their ids up in the index, and replaces
 these months and those of the new rows by dynamic partition overwrite. All other months' files stay. Index
-and summary are made from the rows just merged: the table isn't read for them.
+and summary are made from the rows just merged: the table isn't read for them. The first rows of a table are written by month
+at once, without a copy of them, and index and summary made from what was written; months that are new have no rows to merge with.
 
 A merge that fails can be run again at any point: months first, then index and summary, then the record of the batches. Until a batch is
 recorded it is merged again, which changes nothing, as the places in the order of arrival decide (see ``merge_ordered``). One merge runs at a time.
@@ -50,11 +51,18 @@ def merged_summary(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.parquet(_summaries(table_path)).drop(MONTH)
 
 
+def _by_month(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(StructType([*MERGED_SCHEMA, StructField(MONTH, StringType())])).parquet(path)
+
+
 def _read(spark: SparkSession, path: str, months: list[str]) -> DataFrame:
     """The rows of some months; only their folders are read."""
-    schema = StructType([*MERGED_SCHEMA, StructField(MONTH, StringType())])
-    rows = spark.read.schema(schema).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], schema)
-    return rows.where(F.col(MONTH).isin(months)).drop(MONTH)
+    return _by_month(spark, path).where(F.col(MONTH).isin(months)).drop(MONTH)
+
+
+def _there(spark: SparkSession, table_path: str) -> list[str]:
+    """The months that the table has."""
+    return [name.removeprefix(f"{MONTH}=") for name in files.names(spark, table_path) if name.startswith(f"{MONTH}=")]
 
 
 def months_of(spark: SparkSession, table_path: str, rows: DataFrame) -> list[str]:
@@ -77,19 +85,40 @@ def merge_batches(spark: SparkSession, log_path: str, rule: str, table_path: str
     wanted = log.lacking(spark, log_path, table_path, through_batch)
     if not wanted:
         return []
-    new = stored(log.reduced(spark, log_path, rule, wanted), "tail")
+    new, there = log.reduced(spark, log_path, rule, wanted), _there(spark, table_path)
+    months = _merge(spark, new, rule, table_path, there) if there else _begin(spark, new, table_path)
+    log.hold(spark, table_path, wanted)
+    return months
+
+
+def _begin(spark: SparkSession, new: DataFrame, table_path: str) -> list[str]:
+    """The first rows: there is nothing to look up or to merge with, so they go straight to their months."""
+    _replace(_with_month(new), table_path)
+    months = _there(spark, table_path)
+    if months:
+        _describe(_by_month(spark, table_path), table_path)
+    return months
+
+
+def _merge(spark: SparkSession, rows: DataFrame, rule: str, table_path: str, there: list[str]) -> list[str]:
+    new = stored(rows, "tail")
     months = months_of(spark, table_path, new)
     if months:
-        old = _read(spark, table_path, months)
-        once = stored(_with_month(merge_ordered(old, new, rule)), "months")
+        once, old = _with_month(new), [month for month in months if month in there]
+        if old:
+            once = stored(_with_month(merge_ordered(_read(spark, table_path, old), new, rule)), "months")
         _replace(once, table_path)
-        _replace(once.select(KEY, MONTH), _keys(table_path))
-        _replace(_with_month(summary(once, grain="day", sketch=SKETCH)), _summaries(table_path))
+        _describe(once, table_path)
         _drop_emptied(spark, once, months, table_path)
-    log.hold(spark, table_path, wanted)
     return months
 
 
+def _describe(rows: DataFrame, table_path: str) -> None:
+    """Replace index and summary of the months that rows are of."""
+    _replace(rows.select(KEY, MONTH), _keys(table_path))
+    _replace(_with_month(summary(rows, grain="day", sketch=SKETCH)), _summaries(table_path))
+
+
 def _drop_emptied(spark: SparkSession, rows: DataFrame, months: list[str], table_path: str) -> None:
     """Remove the months whose last row has moved to another month, which nothing replaces."""
     left = {row[0] for row in rows.select(MONTH).distinct().collect()}

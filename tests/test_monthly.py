@@ -93,6 +93,43 @@ def test_the_summary_is_kept_up_without_reading_the_table(store, spark, monkeypa
     assert locations.box_stats(kept, ("is_suspicious",)).where("is_suspicious").first().median == 100.0
 
 
+def test_only_months_that_are_there_are_merged_with(store, spark, monkeypatch):
+    """The first rows of a table go to their months without a copy; those of new months aren't grouped again."""
+    copies, merges = [], []
+    whole_copy, whole_merge = monthly.stored, monthly.merge_ordered
+    monkeypatch.setattr(monthly, "stored", lambda df, purpose: copies.append(purpose) or whole_copy(df, purpose))
+    monkeypatch.setattr(monthly, "merge_ordered", lambda *arguments: merges.append(1) or whole_merge(*arguments))
+    store.deliver(*({"transaction_id": f"{m}-{n}", "timestamp": at(m), "amount": 100.0 * n} for m in (1, 2) for n in range(3)), {"transaction_id": "1-1", "timestamp": at(2), "amount": 9000.0})
+    assert store.merge() == ["2025-01", "2025-02"] and (copies, merges) == ([], [])
+    assert ("1-1", 1, "Shop", True) in store.rows() and len(store.rows()) == 6
+    store.deliver({"transaction_id": "new", "timestamp": at(3)})
+    assert store.merge() == ["2025-03"] and (copies, merges) == (["tail"], [])
+    store.deliver({"transaction_id": "new", "timestamp": at(3), "amount": 9000.0}, {"transaction_id": "newer", "timestamp": at(4)})
+    assert store.merge() == ["2025-03", "2025-04"] and (copies, merges) == (["tail", "tail", "months"], [1])
+    assert {("new", 3, "Shop", True), ("newer", 4, "Shop", False)} < set(store.rows()) and len(store.rows()) == 8
+    kept = monthly.merged_summary(spark, store.table).drop("amount_sketch")
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, summary(parquet_table(spark, store.table)).collect()))
+
+
+@pytest.mark.parametrize("step", ["_describe", "hold"])
+def test_a_first_merge_that_fails_can_be_run_again(store, spark, monkeypatch, step):
+    store.deliver({"transaction_id": "x", "timestamp": at(2)}, {"transaction_id": "y", "timestamp": at(3)})
+    module = log if step == "hold" else monthly
+    whole = getattr(module, step)
+
+    def fails(*arguments):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(module, step, fails)
+    with pytest.raises(OSError):
+        store.merge()
+    monkeypatch.setattr(module, step, whole)
+    store.deliver({"transaction_id": "x", "timestamp": at(4), "amount": 9000.0})
+    assert store.merge() == ["2025-02", "2025-03"] and store.merge() == []
+    assert store.rows() == [("x", 2, "Shop", True), ("y", 3, "Shop", False)]
+    assert monthly.merged_summary(spark, store.table).count() == 2
+
+
 def test_a_batch_that_is_merged_late(store):
     """An earlier job's batch is merged after that of a later one: its row is the first all the same, and moves the id to its month."""
     store.deliver({"transaction_id": "x", "timestamp": at(2), "merchant": "FIRST"}, job="a")

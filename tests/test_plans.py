@@ -9,6 +9,7 @@ from riskstream.operators.decode import decode, with_flag
 from riskstream.operators.filters import only_suspicious
 from riskstream.operators.sample import monthly_sample
 from riskstream.sources.fixtures import event_messages, transactions
+from riskstream.streaming.log import log_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -113,6 +114,21 @@ def test_messages_are_parsed_once(spark):
     assert plan(rows.select("transaction_id", "amount")).count("from_json") == 1
 
 
+def test_times_are_read_once_a_step(spark):
+    """Once for the checks and once for the row, however many conditions look at them."""
+    assert plan(log_rows(event_messages(spark, SF_DIR))).count("RLIKE") == 2
+
+
+def test_places_are_sorted_once(spark):
+    """A row goes into the shuffle with the place of its values and that of its flag, no copies."""
+    rows = spark.range(10).selectExpr("id AS o", "'k' AS transaction_id", "true AS is_suspicious")
+    for rule, places in (("flag_upsert", 2), ("insert_ignore", 1)):
+        text = plan(upsert.ordered(rows, rule, ("o",)))
+        assert "min_by" not in text and "max_by" not in text
+        partial = next(line for line in text.splitlines() if "partial_min" in line)
+        assert partial.count("partial_m") == places
+
+
 @pytest.fixture
 def hot_tables(spark, tmp_path):
     """A third of the orders belong to one customer."""

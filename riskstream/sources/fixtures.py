@@ -135,14 +135,19 @@ def _packed(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return wire.select("position", "event_id", F.to_json(F.struct(*WIRE_COLUMNS)).alias("value"))
 
 
-def event_messages(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:
-    """Events as JSON messages, as a batch or as a stream of files."""
+def event_messages(spark: SparkSession, sf_dir: str, *, streaming: bool = False, dealt: bool = False) -> DataFrame:
+    """Events as JSON messages, as a batch or as a stream of files.
+
+    The table may lie in the order of the ids, so that some range of them is read by few tasks. A batch that is ``dealt``
+    out goes on in as many tasks as the session has for a shuffle; filters by position run before that.
+    """
     if streaming:
         schema = table(spark, sf_dir, "events").schema
         # A pattern, as the stream takes no single file; it fits a folder as well.
         rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     else:
         rows = table(spark, sf_dir, "events")
+        rows = rows.repartition("event_id") if dealt else rows
     columns = _event_columns() | {"timestamp": iso_text("ts")}
     return _packed(rows, columns).select("position", "value")
 

@@ -129,6 +129,40 @@ def test_places_are_sorted_once(spark):
         assert partial.count("partial_m") == places
 
 
+def ordered_events(spark, path, rows=400):
+    """An events table in the order of its ids."""
+    events = spark.range(rows, numPartitions=4).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id) AS ts", "id % 60 AS user_id",
+        "element_at(array('view', 'error', 'signup'), int(id % 3) + 1) AS event_type", "double(id % 90) AS value", "concat('{\"k\": ', id % 50, '}') AS props",
+    )
+    events.write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_a_range_of_events_is_dealt_out(spark, conf, tmp_path):
+    """The ids of a quarter are next to each other; all tasks work on it all the same, and no other ids are shuffled."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    sf_dir = ordered_events(spark, tmp_path)
+    quarter = F.col("position.offset").between(100, 199)
+    dealt = event_messages(spark, sf_dir, dealt=True).where(quarter)
+    whole = event_messages(spark, sf_dir).where(quarter)
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, whole.collect()))
+    tasks = [df.groupBy(F.spark_partition_id()).count().count() for df in (whole, dealt)]
+    assert tasks[0] == 1 and tasks[1] >= 6
+    below = plan(dealt).split("Exchange")[1]
+    assert "GreaterThanOrEqual(event_id,100)" in below
+
+
+def test_parts_of_a_shared_log_are_written_by_all_tasks(spark, conf, tmp_path, monkeypatch):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    monkeypatch.setattr(entry, "shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    sf_dir = ordered_events(spark, tmp_path)
+    rows = entry.shared_log(spark, sf_dir)
+    assert rows.count() == 800
+    for n in range(4):
+        assert len(list((tmp_path / "shared" / "in" / f"part={n}").glob("*.parquet"))) >= 6
+
+
 @pytest.fixture
 def hot_tables(spark, tmp_path):
     """A third of the orders belong to one customer."""
